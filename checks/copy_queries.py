@@ -1 +1,155 @@
-"""Placeholder."""
+"""Copies, versions and the stored tables: each query writes to the shared folder and reads back."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from checks.registry import query
+from tableferry import schemas as S
+from tableferry.operators import reconcile as Q
+from tableferry.operators import telemetry as T
+from tableferry.session import new_folder
+from tableferry.sources import snapshots as V
+from tableferry.sources import stored_tables as ST
+
+
+def _store(t):
+    return V.SnapshotStore(t.spark, new_folder(t.spark, "store")).create()
+
+
+def _stored(t):
+    stored = ST.StoredTables(t.spark, new_folder(t.spark, "stored"))
+    stored.create()
+    return stored
+
+
+def _now():
+    return F.expr("TIMESTAMP '2000-01-01 00:00:00'")
+
+
+@query("A12", "SELECT * FROM orders")
+def copied_table(t):
+    store = _store(t)
+    store.copy(t.orders, "tgt.main.orders", "src.main.orders")
+    return store.read("tgt.main.orders")
+
+
+@query("A12, J11, A14", """
+SELECT l_returnflag, l_linestatus, COUNT(*) AS src_rows, COUNT(*) AS tgt_rows, true AS matched FROM lineitem GROUP BY 1, 2""")
+def copy_keeps_partitions(t):
+    store = _store(t)
+    keys = ["l_returnflag", "l_linestatus"]
+    store.copy(t.lineitem, "tgt.main.lineitem", "src.main.lineitem", 4, partition_by=keys)
+    copied = store.read("tgt.main.lineitem").select(*t.lineitem.columns)
+    return Q.compare_checksums(t.lineitem, copied, by=keys).select(*keys, "src_rows", "tgt_rows", "matched")
+
+
+@query("A10, J3, D19", """
+SELECT 0 AS version, (SELECT COUNT(*) FROM orders WHERE o_orderkey % 2 = 0) AS row_count UNION ALL SELECT 1, (SELECT COUNT(*) FROM orders)
+UNION ALL SELECT -1, (SELECT COUNT(*) FROM orders)""")
+def rows_at_versions(t):
+    store = _store(t)
+    store.copy(t.orders.filter("o_orderkey % 2 = 0"), "tgt.main.orders")
+    store.copy(t.orders, "tgt.main.orders")
+    at = {"0": store.read("tgt.main.orders", 0), "1": store.read("tgt.main.orders", 1), "-1": store.read("tgt.main.orders")}
+    return Q.row_counts(at).select(F.col("table_name").cast("int").alias("version"), "row_count")
+
+
+@query("A22", "SELECT * FROM orders WHERE o_orderkey % 2 = 0")
+def restored_table(t):
+    store = _store(t)
+    store.copy(t.orders.filter("o_orderkey % 2 = 0"), "tgt.main.orders")
+    store.copy(t.orders, "tgt.main.orders")
+    store.restore("tgt.main.orders", 0)
+    return store.read("tgt.main.orders")
+
+
+@query("A9", """
+SELECT table_fqn, version, operation, path, source_version, num_files, size_in_bytes FROM (SELECT *, ROW_NUMBER() OVER
+ (PARTITION BY table_fqn ORDER BY version DESC) AS rn FROM ledger) WHERE rn = 1""")
+def latest_versions(t):
+    return V.latest_versions(t.ledger)
+
+
+@query("A14", """
+SELECT table_fqn, num_files AS target_num_files, size_in_bytes AS target_size_bytes, version AS target_version, source_version FROM
+ (SELECT *, ROW_NUMBER() OVER (PARTITION BY table_fqn ORDER BY version DESC) AS rn FROM ledger) WHERE rn = 1""")
+def copy_metrics(t):
+    return V.copy_metrics(t.ledger)
+
+
+_NAME = "concat(source_catalog, '.', source_schema, '.', source_table)"
+
+
+@query("A13", f"""
+SELECT migration_id, CASE WHEN clone_type = 'delta_share' THEN 'name' WHEN source_path LIKE 'abfss://%' THEN 'path_and_location' ELSE 'name_fallback' END AS route,
+ CASE WHEN clone_type <> 'delta_share' AND source_path LIKE 'abfss://%' THEN source_path ELSE {_NAME} END AS source_ref,
+ CASE WHEN clone_type <> 'delta_share' AND source_path LIKE 'abfss://%' THEN concat('abfss://tgt@store/migration_data/', target_schema, '/', target_table) END AS target_location
+FROM control""")
+def copy_routes(t):
+    return V.copy_route(t.control, "abfss://tgt@store/")
+
+
+@query("A13", f"""
+SELECT migration_id, CASE WHEN clone_type = 'delta_share' THEN 'name' WHEN source_path LIKE 'abfss://%' THEN 'path' ELSE 'name_fallback' END AS route,
+ CASE WHEN clone_type <> 'delta_share' AND source_path LIKE 'abfss://%' THEN source_path ELSE {_NAME} END AS source_ref,
+ CAST(NULL AS VARCHAR) AS target_location FROM control""")
+def copy_routes_without_location(t):
+    return V.copy_route(t.control)
+
+
+@query("A15", """
+SELECT migration_id, batch_id, status, size_in_bytes, chunk_id, source_row_count, CAST(NULL AS TIMESTAMP) AS onboarded_at FROM control""")
+def stored_control(t):
+    stored = _stored(t)
+    stored.create()
+    stored.append("control", t.control)
+    shown = stored.read("control").select("migration_id", "batch_id", "status", "size_in_bytes", "chunk_id", "source_row_count", "onboarded_at")
+    return shown.withColumn("onboarded_at", F.col("onboarded_at").cast("timestamp_ntz"))
+
+
+@query("A15, B10", """
+SELECT migration_id, batch_id, CASE WHEN batch_id = 'batch-3' THEN 'QUEUED' ELSE status END AS status FROM control""")
+def replaced_batch(t):
+    stored = _stored(t)
+    stored.append("control", t.control)
+    mine = T.of_batch(stored.read("control"), "batch-3").withColumn("status", F.lit("QUEUED"))
+    stored.replace_batches("control", mine)
+    return stored.read("control").select("migration_id", "batch_id", "status")
+
+
+@query("A16", """
+SELECT migration_id, attempt_number, cluster_id, status, substr(error_code, 1, 50) AS error_code, duration_seconds, source_size_bytes,
+ CAST(0 AS BIGINT) AS target_size_bytes FROM attempts""")
+def appended_attempts(t):
+    stored = _stored(t)
+    half = F.col("attempt_number") <= 3
+    stored.append("attempts", ST.attempt_rows(_with_text(t.attempts).filter(half)))
+    stored.append("attempts", ST.attempt_rows(_with_text(t.attempts).filter(~half)))
+    return stored.read("attempts").select(
+        "migration_id", "attempt_number", "cluster_id", "status", "error_code", "duration_seconds", "source_size_bytes", "target_size_bytes")
+
+
+def _with_text(df):
+    return df.withColumns({"error_message": F.lit(None).cast("string"), "target_size_bytes": F.lit(None).cast("bigint")})
+
+
+@query("A17", """
+SELECT 'run-7' AS run_id, migration_id, row_count_checked, source_row_count, target_row_count, row_count_matched, status,
+ substr(concat('checked ', validation_id), 1, 1000) AS message FROM validation_history""")
+def appended_validations(t):
+    stored = _stored(t)
+    outcomes = t.validation_history.withColumn("message", F.concat(F.lit("checked "), "validation_id"))
+    stored.append("validation_history", ST.validation_rows(outcomes, "run-7", _now()))
+    return stored.read("validation_history").select(
+        "run_id", "migration_id", "row_count_checked", "source_row_count", "target_row_count", "row_count_matched", "status", "message")
+
+
+@query("A19", "SELECT 'exec-9' AS execution_id, check_name, table_name, passed, detail FROM report")
+def appended_report(t):
+    stored = _stored(t)
+    stored.append("check_report", ST.report_rows(t.report.drop("execution_id"), "exec-9", _now()))
+    return stored.read("check_report").select("execution_id", "check_name", "table_name", "passed", "detail")
+
+
+assert set(S.STORED_TABLES) == {"control", "attempts", "validation_history", "exclusion_log", "check_report"}

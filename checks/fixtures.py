@@ -181,6 +181,28 @@ SELECT migration_id,
  CASE WHEN CAST(migration_id AS BIGINT) % 19 <> 0 THEN CAST(o_custkey + CASE WHEN o_orderkey % 7 = 0 THEN 3 ELSE 0 END AS BIGINT) END AS target_row_count,
  CASE WHEN CAST(migration_id AS BIGINT) % 19 = 0 THEN 'timed out' END AS count_error
 FROM control JOIN orders ON o_orderkey = CAST(migration_id AS BIGINT)""",
+    # Results of copies, one row per table: some did not learn the source version.
+    "finished": """
+SELECT migration_id, CAST(MAX(duration_seconds) AS BIGINT) AS duration_seconds, CAST(COUNT(*) AS BIGINT) AS target_num_files,
+ CAST(MAX(attempt_number) AS BIGINT) AS target_version,
+ CASE WHEN COUNT(*) % 2 = 0 THEN CAST(MIN(attempt_number) + 10 AS BIGINT) END AS source_version FROM attempts GROUP BY migration_id""",
+    "lost": """
+SELECT migration_id, CASE COUNT(*) % 4 WHEN 0 THEN 'LOCATION_OVERLAP' WHEN 1 THEN 'CLONE_FAILED' WHEN 2 THEN 'SOCKET' END AS error_code,
+ concat('lost after ', CAST(MAX(duration_seconds) AS VARCHAR(32))) AS error_message,
+ CASE WHEN COUNT(*) % 3 <> 0 THEN CAST(MAX(duration_seconds) AS BIGINT) END AS duration_seconds FROM attempts GROUP BY migration_id""",
+    "outcomes": """
+SELECT migration_id, CASE WHEN source_row_count = target_row_count THEN 'VALIDATED' ELSE 'VALIDATION_FAILED' END AS status,
+ concat('counted ', COALESCE(CAST(source_row_count AS VARCHAR(32)), 'nothing')) AS message, source_row_count,
+ CASE WHEN CAST(migration_id AS BIGINT) % 3 <> 0 THEN target_row_count END AS target_row_count
+FROM counts WHERE CAST(migration_id AS BIGINT) % 5 <> 0""",
+    # Tables onboarded to batch-3: its own once more, and others that are new to it.
+    "incoming": """
+SELECT concat('new-', migration_id) AS migration_id, 'run-new' AS run_id, 'delta_share' AS clone_type,
+ source_catalog, source_schema, source_table, 'batch-3' AS batch_id,
+ target_catalog, target_schema, concat(target_table, '_moved') AS target_table,
+ source_path, size_in_bytes * 2 AS size_in_bytes, workload_class, workload_weight, source_num_files, source_version + 1 AS source_version,
+ 5 AS max_attempts, 'SOME_CODE' AS error_code, concat('because of ', migration_id) AS error_message
+FROM control WHERE batch_id = 'batch-3' OR CAST(migration_id AS BIGINT) % 7 = 0""",
     "ledger": """
 SELECT concat('tgt.t_', CAST(l_orderkey AS VARCHAR(32))) AS table_fqn,
  CAST(ROW_NUMBER() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate, l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1 AS BIGINT) AS version,
@@ -201,11 +223,11 @@ SELECT concat('exec-', CAST(l_suppkey % 7 AS VARCHAR(32))) AS execution_id,
  concat('line ', CAST(l_linenumber AS VARCHAR(32))) AS detail
 FROM lineitem""",
 }
-_WORD = re.compile(r"[a-z_]+")
+_READ = re.compile(r"\b(FROM|JOIN)\s+([a-z_]+)\b")
 
 
 def _names_in(sql: str) -> list[str]:
-    words = set(_WORD.findall(sql))
+    words = {m.group(2) for m in _READ.finditer(sql)}
     return [n for n in [*CTES, *TABLES] if n in words]
 
 
@@ -223,8 +245,9 @@ def cte_chain(body: str) -> str:
     visit(body)
     ctes = [f"{n} AS ({CTES[n]})" for n in needed]
     body = body.strip()
-    if body.upper().startswith("WITH "):
-        return "WITH " + ",\n".join([*ctes, body[5:]]) if ctes else body
+    for head in ("WITH RECURSIVE ", "WITH "):
+        if body.startswith(head):
+            return head + ",\n".join([*ctes, body.removeprefix(head)])
     return "WITH " + ",\n".join(ctes) + "\n" + body if ctes else body
 
 
@@ -246,8 +269,8 @@ class Fixtures:
         if name in TABLES:
             out = self.table(name)
         elif name in CTES:
-            used = {n: getattr(self, n) for n in _names_in(CTES[name]) if n != name}
-            text = _only_after_from(CTES[name], used)
+            used = {n: getattr(self, n) for n in _names_in(CTES[name])}
+            text = _as_parameters(CTES[name], used)
             out = self.spark.sql(text, **used)
         else:
             raise AttributeError(name)
@@ -255,8 +278,6 @@ class Fixtures:
         return out
 
 
-def _only_after_from(sql: str, used: dict) -> str:
-    """Table names after FROM and JOIN become frame parameters."""
-    return re.sub(
-        r"\b(FROM|JOIN) ([a-z_]+)\b", lambda m: f"{m.group(1)} {{{m.group(2)}}}" if m.group(2) in used else m.group(), sql
-    )
+def _as_parameters(sql: str, used: dict) -> str:
+    """Names that are read from become frame parameters."""
+    return _READ.sub(lambda m: f"{m.group(1)} {{{m.group(2)}}}" if m.group(2) in used else m.group(), sql)

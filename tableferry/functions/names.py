@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import fnmatch
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,31 +23,41 @@ def or_default(col: str | Column, default: str | Column) -> Column:
     return F.coalesce(blank_to_null(col), F.trim(F.col(default) if isinstance(default, str) else default))
 
 
-def glob_regex(pattern: Column) -> Column:
-    """Regular expression equal to a lower-cased shell glob (``*``, ``?``, ``[seq]``, ``[!seq]``).
+def glob_body(pattern: Column, sep: str = "") -> Column:
+    """Regular expression, without anchors, equal to a lower-cased shell glob.
 
-    ``*`` and ``?`` cross every character, and a ``[`` without its ``]`` is a plain character.
+    ``*`` and ``?`` cross every character but ``sep``; a ``[`` without its ``]`` is a plain character.
     """
-    p = F.lower(pattern)
-    # Every bracket group first, so that the characters in it are not taken for wildcards.
-    tokens = F.regexp_extract_all(p, F.lit(r"(?s)(\[!?\]?[^\]]*\]|.)"), 1)
+    # Bracket groups are one token each, so that what is in them is not taken for a wildcard.
+    tokens = F.regexp_extract_all(F.lower(pattern), F.lit(r"(?s)(\[!?\]?[^\]]*\]|.)"), 1)
+    anything = f"[^{sep}]" if sep else "."
 
     def one(t: Column) -> Column:
         body = F.regexp_replace(t, r"^\[!?|\]$", "")
         safe = F.regexp_replace(body, r"([\\\[\]&^~|])", r"\\$1")
-        group = F.concat(F.when(t.startswith("[!"), F.lit("[^")).otherwise(F.lit("[")), safe, F.lit("]"))
+        group = F.concat(F.when(t.startswith("[!"), F.lit(f"[^{sep}")).otherwise(F.lit("[")), safe, F.lit("]"))
         return (
-            F.when(t == "*", F.lit(".*"))
-            .when(t == "?", F.lit("."))
+            F.when(t == "*", F.lit(anything + "*"))
+            .when(t == "?", F.lit(anything))
             .when((F.length(t) > 2) & t.startswith("["), group)
             .otherwise(F.regexp_replace(t, r"([^\w\s])", r"\\$1"))
         )
 
-    return F.concat(F.lit("(?s)^"), F.array_join(F.transform(tokens, one), ""), F.lit(r"\z"))
+    return F.array_join(F.transform(tokens, one), "")
+
+
+def glob_regex(pattern: Column) -> Column:
+    """Anchored regular expression equal to a lower-cased shell glob."""
+    return F.concat(F.lit("(?s)^"), glob_body(pattern), F.lit(r"\z"))
 
 
-def has_wildcard(pattern: Column) -> Column:
-    return F.coalesce(pattern, F.lit("")).rlike(r"[*?\[]")
+def like_glob(name: Column, glob: str) -> Column:
+    """Does a name match a glob known to the caller?  Without wildcards it is an equality."""
+    if not any(c in glob for c in "*?["):
+        return F.lower(name) == glob.lower()
+    # The pattern is a literal, so that it is compiled once and not per row.
+    regex = fnmatch.translate(glob.lower())
+    return F.lower(name).rlike("^" + regex.removesuffix(r"\Z").removesuffix(r"\z") + r"\z")
 
 
 def literal_prefix(pattern: Column) -> Column:
@@ -55,7 +67,7 @@ def literal_prefix(pattern: Column) -> Column:
 
 def matches_any(name: Column, regexes: Column) -> Column:
     """Does a name match one of an array of regular expressions?  NULL array: no."""
-    return F.coalesce(F.exists(regexes, lambda r: F.lower(name).rlike(r)), F.lit(False))
+    return F.coalesce(F.exists(regexes, lambda r: F.rlike(F.lower(name), r)), F.lit(False))
 
 
 def glob_regexes(patterns: Column) -> Column:

@@ -35,49 +35,42 @@ def first_rule(selection: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def _inline(rules: list) -> Column:
-    name = [F.lower(F.col(c)) for c in S.SOURCE_NAME]
+    name = [F.col(c) for c in S.SOURCE_NAME]
     out = None
     for r in rules:
         depth = 1 + ["catalog", "schema", "table"].index(r["exclude_type"])
         globs = [r["catalog"], r["schema_name"], r["table_name"]][:depth]
-        hit = reduce(Column.__and__, [_like_glob(n, g) for n, g in zip(name, globs)])
+        hit = reduce(Column.__and__, [N.like_glob(n, g) for n, g in zip(name, globs)])
         rank = F.lit(r["ordinal"]).cast("bigint")
         out = F.when(hit, rank) if out is None else out.when(hit, rank)
     return F.lit(None).cast("bigint") if out is None else out
 
 
-def _like_glob(name: Column, glob: str) -> Column:
-    plain = not any(c in glob for c in "*?[")
-    return name == glob.lower() if plain else name.rlike(N.glob_regex(F.lit(glob)))
-
-
 def _joined(selection: DataFrame, rules: DataFrame) -> DataFrame:
-    """First rule by equi joins on the literal start of each rule's full name.
+    """First rule by an equi join on the literal start of each rule's full name.
 
-    All rules whose names begin with the same number of literal characters are joined at once, on
-    those characters; the globs then decide.  Rows are brought to distinct names first, so that
-    neither a name that fills the selection nor the rows it has are multiplied by the rules.
+    A name is looked up once per length that a literal start has.  Selected names are made
+    distinct first, so that what fills the selection is not multiplied by the rules.
     """
-    parts = [F.lower(F.col(c)) for c in S.SOURCE_NAME]
-    named = selection.select(*S.SOURCE_NAME).distinct().withColumn("full_name", F.concat_ws(_SEP, *parts))
+    full = F.concat_ws(_SEP, *[F.lower(F.col(c)) for c in S.SOURCE_NAME])
+    named = selection.select(*S.SOURCE_NAME).distinct().withColumn("full_name", full)
     depth = F.when(F.col("exclude_type") == "catalog", 1).when(F.col("exclude_type") == "schema", 2).otherwise(3)
     globs = F.slice(F.array("catalog", "schema_name", "table_name"), F.lit(1), depth)
     # A rule that ends before the table name is open-ended; the separator closes its last name.
-    whole = F.array_join(globs, _SEP)
-    pattern = F.when(depth < 3, F.concat(whole, F.lit(_SEP))).otherwise(whole)
+    pattern = F.concat(F.array_join(globs, _SEP), F.when(depth < 3, _SEP).otherwise(""))
+    body = F.array_join(F.transform(globs, lambda g: N.glob_body(g, _SEP)), _SEP)
+    tail = F.when(depth < 3, F.lit(_SEP + ".*")).otherwise("")
     keyed = rules.select(
         "ordinal",
         N.literal_prefix(pattern).alias("start"),
-        F.transform(globs, N.glob_regex).alias("regexes"),
+        F.concat(F.lit("(?s)^"), body, tail, F.lit(r"\z")).alias("regex"),
     ).withColumn("n", F.length("start"))
     # Lengths of the literal starts: a few small numbers, bounded by the longest name.
     lengths = [r["n"] for r in keyed.select("n").distinct().collect()]
     starts = named.select(*S.SOURCE_NAME, "full_name", F.explode(F.array(*[F.lit(n) for n in lengths])).alias("n"))
     starts = starts.withColumn("start", F.expr("substring(full_name, 1, n)"))
-    pairs = starts.join(keyed, ["n", "start"])
-    for i, p in enumerate(parts):
-        regex = F.try_element_at(F.col("regexes"), F.lit(i + 1))
-        pairs = pairs.filter(F.coalesce(p.rlike(regex), F.lit(True)))
+    # Merged with the rules on the left: the names come rule by rule, each pattern is compiled once.
+    pairs = keyed.hint("merge").join(starts, ["n", "start"]).filter(F.rlike("full_name", F.col("regex")))
     first = pairs.groupBy(*S.SOURCE_NAME).agg(F.min("ordinal").alias("rule_ordinal"))
     return selection.join(first, S.SOURCE_NAME, "left")
 

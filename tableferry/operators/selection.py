@@ -92,7 +92,7 @@ def schema_excluded(name: str, excluded: Sequence[str]) -> Column:
 
 def glob_excluded(name: str, globs: Sequence[str]) -> Column:
     """Name globs of a configuration layer."""
-    hits = [F.lower(F.col(name)).rlike(N.glob_regex(F.lit(g))) for g in globs]
+    hits = [N.like_glob(F.col(name), g) for g in globs]
     return reduce(Column.__or__, hits, F.lit(False))
 
 
