@@ -21,24 +21,55 @@ def _sized(col: str) -> str:
 
 
 ENCODED = f"concat({', '.join(_sized(c) for c in COLUMNS)})"
-FREQ = f"""s AS (SELECT md5({ENCODED}) AS row_hash, COUNT(*) AS n FROM src_rows GROUP BY 1),
-g AS (SELECT md5({ENCODED}) AS row_hash, COUNT(*) AS n FROM tgt_rows GROUP BY 1),
-diff AS (SELECT row_hash, COALESCE(s.n, 0) AS src_count, COALESCE(g.n, 0) AS tgt_count FROM s FULL JOIN g USING (row_hash)
- WHERE COALESCE(s.n, 0) <> COALESCE(g.n, 0))"""
 
+def _freq(cols: list[str] = COLUMNS, source: str = "src_rows", target: str = "tgt_rows") -> str:
+    """SQL of the rows that do not occur equally often: whole rows are compared, nothing is hashed."""
+    names = ", ".join(cols)
+    return f"""b AS (SELECT {names}, 1 AS s, 0 AS g FROM {source} UNION ALL SELECT {names}, 0, 1 FROM {target}),
+diff AS (SELECT {names}, CAST(SUM(s) AS BIGINT) AS src_count, CAST(SUM(g) AS BIGINT) AS tgt_count FROM b GROUP BY ALL HAVING SUM(s) <> SUM(g))"""
 
-@query("C8, J9", f"WITH {FREQ} SELECT row_hash, src_count, tgt_count FROM diff")
+
+_BY_COUNTS = "SELECT src_count, tgt_count, COUNT(*) AS distinct_rows FROM diff GROUP BY 1, 2"
+
+
+def _by_counts(differences):
+    return differences.groupBy("src_count", "tgt_count").agg(F.count("*").alias("distinct_rows"))
+
+
+@query("C8, J9", f"WITH {_freq()} SELECT * FROM diff")
+def differing_rows(t):
+    return Q.differing_rows(t.src_rows, t.tgt_rows)
+
+
+@query("C8, J9", f"WITH {_freq()} {_BY_COUNTS}")
 def row_differences(t):
-    return Q.row_differences(t.src_rows, t.tgt_rows)
+    return _by_counts(Q.row_differences(t.src_rows, t.tgt_rows))
 
 
-@query("C8, D20", f"WITH {FREQ} SELECT row_hash, src_count, tgt_count FROM diff")
+@query("C8, D20", f"WITH {_freq()} {_BY_COUNTS}")
 def row_differences_by_part(t):
-    return Q.row_differences_by_part(t.src_rows, t.tgt_rows, ["l_returnflag", "l_linestatus"])
+    return _by_counts(Q.row_differences_by_part(t.src_rows, t.tgt_rows, ["l_returnflag", "l_linestatus"]))
+
+
+_RAW = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+        "l_returnflag", "l_linestatus", "l_shipdate"]
+_DAMAGED = """g AS (SELECT * REPLACE (CASE WHEN l_partkey % 50 = 0 THEN NULL ELSE l_quantity END AS l_quantity,
+ CASE WHEN l_suppkey % 40 = 0 THEN '' ELSE l_linestatus END AS l_linestatus) FROM lineitem)"""
+
+
+@query("C8", f"WITH {_DAMAGED}, {_freq(_RAW, 'lineitem', 'g')} SELECT * FROM diff")
+def differing_line_items(t):
+    damaged = t.lineitem.withColumns(
+        {
+            "l_quantity": F.when(F.col("l_partkey") % 50 != 0, F.col("l_quantity")),
+            "l_linestatus": F.when(F.col("l_suppkey") % 40 == 0, "").otherwise(F.col("l_linestatus")),
+        }
+    )
+    return Q.differing_rows(t.lineitem, damaged)
 
 
 @query("J9", f"""
-WITH {FREQ} SELECT (SELECT COUNT(*) FROM src_rows) AS rows_sampled, (SELECT COUNT(*) FROM diff) AS hash_mismatches,
+WITH {_freq()} SELECT (SELECT COUNT(*) FROM src_rows) AS rows_sampled, (SELECT COUNT(*) FROM diff) AS hash_mismatches,
  (SELECT COUNT(*) FROM diff) = 0 AS passed,
  concat(format('{{:,}}', (SELECT COUNT(*) FROM src_rows)), ' rows sampled, ', (SELECT COUNT(*) FROM diff), ' hash mismatches') AS detail""")
 def integrity(t):
@@ -345,18 +376,12 @@ def validation_mode_all(t):
     return Q.validate_copy(t.src_rows, t.tgt_rows, "ALL", tolerance_pct=5.0, algorithm="SHA256")
 
 
-def _text_sized(col: str) -> str:
-    return f"COALESCE(length(CAST({col} AS VARCHAR)) || ':' || CAST({col} AS VARCHAR), '-')"
-
-
-_DOC = f"concat({', '.join(_text_sized(c) for c in ['doc_id', 'text', 'lang', 'source', 'n_chars'])})"
+_DOCS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 @query("C8", f"""
 WITH g AS (SELECT doc_id, CASE WHEN doc_id % 50 = 0 THEN concat(text, '.') ELSE text END AS text,
- CASE WHEN doc_id % 70 = 0 THEN NULL ELSE lang END AS lang, source, n_chars FROM documents),
-b AS (SELECT md5({_DOC}) AS row_hash, 1 AS s, 0 AS g FROM documents UNION ALL SELECT md5({_DOC}), 0, 1 FROM g)
-SELECT row_hash, CAST(SUM(s) AS BIGINT) AS src_count, CAST(SUM(g) AS BIGINT) AS tgt_count FROM b GROUP BY 1 HAVING SUM(s) <> SUM(g)""")
+ CASE WHEN doc_id % 70 <> 0 THEN lang END AS lang, source, n_chars FROM documents), {_freq(_DOCS, 'documents', 'g')} SELECT * FROM diff""")
 def differing_documents(t):
     damaged = t.documents.withColumns(
         {
@@ -364,4 +389,13 @@ def differing_documents(t):
             "lang": F.when(F.col("doc_id") % 70 != 0, F.col("lang")),
         }
     )
-    return Q.row_differences(t.documents, damaged)
+    return Q.differing_rows(t.documents, damaged)
+
+
+def _text_sized(col: str) -> str:
+    return f"COALESCE(length(CAST({col} AS VARCHAR)) || ':' || CAST({col} AS VARCHAR), '-')"
+
+
+@query("D22", f"SELECT md5(concat({', '.join(_text_sized(c) for c in _DOCS)})) AS row_hash, COUNT(*) AS n FROM documents GROUP BY 1")
+def document_hash_frequency(t):
+    return Q.hash_frequency(t.documents)

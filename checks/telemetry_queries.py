@@ -225,14 +225,9 @@ chunks AS (SELECT batch_id, chunk_id, COUNT(*) AS dispatched,
  FROM last JOIN control USING (migration_id) GROUP BY batch_id, chunk_id)"""
 
 
-def _unique_attempts(t):
-    # (migration, attempt) repeats in the data; one outcome per pair keeps "last" well defined.
-    return t.attempts.groupBy("migration_id", "attempt_number").agg(F.max("status").alias("status"))
-
-
 @query("D26", f"WITH {_LAST} SELECT * FROM chunks")
 def chunk_outcomes(t):
-    return T.chunk_outcomes(_unique_attempts(t), t.control)
+    return T.chunk_outcomes(t.attempts, t.control)
 
 
 @query("D26", f"""
@@ -240,7 +235,7 @@ WITH {_LAST} SELECT CAST(SUM(dispatched) AS BIGINT) AS dispatched, CAST(SUM(comp
  CAST(SUM(failed_tables) AS BIGINT) AS failed_tables, COUNT(*) FILTER (WHERE failed_tables = 0) AS completed_chunks,
  COUNT(*) FILTER (WHERE failed_tables > 0) AS failed_chunks FROM chunks""")
 def run_outcome_totals(t):
-    return T.outcome_totals(T.chunk_outcomes(_unique_attempts(t), t.control))
+    return T.outcome_totals(T.chunk_outcomes(t.attempts, t.control))
 
 
 @query("D28", """

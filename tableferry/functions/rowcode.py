@@ -57,21 +57,48 @@ def _hashable(col: Column, dtype: T.DataType) -> Column:
     return _canonical(col, dtype) if nested else col
 
 
-def row_hash64(df: DataFrame, columns: Sequence[str] | None = None, algorithm: str = "XXHASH64") -> Column:
-    """64-bit hash of each row: xxHash64, or the first 60 bits of SHA-256.
+def _hashed_parts(df: DataFrame, columns: Sequence[str] | None, as_text: Sequence[str] = ()) -> list[Column]:
+    """What a row hash reads: the values, and a bit for each NULL, which xxHash64 would skip.
 
-    xxHash64 reads the columns themselves, with no text in between.  It skips NULLs, so one bit
-    per nullable column is hashed along to keep (NULL, 'a') and ('a', NULL) apart.
+    A double also gives the sign of a zero.  Columns in ``as_text`` are read as their text.
     """
+    fields = {f.name: f.dataType for f in df.schema.fields}
+    parts, nulls = [], []
+    for name in columns or df.columns:
+        col, dtype = F.col(f"`{name}`"), fields[name]
+        nulls.append(col.isNull())
+        if name in as_text:
+            parts.append(_canonical(col, dtype))
+            continue
+        parts.append(_hashable(col, dtype))
+        if isinstance(dtype, (T.FloatType, T.DoubleType)):
+            # Only a zero is turned to text, to see its sign.
+            parts.append((col == 0) & col.cast("string").startswith("-"))
+    return [*parts, *nulls]
+
+
+def row_hash64(df: DataFrame, columns: Sequence[str] | None = None, algorithm: str = "XXHASH64") -> Column:
+    """64-bit hash of each row: xxHash64 of the columns, or the first 60 bits of SHA-256."""
     if algorithm.upper() == "SHA256":
         return F.conv(F.substring(row_sha256(df, columns), 1, 15), 16, 10).cast("bigint")
     if algorithm.upper() != "XXHASH64":
         raise ValueError(f"unknown checksum algorithm {algorithm!r}")
-    fields = {f.name: f for f in df.schema.fields}
-    names = list(columns) if columns else df.columns
-    values = [_hashable(F.col(f"`{n}`"), fields[n].dataType) for n in names]
-    nulls = [F.col(f"`{n}`").isNull() for n in names]
-    return F.xxhash64(*values, *nulls)
+    return F.xxhash64(*_hashed_parts(df, columns))
+
+
+def row_key(df: DataFrame, columns: Sequence[str] | None = None, as_text: Sequence[str] = ()) -> tuple[Column, Column]:
+    """128 bits that tell rows apart: two xxHash64 chains that start from different values.
+
+    Made in generated code from the columns as they are stored, with no text in between.
+    """
+    parts = _hashed_parts(df, columns, as_text)
+    return F.xxhash64(*parts), F.xxhash64(F.lit(0x5EED), *parts)
+
+
+def retyped(a: DataFrame, b: DataFrame, columns: Sequence[str] | None = None) -> list[str]:
+    """Columns that the two frames hold in different types: their hashes have to be those of the text."""
+    kinds = {f.name: f.dataType.simpleString() for f in b.schema.fields}
+    return [f.name for f in a.schema.fields if (columns is None or f.name in columns) and kinds.get(f.name) != f.dataType.simpleString()]
 
 
 def exact_hash_sum(h: Column) -> Column:
@@ -88,7 +115,6 @@ def exact_hash_sum(h: Column) -> Column:
     return joined.cast("decimal(38,0)")
 
 
-def in_sample(df: DataFrame, percent: float, columns: Sequence[str] | None = None) -> Column:
-    """Is the row in the sample?  Decided by its content, so equal rows of two tables agree."""
-    spread = F.pmod(F.xxhash64(encoded(df, columns)), F.lit(10_000))
-    return spread < F.lit(int(round(percent * 100)))
+def sampled(key: Column, percent: float) -> Column:
+    """Is a row with this key in the sample?  Decided by its content, so equal rows of two tables agree."""
+    return F.pmod(key, F.lit(10_000)) < F.lit(int(round(percent * 100)))

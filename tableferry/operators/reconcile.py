@@ -104,30 +104,53 @@ def hash_frequency(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     return df.select(R.row_md5(df, columns).alias("row_hash")).groupBy("row_hash").agg(F.count("*").alias("n"))
 
 
-def _both_sides(source: DataFrame, target: DataFrame, percent: float, columns: Sequence[str] | None) -> DataFrame:
-    def side(df: DataFrame, src: int, tgt: int) -> DataFrame:
-        rows = df if percent >= 100 else df.filter(R.in_sample(df, percent, columns))
-        return rows.select(
-            R.row_md5(df, columns).alias("row_hash"),
-            F.lit(src).cast("bigint").alias("src"),
-            F.lit(tgt).cast("bigint").alias("tgt"),
-        )
+_KEY = ["hash_hi", "hash_lo"]
+
+
+def _keyed(df: DataFrame, percent: float, columns: Sequence[str], as_text: Sequence[str], *extra: Column) -> DataFrame:
+    hi, lo = R.row_key(df, columns, as_text)
+    rows = df.select(hi.alias("hash_hi"), lo.alias("hash_lo"), *extra)
+    return rows if percent >= 100 else rows.filter(R.sampled(F.col("hash_hi"), percent))
 
+
+def _both_sides(source: DataFrame, target: DataFrame, percent: float, columns: Sequence[str] | None) -> DataFrame:
     columns = list(columns) if columns else source.columns
-    both = side(source, 1, 0).union(side(target, 0, 1))
-    return both.groupBy("row_hash").agg(F.sum("src").alias("src_count"), F.sum("tgt").alias("tgt_count"))
+    as_text = R.retyped(source, target, columns)
+    count = lambda n, name: F.lit(n).cast("bigint").alias(name)
+    both = _keyed(source, percent, columns, as_text, count(1, "src"), count(0, "tgt")).union(
+        _keyed(target, percent, columns, as_text, count(0, "src"), count(1, "tgt"))
+    )
+    return both.groupBy(*_KEY).agg(F.sum("src").alias("src_count"), F.sum("tgt").alias("tgt_count"))
 
 
 def row_differences(
     source: DataFrame, target: DataFrame, percent: float = 100.0, columns: Sequence[str] | None = None
 ) -> DataFrame:
-    """Row hashes that do not occur equally often on both sides.
+    """Keys of rows that do not occur equally often on both sides, with how often they do.
 
-    A sample is chosen by the content of the rows, so both sides choose the same ones.
+    What is shuffled is a 128-bit key and two counts per distinct row of a task.  A sample is
+    chosen by the content of the rows, so both sides choose the same ones.
     """
     return _both_sides(source, target, percent, columns).filter(F.col("src_count") != F.col("tgt_count"))
 
 
+def differing_rows(source: DataFrame, target: DataFrame, percent: float = 100.0) -> DataFrame:
+    """The rows themselves, each once, with how often either side has it.
+
+    A second pass over both tables, joined to the keys that differ: on a copy that is right nearly
+    everywhere those are few, Spark broadcasts them, and nothing but the differing rows is moved.
+    """
+    columns, as_text = source.columns, R.retyped(source, target)
+    found = row_differences(source, target, percent)
+
+    def side(df: DataFrame) -> DataFrame:
+        return _keyed(df, percent, columns, as_text, *[F.col(f"`{c}`") for c in columns]).join(found, _KEY)
+
+    rows = side(source).unionByName(side(target))
+    one = F.first(F.struct(*columns, "src_count", "tgt_count")).alias("row")
+    return rows.groupBy(*_KEY).agg(one).select("row.*")
+
+
 def differing_parts(
     source: DataFrame, target: DataFrame, by: Sequence[str], columns: Sequence[str] | None = None
 ) -> DataFrame:

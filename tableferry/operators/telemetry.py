@@ -183,13 +183,17 @@ def exclusions_by_type(log: DataFrame) -> DataFrame:
 
 
 def chunk_outcomes(attempts: DataFrame, control: DataFrame) -> DataFrame:
-    """Tables done and failed per chunk, by the last attempt on each."""
-    last = attempts.groupBy("migration_id").agg(F.max_by("status", "attempt_number").alias("outcome"))
+    """Tables done and failed per chunk, by the last attempt on each; of two with one number a success counts.
+
+    Number and outcome go into one long, whose maximum a hash aggregate can keep.
+    """
+    rank = F.col("attempt_number").cast("bigint") * 2 + (F.col("status") == "SUCCESS").cast("bigint")
+    last = attempts.groupBy("migration_id").agg((F.max(rank) % 2 == 1).alias("succeeded"))
     rows = last.join(control.select("migration_id", "batch_id", "chunk_id"), "migration_id")
     return rows.groupBy("batch_id", "chunk_id").agg(
         F.count("*").alias("dispatched"),
-        _n(F.col("outcome") == "SUCCESS").alias("completed_tables"),
-        _n(F.col("outcome") != "SUCCESS").alias("failed_tables"),
+        _n(F.col("succeeded")).alias("completed_tables"),
+        _n(~F.col("succeeded")).alias("failed_tables"),
     )
 
 

@@ -74,7 +74,7 @@ def test_rows_that_join_alike_hash_apart(spark):
 
 def test_maps_hash_by_content(spark):
     df = spark.sql("SELECT map('a', 1, 'b', 2) AS m UNION ALL SELECT map('b', 2, 'a', 1) UNION ALL SELECT map('a', 2, 'b', 1)")
-    for h in (R.row_md5(df), R.row_hash64(df)):
+    for h in (R.row_md5(df), R.row_hash64(df), R.row_key(df)[1]):
         assert df.select(h).distinct().count() == 2
 
 
@@ -93,9 +93,16 @@ def test_sha_hash_is_the_first_sixty_bits(spark):
         R.row_hash64(df, algorithm="CRC")
 
 
+def test_row_keys_tell_rows_apart(spark):
+    rows = [("a|b", "c"), ("a", "b|c"), (None, "a"), ("a", None), ("", "a"), (None, None)]
+    df = spark.createDataFrame(rows, "x string, y string")
+    assert df.select(*R.row_key(df)).distinct().count() == len(rows)
+    zero = spark.createDataFrame([(0.0,), (-0.0,), (None,), (float("nan"),), (-1.0,)], "d double")
+    assert zero.select(*R.row_key(zero)).distinct().count() == 5
+
+
 def test_sample_depends_on_content_only(spark):
     df = spark.range(5000).withColumn("t", F.col("id").cast("string"))
-    a = {r[0] for r in df.filter(R.in_sample(df, 10.0)).collect()}
     again = df.repartition(7, "t")
-    assert a == {r[0] for r in again.filter(R.in_sample(again, 10.0)).collect()}
-    assert 350 < len(a) < 650
+    a, b = ({r[0] for r in d.filter(R.sampled(R.row_key(d)[0], 10.0)).collect()} for d in (df, again))
+    assert a == b and 350 < len(a) < 650

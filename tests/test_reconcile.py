@@ -6,7 +6,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks.fixtures import Fixtures
-from tableferry.functions import rowcode as R
 from tableferry.operators import checks as K
 from tableferry.operators import reconcile as Q
 from tableferry.sources import generators as Gen
@@ -33,19 +32,27 @@ def test_multiplicity_counts(spark):
     assert not Q.compare_checksums(a, b).first()["matched"]
 
 
+def _by_key(df):
+    return {(r["hash_hi"], r["hash_lo"]): (r["src_count"], r["tgt_count"]) for r in df.collect()}
+
+
 def test_sampled_differences_are_the_full_ones_within_the_sample(t):
-    full = {r["row_hash"]: (r["src_count"], r["tgt_count"]) for r in Q.row_differences(t.src_rows, t.tgt_rows).collect()}
-    inside = set()
-    for df in (t.src_rows, t.tgt_rows):
-        inside |= {r[0] for r in df.filter(R.in_sample(df, 30.0)).select(R.row_md5(df)).collect()}
-    sampled = {r["row_hash"]: (r["src_count"], r["tgt_count"]) for r in Q.row_differences(t.src_rows, t.tgt_rows, 30.0).collect()}
-    assert sampled == {h: n for h, n in full.items() if h in inside} and sampled
+    full = _by_key(Q.row_differences(t.src_rows, t.tgt_rows))
+    sampled = _by_key(Q.row_differences(t.src_rows, t.tgt_rows, 30.0))
+    assert sampled == {k: n for k, n in full.items() if k[0] % 10_000 < 3000} and sampled
+
+
+def test_other_types_with_the_same_text_are_equal(spark):
+    a = spark.createDataFrame([(1, "x"), (None, "y")], "k int, v string")
+    assert Q.row_differences(a, a.withColumn("k", F.col("k").cast("bigint"))).isEmpty()
+    assert Q.differing_rows(a, a.withColumn("k", (F.col("k") + 1).cast("string"))).count() == 2
 
 
 def test_differences_by_brute_force(t):
     s, g = (Counter(map(tuple, df.collect())) for df in (t.src_rows, t.tgt_rows))
     want = sorted((s[k], g[k]) for k in s.keys() | g.keys() if s[k] != g[k])
-    for out in (Q.row_differences(t.src_rows, t.tgt_rows), Q.row_differences_by_part(t.src_rows, t.tgt_rows, ["l_returnflag"])):
+    rows = Q.differing_rows(t.src_rows, t.tgt_rows)
+    for out in (Q.row_differences(t.src_rows, t.tgt_rows), Q.row_differences_by_part(t.src_rows, t.tgt_rows, ["l_returnflag"]), rows):
         assert sorted((r["src_count"], r["tgt_count"]) for r in out.collect()) == want
 
 
