@@ -51,6 +51,11 @@ def row_differences_by_part(t):
     return _by_counts(Q.row_differences_by_part(t.src_rows, t.tgt_rows, ["l_returnflag", "l_linestatus"]))
 
 
+@query("C8, D20", f"WITH {_freq()} {_BY_COUNTS}")
+def row_differences_by_bucket(t):
+    return _by_counts(Q.row_differences_by_bucket(t.src_rows, t.tgt_rows))
+
+
 _RAW = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
         "l_returnflag", "l_linestatus", "l_shipdate"]
 _DAMAGED = """g AS (SELECT * REPLACE (CASE WHEN l_partkey % 50 = 0 THEN NULL ELSE l_quantity END AS l_quantity,

@@ -24,6 +24,7 @@ from tableferry.operators import gate as G
 from tableferry.operators import packing as P
 from tableferry.operators import telemetry as T
 from tableferry.session import settle
+from tableferry.sources import listing as L
 from tableferry.sources import stored_tables as ST
 from tableferry.sources.snapshots import SnapshotStore, copy_metrics
 from tableferry.sources.stored_tables import StoredTables
@@ -285,21 +286,35 @@ def validate_batch(
 def version_counts(records: DataFrame, source: SnapshotStore, target: SnapshotStore) -> DataFrame:
     """Row counts of each record's tables at the versions that were copied.
 
-    One count per table and side; they run as one job over the union of all of them.
+    All folders of a batch are counted in one job.  A version that the ledger does not know gives
+    no count, and says so.
     """
-    parts = []
-    for r in _rows(records.select("migration_id", *S.SOURCE_NAME, *S.TARGET_NAME, "source_version", "target_version")):
-        s = source.read(".".join(r[c] for c in S.SOURCE_NAME), r["source_version"])
-        t = target.read(".".join(r[c] for c in S.TARGET_NAME), r["target_version"])
-        for df, side in ((s, "source_row_count"), (t, "target_row_count")):
-            parts.append(df.agg(F.count("*").alias("n")).select(F.lit(r["migration_id"]).alias("migration_id"), F.lit(side).alias("side"), "n"))
-    if not parts:
-        return records.sparkSession.createDataFrame([], "migration_id string, source_row_count bigint, target_row_count bigint")
-    union = parts[0]
-    for p in parts[1:]:
-        union = union.unionByName(p)
-    of = lambda side: F.max(F.when(F.col("side") == side, F.col("n"))).alias(side)
-    return union.groupBy("migration_id").agg(of("source_row_count"), of("target_row_count"))
+    pinned = records.select(
+        "migration_id", N.fqn(*S.SOURCE_NAME).alias("src"), N.fqn(*S.TARGET_NAME).alias("tgt"), "source_version", "target_version"
+    )
+    sides = settle(
+        _folders(pinned, source.ledger(), "src", "source_version", "source_row_count").unionByName(
+            _folders(pinned, target.ledger(), "tgt", "target_version", "target_row_count")
+        )
+    )
+    # One path per table and side of the batch.
+    paths = [r["path"] for r in _rows(sides.select("path").filter(F.col("path").isNotNull()).distinct())]
+    if not paths:
+        counted = sides.withColumn("row_count", F.lit(None).cast("bigint"))
+    else:
+        counted = sides.join(L.folder_row_counts(records.sparkSession, paths), "path", "left")
+    of = lambda side: F.max(F.when(F.col("side") == side, F.col("row_count"))).alias(side)
+    out = counted.groupBy("migration_id").agg(of("source_row_count"), of("target_row_count"))
+    unknown = F.col("source_row_count").isNull() | F.col("target_row_count").isNull()
+    return out.withColumn("count_error", F.when(unknown, "version not in the ledger"))
+
+
+def _folders(pinned: DataFrame, ledger: DataFrame, name: str, version: str, side: str) -> DataFrame:
+    """Folder of each record's version; a record without one means the current version."""
+    rows = ledger.select(F.col("table_fqn").alias(name), F.col("version").alias("v"), "path")
+    current = rows.groupBy(name).agg(F.max("v").alias("newest"))
+    asked = pinned.join(current, name, "left").withColumn("v", F.coalesce(version, "newest"))
+    return asked.join(rows, [name, "v"], "left").select("migration_id", F.lit(side).alias("side"), "path")
 
 
 def retry_batch(tables: StoredTables, run: Run) -> DataFrame:

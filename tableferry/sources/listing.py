@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tableferry import schemas as S
 from tableferry.functions import names as N
@@ -79,6 +82,26 @@ def path_stats(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def folder_row_counts(spark: SparkSession, folders: Sequence[str]) -> DataFrame:
+    """Rows in each of many Parquet folders, whatever their schemas, from one job.
+
+    No column is read: the row counts come from the footers of the files, spread over the tasks.
+    """
+    files = spark.read.schema(T.StructType([])).option("recursiveFileLookup", "true").parquet(*folders)
+    # File paths come URL-encoded and with their scheme.
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    by_file = files.groupBy(plain_path(path).alias("file")).agg(F.count("*").alias("n"))
+    names = spark.createDataFrame([(f,) for f in folders], "path string").distinct()
+    by_folder = by_file.groupBy(F.regexp_extract("file", r"^(.*?/version=\d+)/", 1).alias("folder")).agg(F.sum("n").alias("n"))
+    joined = names.join(by_folder, plain_path(F.col("path")) == F.col("folder"), "left")
+    return joined.select("path", F.coalesce("n", F.lit(0)).alias("row_count"))
+
+
+def plain_path(path: Column) -> Column:
+    """A path without the scheme of the local file system."""
+    return F.regexp_replace(path, "^file:/*", "/")
+
+
 def with_fqn(listing: DataFrame) -> DataFrame:
     return listing.withColumn("table_fqn", N.fqn("catalog", "schema_name", "table_name"))
 

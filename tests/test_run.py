@@ -183,6 +183,15 @@ def test_a_copy_that_was_never_committed_is_not_there(spark):
     assert store.copy(spark.range(4), "a.b.c") == 1 and store.read("a.b.c").count() == 4
 
 
+def test_many_folders_are_counted_at_once(spark):
+    store = SnapshotStore(spark, new_folder(spark, "n")).create()
+    frames = {"a.b.c d+e": spark.range(7), "a.b.p": spark.range(6).withColumn("k", F.col("id") % 2), "a.b.none": spark.range(0).withColumn("x", F.lit("y"))}
+    for name, df in frames.items():
+        store.copy(df, name, partition_by=["k"] if "k" in df.columns else [])
+    paths = {store.latest(n)[1]: df.count() for n, df in frames.items()}
+    assert {r["path"]: r["row_count"] for r in L.folder_row_counts(spark, list(paths)).collect()} == paths
+
+
 def test_verdict_keeps_an_error_in_counting_apart(spark):
     records = spark.createDataFrame([("m", "c", "s", "t", "d", "s", "t", 1, 2)], "migration_id string, source_catalog string, source_schema string, source_table string, target_catalog string, target_schema string, target_table string, source_version bigint, target_version bigint")
     records = records.withColumns({"source_row_count": F.lit(None).cast("bigint"), "target_row_count": F.lit(None).cast("bigint")})
