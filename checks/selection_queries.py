@@ -140,7 +140,7 @@ DOCUMENT = {
 _LISTED = "SELECT * FROM listing WHERE NOT is_temporary AND table_type IN ('MANAGED', 'EXTERNAL')"
 _EXPANDED = f"""x AS (SELECT 0 AS ordinal, catalog AS source_catalog, schema_name AS source_schema, table_name AS source_table, 'moved_0' AS target_catalog,
  schema_name AS target_schema, table_name AS target_table FROM ({_LISTED}) WHERE catalog = 'cat_0'
- AND lower(schema_name) NOT IN ('information_schema', '__databricks_internal', 'sch_1') AND NOT table_name GLOB 'staging_*'
+ AND lower(schema_name) NOT IN ('information_schema', 'sch_1') AND NOT table_name GLOB 'staging_*'
 UNION ALL SELECT 1, catalog, schema_name, table_name, 'cat_1', 'second', table_name FROM ({_LISTED})
  WHERE catalog = 'cat_1' AND schema_name = 'sch_2' AND NOT table_name GLOB '*[05]'
 UNION ALL SELECT 2, catalog, schema_name, table_name, 'cat_0', 'sch_1', table_name FROM ({_LISTED}) WHERE catalog = 'cat_0' AND schema_name = 'sch_1'
@@ -221,10 +221,10 @@ def name_regex_exclusion(t):
 
 @query("B3, B4", """
 SELECT catalog, schema_name, table_name FROM listing WHERE lower(catalog) NOT IN ('cat_1') AND lower(schema_name) NOT IN
- ('information_schema', '__databricks_internal')""")
+ ('information_schema', 'internal')""")
 def catalog_and_schema_exclusion(t):
     kept = t.listing.filter(~X.catalog_excluded("catalog", ["CAT_1"]))
-    return kept.filter(~X.schema_excluded("schema_name", S.DEFAULT_EXCLUDED_SCHEMAS)).select("catalog", "schema_name", "table_name")
+    return kept.filter(~X.schema_excluded("schema_name", [*S.DEFAULT_EXCLUDED_SCHEMAS, "Internal"])).select("catalog", "schema_name", "table_name")
 
 
 @query("B5, B6", f"SELECT catalog, schema_name, table_name FROM ({_LISTED})")

@@ -211,6 +211,12 @@ def report_summary(t):
     return K.report_summary(t.report)
 
 
+@query("J16, F8", """
+SELECT execution_id, check_name, table_name, passed, detail FROM report WHERE NOT passed ORDER BY check_name, table_name, detail, execution_id LIMIT 1""")
+def first_failed_check(t):
+    return K.first_failures(t.report)
+
+
 @query("D24", """
 SELECT batch_id, COALESCE(chunk_id, 0) AS chunk_id, COUNT(*) AS tables, CAST(SUM(size_in_bytes) AS BIGINT) AS total_bytes
 FROM control WHERE status = 'QUEUED' GROUP BY 1, 2""")

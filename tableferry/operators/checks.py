@@ -307,9 +307,12 @@ def report_summary(report: DataFrame) -> DataFrame:
     )
 
 
+def first_failures(report: DataFrame, n: int = 1) -> DataFrame:
+    """The first checks that did not pass, by name and table."""
+    return report.filter(~F.col("passed")).orderBy("check_name", "table_name", "detail").limit(n)
+
+
 def raise_on_first_failure(report: DataFrame) -> None:
     """Fail fast: stop at the first check that did not pass."""
-    failing = report.filter(~F.col("passed")).orderBy("check_name", "table_name").limit(1).collect()
-    if failing:
-        r = failing[0]
+    for r in first_failures(report).collect():
         raise AssertionError(f"Check '{r['check_name']}' failed for table '{r['table_name']}': {r['detail']}")

@@ -61,8 +61,8 @@ WORKLOAD_CLASSES = [
 ]
 UNMEASURED_CLASS = ("UNKNOWN", 0)
 
-# Schemas never selected when a whole catalog is expanded.
-DEFAULT_EXCLUDED_SCHEMAS = ["information_schema", "__databricks_internal"]
+# Schemas never selected when a whole catalog is expanded; a platform's own internal ones are passed on top.
+DEFAULT_EXCLUDED_SCHEMAS = ["information_schema"]
 
 # Text caps.
 CODE_CHARS = 50
