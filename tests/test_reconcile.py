@@ -52,10 +52,23 @@ def test_differences_by_brute_force(t):
     s, g = (Counter(map(tuple, df.collect())) for df in (t.src_rows, t.tgt_rows))
     want = sorted((s[k], g[k]) for k in s.keys() | g.keys() if s[k] != g[k])
     rows = Q.differing_rows(t.src_rows, t.tgt_rows)
-    for out in (Q.row_differences(t.src_rows, t.tgt_rows), Q.row_differences_by_part(t.src_rows, t.tgt_rows, ["l_returnflag"]), rows):
+    by_bucket = Q.row_differences_by_bucket(t.src_rows, t.tgt_rows, buckets=16)
+    assert Q.integrity(t.src_rows, t.tgt_rows, buckets=64).first()["hash_mismatches"] == len(want)
+    for out in (by_bucket, Q.row_differences(t.src_rows, t.tgt_rows), Q.row_differences_by_part(t.src_rows, t.tgt_rows, ["l_returnflag"]), rows):
         assert sorted((r["src_count"], r["tgt_count"]) for r in out.collect()) == want
 
 
+def test_one_wrong_row_in_many_is_found(spark):
+    a = spark.range(20000).withColumn("v", F.col("id") * 3)
+    b = a.withColumn("v", F.when(F.col("id") == 777, -1).otherwise(F.col("v")))
+    found = Q.row_differences_by_bucket(a, b)
+    assert sorted((r["src_count"], r["tgt_count"]) for r in found.collect()) == [(0, 1), (1, 0)]
+    sampled = Q.integrity(a, b, 100.0).first()
+    assert (sampled["rows_sampled"], sampled["hash_mismatches"], sampled["passed"]) == (20000, 2, False)
+    with pytest.raises(ValueError):
+        Q.row_differences_by_bucket(a, b, buckets=1000)
+
+
 def test_equal_parts_are_left_out(spark):
     a = spark.createDataFrame([("p", 1), ("q", 2), (None, 3)], "part string, v int")
     b = spark.createDataFrame([("p", 1), ("q", 9), (None, 4)], "part string, v int")
