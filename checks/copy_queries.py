@@ -103,7 +103,7 @@ SELECT migration_id, batch_id, status, size_in_bytes, chunk_id, source_row_count
 def stored_control(t):
     stored = _stored(t)
     stored.create()
-    stored.append("control", t.control)
+    stored.replace_all("control", t.control)
     shown = stored.read("control").select("migration_id", "batch_id", "status", "size_in_bytes", "chunk_id", "source_row_count", "onboarded_at")
     return shown.withColumn("onboarded_at", F.col("onboarded_at").cast("timestamp_ntz"))
 
@@ -112,9 +112,9 @@ def stored_control(t):
 SELECT migration_id, batch_id, CASE WHEN batch_id = 'batch-3' THEN 'QUEUED' ELSE status END AS status FROM control""")
 def replaced_batch(t):
     stored = _stored(t)
-    stored.append("control", t.control)
+    stored.replace_all("control", t.control)
     mine = T.of_batch(stored.read("control"), "batch-3").withColumn("status", F.lit("QUEUED"))
-    stored.replace_batches("control", mine)
+    stored.replace_batch("batch-3", mine)
     return stored.read("control").select("migration_id", "batch_id", "status")
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from tableferry.functions import measures as M
 from tableferry.functions import rowcode as R
+from tableferry.session import settle
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 _UNORDERED = (T.MapType, T.ArrayType, T.StructType, T.VariantType)
@@ -217,13 +218,14 @@ def row_differences_by_bucket(
     Spark leaves it out altogether when there are none.
     """
     both = _bucketed(source, target, percent, buckets)
-    return _differences_in(both, _bucket_sums(both))
+    return _differences_in(both, settle(_bucket_sums(both), "sums"))
 
 
 def integrity(source: DataFrame, target: DataFrame, percent: float = 100.0, buckets: int = 4096) -> DataFrame:
     """Verdict of the row comparison, one row; an empty source sample passes."""
     both = _bucketed(source, target, percent, buckets)
-    sums = _bucket_sums(both)
+    # Read twice, at most one row per bucket: written once.
+    sums = settle(_bucket_sums(both), "sums")
     zero = F.lit(0).cast("bigint")
     rows = sums.agg(F.coalesce(F.sum("src_rows"), zero).alias("rows_sampled"), zero.alias("hash_mismatches"))
     wrong = _differences_in(both, sums).agg(zero.alias("rows_sampled"), F.count("*").alias("hash_mismatches"))

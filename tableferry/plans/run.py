@@ -1,11 +1,13 @@
 """The steps of a migration, each over the stored tables: onboard, copy, validate, retry.
 
 Every step reads the control rows of its batch, makes all changes in one plan, and writes the
-batch back once.  One writer per batch at a time; batches never touch each other's rows.
+batch back once.  One writer per batch at a time; batches never touch each other's rows or folders.
 """
 
 from __future__ import annotations
 
+import itertools
+import re
 import time
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
@@ -23,12 +25,14 @@ from tableferry.operators import exclusion as E
 from tableferry.operators import gate as G
 from tableferry.operators import packing as P
 from tableferry.operators import telemetry as T
-from tableferry.session import settle
+from tableferry.session import new_folder, settle
 from tableferry.sources import listing as L
 from tableferry.sources import stored_tables as ST
 from tableferry.sources.snapshots import SnapshotStore, copy_metrics
 from tableferry.sources.stored_tables import StoredTables
 
+FOLDERS_PER_JOB = 2000
+
 
 @dataclass(frozen=True)
 class Run:
@@ -52,8 +56,8 @@ class Run:
     table_format: str = "parquet"
 
     def __post_init__(self):
-        if not self.batch_id.strip():
-            raise ValueError("a run needs a batch id: control rows are stored by it")
+        if not re.fullmatch(r"[A-Za-z0-9._-]+", self.batch_id):
+            raise ValueError("a batch id is letters, digits, dots, dashes and underscores: it names a folder")
 
 
 def row_id(batch_id: str) -> Column:
@@ -149,7 +153,7 @@ def onboard(
     # Judged once and written: four upserts and the counters read it.
     judged = settle(judged_selection(kept, control, settings, stats, target_listing, run), "judged")
     rows = settle(onboarded(control, judged, now), "onboarded")
-    tables.replace_batches("control", planned(rows, run, now))
+    tables.replace_batch(run.batch_id, planned(rows, run, now))
     tables.append("exclusion_log", ST.exclusion_rows(excluded, run.run_id, run.batch_id, now))
     return G.selection_stats(judged)
 
@@ -194,7 +198,7 @@ def copy_chunk(
     mine = settle(T.of_chunk(batch, run.batch_id, chunk_id), "chunk")
     rows = C.mark_assigned(batch, run.batch_id, chunk_id, cluster_id, now)
     rows = C.mark_in_progress(rows, mine, now, from_worker=True)
-    tables.replace_batches("control", rows)
+    tables.replace_batch(run.batch_id, rows)
 
     def one(row: Row) -> tuple:
         target = ".".join(row[c] for c in S.TARGET_NAME)
@@ -235,7 +239,7 @@ def _book(tables: StoredTables, mine: DataFrame, outcome: DataFrame, run: Run, c
         .withColumns({"run_id": F.lit(run.run_id), "cluster_id": F.lit(cluster_id), "completed_at": now, "created_at": now})
     )
     attempts = settle(ST.attempt_rows(attempts), "attempts")
-    tables.replace_batches("control", rows)
+    tables.replace_batch(run.batch_id, rows)
     tables.append("attempts", attempts)
     return attempts
 
@@ -250,7 +254,7 @@ def copy_batch(tables: StoredTables, store: SnapshotStore, source_of: Source, ru
     batch = settle(C.reconcile_stale(batch, now, run.stale_minutes, run.batch_id))
     if not T.queued(batch).filter(P.needs_planning(batch)).isEmpty():
         batch = planned(batch, run, now)
-    tables.replace_batches("control", batch)
+    tables.replace_batch(run.batch_id, batch)
     attempts = None
     open_chunks = T.open_chunks(tables.read("control"), run.batch_id).orderBy("chunk_id")
     for chunk in _rows(settle(open_chunks)):
@@ -278,7 +282,7 @@ def validate_batch(
     counts = counts_of(records) if run.row_counts and counts_of else None
     verdicts = settle(K.validate(records, source_stats, target_stats, counts, expected_format=run.table_format).drop("checks"))
     changes = verdicts.select("migration_id", "status", "message", "source_row_count", "target_row_count")
-    tables.replace_batches("control", C.mark_validated(batch, changes, now))
+    tables.replace_batch(run.batch_id, C.mark_validated(batch, changes, now))
     tables.append("validation_history", ST.validation_rows(verdicts, run.run_id, now))
     return K.validation_totals(verdicts)
 
@@ -286,7 +290,7 @@ def validate_batch(
 def version_counts(records: DataFrame, source: SnapshotStore, target: SnapshotStore) -> DataFrame:
     """Row counts of each record's tables at the versions that were copied.
 
-    All folders of a batch are counted in one job.  A version that the ledger does not know gives
+    A version that the ledger does not know gives
     no count, and says so.
     """
     pinned = records.select(
@@ -297,18 +301,24 @@ def version_counts(records: DataFrame, source: SnapshotStore, target: SnapshotSt
             _folders(pinned, target.ledger(), "tgt", "target_version", "target_row_count")
         )
     )
-    # One path per table and side of the batch.
-    paths = [r["path"] for r in _rows(sides.select("path").filter(F.col("path").isNotNull()).distinct())]
-    if not paths:
-        counted = sides.withColumn("row_count", F.lit(None).cast("bigint"))
-    else:
-        counted = sides.join(L.folder_row_counts(records.sparkSession, paths), "path", "left")
+    folders = sides.select("path").filter(F.col("path").isNotNull()).distinct()
+    counted = sides.join(_counted_folders(folders), "path", "left")
     of = lambda side: F.max(F.when(F.col("side") == side, F.col("row_count"))).alias(side)
     out = counted.groupBy("migration_id").agg(of("source_row_count"), of("target_row_count"))
     unknown = F.col("source_row_count").isNull() | F.col("target_row_count").isNull()
     return out.withColumn("count_error", F.when(unknown, "version not in the ledger"))
 
 
+def _counted_folders(folders: DataFrame) -> DataFrame:
+    """Row counts of all folders, a job per few thousand: no more paths than that are held at once."""
+    spark = folders.sparkSession
+    out = new_folder(spark, "counts")
+    spark.createDataFrame([], "path string, row_count bigint").write.parquet(out)
+    for some in itertools.batched((r["path"] for r in _rows(folders)), FOLDERS_PER_JOB):
+        L.folder_row_counts(spark, some).write.mode("append").parquet(out)
+    return spark.read.schema("path string, row_count bigint").parquet(out)
+
+
 def _folders(pinned: DataFrame, ledger: DataFrame, name: str, version: str, side: str) -> DataFrame:
     """Folder of each record's version; a record without one means the current version."""
     rows = ledger.select(F.col("table_fqn").alias(name), F.col("version").alias("v"), "path")
@@ -322,7 +332,7 @@ def retry_batch(tables: StoredTables, run: Run) -> DataFrame:
     now = F.current_timestamp()
     batch = tables.read("control").filter(F.col("batch_id") == run.batch_id)
     passed = settle(C.retry_pass(batch, now, run.batch_id, run.retry_permanent))
-    tables.replace_batches("control", passed)
+    tables.replace_batch(run.batch_id, passed)
     return C.retry_stats(passed)
 
 

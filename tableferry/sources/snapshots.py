@@ -6,6 +6,7 @@ but a folder that the next try overwrites.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,11 +25,12 @@ class SnapshotStore:
 
     def create(self) -> "SnapshotStore":
         empty = self.spark.createDataFrame([], S.LEDGER)
-        empty.write.mode("append").parquet(f"{self.root}/ledger")
+        empty.write.mode("append").parquet(f"{self.root}/ledger/start")
         return self
 
     def ledger(self) -> DataFrame:
-        return self.spark.read.schema(S.LEDGER).parquet(f"{self.root}/ledger")
+        files = self.spark.read.schema(S.LEDGER).option("recursiveFileLookup", "true")
+        return files.parquet(f"{self.root}/ledger")
 
     def folder(self, table_fqn: str, version: int, location: str | None = None) -> str:
         home = location.rstrip("/") if location else f"{self.root}/tables/{table_fqn.replace('.', '/')}"
@@ -106,7 +108,8 @@ class SnapshotStore:
         return 0 if last is None else last + 1
 
     def _commit(self, row: DataFrame) -> None:
-        row.select(*S.LEDGER.names).coalesce(1).write.mode("append").parquet(f"{self.root}/ledger")
+        """One folder per commit: copies that end at the same time do not meet."""
+        row.select(*S.LEDGER.names).coalesce(1).write.parquet(f"{self.root}/ledger/{uuid.uuid4().hex}")
 
 
 def latest_versions(ledger: DataFrame) -> DataFrame:

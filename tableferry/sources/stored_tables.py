@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,7 +25,11 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 class StoredTables:
-    """Folder of Parquet tables, one per entry of ``schemas.STORED_TABLES``."""
+    """Folder of Parquet tables, one per entry of ``schemas.STORED_TABLES``.
+
+    Control rows lie in a folder per batch.  History rows lie in a folder per append, and by batch
+    in it.  So runs of different batches write to folders of their own and never meet.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -35,34 +41,47 @@ class StoredTables:
     def create(self) -> None:
         """Make the tables that are not there yet; running it again changes nothing."""
         for name, (schema, keys) in S.STORED_TABLES.items():
-            empty = self.spark.createDataFrame([], schema)
-            empty.write.mode("append").partitionBy(*keys).parquet(self.path(name))
+            empty = self.spark.createDataFrame([], schema).withColumn("commit", F.lit(""))
+            empty.write.mode("append").partitionBy("commit", *keys).parquet(self.path(name))
 
     def read(self, name: str) -> DataFrame:
         """The whole table; columns added since a file was written read as NULL."""
         schema, _ = S.STORED_TABLES[name]
-        return self.spark.read.schema(schema).parquet(self.path(name)).select(*schema.names)
+        stored = schema if name == "control" else T.StructType([*schema.fields, T.StructField("commit", T.StringType())])
+        return self.spark.read.schema(stored).parquet(self.path(name)).select(*schema.names)
 
     def append(self, name: str, rows: DataFrame) -> None:
+        """Add rows to a history table."""
         schema, keys = S.STORED_TABLES[name]
-        conform(rows, schema).write.mode("append").partitionBy(*keys).parquet(self.path(name))
+        if name == "control":
+            raise ValueError("control rows are written by batch, not appended")
+        writer = _by_partition(conform(rows, schema), keys).write.partitionBy(*keys)
+        writer.parquet(f"{self.path(name)}/commit={uuid.uuid4().hex}")
 
-    def replace_batches(self, name: str, rows: DataFrame) -> None:
-        """Put new rows in place of all rows of the batches they belong to; other batches stay.
+    def replace_batch(self, batch_id: str, rows: DataFrame) -> None:
+        """Put new control rows in place of all rows of a batch.
 
         The rows are settled first, as they mostly come from the table they go to.
         """
-        self._overwrite(name, rows, "dynamic")
+        settled = settle(conform(rows, S.CONTROL).drop("batch_id"), "control")
+        settled.write.mode("overwrite").parquet(f"{self.path('control')}/batch_id={batch_id}")
 
     def replace_all(self, name: str, rows: DataFrame) -> None:
-        """Put new rows in place of the whole table."""
-        self._overwrite(name, rows, "static")
-
-    def _overwrite(self, name: str, rows: DataFrame, mode: str) -> None:
+        """Put new rows in place of the whole table, while no run is writing to it."""
         schema, keys = S.STORED_TABLES[name]
         settled = settle(conform(rows, schema), name)
-        writer = settled.write.mode("overwrite").partitionBy(*keys)
-        writer.option("partitionOverwriteMode", mode).parquet(self.path(name))
+        if name != "control":
+            settled, keys = settled.withColumn("commit", F.lit(uuid.uuid4().hex)), ["commit", *keys]
+        writer = _by_partition(settled, keys).write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer.partitionBy(*keys).parquet(self.path(name))
+
+
+def _by_partition(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Bring rows of a partition together before the write, so that it gets few files.
+
+    A rebalance, not a repartition: Spark cuts a partition that is large and joins small ones.
+    """
+    return rows.hint("rebalance", *keys) if keys else rows
 
 
 def attempt_rows(attempts: DataFrame) -> DataFrame:

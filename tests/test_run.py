@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -114,9 +116,10 @@ def test_onboard_copy_validate_retry(spark, source):
     assert all(r["status"] == "QUEUED" and r["validation_status"] is None and r["attempt_number"] == 0 for r in rows)
 
     # Another batch has rows of its own.
-    R.onboard(tables, selection, rules, settings, stats, no_targets(spark), R.Run("b2"))
+    R.onboard(tables, selection, rules, settings, stats, no_targets(spark), R.Run("007"))
     assert tables.read("control").count() == 10 and tables.read("control").select("migration_id").distinct().count() == 10
-    R.delete_batch(tables, "b2")
+    assert {r[0] for r in tables.read("control").select("batch_id").distinct().collect()} == {"b1", "007"}
+    R.delete_batch(tables, "007")
     assert {r["source_table"]: r["migration_id"] for r in tables.read("control").collect()} == ids
     assert tables.read("attempts").count() == 6
 
@@ -148,8 +151,9 @@ def test_sources_that_are_gone_fail_for_good_and_unmeasured_ones_do_not(spark, s
     R.onboard(tables, selection, I.no_rules(spark), settings, none, no_targets(spark), R.Run("y", skip_stats=True))
     rows = tables.read("control").filter("batch_id = 'y'").collect()
     assert all(r["status"] == "QUEUED" and r["size_gb"] is None and r["workload_class"] == "UNKNOWN" and r["workload_weight"] == 0 for r in rows)
-    with pytest.raises(ValueError):
-        R.Run(" ")
+    for bad in (" ", "", "a/b"):
+        with pytest.raises(ValueError):
+            R.Run(bad)
 
 
 def test_retry_of_permanent_failures_is_opt_in(spark):
@@ -175,6 +179,27 @@ def test_versions_and_restore(spark):
     assert L.path_stats(spark, store.latest("a.b.c")[1]).first()["num_files"] >= 1
 
 
+def test_copies_that_end_together_are_all_committed(spark):
+    store = SnapshotStore(spark, new_folder(spark, "p")).create()
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(lambda i: store.copy(spark.range(i), f"a.b.t{i}"), range(8)))
+    assert {r["table_fqn"] for r in store.ledger().collect()} == {f"a.b.t{i}" for i in range(8)}
+
+
+def test_batches_written_together_do_not_meet(spark):
+    tables = stored(spark)
+    rows = lambda i: spark.createDataFrame([(f"m{i}", f"b{i}", "QUEUED")], "migration_id string, batch_id string, status string")
+
+    def write(i):
+        tables.replace_batch(f"b{i}", rows(i))
+        tables.append("validation_history", rows(i))
+
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(write, range(6)))
+    for name in ("control", "validation_history"):
+        assert {(r["migration_id"], r["batch_id"]) for r in tables.read(name).collect()} == {(f"m{i}", f"b{i}") for i in range(6)}
+
+
 def test_a_copy_that_was_never_committed_is_not_there(spark):
     store = SnapshotStore(spark, new_folder(spark, "u")).create()
     store.copy(spark.range(3), "a.b.c")
