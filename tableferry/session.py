@@ -23,16 +23,21 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Folder made for an application that names none.
+_own_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can read, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only where that is unset, as in tests on one machine, a temporary folder is made, and
-    remembered for the session.
+    Only where that is unset, as in tests on one machine, a temporary folder is made, one per
+    application.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="tableferry-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        app = spark.sparkContext.applicationId
+        folder = _own_folders.setdefault(app, "") or tempfile.mkdtemp(prefix="tableferry-")
+        _own_folders[app] = folder
     return folder.rstrip("/")
 
 
