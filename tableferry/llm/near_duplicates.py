@@ -2,15 +2,16 @@
 
 Every document's word shingles give a signature of ``COORDINATES`` minima. Documents with equal
 shingle sets are one class, so a thousand copies weigh as one row. A class is posted under
-coordinate-value pairs; two signatures that agree in ``AGREE`` coordinates must share one of their
-first ``COORDINATES - AGREE + 1`` pairs in any common order, so only that prefix is posted. Pairs held
+coordinate-value pairs of the first ``POSTED`` coordinates; two signatures that agree in ``AGREE`` of these must share one of
+their first ``POSTED - AGREE + 1`` pairs in any common order, so only that prefix is posted. Pairs held
 by more than a thousandth of the classes come last in the order: passages shared by very many
 documents rarely open a list.
 
-Lists are merged in two passes. First each list's members meet its smallest one; what that links is
-settled as components. Then members of a list that are still in different components meet, in blocks,
-by their signatures within a task; members of one component are skipped, for no further link could
-change anything. Candidate pairs are confirmed on full shingle sets.
+Lists are merged in passes. In each of the first passes every list's members meet one of them, another one
+in each pass, and what is confirmed is settled as components: members of one component are skipped from then on, for no
+further link could change anything. In the last pass all members of a list that are still in different
+components meet, in blocks, within tasks. A pair counts collisions over two bits of each coordinate and goes on
+only above a match threshold; then it is confirmed on full shingle sets.
 
 Nulls and texts without words have an empty set and are linked with nothing.
 """
@@ -18,28 +19,36 @@ Nulls and texts without words have an empty set and are linked with nothing.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tableferry.llm.components import components
-from tableferry.llm.shared import batch_of, runs, settle, shuffle_width, texts_of
+from tableferry.llm.shared import runs, settle, shuffle_width, texts_of
 from tableferry.llm.words import mix, slices
 
-COORDINATES = 64
-# Agreeing coordinates a candidate must have: 38 of 64 lies 5.7 standard deviations below what pairs of
+COORDINATES, POSTED = 256, 64
+# Agreeing posted coordinates a candidate must have: 38 of 64 lies 5.7 standard deviations below what pairs of
 # similarity 0.85 have on average, and 4.2 below for 0.8.
 AGREE = 38
-PREFIX = COORDINATES - AGREE + 1
-# A pair in more than this share of the classes is posted last; so at most 64 / share pairs are named.
+PREFIX = POSTED - AGREE + 1
+# Two bits of each coordinate are compared; pairs more than so many standard deviations below what the
+# similarity asked for gives on average are not confirmed.
+BELOW = 5.5
+# A coordinate-value pair in more than this share of the classes is posted last.
 HEAVY_SHARE = 0.001
 HEAVY_LEAST = 50
+HUB_PASSES = 3
 BLOCK = 256
+BROADCAST_IDS = 2_000_000
+WORDS_OF_BITS = [f"s{j}" for j in range(COORDINATES // 32)]
+_LOW_BITS = np.uint64(0x5555555555555555)
 
-_FACTORS = np.random.default_rng(11).integers(1, 1 << 63, (COORDINATES, 2), dtype=np.uint64)
-_FACTORS[:, 0] |= np.uint64(1)
+_FACTORS = np.random.default_rng(11).integers(1, 1 << 32, (COORDINATES, 2), dtype=np.uint32)
+_FACTORS[:, 0] |= np.uint32(1)
 
 
 def shingle_sets(texts: pa.Array, size: int):
@@ -61,46 +70,65 @@ def shingle_sets(texts: pa.Array, size: int):
 
 def signatures(sets: list[np.ndarray]) -> np.ndarray:
     """One row of ``COORDINATES`` 32-bit minima per set; the sets are not empty."""
-    flat, starts = np.concatenate(sets), np.cumsum([0, *map(len, sets)])[:-1]
+    flat, starts = (np.concatenate(sets) >> np.uint64(32)).astype(np.uint32), np.cumsum([0, *map(len, sets)])[:-1]
     out = np.empty((len(sets), COORDINATES), np.uint32)
     for k, (x, y) in enumerate(_FACTORS):
-        out[:, k] = np.minimum.reduceat((flat * x + y) >> np.uint64(32), starts)
+        out[:, k] = np.minimum.reduceat(flat * x + y, starts)
     return out
 
 
-_SKETCH = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()), ("signature", pa.binary())])
+def two_bits(signature: np.ndarray) -> np.ndarray:
+    """Two bits of every coordinate, 32 coordinates to a long."""
+    bits = ((signature >> np.uint32(3)) & np.uint32(3)).astype(np.uint64).reshape(len(signature), -1, 32)
+    return (bits << (2 * np.arange(32, dtype=np.uint64))).sum(2, dtype=np.uint64)
+
+
+def most_misses(percent: int) -> int:
+    """Largest number of coordinates whose two bits may differ for a pair to be confirmed."""
+    m = percent / 100 + (1 - percent / 100) / 4
+    return int(COORDINATES * (1 - m) + BELOW * (COORDINATES * m * (1 - m)) ** 0.5)
+
+
+_SKETCH = "doc_id long, n_shingles long, set_key binary, posted binary, " + ", ".join(f"{c} long" for c in WORDS_OF_BITS)
 
 
 def sketches(docs: DataFrame, size: int) -> DataFrame:
     def sketch(batches):
         for batch in batches:
-            ids, held = batch.column("doc_id").to_numpy(zero_copy_only=False), []
-
-            def flush(held=held, ids=ids):
-                full = [(r, s) for r, s in held if len(s)]
-                sig = signatures([s for _, s in full]) if full else []
-                by_row = {r: (hashlib.blake2b(s.tobytes(), digest_size=16).digest(), g.tobytes()) for (r, s), g in zip(full, sig, strict=True)}
-                parts = [(ids[r], len(s), *by_row.get(r, (None, None))) for r, s in held]
-                held.clear()
-                return batch_of(_SKETCH, **dict(zip(_SKETCH.names, zip(*parts, strict=True), strict=True)))
-
+            ids, held = batch.column("doc_id"), []
             for row, found in shingle_sets(batch.column("text"), size):
                 held.append((row, found))
                 if len(held) >= 500:
-                    yield flush()
+                    yield flush(ids, held)
+                    held = []
             if held:
-                yield flush()
-
-    return texts_of(docs).mapInArrow(sketch, "doc_id long, n_shingles long, set_key binary, signature binary")
+                yield flush(ids, held)
+
+    def flush(ids, held):
+        full = [k for k, (_, s) in enumerate(held) if len(s)]
+        sig = signatures([held[k][1] for k in full]) if full else np.zeros((0, COORDINATES), np.uint32)
+        at = np.full(len(held), -1)
+        at[full] = np.arange(len(full))
+        at = pa.array(at, mask=at < 0)
+        bits = two_bits(sig).view(np.int64)
+        keys = pa.array([hashlib.blake2b(held[k][1].tobytes(), digest_size=16).digest() for k in full], pa.binary())
+        posted = pa.array([g.tobytes() for g in sig[:, :POSTED]], pa.binary())
+        columns = [keys, posted, *(pa.array(np.ascontiguousarray(bits[:, j])) for j in range(bits.shape[1]))]
+        return pa.RecordBatch.from_arrays(
+            [ids.take(pa.array([r for r, _ in held])), pa.array([len(s) for _, s in held], pa.int64()), *(c.take(at) for c in columns)],
+            names=["doc_id", "n_shingles", "set_key", "posted", *WORDS_OF_BITS],
+        )
+
+    return texts_of(docs).mapInArrow(sketch, _SKETCH)
 
 
 def _matrix(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, COORDINATES)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, POSTED)
 
 
 def _slots(signature: np.ndarray) -> np.ndarray:
     """Coordinate and value in one long."""
-    return (np.arange(COORDINATES, dtype=np.int64) << 32) | signature.astype(np.int64)
+    return (np.arange(POSTED, dtype=np.int64) << 32) | signature.astype(np.int64)
 
 
 def heavy_slots(classes: DataFrame, n: int) -> np.ndarray:
@@ -110,13 +138,13 @@ def heavy_slots(classes: DataFrame, n: int) -> np.ndarray:
     """
 
     def local(batches):
-        kept = [_slots(_matrix(b.column("signature"))).ravel() for b in batches if b.num_rows]
+        kept = [_slots(_matrix(b.column("posted"))).ravel() for b in batches if b.num_rows]
         if kept:
             slots, count = np.unique(np.concatenate(kept), return_counts=True)
-            many = count > max(1, HEAVY_SHARE * sum(map(len, kept)) / COORDINATES)
+            many = count > max(1, HEAVY_SHARE * sum(map(len, kept)) / POSTED)
             yield pa.RecordBatch.from_arrays([pa.array(slots[many]), pa.array(count[many].astype(np.int64))], names=["slot", "n"])
 
-    found = classes.select("signature").mapInArrow(local, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    found = classes.select("posted").mapInArrow(local, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
     least = max(HEAVY_LEAST, HEAVY_SHARE / 2 * n)
     return np.array(sorted(r.slot for r in found.where(F.col("n") > least).select("slot").collect()), np.int64)
 
@@ -128,44 +156,54 @@ def postings(classes: DataFrame, heavy: np.ndarray) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            slots = _slots(_matrix(batch.column("signature")))
+            slots = _slots(_matrix(batch.column("posted")))
             order = np.argsort(np.isin(slots, shared.value), axis=1, kind="stable")[:, :PREFIX]
             ids = batch.column("id").to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.take_along_axis(slots, order, 1).ravel()), pa.array(np.repeat(ids, PREFIX))], names=["slot", "id"]
             )
 
-    return classes.select("id", "signature").mapInArrow(post, "slot long, id long")
+    return classes.select("id", "posted").mapInArrow(post, "slot long, id long")
 
 
-def agreeing(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose signatures agree in ``AGREE`` coordinates at least."""
+def misses(x: str, y: str) -> Column:
+    """In how many coordinates the two bits of two rows differ."""
+    return reduce(lambda p, q: p + q, [
+        F.expr(f"bit_count(({x}.{c} ^ {y}.{c} | shiftrightunsigned({x}.{c} ^ {y}.{c}, 1)) & {int(_LOW_BITS)}L)") for c in WORDS_OF_BITS
+    ])
 
-    def count(batches):
-        for batch in batches:
-            if batch.num_rows:
-                same = (_matrix(batch.column("x")) == _matrix(batch.column("y"))).sum(1)
-                yield batch.select(["a", "b"]).filter(pa.array(same >= AGREE))
 
-    x = classes.select(F.col("id").alias("a"), F.col("signature").alias("x"))
-    y = classes.select(F.col("id").alias("b"), F.col("signature").alias("y"))
-    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(count, "a long, b long")
+def agreeing(pairs: DataFrame, classes: DataFrame, most: int) -> DataFrame:
+    """Pairs (a, b) that differ in at most ``most`` coordinates."""
+    x = classes.select(F.col("id").alias("a"), *WORDS_OF_BITS).alias("x")
+    y = classes.select(F.col("id").alias("b"), *WORDS_OF_BITS).alias("y")
+    return pairs.join(x, "a").join(y, "b").where(misses("x", "y") <= most).select("a", "b")
+
 
+def through_hubs(lists: DataFrame, turn: int) -> DataFrame:
+    """Pairs of a list's members with one of them, in different components; another one in every turn."""
+    hubs = lists.groupBy("slot").agg(F.min_by(F.struct("id", "comp"), F.xxhash64(F.lit(turn), "slot", "id")).alias("hub"))
+    met = lists.join(hubs, "slot").where("comp <> hub.comp")
+    return met.select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b")).distinct()
 
-def unmerged(lists: DataFrame, classes: DataFrame) -> DataFrame:
+
+def unmerged(lists: DataFrame, classes: DataFrame, most: int) -> DataFrame:
     """Agreeing pairs of lists' members that are in different components.
 
-    ``lists``: (slot, id, comp, hub, hub_comp, n), n members of the slot. Pairs with the hub have been tried. Members
-    outside the hub's component (left) meet all others (right); both are cut into blocks by id, and
-    each pair of blocks is looked through by one task.
+    ``lists``: (slot, id, comp) of lists with several components. Members outside the list's
+    most frequent component (left) meet all others (right); both are cut into blocks by id, and each pair of
+    blocks is looked through by one task.
     """
+    of_comp = lists.groupBy("slot", "comp").agg(F.count("*").alias("m"))
+    large = of_comp.groupBy("slot").agg(F.max_by("comp", F.struct("m", "comp")).alias("large"), F.sum("m").alias("n"))
+    sized = lists.join(large, "slot")
     width = F.greatest(F.lit(1), F.ceil(F.col("n") / BLOCK)).cast("int")
     block = F.pmod(F.xxhash64("id"), width).cast("int")
     every = F.sequence(F.lit(0), width - 1)
-    rest = lists.where("id <> hub").withColumn("block", block)
-    left = rest.where("comp <> hub_comp").select("slot", F.col("block").alias("i"), F.explode(every).alias("j"), F.lit(0).alias("side"), "id", "comp")
-    right = rest.select("slot", F.explode(every).alias("i"), F.col("block").alias("j"), F.lit(1).alias("side"), "id", "comp")
-    both = left.unionAll(right).join(classes.select("id", "signature"), "id")
+    rest = sized.join(classes.select("id", *WORDS_OF_BITS), "id").withColumn("block", block)
+    bits = ["id", "comp", *WORDS_OF_BITS]
+    left = rest.where("comp <> large").select("slot", F.col("block").alias("i"), F.explode(every).alias("j"), F.lit(0).alias("side"), *bits)
+    right = rest.select("slot", F.explode(every).alias("i"), F.col("block").alias("j"), F.lit(1).alias("side"), *bits)
 
     def meet(batches):
         rest = None
@@ -174,13 +212,13 @@ def unmerged(lists: DataFrame, classes: DataFrame) -> DataFrame:
             table = table if rest is None else pa.concat_tables([rest, table])
             cut = _last_group(table)
             rest = table.slice(cut)
-            yield from _pairs(table.slice(0, cut))
+            yield from _pairs(table.slice(0, cut), most)
         if rest is not None:
-            yield from _pairs(rest)
+            yield from _pairs(rest, most)
 
     width = shuffle_width(lists.sparkSession)
-    dealt = both.repartition(width, "slot", "i", "j").sortWithinPartitions("slot", "i", "j", "side")
-    return dealt.select("slot", "i", "j", "side", "id", "comp", "signature").mapInArrow(meet, "a long, b long").distinct()
+    dealt = left.unionAll(right).repartition(width, "slot", "i", "j").sortWithinPartitions("slot", "i", "j", "side")
+    return dealt.select("slot", "i", "j", "side", *bits).mapInArrow(meet, "a long, b long").distinct()
 
 
 def _group_key(table: pa.Table) -> np.ndarray:
@@ -195,29 +233,30 @@ def _last_group(table: pa.Table) -> int:
     return int(np.searchsorted(key, key[-1])) if len(key) else 0
 
 
-def _pairs(table: pa.Table):
+def _pairs(table: pa.Table, most: int):
     if not table.num_rows:
         return
     edges = runs(_group_key(table))
     side, ids, comp = (table.column(c).to_numpy() for c in ("side", "id", "comp"))
-    sig = _matrix(table.column("signature"))
+    bits = np.column_stack([table.column(c).to_numpy().view(np.uint64) for c in WORDS_OF_BITS])
     a, b = [], []
-    for s, e in zip(edges[:-1], edges[1:], strict=True):
+    for s, e in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
         m = s + int(np.searchsorted(side[s:e], 1))
         if m == s or m == e:
             continue
-        for x in range(s, m):
-            same = (sig[m:e] == sig[x]).sum(1)
-            for y in np.flatnonzero((same >= AGREE) & (comp[m:e] != comp[x])) + m:
-                a.append(min(ids[x], ids[y]))
-                b.append(max(ids[x], ids[y]))
+        x = bits[s:m, None, :] ^ bits[None, m:e, :]
+        far = np.bitwise_count((x | (x >> np.uint64(1))) & _LOW_BITS).sum(2, dtype=np.int64)
+        p, q = np.nonzero((far <= most) & (comp[s:m, None] != comp[None, m:e]))
+        a.append(np.minimum(ids[s + p], ids[m + q]))
+        b.append(np.maximum(ids[s + p], ids[m + q]))
     if a:
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        both = np.unique(np.column_stack((np.concatenate(a), np.concatenate(b))), axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], names=["a", "b"])
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Pairs whose full shingle sets have 100 * intersection >= percent * union."""
-    ends = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    ends = settle(pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select(F.col("b").alias("doc_id"))).distinct(), "ends")
 
     def sets(batches):
         for batch in batches:
@@ -231,7 +270,9 @@ def confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
             if rows:
                 yield pa.RecordBatch.from_arrays([ids.take(pa.array(rows)), pa.array(found, pa.binary())], names=["id", "members"])
 
-    full = settle(texts_of(docs).join(ends, "doc_id", "left_semi").mapInArrow(sets, "id long, members binary"), "sets")
+    # Few ids are sent to the scan; many are joined, so that the broadcast stays under its bound.
+    few = ends.count() <= BROADCAST_IDS
+    full = settle(texts_of(docs).join(F.broadcast(ends) if few else ends, "doc_id", "left_semi").mapInArrow(sets, "id long, members binary"), "sets")
 
     def check(batches):
         for batch in batches:
@@ -254,28 +295,30 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     ``docs`` needs doc_id (unique) and text; other columns are ignored. Rows with equal shingle sets
     are always in one component.
     """
+    most = most_misses(percent)
     known = settle(sketches(docs, size), "sketches")
-    classes = settle(
-        known.where("set_key IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("id"), F.first("signature").alias("signature")), "classes"
-    )
-    posted = settle(postings(classes, heavy_slots(classes, classes.count())), "postings")
-    hubs = settle(posted.groupBy("slot").agg(F.min("id").alias("hub"), F.count("*").alias("n")).where("n > 1"), "hubs")
-    first = posted.join(hubs, "slot").where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    links = settle(confirmed(settle(agreeing(first, classes), "pairs"), docs, size, percent), "links")
-    named = settle(components(links), "components")
-
-    # Lists of two have no pair left; of the others, only those with members of several components.
-    labelled = posted.join(hubs.where("n > 2"), "slot").join(named, "id", "left").select(
-        "slot", "id", "hub", "n", F.coalesce("component_id", "id").alias("comp")
-    )
-    hub_comp = named.select(F.col("id").alias("hub"), F.col("component_id").alias("hub_comp"))
-    mixed = labelled.join(hub_comp, "hub", "left").withColumn("hub_comp", F.coalesce("hub_comp", "hub"))
-    several = mixed.groupBy("slot").agg(F.max(F.col("comp") != F.col("hub_comp")).alias("several")).where("several").select("slot")
-    more = settle(unmerged(settle(mixed.join(several, "slot", "left_semi"), "mixed"), classes), "pairs")
-    if more.take(1):
-        links = links.unionAll(settle(confirmed(more, docs, size, percent), "links"))
+    first = [F.first(c).alias(c) for c in ("posted", *WORDS_OF_BITS)]
+    classes = settle(known.where("set_key IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("id"), *first).where("id IS NOT NULL"), "classes")
+    posted = postings(classes, heavy_slots(classes, classes.count()))
+    shared = posted.groupBy("slot").agg(F.count("*").alias("n")).where("n > 1").select("slot")
+    lists = settle(posted.join(shared, "slot").withColumn("comp", F.col("id")), "lists")
+    links, named = None, None
+    for turn in range(HUB_PASSES + 1):
+        if turn:
+            lists = _several(lists, named)
+        tried = through_hubs(lists, turn) if turn < HUB_PASSES else None
+        pairs = agreeing(tried, classes, most) if tried is not None else unmerged(lists, classes, most)
+        found = confirmed(settle(pairs, "pairs"), docs, size, percent)
+        links = settle(found if links is None else links.unionAll(found), "links")
         named = settle(components(links), "components")
 
     of_class = classes.join(named, "id", "left").select("set_key", F.coalesce("component_id", "id").alias("component_id"))
     out = known.join(of_class, "set_key", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def _several(lists: DataFrame, named: DataFrame) -> DataFrame:
+    """Lists by the components known now, without those that are in one."""
+    now = lists.drop("comp").join(named.select("id", F.col("component_id").alias("comp")), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    mixed = now.groupBy("slot").agg((F.min("comp") < F.max("comp")).alias("mixed")).where("mixed").select("slot")
+    return settle(now.join(mixed, "slot", "left_semi").select("slot", "id", "comp"), "lists")

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tableferry.llm import near_duplicates
+from tableferry.llm import html_text, near_duplicates, quality, substring_dedup, topk, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -44,3 +45,64 @@ FROM documents d JOIN m ON m.id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id"""
 )
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
+@registered(
+    f"""
+WITH w AS (SELECT doc_id, {WORDS.format("COALESCE(text, '')")} AS l FROM documents),
+x AS (SELECT doc_id, unnest(range(1, len(l) - 11)) AS p, l FROM w WHERE len(l) >= 13),
+k AS (SELECT doc_id, p, array_to_string(l[p:p+12], ' ') AS s FROM x),
+f AS (SELECT s, min(doc_id) AS d FROM k GROUP BY s),
+g AS (SELECT DISTINCT doc_id, unnest(range(p, p + 13)) AS i FROM k JOIN f USING (s) WHERE f.d < k.doc_id),
+v AS (SELECT doc_id, unnest(l) AS t, unnest(range(1, len(l) + 1)) AS i FROM w),
+o AS (SELECT v.doc_id, count(*) FILTER (WHERE g.i IS NOT NULL) AS gone,
+  string_agg(t, ' ' ORDER BY v.i) FILTER (WHERE g.i IS NULL) AS kept
+  FROM v LEFT JOIN g ON g.doc_id = v.doc_id AND g.i = v.i GROUP BY v.doc_id)
+SELECT w.doc_id, CAST(len(l) AS BIGINT) AS n_words, CAST(COALESCE(gone, 0) AS BIGINT) AS n_removed, sha256(COALESCE(kept, '')) AS kept_sha256
+FROM w LEFT JOIN o USING (doc_id)"""
+)
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = substring_dedup.without_repeats(table(spark, sf_dir, "documents"), length=13)
+    return done.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@registered()
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    return quality.scored(docs, quality.fitted(docs, labels)).select("doc_id", "held_out", "score", "predicted")
+
+
+@registered()
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    return toxicity.scored(docs, toxicity.fitted(docs, labels)).select("doc_id", "held_out", "score", "predicted")
+
+
+@registered("""
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM e q JOIN e c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""")
+def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+@registered("""
+WITH p AS (SELECT page_id, encode(COALESCE(html, '')) AS b FROM pages),
+h AS (SELECT page_id, octet_length(b) AS n, upper(sha1(b)) AS x FROM p),
+c AS (SELECT *, list_transform(range(0, 8), lambda i: CAST('0x' || substr(x, CAST(5 * i + 1 AS BIGINT), 5) AS BIGINT)) AS g FROM h),
+t AS (SELECT *, array_to_string(list_transform(range(0, 32), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  CAST((g[CAST(j // 4 + 1 AS BIGINT)] >> (15 - 5 * CAST(j % 4 AS INT))) & 31 AS BIGINT) + 1, 1)), '') AS d FROM c),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY x) AS r FROM t)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest, CASE WHEN page_id = r THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> r THEN r END AS refers_to FROM m""")
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.archive_round_trip(spark, table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@registered()
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf_dir, "pages"))
