@@ -308,7 +308,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
             lists = _several(lists, named)
         tried = through_hubs(lists, turn) if turn < HUB_PASSES else None
         pairs = agreeing(tried, classes, most) if tried is not None else unmerged(lists, classes, most)
-        found = confirmed(settle(pairs, "pairs"), docs, size, percent)
+        pairs = settle(pairs, "pairs")
+        if links is not None and pairs.isEmpty():
+            continue
+        found = confirmed(pairs, docs, size, percent)
         links = settle(found if links is None else links.unionAll(found), "links")
         named = settle(components(links), "components")
 
