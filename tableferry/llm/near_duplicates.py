@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tableferry.llm.components import components
-from tableferry.llm.shared import runs, settle, shuffle_width, texts_of
+from tableferry.llm.shared import by_ids, runs, settle, shuffle_width, texts_of
 from tableferry.llm.words import mix, slices
 
 COORDINATES, POSTED = 256, 64
@@ -43,7 +43,6 @@ HEAVY_SHARE = 0.001
 HEAVY_LEAST = 50
 HUB_PASSES = 3
 BLOCK = 256
-BROADCAST_IDS = 2_000_000
 WORDS_OF_BITS = [f"s{j}" for j in range(COORDINATES // 32)]
 _LOW_BITS = np.uint64(0x5555555555555555)
 
@@ -256,7 +255,7 @@ def _pairs(table: pa.Table, most: int):
 
 def confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Pairs whose full shingle sets have 100 * intersection >= percent * union."""
-    ends = settle(pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select(F.col("b").alias("doc_id"))).distinct(), "ends")
+    ends = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select(F.col("b").alias("doc_id")))
 
     def sets(batches):
         for batch in batches:
@@ -270,9 +269,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
             if rows:
                 yield pa.RecordBatch.from_arrays([ids.take(pa.array(rows)), pa.array(found, pa.binary())], names=["id", "members"])
 
-    # Few ids are sent to the scan; many are joined, so that the broadcast stays under its bound.
-    few = ends.count() <= BROADCAST_IDS
-    full = settle(texts_of(docs).join(F.broadcast(ends) if few else ends, "doc_id", "left_semi").mapInArrow(sets, "id long, members binary"), "sets")
+    full = settle(by_ids(texts_of(docs), ends, "left_semi").mapInArrow(sets, "id long, members binary"), "sets")
 
     def check(batches):
         for batch in batches:

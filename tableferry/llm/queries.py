@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableferry.llm import html_text, near_duplicates, quality, substring_dedup, topk, toxicity, warc
+from tableferry.llm import decontamination, html_text, mixing, near_duplicates, quality, substring_dedup, topk, toxicity, url_filters, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -106,3 +107,51 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered()
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
+@registered()
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages as domains, learned from the documents that ``labels`` covers; small languages are lifted."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    labelled = docs.join(table(spark, sf_dir, "labels").select("doc_id").distinct(), "doc_id", "left_semi").select("text", F.col("lang").alias("domain"))
+    return mixing.mixed(docs, labelled)
+
+
+def list_entries(pages: DataFrame) -> DataFrame:
+    """A history of list entries made from the pages' own hosts, paths and domains."""
+    host = F.regexp_extract("url", r"^[a-z]+://([^/?#]*)", 1)
+    first = F.regexp_extract("url", r"^[a-z]+://[^/?#]*/([^/?#]*)", 1)
+    names = pages.select(host.alias("h"), first.alias("s")).where("h <> ''").distinct()
+    kinds = [("hosts", F.col("h")), ("paths", F.concat("h", F.lit("/"), "s")), ("domains", F.substring_index("h", ".", -2))]
+    patterns = reduce(DataFrame.unionAll, [names.select(F.lit(k).alias("list"), p.alias("pattern")).distinct() for k, p in kinds])
+    m = patterns.where("NOT pattern LIKE '%/'").withColumn("m", F.conv(F.substring(F.md5("pattern"), 1, 6), 16, 10).cast("long"))
+    verdict = m.withColumn("verdict", F.expr("CASE WHEN list = 'paths' AND m % 2 = 0 THEN 'allow' ELSE 'block' END"))
+    add = verdict.select("list", "verdict", "pattern", F.lit("add").alias("action"), F.expr("m % 100").alias("at"))
+    remove = verdict.where("m % 3 <> 0").select("list", "verdict", "pattern", F.lit("remove"), F.expr("m % 100 + 20 + m % 30"))
+    again = verdict.where("m % 5 < 3").select("list", "verdict", "pattern", F.lit("add"), F.expr("m % 100 + 70"))
+    return add.unionAll(remove).unionAll(again)
+
+
+@registered("""
+WITH p AS (SELECT page_id, url, regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) AS h, regexp_extract(url, '^[a-z]+://[^/?#]*/([^/?#]*)', 1) AS s,
+  regexp_extract(url, '^[a-z]+://[^/?#]*(/[^?#]*)', 1) AS path, page_id * 7919 % 200 AS fetched_at FROM pages),
+k AS (SELECT DISTINCT 'hosts' AS list, h AS pattern FROM p WHERE h <> '' UNION SELECT DISTINCT 'paths', h || '/' || s FROM p WHERE h <> '' AND s <> ''
+  UNION SELECT DISTINCT 'domains', array_to_string(string_split(h, '.')[-2:], '.') FROM p WHERE h <> ''),
+m AS (SELECT *, CAST('0x' || substr(md5(pattern), 1, 6) AS BIGINT) AS m FROM k),
+e AS (SELECT *, m % 100 AS since, CASE WHEN m % 3 <> 0 THEN m % 100 + 20 + m % 30 WHEN m % 5 < 3 THEN m % 100 + 70 END AS until FROM m
+  UNION ALL SELECT *, m % 100 + 70, NULL FROM m WHERE m % 5 < 3),
+a AS (SELECT p.page_id, p.url, p.fetched_at, e.pattern, e.list, e.list = 'paths' AND e.m % 2 = 0 AS allow FROM p JOIN e
+  ON (CASE WHEN e.list = 'paths' THEN starts_with(lower(h || path) || '/', lower(e.pattern) || '/') ELSE h = e.pattern OR ends_with(h, '.' || e.pattern) END)
+  AND e.since <= p.fetched_at AND (e.until IS NULL OR p.fetched_at < e.until)),
+r AS (SELECT *, count(*) OVER (PARTITION BY page_id) AS n, row_number() OVER (PARTITION BY page_id ORDER BY length(pattern) DESC, allow DESC, pattern DESC, list DESC) AS k FROM a)
+SELECT p.page_id, p.url, p.fetched_at, CAST(COALESCE(r.n, 0) AS BIGINT) AS n_active, lower(r.pattern) AS pattern, r.list AS list, COALESCE(r.allow, true) AS kept
+FROM p LEFT JOIN r ON r.page_id = p.page_id AND r.k = 1""")
+def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    captures = pages.withColumn("fetched_at", F.expr("page_id * 7919 % 200"))
+    return url_filters.judged(captures, list_entries(pages))
+
+
+@registered()
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

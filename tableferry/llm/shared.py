@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tableferry.session import settle
 
-__all__ = ["settle", "texts_of", "shuffle_width", "batch_of", "as_table"]
+__all__ = ["by_ids", "runs", "settle", "shuffle_width", "texts_of"]
 
 
 def texts_of(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -21,13 +20,17 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def batch_of(schema: pa.Schema, **columns) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
+# So many ids (8 bytes each) are sent to every task rather than joined by a shuffle of the texts.
+BROADCAST_IDS = 2_000_000
 
 
-def as_table(batches) -> pa.Table | None:
-    batches = list(batches)
-    return pa.Table.from_batches(batches) if batches else None
+def by_ids(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """``docs`` whose doc_id is (left_semi) or is not (left_anti) among ``ids``, which are settled first.
+
+    Their number is looked at: few are broadcast, many are joined.
+    """
+    ids = settle(ids.select("doc_id").where("doc_id IS NOT NULL").distinct(), "ids")
+    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", how)
 
 
 def runs(keys: np.ndarray) -> np.ndarray:

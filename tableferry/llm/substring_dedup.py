@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tableferry.llm.fm_index import FMIndex
 from tableferry.llm.shared import runs, settle, shuffle_width, texts_of
@@ -275,39 +276,44 @@ def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
     return parcels.mapInArrow(search, _SPANS)
 
 
+ADDED = ("n_words", "n_removed", "kept_sha256")
+
+
 def without_repeats(docs: DataFrame, length: int = 13) -> DataFrame:
-    """Per document: doc_id, text (without the repeated words), n_words, n_removed, kept_sha256.
+    """The rows of ``docs`` with text lacking repeated words, and n_words, n_removed, kept_sha256 (replaced where there).
 
     A word goes if a window of ``length`` words over it also starts in a document of smaller doc_id.
     doc_id is taken to be unique; rows without one lose nothing. Null texts count as empty ones and
     come back empty. White space around words that stay is kept; the digest joins them by one space.
     """
-    spans = repeated_spans(docs, length).groupBy("doc_id").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
+    docs = docs.drop(*ADDED)
+    spans = repeated_spans(docs, length).groupBy("doc_id").agg(F.collect_list(F.struct("first", "last")).alias("_spans"))
+    fields = docs.schema.fields
+    at = docs.columns.index("text")
+    schema = StructType([*fields[:at], StructField("text", StringType()), *fields[at + 1 :], StructField("n_words", LongType()), StructField("n_removed", LongType()), StructField("kept_sha256", StringType())])
 
     def cut(batches):
         for batch in batches:
-            out = []
-            for doc, text, found in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "spans")), strict=True):
-                raw = (text or "").encode()
-                words = raw.split()
-                if not found:
-                    out.append((doc, text or "", len(words), 0, hashlib.sha256(b" ".join(words)).hexdigest()))
-                    continue
-                edge = np.zeros(len(words) + 1, np.int32)
-                np.add.at(edge, [s["first"] for s in found], 1)
-                np.add.at(edge, [s["last"] + 1 for s in found], -1)
-                keep = np.cumsum(edge[:-1]) == 0
-                kept = b" ".join(w for w, k in zip(words, keep.tolist(), strict=True) if k)
-                out.append((doc, _kept_text(text, keep), len(words), int((~keep).sum()), hashlib.sha256(kept).hexdigest()))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), _KINDS, strict=True)], names=_NAMES)
-
-    texts = texts_of(docs)
-    return texts.join(spans, "doc_id", "left").mapInArrow(cut, "doc_id long, text string, n_words long, n_removed long, kept_sha256 string")
-
-
-_NAMES = ["doc_id", "text", "n_words", "n_removed", "kept_sha256"]
-_KINDS = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string()]
+            texts, many, gone, digests = [], [], [], []
+            for text, found in zip(batch.column("text").to_pylist(), batch.column("_spans").to_pylist(), strict=True):
+                words = (text or "").encode().split()
+                keep = np.ones(len(words), bool)
+                if found:
+                    edge = np.zeros(len(words) + 1, np.int32)
+                    np.add.at(edge, [s["first"] for s in found], 1)
+                    np.add.at(edge, [s["last"] + 1 for s in found], -1)
+                    keep = np.cumsum(edge[:-1]) == 0
+                    words = [w for w, k in zip(words, keep.tolist(), strict=True) if k]
+                texts.append(text or "" if keep.all() else _kept_text(text, keep))
+                many.append(len(keep))
+                gone.append(int((~keep).sum()))
+                digests.append(hashlib.sha256(b" ".join(words)).hexdigest())
+            columns = [batch.column(f.name) for f in fields]
+            columns[at] = pa.array(texts, pa.string())
+            columns += [pa.array(many, pa.int64()), pa.array(gone, pa.int64()), pa.array(digests, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return docs.join(spans, "doc_id", "left").select(*docs.columns, "_spans").mapInArrow(cut, schema)
 
 
 def _kept_text(text: str, keep: np.ndarray) -> str:
