@@ -48,8 +48,9 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rates by which languages are lifted towards each other; no document falls out, as no rate is under 1."""
     labelled = by_ids(docs, _table(spark, sf_dir, "labels"), "left_semi").select("text", F.col("lang").alias("domain"))
-    rates = mixing.mixed(docs, labelled).select("doc_id", "domain", "rate", "copies")
-    return docs.join(rates, "doc_id").where("copies > 0").select(*docs.columns, "domain", "rate", "copies")
+    rates = mixing.mixed(docs, labelled).select("doc_id", "domain", "rate", "copies").dropDuplicates(["doc_id"])
+    joined = docs.alias("d").join(rates.alias("r"), F.expr("d.doc_id <=> r.doc_id"), "left")
+    return joined.where("copies > 0").select("d.*", "domain", "rate", "copies")
 
 
 STAGES = [

@@ -25,6 +25,8 @@ BUCKETS = 1024
 EVIDENCE_WORDS = 30.0
 TOLERANCE, STEPS = 1e-4, 60
 COPY_BITS = 30
+# Documents of mixed posteriors add to domains that need no more; so the largest domain is lifted a little, too.
+HEADROOM = 1.05
 
 
 def words_of(text: str = "text") -> Column:
@@ -97,8 +99,8 @@ def rate_after(errors: list[list[float]], domains: int) -> Column:
 
 
 def least_targets(masses: list[float], weights: list[float]) -> list[float]:
-    """Targets in the proportion of the weights, the least of which none is below its domain's mass."""
-    most = max((m / w for m, w in zip(masses, weights, strict=True) if w > 0), default=0.0)
+    """Targets in the proportion of the weights, large enough that none is below its domain's mass and ``HEADROOM``."""
+    most = HEADROOM * max((m / w for m, w in zip(masses, weights, strict=True) if w > 0), default=0.0)
     return [most * w for w in weights]
 
 

@@ -36,7 +36,7 @@ SHARD_PIECES = 50_000
 # A run of windows of one triple is cut at this many, so that texts of one repeated word make no long pieces.
 PIECE_WINDOWS = 64
 FLUSH_PIECES = 400_000
-_ZSTD = "zstd"
+_ZSTD = pa.Codec("zstd", 6)
 
 
 def pieces(words: Words, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -114,20 +114,28 @@ class _Parcels:
             sizes = np.array([len(k) for k in found], np.int32)
             places = np.array([len(v) // 2 for v in found.values()], np.int32)
             at = np.array([x for v in found.values() for x in v[1:]], np.int64).reshape(-1, 2)
-            body = b"".join((b"".join(found), sizes.tobytes(), tags.tobytes(), places.tobytes(), at[:, 0].tobytes(), at[:, 1].astype(np.int32).tobytes()))
-            packed = pa.compress(body, codec=_ZSTD, asbytes=True)
+            numbers = (sizes, tags, places, np.diff(at[:, 0], prepend=0), at[:, 1].astype(np.int32))
+            body = b"".join((b"".join(found), *map(_planes, numbers)))
+            packed = _ZSTD.compress(body, asbytes=True)
             yield shard, struct.pack("<qqqq", len(found), int(sizes.sum()), len(at), len(body)) + packed
         self.by_shard, self.n = {}, 0
 
 
+def _planes(numbers: np.ndarray) -> bytes:
+    """First bytes of all numbers, then all second bytes, and so on: they compress better."""
+    return np.ascontiguousarray(numbers).view(np.uint8).reshape(len(numbers), -1).T.tobytes()
+
+
 def _unpacked(parcel: bytes):
     n, size, places, whole = struct.unpack("<qqqq", parcel[:32])
-    body = pa.decompress(parcel[32:], decompressed_size=whole, codec=_ZSTD, asbytes=True)
+    body = _ZSTD.decompress(parcel[32:], decompressed_size=whole, asbytes=True)
     out, at = [body[:size]], size
     for kind, many in ((np.int32, n), (np.uint32, n), (np.int32, n), (np.int64, places), (np.int32, places)):
         wide = np.dtype(kind).itemsize * many
-        out.append(np.frombuffer(body[at : at + wide], kind))
+        planes = np.frombuffer(body[at : at + wide], np.uint8).reshape(-1, many)
+        out.append(np.ascontiguousarray(planes.T).view(kind).ravel())
         at += wide
+    out[4] = np.cumsum(out[4])
     return out
 
 
