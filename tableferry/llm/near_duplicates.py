@@ -78,7 +78,7 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
 
 def two_bits(signature: np.ndarray) -> np.ndarray:
     """Two bits of every coordinate, 32 coordinates to a long."""
-    bits = ((signature >> np.uint32(3)) & np.uint32(3)).astype(np.uint64).reshape(len(signature), -1, 32)
+    bits = ((signature >> np.uint32(3)) & np.uint32(3)).astype(np.uint64).reshape(len(signature), COORDINATES // 32, 32)
     return (bits << (2 * np.arange(32, dtype=np.uint64))).sum(2, dtype=np.uint64)
 
 

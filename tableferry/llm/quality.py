@@ -12,6 +12,8 @@ as an empty text, which has a score like any other.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -31,10 +33,15 @@ def held_out(key: str = "doc_id") -> Column:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, each: dict[int, int] = SAMPLE) -> list[tuple[str, int]]:
     """At most ``each`` training rows (text, label) of each label; more of the good ones, so that short clean texts stay."""
-    marked = labels.where(F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
-    rows = docs.select("doc_id", "text").where(~held_out() & (F.length("text") <= SAMPLE_CHARS)).join(marked, "doc_id")
-    parts = [rows.where(F.col("label") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(each[v]) for v in (0, 1)]
-    return [(r.text, r.label) for p in parts for r in p.select("text", "label").collect()]
+    rows = docs.select("doc_id", "text").where(F.length("text") <= SAMPLE_CHARS).join(F.broadcast(chosen(labels, label, each)), "doc_id")
+    return [(r.text, r.label) for r in rows.orderBy(F.xxhash64("doc_id"), "doc_id").select("text", "label").collect()]
+
+
+def chosen(labels: DataFrame, label: str, each: dict[int, int]) -> DataFrame:
+    """(doc_id, label) of at most ``each`` training rows of each label, by a hash of the id: a bounded number."""
+    marked = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
+    parts = [marked.where(F.col("label") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for v, n in each.items()]
+    return reduce(DataFrame.unionAll, parts)
 
 
 class ByteNetwork:

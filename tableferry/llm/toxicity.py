@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tableferry.llm.quality import held_out
+from tableferry.llm.quality import chosen, held_out
 from tableferry.llm.shared import settle, texts_of
 from tableferry.llm.words import Words, _power, mix, slices
 
@@ -247,11 +247,9 @@ class ToxicityModel:
 def fitted(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> ToxicityModel:
     model = trigrams(docs)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    marked = labels.where(F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
-    train = marked.where(~held_out())
-    chosen = [train.where(F.col("label") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for v, n in SAMPLE.items()]
     # Half of the sample finds the signs, the other half sets the weights.
-    sample = settle(texts_of(docs).join(chosen[0].unionAll(chosen[1]), "doc_id").withColumn("half", F.xxhash64(F.lit(1), "doc_id") % 2 == 0), "sample")
+    picked = F.broadcast(chosen(labels, label, SAMPLE))
+    sample = settle(texts_of(docs).join(picked, "doc_id").withColumn("half", F.xxhash64(F.lit(1), "doc_id") % 2 == 0), "sample")
 
     def count(batches):
         for batch in batches:
