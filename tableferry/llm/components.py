@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from tableferry.llm.shared import settle
 
 
+# Rows for one task of the rounds below.
+TASK_ROWS = 100_000
+
+
 def components(links: DataFrame) -> DataFrame:
     """Every end of a link with the smallest id it can reach: (id, component_id).
 
@@ -17,32 +21,31 @@ def components(links: DataFrame) -> DataFrame:
     minimum in each task, and the join back may split them.
     """
     tree = settle(_down(links.select("a", "b")), "links")
+    seen = _sums(tree)
+    tasks = max(1, -(-seen[0] // TASK_ROWS))
     while True:
         both = tree.unionAll(tree.select(F.col("b").alias("a"), F.col("a").alias("b")))
         # Large star: neighbours above a node move to the smallest id among it and its neighbours.
         least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("m", "a"))
         wide = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        wide = _down(wide)
+        wide = settle(wide.where("a <> b").coalesce(tasks), "links")
         # Small star: neighbours below a node, and the node, move to the smallest of them.
         lower = wide.groupBy("a").agg(F.min("b").alias("m"))
         near = wide.join(lower, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        new = settle(_down(near.unionAll(lower.select("a", F.col("m").alias("b")))), "links")
-        if _same(tree, new):
-            return new.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("component_id")).unionAll(
-                new.select(F.col("b").alias("id"), F.col("b").alias("component_id")).distinct()
-            )
-        tree = new
+        new = settle(_down(near.unionAll(lower.select("a", F.col("m").alias("b")))).coalesce(tasks), "links")
+        now = _sums(new)
+        if now == seen:
+            # Each node but the roots stands once, over the root of its component.
+            roots = new.groupBy("b").agg(F.lit(1)).select(F.col("b").alias("id"), F.col("b").alias("component_id"))
+            return new.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("component_id")).unionAll(roots).coalesce(tasks)
+        tree, seen = new, now
 
 
 def _down(links: DataFrame) -> DataFrame:
     return links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
 
 
-def _same(x: DataFrame, y: DataFrame) -> bool:
-    """Whether two sets of links are equal, by their number and an order-free 128-bit sum."""
-
-    def sums(df: DataFrame):
-        parts = [F.sum(F.xxhash64(F.lit(k), "a", "b").cast("decimal(38,0)")) for k in (1, 2)]
-        return df.agg(F.count("*"), *parts).first()
-
-    return sums(x) == sums(y)
+def _sums(links: DataFrame) -> tuple:
+    """Number of links and order-free 128 bits of them: sets of equal sums are equal."""
+    parts = [F.sum(F.xxhash64(F.lit(k), "a", "b").cast("decimal(38,0)")) for k in (1, 2)]
+    return tuple(links.agg(F.count("*"), *parts).first())

@@ -2,16 +2,15 @@
 
 Every document's word shingles give a signature of ``COORDINATES`` minima. Documents with equal
 shingle sets are one class, so a thousand copies weigh as one row. A class is posted under
-coordinate-value pairs of the first ``POSTED`` coordinates; two signatures that agree in ``AGREE`` of these must share one of
-their first ``POSTED - AGREE + 1`` pairs in any common order, so only that prefix is posted. Pairs held
+coordinate-value pairs, a prefix of ``PREFIX`` of the first ``POSTED`` coordinates in a common order. Pairs held
 by more than a thousandth of the classes come last in the order: passages shared by very many
 documents rarely open a list.
 
 Lists are merged in passes. In each of the first passes every list's members meet one of them, another one
 in each pass, and what is confirmed is settled as components: members of one component are skipped from then on, for no
 further link could change anything. In the last pass all members of a list that are still in different
-components meet, in blocks, within tasks. A pair counts collisions over two bits of each coordinate and goes on
-only above a match threshold; then it is confirmed on full shingle sets.
+components meet, in blocks, within tasks, a pair only in the first list that holds both. A pair counts collisions over two bits
+of each coordinate and goes on only above a match threshold; then it is confirmed on full shingle sets.
 
 Nulls and texts without words have an empty set and are linked with nothing.
 """
@@ -25,23 +24,22 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from tableferry.llm.components import components
 from tableferry.llm.shared import by_ids, runs, settle, shuffle_width, texts_of
 from tableferry.llm.words import mix, slices
 
-COORDINATES, POSTED = 256, 64
-# Agreeing posted coordinates a candidate must have: 38 of 64 lies 5.7 standard deviations below what pairs of
-# similarity 0.85 have on average, and 4.2 below for 0.8.
-AGREE = 38
-PREFIX = POSTED - AGREE + 1
+COORDINATES, POSTED = 1024, 64
+# Pairs of similarity s share none of so many coordinates with probability (1 - s) ** PREFIX: 1e-10 for 0.85, 4e-9 for 0.8.
+PREFIX = 12
 # Two bits of each coordinate are compared; pairs more than so many standard deviations below what the
 # similarity asked for gives on average are not confirmed.
 BELOW = 5.5
 # A coordinate-value pair in more than this share of the classes is posted last.
 HEAVY_SHARE = 0.001
 HEAVY_LEAST = 50
-HUB_PASSES = 3
+HUB_PASSES = 2
 BLOCK = 256
 WORDS_OF_BITS = [f"s{j}" for j in range(COORDINATES // 32)]
 _LOW_BITS = np.uint64(0x5555555555555555)
@@ -148,21 +146,30 @@ def heavy_slots(classes: DataFrame, n: int) -> np.ndarray:
     return np.array(sorted(r.slot for r in found.where(F.col("n") > least).select("slot").collect()), np.int64)
 
 
-def postings(classes: DataFrame, heavy: np.ndarray) -> DataFrame:
+def with_prefix(classes: DataFrame, heavy: np.ndarray) -> DataFrame:
+    """``classes`` with the coordinate-value pairs that each is posted under, as longs in one binary."""
     shared = classes.sparkSession.sparkContext.broadcast(heavy)
 
     def post(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
             slots = _slots(_matrix(batch.column("posted")))
             order = np.argsort(np.isin(slots, shared.value), axis=1, kind="stable")[:, :PREFIX]
+            prefix = pa.array([r.tobytes() for r in np.take_along_axis(slots, order, 1)], pa.binary())
+            at = batch.schema.get_field_index("posted")
+            yield pa.RecordBatch.from_arrays([prefix if k == at else c for k, c in enumerate(batch.columns)], names=["prefix" if k == at else n for k, n in enumerate(batch.schema.names)])
+
+    schema = StructType([StructField("prefix", f.dataType) if f.name == "posted" else f for f in classes.schema.fields])
+    return classes.mapInArrow(post, schema)
+
+
+def postings(classes: DataFrame) -> DataFrame:
+    def post(batches):
+        for batch in batches:
+            slots = np.frombuffer(b"".join(batch.column("prefix").to_pylist()), np.int64)
             ids = batch.column("id").to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.take_along_axis(slots, order, 1).ravel()), pa.array(np.repeat(ids, PREFIX))], names=["slot", "id"]
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(np.repeat(ids, PREFIX))], names=["slot", "id"])
 
-    return classes.select("id", "posted").mapInArrow(post, "slot long, id long")
+    return classes.select("id", "prefix").mapInArrow(post, "slot long, id long")
 
 
 def misses(x: str, y: str) -> Column:
@@ -199,9 +206,10 @@ def unmerged(lists: DataFrame, classes: DataFrame, most: int) -> DataFrame:
     width = F.greatest(F.lit(1), F.ceil(F.col("n") / BLOCK)).cast("int")
     block = F.pmod(F.xxhash64("id"), width).cast("int")
     every = F.sequence(F.lit(0), width - 1)
-    rest = sized.join(classes.select("id", *WORDS_OF_BITS), "id").withColumn("block", block)
-    bits = ["id", "comp", *WORDS_OF_BITS]
-    left = rest.where("comp <> large").select("slot", F.col("block").alias("i"), F.explode(every).alias("j"), F.lit(0).alias("side"), *bits)
+    rest = sized.join(classes.select("id", "prefix", *WORDS_OF_BITS), "id").withColumn("block", block)
+    rest = rest.withColumn("outside", F.col("comp") != F.col("large"))
+    bits = ["id", "comp", "outside", "prefix", *WORDS_OF_BITS]
+    left = rest.where("outside").select("slot", F.col("block").alias("i"), F.explode(every).alias("j"), F.lit(0).alias("side"), *bits)
     right = rest.select("slot", F.explode(every).alias("i"), F.col("block").alias("j"), F.lit(1).alias("side"), *bits)
 
     def meet(batches):
@@ -217,7 +225,7 @@ def unmerged(lists: DataFrame, classes: DataFrame, most: int) -> DataFrame:
 
     width = shuffle_width(lists.sparkSession)
     dealt = left.unionAll(right).repartition(width, "slot", "i", "j").sortWithinPartitions("slot", "i", "j", "side")
-    return dealt.select("slot", "i", "j", "side", *bits).mapInArrow(meet, "a long, b long").distinct()
+    return dealt.select("slot", "i", "j", "side", *bits).mapInArrow(meet, "a long, b long")
 
 
 def _group_key(table: pa.Table) -> np.ndarray:
@@ -236,7 +244,9 @@ def _pairs(table: pa.Table, most: int):
     if not table.num_rows:
         return
     edges = runs(_group_key(table))
-    side, ids, comp = (table.column(c).to_numpy() for c in ("side", "id", "comp"))
+    side, ids, comp, slot = (table.column(c).to_numpy() for c in ("side", "id", "comp", "slot"))
+    outside = table.column("outside").to_numpy()
+    prefix = np.frombuffer(b"".join(table.column("prefix").to_pylist()), np.int64).reshape(-1, PREFIX)
     bits = np.column_stack([table.column(c).to_numpy().view(np.uint64) for c in WORDS_OF_BITS])
     a, b = [], []
     for s, e in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
@@ -246,11 +256,18 @@ def _pairs(table: pa.Table, most: int):
         x = bits[s:m, None, :] ^ bits[None, m:e, :]
         far = np.bitwise_count((x | (x >> np.uint64(1))) & _LOW_BITS).sum(2, dtype=np.int64)
         p, q = np.nonzero((far <= most) & (comp[s:m, None] != comp[None, m:e]))
-        a.append(np.minimum(ids[s + p], ids[m + q]))
-        b.append(np.maximum(ids[s + p], ids[m + q]))
+        p, q = p + s, q + m
+        # Two of the left side meet twice.
+        once = ~outside[q] | (ids[p] < ids[q])
+        p, q = p[once], q[once]
+        # The first list that holds both, in the order of the left one.
+        shared = (prefix[p][:, :, None] == prefix[q][:, None, :]).any(2)
+        here = prefix[p, shared.argmax(1)] == slot[s]
+        p, q = p[here], q[here]
+        a.append(np.minimum(ids[p], ids[q]))
+        b.append(np.maximum(ids[p], ids[q]))
     if a:
-        both = np.unique(np.column_stack((np.concatenate(a), np.concatenate(b))), axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], names=["a", "b"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -296,7 +313,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     known = settle(sketches(docs, size), "sketches")
     first = [F.first(c).alias(c) for c in ("posted", *WORDS_OF_BITS)]
     classes = settle(known.where("set_key IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("id"), *first).where("id IS NOT NULL"), "classes")
-    posted = postings(classes, heavy_slots(classes, classes.count()))
+    classes = settle(with_prefix(classes, heavy_slots(classes, classes.count())), "classes")
+    posted = postings(classes)
     shared = posted.groupBy("slot").agg(F.count("*").alias("n")).where("n > 1").select("slot")
     lists = settle(posted.join(shared, "slot").withColumn("comp", F.col("id")), "lists")
     links, named = None, None

@@ -29,7 +29,7 @@ def by_ids(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
 
     Their number is looked at: few are broadcast, many are joined.
     """
-    ids = settle(ids.select("doc_id").where("doc_id IS NOT NULL").distinct(), "ids")
+    ids = settle(ids.select("doc_id").where("doc_id IS NOT NULL"), "ids")
     return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", how)
 
 
