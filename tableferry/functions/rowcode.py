@@ -77,13 +77,14 @@ def _hashed_parts(df: DataFrame, columns: Sequence[str] | None, as_text: Sequenc
     return [*parts, *nulls]
 
 
-def row_hash64(df: DataFrame, columns: Sequence[str] | None = None, algorithm: str = "XXHASH64") -> Column:
-    """64-bit hash of each row: xxHash64 of the columns, or the first 60 bits of SHA-256."""
+def row_words(df: DataFrame, columns: Sequence[str] | None = None, algorithm: str = "XXHASH64", as_text: Sequence[str] = ()) -> list[Column]:
+    """Hash of each row as longs: one of xxHash64, or all 256 bits of SHA-256 in eight words of 32."""
     if algorithm.upper() == "SHA256":
-        return F.conv(F.substring(row_sha256(df, columns), 1, 15), 16, 10).cast("bigint")
+        digest = row_sha256(df, columns)
+        return [F.conv(F.substring(digest, 8 * i + 1, 8), 16, 10).cast("bigint") for i in range(8)]
     if algorithm.upper() != "XXHASH64":
         raise ValueError(f"unknown checksum algorithm {algorithm!r}")
-    return F.xxhash64(*_hashed_parts(df, columns))
+    return [F.xxhash64(*_hashed_parts(df, columns, as_text))]
 
 
 def row_key(df: DataFrame, columns: Sequence[str] | None = None, as_text: Sequence[str] = ()) -> tuple[Column, Column]:
@@ -116,5 +117,9 @@ def exact_hash_sum(h: Column) -> Column:
 
 
 def sampled(key: Column, percent: float) -> Column:
-    """Is a row with this key in the sample?  Decided by its content, so equal rows of two tables agree."""
-    return F.pmod(key, F.lit(10_000)) < F.lit(int(round(percent * 100)))
+    """Is a row with this key in the sample?  Decided by its content, so equal rows of two tables agree.
+
+    63 bits of the key are compared with the share, however small it is.
+    """
+    bound = min((1 << 63) - 1, int(percent / 100 * (1 << 63)))
+    return F.shiftrightunsigned(key, 1) < F.lit(bound).cast("bigint")

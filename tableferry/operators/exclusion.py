@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from tableferry import schemas as S
 from tableferry.functions import names as N
 
-# Up to this many rules are written into the plan as one expression.
-INLINE_RULES = 300
 _SEP = "\x1f"
+# So many rules (a few hundred bytes each) are sent to all tasks; more are joined by a shuffle.
+BROADCAST_RULES = 100_000
 
 
 def describe_rule() -> Column:
@@ -22,36 +22,36 @@ def describe_rule() -> Column:
     return F.concat(F.col("exclude_type"), F.lit(":"), F.array_join(F.slice(names, F.lit(1), depth), "."))
 
 
-def first_rule(selection: DataFrame, rules: DataFrame) -> DataFrame:
-    """The selection with ``rule_ordinal`` of the first rule that matches, NULL if none does.
+_DEPTHS = {"catalog": 1, "schema": 2, "table": 3}
 
-    Rule files are short: up to ``INLINE_RULES`` they become one CASE expression, with no join
-    and no shuffle.  Longer ones are joined by what is literal in them.
-    """
-    few = rules.orderBy("ordinal").limit(INLINE_RULES + 1).collect()
-    if len(few) <= INLINE_RULES:
-        return selection.withColumn("rule_ordinal", _inline(few))
-    return _joined(selection, rules)
 
+def checked_rules(rules: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rules that can be applied, their type in lower case, and the others with a ``reason``.
 
-def _inline(rules: list) -> Column:
-    name = [F.col(c) for c in S.SOURCE_NAME]
-    out = None
-    for r in rules:
-        depth = 1 + ["catalog", "schema", "table"].index(r["exclude_type"])
-        globs = [r["catalog"], r["schema_name"], r["table_name"]][:depth]
-        hit = reduce(Column.__and__, [N.like_glob(n, g) for n, g in zip(name, globs)])
-        rank = F.lit(r["ordinal"]).cast("bigint")
-        out = F.when(hit, rank) if out is None else out.when(hit, rank)
-    return F.lit(None).cast("bigint") if out is None else out
+    A rule needs a known type and a pattern for each name that its type covers.
+    """
+    kind = F.lower(F.trim("exclude_type"))
+    depth = F.coalesce(*[F.when(kind == k, n) for k, n in _DEPTHS.items()])
+    globs = F.slice(F.array("catalog", "schema_name", "table_name"), F.lit(1), F.coalesce(depth, F.lit(0)))
+    reason = (
+        F.when(F.col("ordinal").isNull(), "no place in the order")
+        .when(depth.isNull(), F.concat(F.lit("unknown type: "), F.coalesce("exclude_type", F.lit("none"))))
+        .when(F.exists(globs, lambda g: g.isNull()), "a pattern is missing")
+    )
+    judged = rules.withColumn("reason", reason)
+    good = judged.filter("reason IS NULL").drop("reason").withColumn("exclude_type", kind)
+    return good, judged.filter("reason IS NOT NULL")
 
 
-def _joined(selection: DataFrame, rules: DataFrame) -> DataFrame:
-    """First rule by an equi join on the literal start of each rule's full name.
+def first_rule(selection: DataFrame, rules: DataFrame) -> DataFrame:
+    """The selection with ``rule_ordinal`` of the first rule that matches, NULL if none does.
 
-    A name is looked up once per length that a literal start has.  Selected names are made
-    distinct first, so that what fills the selection is not multiplied by the rules.
+    Rules that ``checked_rules`` sorts out match nothing. Any number of rules goes one way: an equi join on the literal start of each rule's full
+    name. A name is looked up once per length that a literal start has.  Selected names are made
+    distinct first, so that what fills the selection is not multiplied by the rules; with the rules
+    broadcast, behind a check of their number, the names stay where that has put them.
     """
+    rules, _ = checked_rules(rules)
     full = F.concat_ws(_SEP, *[F.lower(F.col(c)) for c in S.SOURCE_NAME])
     named = selection.select(*S.SOURCE_NAME).distinct().withColumn("full_name", full)
     depth = F.when(F.col("exclude_type") == "catalog", 1).when(F.col("exclude_type") == "schema", 2).otherwise(3)
@@ -67,10 +67,12 @@ def _joined(selection: DataFrame, rules: DataFrame) -> DataFrame:
     ).withColumn("n", F.length("start"))
     # Lengths of the literal starts: a few small numbers, bounded by the longest name.
     lengths = [r["n"] for r in keyed.select("n").distinct().collect()]
+    if not lengths:
+        return selection.withColumn("rule_ordinal", F.lit(None).cast("bigint"))
     starts = named.select(*S.SOURCE_NAME, "full_name", F.explode(F.array(*[F.lit(n) for n in lengths])).alias("n"))
     starts = starts.withColumn("start", F.expr("substring(full_name, 1, n)"))
-    # Merged with the rules on the left: the names come rule by rule, each pattern is compiled once.
-    pairs = keyed.hint("merge").join(starts, ["n", "start"]).filter(F.rlike("full_name", F.col("regex")))
+    few = rules.count() <= BROADCAST_RULES
+    pairs = starts.join(F.broadcast(keyed) if few else keyed, ["n", "start"]).filter(F.rlike("full_name", F.col("regex")))
     first = pairs.groupBy(*S.SOURCE_NAME).agg(F.min("ordinal").alias("rule_ordinal"))
     return selection.join(first, S.SOURCE_NAME, "left")
 
@@ -79,7 +81,7 @@ def apply_exclusions(selection: DataFrame, rules: DataFrame) -> tuple[DataFrame,
     """Split into the kept rows and the excluded ones with type and text of the rule."""
     judged = first_rule(selection, rules)
     kept = judged.filter(F.col("rule_ordinal").isNull()).drop("rule_ordinal")
-    texts = rules.select(
+    texts = checked_rules(rules)[0].select(
         F.col("ordinal").alias("rule_ordinal"),
         F.col("exclude_type").alias("exclusion_type"),
         describe_rule().alias("exclusion_rule"),

@@ -11,13 +11,10 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tableferry import schemas as S
-
-ASSIGNMENT = "batch_id string, migration_id string, chunk_id int"
-
+from tableferry.session import settle
 
 def max_tables_per_chunk(queued_rows: int, concurrent_chunks: int) -> int | None:
     """Cap that makes at least as many chunks as can run at once."""
@@ -33,90 +30,104 @@ def count_caps(queued: DataFrame, concurrent_chunks: int) -> DataFrame:
     )
 
 
-def plan_chunks(
-    queued: DataFrame,
-    capacity_bytes: int,
-    concurrent_chunks: int | None = None,
-    pass_rows: int = S.PLANNING_PASS_ROWS,
-) -> DataFrame:
+def plan_chunks(queued: DataFrame, capacity_bytes: int, concurrent_chunks: int | None = None) -> DataFrame:
     """Chunk number of every queued table, from 1 in each batch.
 
-    A planning pass takes ``pass_rows`` tables at most, about: a batch with more is cut into
-    passes by the hash of the id, each packed in a task of its own and numbered after a gap that
-    its predecessors cannot fill.  So a batch that holds most of all rows is packed in parallel,
-    by tasks whose input is bounded, and one that fits a pass is packed exactly as a whole.
+    First fit decreasing places tables of one size in a row, so a batch is packed from its distinct
+    sizes and how many tables have each: no id, and no more than a row per distinct size of one batch, enters a
+    task's Python. The runs it gives are dealt to the ids by their rank within the size.
     """
-    caps = queued.groupBy("batch_id").agg(F.count("*").alias("queued_rows")).select(
-        "batch_id",
-        F.ceil(F.col("queued_rows") / F.lit(pass_rows)).cast("int").alias("passes"),
-        (F.ceil(F.col("queued_rows") / F.lit(concurrent_chunks)) if concurrent_chunks else F.lit(None))
-        .cast("int")
-        .alias("max_tables"),
-    )
     rows = queued.select("batch_id", "migration_id", F.coalesce("size_in_bytes", F.lit(0)).alias("size"))
-    spread = rows.join(caps, "batch_id").withColumn("pass_no", F.expr("pmod(xxhash64(migration_id), passes)").cast("int"))
+    sizes = rows.groupBy("batch_id", "size").agg(F.count("*").alias("n"))
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["size", "migration_id"], ascending=[False, True], kind="stable")
-        cap = pdf["max_tables"].iloc[0]
-        limit = None if pd.isna(cap) else int(cap)
-        local = first_fit(pdf["size"].to_numpy(), capacity_bytes, limit)
-        if len(pdf) > 2 * pass_rows:
-            raise ValueError("a planning pass outgrew its numbers; give plan_chunks larger passes")
-        first = int(pdf["pass_no"].iloc[0]) * 2 * pass_rows
-        return pd.DataFrame(
-            {"batch_id": pdf["batch_id"], "migration_id": pdf["migration_id"], "chunk_id": first + local}
-        )
+        pdf = pdf.sort_values("size", ascending=False)
+        cap = math.ceil(pdf["n"].sum() / concurrent_chunks) if concurrent_chunks else None
+        which, first, last, chunk = first_fit_runs(pdf["size"].tolist(), pdf["n"].tolist(), capacity_bytes, cap)
+        size = pdf["size"].to_numpy()[which]
+        return pd.DataFrame({"batch_id": pdf["batch_id"].iloc[0], "size": size, "first": first, "last": last, "chunk_id": chunk})
+
+    runs = sizes.groupBy("batch_id").applyInPandas(pack, "batch_id string, size bigint, first bigint, last bigint, chunk_id int")
+    places = runs.select("batch_id", "size", F.explode(F.sequence("first", "last")).alias("rank"), "chunk_id")
+    return _ranked(rows).join(places, ["batch_id", "size", "rank"]).select("batch_id", "migration_id", "chunk_id")
 
-    return spread.groupBy("batch_id", "pass_no").applyInPandas(pack, ASSIGNMENT)
 
+def _ranked(rows: DataFrame) -> DataFrame:
+    """Rows with their rank, from 0, by id among those of one batch and size.
+
+    Ranks come from a range sort: within a partition by counting, and from there by the counts of the
+    partitions before. So a size that most tables have is ranked by many tasks.
+    """
+    sorted_ = rows.repartitionByRange("batch_id", "size", "migration_id").withColumn("part", F.spark_partition_id())
+    sorted_ = settle(sorted_, "ranked")
+    within = Window.partitionBy("part", "batch_id", "size").orderBy("migration_id")
+    before = Window.partitionBy("batch_id", "size").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = sorted_.groupBy("batch_id", "size", "part").agg(F.count("*").alias("n"))
+    starts = parts.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
+    local = sorted_.withColumn("local", F.row_number().over(within) - 1)
+    return local.join(starts, ["batch_id", "size", "part"]).withColumn("rank", F.col("start") + F.col("local")).drop("part", "start", "local")
 
-def first_fit(sizes: np.ndarray, capacity: int, max_tables: int | None) -> np.ndarray:
-    """Chunk numbers, from 1, for sizes in the order they are placed.
 
-    Chunks are the leaves of a tree whose nodes hold the most room below them, so that the first
+def first_fit_runs(sizes: list[int], counts: list[int], capacity: int, max_tables: int | None):
+    """Runs of equal tables that go to one chunk: (index of the size, first, last, chunk number from 1).
+
+    ``sizes`` in the order they are placed, each with a number of tables. Chunks are the leaves of a
+    tree whose nodes hold the most room below them, so that the first
     chunk with room is found in as many steps as the tree is deep.
     """
-    n = len(sizes)
-    width = 1 << max(0, (n - 1).bit_length())
-    room = np.full(2 * width, -1, dtype=np.int64)
-    placed = np.zeros(n, dtype=np.int32)
-    tables = np.zeros(n + 1, dtype=np.int64)
-    opened = 0
+    most = sum(counts)
+    width = 1
+    room = [-1, -1]
+    free: list[int] = []  # bytes left in each chunk, however few tables it may still take
+    tables: list[int] = []
     first_open = 0  # first chunk below the count cap: where a table without size goes
+    out: list[tuple[int, int, int, int]] = []
+
+    def grown() -> None:
+        nonlocal width, room
+        old, width = room[width : 2 * width], 2 * width
+        room = [-1] * (2 * width)
+        room[width : width + len(old)] = old
+        for node in range(width - 1, 0, -1):
+            room[node] = max(room[2 * node], room[2 * node + 1])
 
-    def set_room(leaf: int, value: int) -> None:
+    def put(leaf: int) -> None:
+        full = max_tables is not None and tables[leaf] >= max_tables
         node = width + leaf
-        room[node] = value
+        room[node] = -1 if full else max(free[leaf], -1)
         while node > 1:
             node >>= 1
             room[node] = max(room[2 * node], room[2 * node + 1])
 
-    for i, raw in enumerate(sizes):
-        size = int(raw)
-        leaf = -1
-        if size == 0:
-            while first_open < opened and max_tables is not None and tables[first_open] >= max_tables:
-                first_open += 1
-            leaf = first_open if first_open < opened else -1
-        elif room[1] >= size:
-            node = 1
-            while node < width:
-                node = 2 * node if room[2 * node] >= size else 2 * node + 1
-            leaf = node - width
-        if leaf < 0:
-            leaf, opened = opened, opened + 1
-            left = capacity
-        else:
-            left = room[width + leaf]
-        tables[leaf] += 1
-        if size or room[width + leaf] < 0:
-            full = max_tables is not None and tables[leaf] >= max_tables
-            set_room(leaf, -1 if full else max(left - size, -1))
-        elif max_tables is not None and tables[leaf] >= max_tables:
-            set_room(leaf, -1)
-        placed[i] = leaf + 1
-    return placed
+    for i, (size, count) in enumerate(zip(sizes, counts, strict=True)):
+        done = 0
+        while done < count:
+            if size == 0:
+                while first_open < len(free) and max_tables is not None and tables[first_open] >= max_tables:
+                    first_open += 1
+                leaf = first_open if first_open < len(free) else -1
+            elif room[1] >= size:
+                leaf = 1
+                while leaf < width:
+                    leaf = 2 * leaf if room[2 * leaf] >= size else 2 * leaf + 1
+                leaf -= width
+            else:
+                leaf = -1
+            if leaf < 0:
+                leaf = len(free)
+                free.append(capacity)
+                tables.append(0)
+                while leaf >= width:
+                    grown()
+            fits = most if size == 0 else max(1, free[leaf] // size)
+            k = min(count - done, fits, most if max_tables is None else max_tables - tables[leaf])
+            tables[leaf] += k
+            free[leaf] -= k * size
+            put(leaf)
+            out.append((i, done, done + k - 1, leaf + 1))
+            done += k
+    which, first, last, chunk = (np.array([r[j] for r in out], np.int64) for j in range(4))
+    return which, first, last, chunk.astype(np.int32)
 
 
 def rebuild_chunks(control: DataFrame) -> DataFrame:
@@ -130,7 +141,7 @@ def rebuild_chunks(control: DataFrame) -> DataFrame:
 def chunk_members(control: DataFrame) -> DataFrame:
     """Chunks with the list of their tables' ids.
 
-    Only for rows with a planned chunk, which holds no more tables than one planning pass takes.
+    Only for rows with a planned chunk, which holds no more tables than its cap.
     """
     return control.filter(F.coalesce("chunk_id", F.lit(0)) > 0).groupBy("batch_id", "chunk_id").agg(
         F.sort_array(F.collect_list("migration_id")).alias("migration_ids"),

@@ -70,8 +70,24 @@ def checksum(
     by: Sequence[str] = (),
 ) -> DataFrame:
     """Row count and sum of row hashes, over all rows or per value of ``by``; order never matters."""
-    hashed = df.select(*by, R.row_hash64(df, columns, algorithm).alias("_h"))
-    return hashed.groupBy(*by).agg(F.count("*").alias("row_count"), R.exact_hash_sum(F.col("_h")).alias("checksum"))
+    words = _named(R.row_words(df, columns, algorithm))
+    return df.select(*by, *words).groupBy(*by).agg(F.count("*").alias("row_count"), _checksum([F.col(f"_h{i}") for i in range(len(words))]).alias("checksum"))
+
+
+def _named(words: list[Column]) -> list[Column]:
+    return [w.alias(f"_h{i}") for i, w in enumerate(words)]
+
+
+def _checksum(words: list[Column]) -> Column:
+    """Sums of the words of the row hashes; several are kept apart, in one text."""
+    sums = [F.coalesce(R.exact_hash_sum(w), F.lit(0)).cast("decimal(38,0)") for w in words]
+    return sums[0] if len(sums) == 1 else F.concat_ws(":", *[s.cast("string") for s in sums])
+
+
+def common_columns(source: DataFrame, target: DataFrame, columns: Sequence[str] | None = None) -> tuple[list[str], list[str]]:
+    """Columns to compare that both sides have, and those that the target lacks."""
+    wanted, there = list(columns) if columns else source.columns, set(target.columns)
+    return [c for c in wanted if c in there], [c for c in wanted if c not in there]
 
 
 def compare_checksums(
@@ -81,20 +97,27 @@ def compare_checksums(
     algorithm: str = "XXHASH64",
     by: Sequence[str] = (),
 ) -> DataFrame:
-    """Counts and checksums of both sides per value of ``by`` (one row without), with ``matched``."""
+    """Counts and checksums of both sides per value of ``by`` (one row without), with ``matched``.
+
+    Columns that the target lacks are left out of the sums, and nothing matches then.
+    """
+    both_have, missing = common_columns(source, target, columns)
+    # Columns of two types are compared by their text, as in the row comparison.
+    as_text = R.retyped(source, target, both_have)
     side = lambda df, n: df.select(
-        *by, F.lit(n).alias("_side"), R.row_hash64(df, columns, algorithm).alias("_h")
+        *by, F.lit(n).alias("_side"), *_named(R.row_words(df, both_have, algorithm, as_text))
     )
     both = side(source, 0).union(side(target, 1))
-    of = lambda n: F.when(F.col("_side") == n, F.col("_h"))
+    names = both.columns[len(by) + 1 :]
+    of = lambda n: [F.when(F.col("_side") == n, F.col(c)) for c in names]
     out = both.groupBy(*by).agg(
-        F.count(of(0)).alias("src_rows"),
-        F.count(of(1)).alias("tgt_rows"),
-        F.coalesce(R.exact_hash_sum(of(0)), F.lit(0)).cast("decimal(38,0)").alias("src_checksum"),
-        F.coalesce(R.exact_hash_sum(of(1)), F.lit(0)).cast("decimal(38,0)").alias("tgt_checksum"),
+        F.count(of(0)[0]).alias("src_rows"),
+        F.count(of(1)[0]).alias("tgt_rows"),
+        _checksum(of(0)).alias("src_checksum"),
+        _checksum(of(1)).alias("tgt_checksum"),
     )
     same = (F.col("src_rows") == F.col("tgt_rows")) & (F.col("src_checksum") == F.col("tgt_checksum"))
-    return out.withColumn("matched", same)
+    return out.withColumn("matched", same & F.lit(not missing))
 
 
 # --- row differences ----------------------------------------------------------
@@ -106,6 +129,8 @@ def hash_frequency(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
 
 
 _KEY = ["hash_hi", "hash_lo"]
+# Buckets of the row comparison that may be broadcast.
+MOST_BUCKETS = 1 << 20
 
 
 def _keyed(df: DataFrame, percent: float, columns: Sequence[str], as_text: Sequence[str], *extra: Column) -> DataFrame:
@@ -115,7 +140,7 @@ def _keyed(df: DataFrame, percent: float, columns: Sequence[str], as_text: Seque
 
 
 def _both_sides(source: DataFrame, target: DataFrame, percent: float, columns: Sequence[str] | None) -> DataFrame:
-    columns = list(columns) if columns else source.columns
+    columns, _ = common_columns(source, target, columns)
     as_text = R.retyped(source, target, columns)
     count = lambda n, name: F.lit(n).cast("bigint").alias(name)
     both = _keyed(source, percent, columns, as_text, count(1, "src"), count(0, "tgt")).union(
@@ -141,8 +166,10 @@ def differing_rows(source: DataFrame, target: DataFrame, percent: float = 100.0)
     A second pass over both tables, joined to the keys that differ: on a copy that is right nearly
     everywhere those are few, Spark broadcasts them, and nothing but the differing rows is moved.
     """
-    columns, as_text = source.columns, R.retyped(source, target)
-    found = row_differences(source, target, percent)
+    columns, _ = common_columns(source, target)
+    as_text = R.retyped(source, target, columns)
+    # Read by both sides: written once.
+    found = settle(row_differences(source, target, percent), "differences")
 
     def side(df: DataFrame) -> DataFrame:
         return _keyed(df, percent, columns, as_text, *[F.col(f"`{c}`") for c in columns]).join(found, _KEY)
@@ -167,7 +194,8 @@ def row_differences_by_part(
     A first pass over the checksums per part shuffles a row per part; only rows of parts that
     differ are hashed again and shuffled.  Pays off on a copy that is right nearly everywhere.
     """
-    parts = differing_parts(source, target, by, columns)
+    # Read by both sides: written once.
+    parts = settle(differing_parts(source, target, by, columns), "parts")
     named = parts.select(*[F.col(c).alias(f"_p_{c}") for c in by])
     equal = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_p_{c}")) for c in by])
     keep = lambda df: df.join(named, equal, "left_semi")
@@ -178,12 +206,15 @@ def _bucketed(source: DataFrame, target: DataFrame, percent: float, buckets: int
     """Keys of both sides, tagged 1 and -1, with a bucket taken from the key; ``buckets`` is a power of two."""
     if buckets & (buckets - 1):
         raise ValueError("the number of buckets has to be a power of two")
-    as_text = R.retyped(source, target)
+    if buckets > MOST_BUCKETS:
+        raise ValueError(f"at most {MOST_BUCKETS} buckets: those that differ are broadcast")
+    columns, _ = common_columns(source, target)
+    as_text = R.retyped(source, target, columns)
     # A mask of the key is never NULL, so the join on it asks for no filter of its own.
     bucket = F.col("hash_hi").bitwiseAND(F.lit(buckets - 1).cast("bigint")).alias("bucket")
 
     def keys(df: DataFrame, sign: int) -> DataFrame:
-        return _keyed(df, percent, source.columns, as_text).select("*", bucket, F.lit(sign).alias("side"))
+        return _keyed(df, percent, columns, as_text).select("*", bucket, F.lit(sign).alias("side"))
 
     return keys(source, 1).union(keys(target, -1))
 
@@ -222,7 +253,7 @@ def row_differences_by_bucket(
 
 
 def integrity(source: DataFrame, target: DataFrame, percent: float = 100.0, buckets: int = 4096) -> DataFrame:
-    """Verdict of the row comparison, one row; an empty source sample passes."""
+    """Verdict of the row comparison, one row; an empty source passes, a sample that holds no row of a full one does not."""
     both = _bucketed(source, target, percent, buckets)
     # Read twice, at most one row per bucket: written once.
     sums = settle(_bucket_sums(both), "sums")
@@ -232,16 +263,20 @@ def integrity(source: DataFrame, target: DataFrame, percent: float = 100.0, buck
     totals = rows.unionByName(wrong).agg(
         F.sum("rows_sampled").alias("rows_sampled"), F.sum("hash_mismatches").alias("hash_mismatches")
     )
-    empty = F.col("rows_sampled") == 0
+    _, missing = common_columns(source, target)
+    none = F.col("rows_sampled") == 0
+    # A sample may miss all rows of a table that has some; only a table without any needs no comparison.
+    empty = percent >= 100 or source.isEmpty()
+    # --- fixed values: texts of the verdicts
     text = F.concat(
         F.format_number("rows_sampled", 0), F.lit(" rows sampled, "), F.col("hash_mismatches"), F.lit(" hash mismatches")
     )
-    return totals.withColumns(
-        {
-            "passed": empty | (F.col("hash_mismatches") == 0),
-            "detail": F.when(empty, "empty table — skip hash").otherwise(text),
-        }
-    )
+    skipped = "empty table — skip hash"
+    # --- end of fixed values
+    nothing = F.when(none & F.lit(empty) & (F.col("hash_mismatches") == 0), skipped).when(none, "no row of the table is in the sample")
+    lacking = F.lit(f"missing in tgt: {', '.join(missing)}") if missing else F.lit(None).cast("string")
+    clean = (F.col("hash_mismatches") == 0) & (~none | F.lit(empty))
+    return totals.withColumns({"passed": clean & F.lit(not missing), "detail": F.coalesce(lacking, nothing, text)})
 
 
 # --- schemas ------------------------------------------------------------------
@@ -307,6 +342,9 @@ def column_sets(source: Column, target: Column) -> Column:
     )
 
 
+MEAN_TOLERANCE = 1e-9
+
+
 # --- profiles -----------------------------------------------------------------
 
 
@@ -339,11 +377,15 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
 
 
 def compare_profiles(source: DataFrame, target: DataFrame) -> DataFrame:
-    """Columns of two profiles side by side with ``matched``."""
+    """Columns of two profiles side by side with ``matched``; means may differ by ``MEAN_TOLERANCE`` of their size."""
     measures = ["row_count", "null_count", "min_value", "max_value", "avg_value"]
     s = source.select("column_name", *[F.col(m).alias(f"src_{m}") for m in measures])
     t = target.select("column_name", *[F.col(m).alias(f"tgt_{m}") for m in measures])
-    same = reduce(Column.__and__, [F.col(f"src_{m}").eqNullSafe(F.col(f"tgt_{m}")) for m in measures])
+    exact = [F.col(f"src_{m}").eqNullSafe(F.col(f"tgt_{m}")) for m in measures if m != "avg_value"]
+    # The mean of doubles depends on the order in which they are added.
+    a, b = F.col("src_avg_value"), F.col("tgt_avg_value")
+    near = a.eqNullSafe(b) | F.coalesce(F.abs(a - b) <= MEAN_TOLERANCE * F.greatest(F.abs(a), F.abs(b)), F.lit(False))
+    same = reduce(Column.__and__, [*exact, near])
     return s.join(t, "column_name", "full_outer").withColumn("matched", same)
 
 
@@ -379,8 +421,8 @@ def validate_copy(
         checks.append(sums.select(F.lit("CHECKSUM").alias("check_name"), F.col("matched").alias("passed"), text.alias("detail")))
     if "COLUMN_SAMPLE" in wanted:
         names = list(columns) if columns else source.columns
-        compared = compare_profiles(profile(source, names), profile(target, names))
-        bad = F.sort_array(F.collect_list(F.when(~F.col("matched"), F.col("column_name"))))
+        compared = compare_profiles(profile(source, names), profile(target, common_columns(source, target, names)[0]))
+        bad = F.sort_array(F.collect_list(F.when(~F.coalesce("matched", F.lit(False)), F.col("column_name"))))
         checks.append(
             compared.agg(bad.alias("bad")).select(
                 F.lit("COLUMN_SAMPLE").alias("check_name"),

@@ -83,9 +83,6 @@ ACCEPTANCE_THRESHOLDS = [
 # Tolerances of the size and file-count checks, in percent.
 SIZE_TOLERANCE_PCT = 1.0
 FILE_TOLERANCE_PCT = 5.0
-
-# Rows taken by one planning pass.
-PLANNING_PASS_ROWS = 50_000
 # --- end of fixed values ----------------------------------------------------
 
 IDENTITY = ["source_catalog", "source_schema", "source_table", "batch_id"]
@@ -186,7 +183,8 @@ COPY_AUDIT = _struct(
 )
 LEDGER = _struct(
     "table_fqn string, version bigint, operation string, path string, source_fqn string, "
-    "source_version bigint, num_files bigint, size_in_bytes bigint, committed_at timestamp"
+    "source_version bigint, num_files bigint, size_in_bytes bigint, committed_at timestamp, "
+    "schema_json string, partition_columns array<string>"
 )
 
 # Stored tables and the column each is partitioned by.

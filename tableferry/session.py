@@ -30,11 +30,14 @@ _own_folders: dict[str, str] = {}
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can read, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only where that is unset, as in tests on one machine, a temporary folder is made, one per
-    application.
+    Only where that is unset and all tasks run in this process, as in tests, a temporary folder is
+    made, one per application. On a cluster executors would write to disks of their own, so there it is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"spark.checkpoint.dir is not set; on {master} it has to name a folder that all executors share")
         app = spark.sparkContext.applicationId
         folder = _own_folders.setdefault(app, "") or tempfile.mkdtemp(prefix="tableferry-")
         _own_folders[app] = folder

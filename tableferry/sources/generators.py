@@ -12,13 +12,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def _pick(values: list[str]) -> str:
-    listed = ", ".join(f"'{v}'" for v in values)
-    return f"element_at(array({listed}), CAST(id % {len(values)} + 1 AS INT))"
+def _hash(seed: str) -> str:
+    """A number from 0 to below 2**31, the same for a row and seed."""
+    return f"pmod(xxhash64('{seed}', id), 2147483648)"
 
 
-def _number(seed: str, low: float, high: float) -> str:
-    return f"({low} + pmod(xxhash64(id, '{seed}'), 1000000) / 1000000D * ({high} - {low}))"
+def _code(seed: str, kinds: int) -> str:
+    """One of so many made-up codes, the first of them the most frequent."""
+    return f"concat('{seed}', CAST(floor({kinds} * pow({_hash(seed)} / 2147483648D, 2)) AS INT))"
+
+
+def _amount(seed: str, digits: int, scale: int) -> str:
+    """A decimal whose size is spread over all magnitudes that it may have."""
+    return f"CAST(round(exp({_hash(seed)} / 2147483648D * ln(pow(10D, {digits - scale - 1}))), {scale}) AS DECIMAL({digits},{scale}))"
+
+
+def _share(seed: str) -> str:
+    return f"({_hash(seed)} / 2147483648D)"
+
+
+def _day(seed: str, days: int) -> str:
+    return f"date_add(DATE '2020-02-29', CAST({_hash(seed)} % {days} AS INT))"
+
+
+def _moment(seed: str) -> str:
+    return f"timestamp_micros(1500000000000000 + {_hash(seed)} * 100003)"
+
+
+def _yes(seed: str, percent: int) -> str:
+    return f"{_hash(seed)} % 100 < {percent}"
 
 
 @dataclass(frozen=True)
@@ -31,87 +53,46 @@ class Spec:
     external: bool = False
 
 
-# --- fixed values: the tables, their columns and value lists ------------------
+# Names and types of the columns are those of the tables that a copy is tried on; all values are made up here.
 SPECS = [
     Spec("sales", "transactions_fact", 5_000_000, {
-        "transaction_id": "concat('TXN-', id)",
-        "customer_id": "id % 500000 + 1",
-        "product_sku": "concat('SKU-', id % 10000)",
-        "quantity": "CAST(id % 20 + 1 AS INT)",
-        "unit_price": f"CAST({_number('price', 1, 1000)} AS DECIMAL(12,2))",
-        "total_amount": f"CAST(CAST({_number('price', 1, 1000)} AS DECIMAL(12,2)) * (id % 20 + 1) AS DECIMAL(14,2))",
-        "currency": _pick(["USD", "EUR", "GBP", "JPY", "INR"]),
-        "channel": _pick(["online", "store", "mobile", "partner"]),
-        "region": _pick(["APAC", "EMEA", "AMER", "LATAM"]),
-        "transaction_date": "date_add(DATE '2022-01-01', CAST(id % 1095 AS INT))",
-        "created_at": "timestamp_seconds(1640995200 + id)",
-        "is_refunded": "id % 20 = 0",
+        "transaction_id": "concat('t', hex(id))", "customer_id": f"{_hash('cu')} % 300000", "product_sku": _code("sku", 8000),
+        "quantity": f"CAST({_hash('q')} % 48 AS INT)", "unit_price": _amount("up", 12, 2), "total_amount": _amount("ta", 14, 2),
+        "currency": _code("cur", 6), "channel": _code("ch", 5), "region": _code("reg", 7), "transaction_date": _day("td", 400),
+        "created_at": _moment("ca"), "is_refunded": _yes("rf", 3),
     }, ["transaction_date", "region"]),
     Spec("sales", "customer_dim", 100_000, {
-        "customer_id": "id + 1",
-        "full_name": "concat('Customer_', id)",
-        "email": "concat('user', id, '@example.com')",
-        "phone": "concat('+1-555-', lpad(CAST(id % 9000000 + 1000000 AS STRING), 7, '0'))",
-        "country_code": _pick(["US", "IN", "GB", "DE", "JP", "AU"]),
-        "loyalty_tier": _pick(["BRONZE", "SILVER", "GOLD", "PLATINUM"]),
-        "signup_date": "date_sub(DATE '2026-01-01', CAST(id % 1825 AS INT))",
-        "is_active": "id % 10 <> 0",
+        "customer_id": "id * 3 + 1", "full_name": "concat_ws(' ', upper(left(md5(CAST(id AS STRING)), 3)), hex(id))", "email": "concat(md5(CAST(id AS STRING)), '@mail.invalid')",
+        "phone": f"lpad(CAST({_hash('ph')} AS STRING), 12, '0')", "country_code": _code("co", 30), "loyalty_tier": _code("tier", 4),
+        "signup_date": _day("su", 2500), "is_active": _yes("ac", 85),
     }),
     Spec("finance", "revenue_monthly", 120, {
-        "month_key": "date_trunc('month', date_add(DATE '2014-01-01', CAST(id * 30 AS INT)))",
-        "total_revenue": f"CAST({_number('revenue', 5e5, 1.05e7)} AS DECIMAL(16,2))",
-        "total_orders": f"CAST({_number('orders', 1e4, 1.1e5)} AS BIGINT)",
-        "avg_order_value": f"CAST({_number('value', 5, 1000)} AS DECIMAL(10,2))",
-        "region": _pick(["APAC", "EMEA", "AMER", "LATAM"]),
-    }),
-    Spec("sales", "empty_staging_table", 0, {
-        "batch_id": "CAST(id AS STRING)",
-        "payload": "CAST(NULL AS STRING)",
-        "loaded_at": "CAST(NULL AS TIMESTAMP)",
+        "month_key": "make_timestamp(2012 + CAST(id / 12 AS INT), CAST(id % 12 AS INT) + 1, 1, 0, 0, 0)", "total_revenue": _amount("tr", 16, 2),
+        "total_orders": f"{_hash('to')} % 77777", "avg_order_value": _amount("ao", 10, 2), "region": _code("reg", 7),
     }),
+    Spec("sales", "empty_staging_table", 0, {"batch_id": "hex(id)", "payload": "CAST(NULL AS STRING)", "loaded_at": _moment("la")}),
     Spec("analytics", "wide_schema_table", 10_000, {
-        "id": "id",
-        **{f"col_{i:03d}": _number(f"c{i}", 0, 1000) for i in range(1, 101)},
-        **{f"flag_{i:02d}": f"id % {i + 1} = 0" for i in range(1, 21)},
-    }),
-    Spec("operations", "special-table_v2", 5_000, {"id": "id", "value": _number("value", 0, 1)}),
-    Spec("edge_cases", "single_row_table", 1, {
-        "record_id": "'SINGLETON_001'", "status": "'alive'", "version": "CAST(1 AS BIGINT)",
+        "id": "id", **{f"col_{i:03d}": f"exp(3 * {_share(f'w{i}')})" for i in range(1, 101)}, **{f"flag_{i:02d}": _yes(f"f{i}", 4 * i) for i in range(1, 21)},
     }),
+    Spec("operations", "special-table_v2", 5_000, {"id": "id", "value": f"sqrt({_share('v')})"}),
+    Spec("edge_cases", "single_row_table", 1, {"record_id": "'only'", "status": "'there'", "version": "id + 9"}),
     Spec("edge_cases", "complex_types_table", 2_000, {
-        "id": "id",
-        "attributes": "map('color', 'red', 'size', 'L', 'brand', concat('Brand_', id % 10))",
-        "tags": "transform(sequence(0, id % 5), j -> concat('tag_', j))",
-        "scores": f"array({_number('s1', 0, 1)}, {_number('s2', 0, 1)}, {_number('s3', 0, 1)})",
+        "id": "id", "attributes": f"map('shape', {_code('shape', 9)}, 'grade', {_code('grade', 3)})",
+        "tags": f"slice(array('north', 'old', 'wet', 'blue', 'wide'), 1, CAST({_hash('tg')} % 6 AS INT))", "scores": f"transform(sequence(1, 4), k -> k * {_share('sc')})",
     }),
     Spec("analytics", "pageviews_hourly", 1_000_000, {
-        "event_id": "concat('EVT-', id)",
-        "event_type": _pick(["click", "view", "purchase", "scroll", "share"]),
-        "user_id": "id % 100000 + 1",
-        "session_id": "concat('SES-', id % 50000)",
-        "page_url": "concat('/page/', id % 500)",
-        "duration_ms": f"CAST({_number('duration', 0, 30000)} AS BIGINT)",
-        "event_date": "date_add(DATE '2025-01-01', CAST(id % 365 AS INT))",
+        "event_id": "sha1(CAST(id AS STRING))", "event_type": _code("ev", 6), "user_id": f"{_hash('us')} % 70000", "session_id": f"hex({_hash('se')} % 30000)",
+        "page_url": f"concat('/', {_code('page', 900)})", "duration_ms": f"CAST(exp(11 * {_share('du')}) AS BIGINT)", "event_date": _day("ed", 200),
     }, ["event_date", "event_type"]),
     Spec("sales", "product_catalog", 50_000, {
-        "sku": "concat('SKU-', id)",
-        "product_name": "concat('Product ', id)",
-        "category": _pick(["Electronics", "Apparel", "Home", "Sports", "Food"]),
-        "unit_cost": f"CAST({_number('cost', 5, 505)} AS DECIMAL(10,2))",
-        "is_available": "id % 7 <> 0",
-        "supplier_code": "concat('SUP-', id % 200)",
+        "sku": "concat('p', hex(id))", "product_name": "reverse(md5(CAST(id AS STRING)))", "category": _code("cat", 12), "unit_cost": _amount("uc", 10, 2),
+        "is_available": _yes("av", 70), "supplier_code": _code("sup", 150),
     }, external=True),
     Spec("operations", "warehouse_locations", 2_400, {
-        "warehouse_id": "id + 1",
-        "warehouse_code": "concat('WH-', lpad(CAST(id + 1 AS STRING), 4, '0'))",
-        "city": "concat('City_', id + 1)",
-        "state": "concat('State_', (id + 1) % 50)",
-        "country": "'US'",
-        "latitude": _number("lat", 25, 50),
-        "longitude": _number("lon", -125, -65),
+        "warehouse_id": "id * 7", "warehouse_code": "concat('d', hex(id))", "city": _code("town", 400), "state": _code("st", 16), "country": _code("co", 30),
+        "latitude": f"180 * {_share('lat')} - 90", "longitude": f"360 * {_share('lon')} - 180",
     }, external=True),
 ]
-# --- end of fixed values -------------------------------------------------------
 
 
 def generate(spark: SparkSession, spec: Spec, rows: int | None = None) -> DataFrame:
@@ -122,15 +103,10 @@ def generate(spark: SparkSession, spec: Spec, rows: int | None = None) -> DataFr
 
 def bulk_table(spark: SparkSession, schema_name: str, table_name: str, rows: int) -> DataFrame:
     """One of many small tables of the same form."""
+    own = f"{schema_name}.{table_name}"
     columns = {
-        "row_id": "id",
-        "business_key": f"concat('BK-{schema_name.upper()}-', lpad(CAST(id AS STRING), 10, '0'))",
-        "name": f"concat('{table_name} record ', id)",
-        "category_id": "CAST(id % 20 AS INT)",
-        "amount": f"CAST({_number(table_name, 0, 100000)} AS DECIMAL(12,2))",
-        "is_active": "id % 5 <> 0",
-        "load_date": "date_add(DATE '2024-01-01', CAST(id % 365 AS INT))",
-        "ingested_at": "timestamp_seconds(1704067200 + id)",
+        "row_id": "id", "business_key": f"md5(concat('{own}', id))", "name": f"concat(hex(id), ' of {own}')", "category_id": f"CAST({_hash(own)} % 33 AS INT)",
+        "amount": _amount(own, 12, 2), "is_active": _yes(own, 60), "load_date": _day(own, 90), "ingested_at": _moment(own),
     }
     return generate(spark, Spec(schema_name, table_name, rows, columns))
 

@@ -42,8 +42,8 @@ def folder_listing(spark: SparkSession, root: str, catalog: str, schema_name: st
     )
 
 
-def data_files(spark: SparkSession, root: str) -> DataFrame:
-    """Path, length and time of every file under a folder; contents are never read."""
+def data_files(spark: SparkSession, root: str | list[str]) -> DataFrame:
+    """Path, length and time of every file under a folder, or under several; contents are never read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     return files.select("path", "length", "modificationTime")
 
@@ -86,15 +86,28 @@ def folder_row_counts(spark: SparkSession, folders: Sequence[str]) -> DataFrame:
     """Rows in each of many Parquet folders, whatever their schemas, from one job.
 
     No column is read: the row counts come from the footers of the files, spread over the tasks.
+    A folder that none of the files read lies in has no count, rather than one of 0.
     """
     files = spark.read.schema(T.StructType([])).option("recursiveFileLookup", "true").parquet(*folders)
     # File paths come URL-encoded and with their scheme.
     path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     by_file = files.groupBy(plain_path(path).alias("file")).agg(F.count("*").alias("n"))
-    names = spark.createDataFrame([(f,) for f in folders], "path string").distinct()
-    by_folder = by_file.groupBy(F.regexp_extract("file", r"^(.*?/version=\d+)/", 1).alias("folder")).agg(F.sum("n").alias("n"))
-    joined = names.join(by_folder, plain_path(F.col("path")) == F.col("folder"), "left")
-    return joined.select("path", F.coalesce("n", F.lit(0)).alias("row_count"))
+    # Files without rows are there as well.
+    there = data_files(spark, list(folders)).select(plain_path(F.col("path")).alias("file"), F.lit(0).cast("bigint").alias("n"))
+    by_file = by_file.unionAll(there)
+    names = spark.createDataFrame([(f, _qualified(spark, f)) for f in folders], "path string, full string").distinct()
+    # A file lies in every folder above it; the one asked for is found by equality.
+    parts = F.split("file", "/")
+    above = F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda i: F.array_join(F.slice(parts, 1, i), "/"))
+    by_folder = by_file.select(F.explode(above).alias("folder"), "n").groupBy("folder").agg(F.sum("n").alias("n"))
+    joined = names.join(by_folder, plain_path(F.col("full")) == F.col("folder"), "left")
+    return joined.select("path", F.col("n").alias("row_count"))
+
+
+def _qualified(spark: SparkSession, folder: str) -> str:
+    """A folder with its file system, as files read from it are named."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString().rstrip("/")
 
 
 def plain_path(path: Column) -> Column:

@@ -21,11 +21,14 @@ _SCOPES = ["catalog", "schema", "table"]
 def read_table_file(spark: SparkSession, path: str) -> DataFrame:
     """A CSV with a header, all columns as text with trimmed lower-case names, plus ``ordinal``.
 
-    ``ordinal`` grows with the place of a row: file block first, then line.
+    ``ordinal`` grows with the place of a row: name of the file, block, line.
     """
     raw = spark.read.csv(path, header=True, quote='"', escape='"', enforceSchema=False)
-    named = raw.select(*[F.col(f"`{c}`").alias(c.strip().lower()) for c in raw.columns])
-    return named.withColumn("ordinal", F.monotonically_increasing_id())
+    place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")]
+    named = raw.select(*[F.col(f"`{c}`").alias(c.strip().lower()) for c in raw.columns], *place)
+    # Within a block the line order is that of the task that reads it; the sort keeps the ids in order.
+    ordered = named.withColumn("_line", F.monotonically_increasing_id()).orderBy("_file", "_block", "_line")
+    return ordered.drop("_file", "_block", "_line").withColumn("ordinal", F.monotonically_increasing_id())
 
 
 def _text(df: DataFrame, name: str) -> Column:
@@ -155,15 +158,14 @@ def parameter_mappings(
     """
     scope = scope.lower() if scope.lower() in _SCOPES else "schema"
     parts_wanted = _SCOPES.index(scope) + 1
-    listed = params.select(
-        F.monotonically_increasing_id().alias("row"), F.posexplode(N.name_list(F.col("names"))).alias("pos", "name")
-    )
+    # Numbered after the names are apart: ids grow with the rows and, within one, with the names.
+    listed = params.select(F.explode(N.name_list(F.col("names"))).alias("name")).withColumn("ordinal", F.monotonically_increasing_id())
     p = F.split("name", r"\.")
     part = [F.try_element_at(p, F.lit(i + 1)) if i < parts_wanted else F.lit(None).cast("string") for i in range(3)]
     own = lambda value, i: F.lit(value) if value else part[i]
     empty = F.array().cast("array<string>")
     return listed.select(
-        (F.col("row") * 1_000_000 + F.col("pos")).cast("bigint").alias("ordinal"),
+        "ordinal",
         F.lit(scope).alias("scope"),
         part[0].alias("source_catalog"),
         part[1].alias("source_schema"),

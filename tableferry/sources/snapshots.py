@@ -1,16 +1,24 @@
-"""Versioned copies of tables: one folder per version and a ledger of what was committed.
+"""Versioned copies of tables: a folder per try and a ledger of what was committed.
 
-A version counts only once its ledger row is written, so a copy that died halfway leaves nothing
-but a folder that the next try overwrites.
+Every try writes to a folder of its own, which only the ledger names: a copy that died halfway leaves nothing
+that is ever read. A version of a table is claimed by creating a file, which one writer at most
+can do on a file system with atomic creation such as HDFS; so two copies of one target get two versions.
+
+The ledger keeps each version's schema and partition columns, and reads go by them. Partition values
+of text columns are stored behind a mark, so that an empty text stays apart from NULL.
 """
 
 from __future__ import annotations
 
+import json
+import threading
 import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 from tableferry import schemas as S
 from tableferry.sources import listing
@@ -28,13 +36,20 @@ class SnapshotStore:
         empty.write.mode("append").parquet(f"{self.root}/ledger/start")
         return self
 
+    def _file_system(self, path: str):
+        jvm = self.spark._jvm
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        return at.getFileSystem(self.spark._jsc.hadoopConfiguration()), at
+
     def ledger(self) -> DataFrame:
         files = self.spark.read.schema(S.LEDGER).option("recursiveFileLookup", "true")
         return files.parquet(f"{self.root}/ledger")
 
-    def folder(self, table_fqn: str, version: int, location: str | None = None) -> str:
+    def folder(self, table_fqn: str, location: str | None = None) -> str:
+        """A new folder for one try, qualified with its file system."""
         home = location.rstrip("/") if location else f"{self.root}/tables/{table_fqn.replace('.', '/')}"
-        return f"{home}/version={version}"
+        fs, path = self._file_system(f"{home}/{uuid.uuid4().hex}")
+        return fs.makeQualified(path).toString()
 
     def exists(self, table_fqn: str) -> bool:
         return not self._entries(table_fqn).isEmpty()
@@ -46,14 +61,18 @@ class SnapshotStore:
 
     def read(self, table_fqn: str, version: int | None = None) -> DataFrame:
         """The table as of a version; without one as it is now."""
-        if version is None:
-            found = self.latest(table_fqn)
-        else:
-            row = self._entries(table_fqn).filter(F.col("version") == version).first()
-            found = (version, row["path"]) if row else None
-        if found is None:
+        entries = self._entries(table_fqn)
+        if version is not None:
+            entries = entries.filter(F.col("version") == version)
+        row = entries.orderBy(F.desc("version")).first()
+        if row is None:
             raise ValueError(f"{table_fqn}: no version {'' if version is None else version} in the ledger")
-        return self.spark.read.parquet(found[1])
+        if row["schema_json"] is None:
+            return self.spark.read.parquet(row["path"])
+        schema = StructType.fromJson(json.loads(row["schema_json"]))
+        marked = _marked(schema, row["partition_columns"] or [])
+        files = self.spark.read.schema(schema).parquet(row["path"])
+        return files.select(*[F.expr(f"substring(`{f.name}`, 2)").alias(f.name) if f.name in marked else F.col(f"`{f.name}`") for f in schema.fields])
 
     def copy(
         self,
@@ -70,9 +89,11 @@ class SnapshotStore:
         The copy is one narrow job: tasks write what they read, nothing is shuffled, and the
         partition columns of the source stay those of the target.
         """
+        path = self.folder(target_fqn, location)
+        marked = _marked(source.schema, partition_by)
+        stored = source.select(*[F.concat(F.lit(_MARK), F.col(f"`{c}`")).alias(c) if c in marked else F.col(f"`{c}`") for c in source.columns])
+        stored.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
         version = self._next_version(target_fqn)
-        path = self.folder(target_fqn, version, location)
-        source.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
         row = listing.path_stats(self.spark, path).select(
             F.lit(target_fqn).alias("table_fqn"),
             F.lit(version).cast("bigint").alias("version"),
@@ -83,6 +104,8 @@ class SnapshotStore:
             "num_files",
             "size_in_bytes",
             F.current_timestamp().alias("committed_at"),
+            F.lit(json.dumps(source.schema.jsonValue())).alias("schema_json"),
+            F.array(*[F.lit(c) for c in partition_by]).cast("array<string>").alias("partition_columns"),
         )
         self._commit(row)
         return version
@@ -104,14 +127,42 @@ class SnapshotStore:
         return self.ledger().filter(F.col("table_fqn") == table_fqn)
 
     def _next_version(self, table_fqn: str) -> int:
+        """The first version after the last that no other writer has claimed."""
         last = self._entries(table_fqn).agg(F.max("version")).first()[0]
-        return 0 if last is None else last + 1
+        version = 0 if last is None else last + 1
+        while True:
+            fs, claim = self._file_system(f"{self.root}/claims/{table_fqn}/{version}")
+            try:
+                # Local disks look first and create then, so writers of one process take turns.
+                with _claiming:
+                    fs.create(claim, False).close()
+            except Py4JJavaError as e:
+                if "FileAlreadyExistsException" not in str(e.java_exception.getClass()):
+                    raise
+                version += 1
+            else:
+                return version
+
+    def partition_columns(self) -> DataFrame:
+        """(table_fqn, partition_columns) of the current version of every table."""
+        newest = F.max_by("partition_columns", "version").alias("partition_columns")
+        return self.ledger().groupBy("table_fqn").agg(newest)
 
     def _commit(self, row: DataFrame) -> None:
         """One folder per commit: copies that end at the same time do not meet."""
         row.select(*S.LEDGER.names).coalesce(1).write.parquet(f"{self.root}/ledger/{uuid.uuid4().hex}")
 
 
+_claiming = threading.Lock()
+
+# Stands before the partition values of text columns.
+_MARK = "v"
+
+
+def _marked(schema: StructType, partition_by: Sequence[str]) -> list[str]:
+    return [f.name for f in schema.fields if f.name in partition_by and isinstance(f.dataType, StringType)]
+
+
 def latest_versions(ledger: DataFrame) -> DataFrame:
     """Latest version of every table, with where it is and what it was copied from."""
     newest = F.max_by(F.struct("version", "operation", "path", "source_version", "num_files", "size_in_bytes"), "version")

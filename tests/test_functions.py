@@ -68,13 +68,13 @@ def test_outcome_texts(spark):
 def test_rows_that_join_alike_hash_apart(spark):
     rows = [("a|b", "c"), ("a", "b|c"), (None, "a"), ("a", None), ("", "a"), ("__NULL__", "a"), ("1:a", ""), ("", "1:a")]
     df = spark.createDataFrame(rows, "x string, y string")
-    for h in (R.row_md5(df), R.row_sha256(df), R.row_hash64(df)):
+    for h in (R.row_md5(df), R.row_sha256(df), R.row_words(df)[0]):
         assert df.select(h).distinct().count() == len(rows)
 
 
 def test_maps_hash_by_content(spark):
     df = spark.sql("SELECT map('a', 1, 'b', 2) AS m UNION ALL SELECT map('b', 2, 'a', 1) UNION ALL SELECT map('a', 2, 'b', 1)")
-    for h in (R.row_md5(df), R.row_hash64(df), R.row_key(df)[1]):
+    for h in (R.row_md5(df), R.row_words(df)[0], R.row_key(df)[1]):
         assert df.select(h).distinct().count() == 2
 
 
@@ -85,12 +85,12 @@ def test_hash_sum_is_exact(spark, values):
     assert df.agg(R.exact_hash_sum(F.col("h"))).first()[0] == Decimal(sum(values))
 
 
-def test_sha_hash_is_the_first_sixty_bits(spark):
+def test_sha_hash_keeps_all_bits(spark):
     df = spark.createDataFrame([("k", 3)], "a string, b int")
-    want = int(hashlib.sha256(b"1:k1:3").hexdigest()[:15], 16)
-    assert df.select(R.row_hash64(df, algorithm="SHA256")).first()[0] == want
+    digest = hashlib.sha256(b"1:k1:3").hexdigest()
+    assert list(df.select(*R.row_words(df, algorithm="SHA256")).first()) == [int(digest[i : i + 8], 16) for i in range(0, 64, 8)]
     with pytest.raises(ValueError):
-        R.row_hash64(df, algorithm="CRC")
+        R.row_words(df, algorithm="CRC")
 
 
 def test_row_keys_tell_rows_apart(spark):

@@ -27,18 +27,26 @@ def brute_force(sizes, capacity, max_tables):
     return out
 
 
+def placed(sizes, capacity, max_tables):
+    """Chunk of each of the sizes, which come in falling order, by way of runs."""
+    distinct = sorted(set(sizes), reverse=True)
+    which, first, last, chunk = P.first_fit_runs(distinct, [sizes.count(s) for s in distinct], capacity, max_tables)
+    runs = sorted(zip(which.tolist(), first.tolist(), last.tolist(), chunk.tolist(), strict=True))
+    return [c for _, a, b, c in runs for _ in range(b - a + 1)]
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.integers(0, 120), min_size=1, max_size=60), st.integers(1, 100), st.one_of(st.none(), st.integers(1, 6)))
 def test_first_fit_is_the_plain_one(sizes, capacity, max_tables):
     sizes = sorted(sizes, reverse=True)
-    assert P.first_fit(np.array(sizes), capacity, max_tables).tolist() == brute_force(sizes, capacity, max_tables)
+    assert placed(sizes, capacity, max_tables) == brute_force(sizes, capacity, max_tables)
 
 
 def test_many_tables_pack_fast():
     sizes = np.sort(np.random.default_rng(1).integers(1, 10**9, 50_000))[::-1]
-    placed = P.first_fit(sizes, 10**10, 100)
-    totals = np.bincount(placed, weights=sizes)
-    assert totals.max() <= 10**10 and np.bincount(placed).max() <= 100
+    which, first, last, chunk = P.first_fit_runs(sizes.tolist(), [1] * len(sizes), 10**10, 100)
+    totals = np.bincount(chunk, weights=sizes[which])
+    assert totals.max() <= 10**10 and np.bincount(chunk).max() <= 100
 
 
 def _queued(spark, rows):
@@ -61,19 +69,15 @@ def test_caps_hold_and_every_table_is_placed_once(spark):
     assert len({r["chunk_id"] for r in got if r["batch_id"] == "b"}) == 5
 
 
-def test_a_batch_larger_than_a_pass_is_split_and_still_whole(spark):
-    rows = [("hot", f"m{i:05d}", 10 + i % 30) for i in range(3000)] + [("cold", "c", 5)]
-    got = P.plan_chunks(_queued(spark, rows), 100, None, pass_rows=500).collect()
-    assert len(got) == 3001 and len({r["migration_id"] for r in got}) == 3001
-    size = {r[1]: r[2] for r in rows}
-    totals: dict[tuple, int] = {}
-    for r in got:
-        key = (r["batch_id"], r["chunk_id"])
-        totals[key] = totals.get(key, 0) + size[r["migration_id"]]
-    assert max(totals.values()) <= 100
-    # Passes have numbers of their own.
-    passes = {r["chunk_id"] // 1000 for r in got if r["batch_id"] == "hot"}
-    assert passes == set(range(6))
+def test_a_large_batch_is_packed_as_a_whole(spark):
+    n = 60_000
+    sizes = [(7 * i) % 97 if i % 3 else 0 for i in range(n)]
+    rows = [("hot", f"m{i:05d}", sizes[i]) for i in range(n)] + [("cold", "c", 5)]
+    got = P.plan_chunks(_queued(spark, rows).repartition(7), 1000, 200).collect()
+    order = sorted(range(n), key=lambda i: (-sizes[i], i))
+    want = dict(zip([f"m{i:05d}" for i in order], brute_force([sizes[i] for i in order], 1000, math.ceil(n / 200)), strict=True))
+    assert {r["migration_id"]: r["chunk_id"] for r in got if r["batch_id"] == "hot"} == want
+    assert [r["chunk_id"] for r in got if r["batch_id"] == "cold"] == [1]
 
 
 @pytest.mark.parametrize("rows,chunks,cap", [(130, 8, 17), (0, 5, None), (5, 0, None), (3, 5, 1)])

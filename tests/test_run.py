@@ -203,7 +203,7 @@ def test_batches_written_together_do_not_meet(spark):
 def test_a_copy_that_was_never_committed_is_not_there(spark):
     store = SnapshotStore(spark, new_folder(spark, "u")).create()
     store.copy(spark.range(3), "a.b.c")
-    spark.range(100).write.parquet(store.folder("a.b.c", 1))
+    spark.range(100).write.parquet(store.folder("a.b.c"))
     assert store.read("a.b.c").count() == 3
     assert store.copy(spark.range(4), "a.b.c") == 1 and store.read("a.b.c").count() == 4
 
@@ -228,3 +228,41 @@ def test_verdict_keeps_an_error_in_counting_apart(spark):
     assert r["status"] == "VALIDATED" and not r["row_count_checked"]
     r = K.validate(records, stats("c.s.t"), stats("x.s.t"), counts).first()
     assert r["message"].startswith("TARGET_MISSING") and not r["row_count_checked"]
+
+
+def test_copies_of_one_target_do_not_mix(spark):
+    store = SnapshotStore(spark, new_folder(spark, "x")).create()
+    with ThreadPoolExecutor(4) as pool:
+        versions = list(pool.map(lambda n: store.copy(spark.range(n), "a.b.c"), (10, 20, 30, 40)))
+    assert sorted(versions) == [0, 1, 2, 3]
+    assert [store.read("a.b.c", v).count() for v in versions] == [10, 20, 30, 40]
+
+
+def test_partition_values_keep_type_and_emptiness(spark):
+    store = SnapshotStore(spark, new_folder(spark, "y")).create()
+    rows = [(1, "00", 7), (2, "01", None), (3, "", 7), (4, None, 8), (5, "v", 8)]
+    store.copy(spark.createDataFrame(rows, "id bigint, k string, n int"), "a.b.c", partition_by=["k", "n"])
+    back = store.read("a.b.c")
+    assert back.dtypes == [("id", "bigint"), ("k", "string"), ("n", "int")]
+    assert sorted(map(tuple, back.collect())) == rows
+    assert [tuple(r) for r in store.partition_columns().collect()] == [("a.b.c", ["k", "n"])]
+
+
+def test_folders_that_no_file_lies_in_have_no_count(spark):
+    root = new_folder(spark, "z")
+    spark.range(5).write.parquet(f"{root}/some/where")
+    spark.range(0).write.parquet(f"{root}/none")
+    paths = [f"{root}/some/where", f"{root}/none", f"file:{root.removeprefix('file:')}/some/where"]
+    assert {r["path"]: r["row_count"] for r in L.folder_row_counts(spark, paths).collect()} == dict(zip(paths, (5, 0, 5), strict=True))
+
+
+def test_a_cluster_needs_a_shared_folder(monkeypatch):
+    class Context:
+        master = "spark://host:7077"
+
+    class Session:
+        conf = type("Conf", (), {"get": staticmethod(lambda key, default: None)})
+        sparkContext = Context
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        new_folder(Session, "x")

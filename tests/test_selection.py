@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import fnmatch
+
 import os
 
 import pytest
@@ -78,7 +80,7 @@ def test_no_rules_exclude_nothing(spark):
     assert kept.count() == 1 and excluded.isEmpty()
 
 
-def test_long_rule_lists_give_the_same_as_short_ones(spark):
+def test_first_matching_rule_is_the_one_of_plain_matching(spark):
     rules = [
         (1, "schema", "cat_0", "sch_1", ""), (2, "table", "cat_*", "sch_*", "tmp_*"), (3, "catalog", "CAT_2", "", ""), (4, "table", "cat_1", "sch_3", "st?g*"),
         (5, "catalog", "*_3", "", ""), (6, "schema", "cat_[45]", "*x", ""), (7, "table", "*", "*", "*_9"), (8, "schema", "cat", "sch", ""),
@@ -87,9 +89,40 @@ def test_long_rule_lists_give_the_same_as_short_ones(spark):
     frame = spark.createDataFrame(rules, S.RULES)
     names = [(f"Cat_{c}", f"sch_{s}{e}", f"{t}_{i}", "a", "b", "c") for c in range(7) for s in range(1, 6) for e in ("", "x") for t in ("tmp", "stag", "t") for i in (1, 9)]
     selection = spark.createDataFrame([(*n, i) for i, n in enumerate(names)], S.SELECTION)
-    short = {r["ordinal"]: r["rule_ordinal"] for r in E.first_rule(selection, frame).collect()}
-    long = {r["ordinal"]: r["rule_ordinal"] for r in E._joined(selection, frame).collect()}
-    assert short == long and len(set(short.values())) > 6
+    got = {r["ordinal"]: r["rule_ordinal"] for r in E.first_rule(selection, frame).collect()}
+
+    def first(name):
+        for at, kind, *globs in rules:
+            depth = ["catalog", "schema", "table"].index(kind) + 1
+            if all(fnmatch.fnmatchcase(n.lower(), g.lower()) for n, g in zip(name[:depth], globs[:depth], strict=True)):
+                return at
+        return None
+
+    assert got == {i: first(n) for i, n in enumerate(names)} and len(set(got.values())) > 6
+
+
+def test_rules_that_cannot_be_applied_are_told_and_match_nothing(spark):
+    frame = spark.createDataFrame([(1, "Table", "c", "s", "t"), (2, "table", "c", "s", None), (3, "column", "c", "s", "t"), (None, "catalog", "c", "", "")], S.RULES)
+    good, bad = E.checked_rules(frame)
+    assert [(r["ordinal"], r["exclude_type"]) for r in good.collect()] == [(1, "table")]
+    assert {r["ordinal"]: r["reason"] for r in bad.collect()} == {2: "a pattern is missing", 3: "unknown type: column", None: "no place in the order"}
+    selection = spark.createDataFrame([("c", "s", "t", "a", "b", "c", 1), ("c", "s", "u", "a", "b", "c", 2)], S.SELECTION)
+    assert {r["ordinal"]: r["rule_ordinal"] for r in E.first_rule(selection, frame).collect()} == {1: 1, 2: None}
+
+
+def test_lines_of_several_files_keep_the_order_of_names_and_lines(spark, tmp_path):
+    for k, lines in (("b", 400), ("a", 3), ("c", 30)):
+        (tmp_path / f"{k}.csv").write_text("name\n" + "".join(f"{k}{i}\n" for i in range(lines)))
+    got = [r["name"] for r in I.read_table_file(spark, str(tmp_path)).orderBy("ordinal").collect()]
+    assert got == [f"{k}{i}" for k, n in (("a", 3), ("b", 400), ("c", 30)) for i in range(n)]
+
+
+def test_names_of_many_partitions_are_numbered_in_order(spark):
+    params = spark.range(3000).selectExpr("concat('c', id, ', d', id) AS names").repartition(1).repartition(1500)
+    got = I.parameter_mappings(params, "catalog").collect()
+    assert len({r["ordinal"] for r in got}) == len(got) == 6000
+    by = {r["source_catalog"]: r["ordinal"] for r in got}
+    assert all(by[f"c{i}"] < by[f"d{i}"] for i in range(3000))
 
 
 def test_document_forms(spark):
