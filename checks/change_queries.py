@@ -238,6 +238,29 @@ _RESET = {"status": "'RETRY_PENDING'", "attempt_number": "0", "error_code": "NUL
           "error_message": "'Reset from FAILED_PERMANENT by retry_permanent=true'", "updated_at": TS}
 
 
+@query("I13", _updated(f"status IN {RETRYABLE} AND f.x IS NOT NULL",
+       {"status": "'QUEUED'", "attempt_number": "CAST(attempt_number + 1 AS INT)", "queued_at": TS, "updated_at": TS},
+       "control LEFT JOIN (SELECT migration_id, 1 AS x FROM lost) f USING (migration_id)", "* EXCLUDE (x)"))
+def requeue_counting_the_attempt(t):
+    return C.requeue(t.control, t.lost, now(), count_attempt=True)
+
+
+# Rows whose start is not known: by their last update, or stale as they are.
+_UNSTARTED = "(SELECT * REPLACE (CASE WHEN CAST(migration_id AS BIGINT) % 3 = 0 THEN NULL ELSE started_at END AS started_at) FROM control)"
+
+
+@query("I15", f"""
+SELECT migration_id, CASE WHEN status IN {ACTIVE} AND date_sub('minute', COALESCE(started_at, updated_at), TIMESTAMP '1995-06-01 00:00:00') > 120
+ THEN 'RETRY_PENDING' ELSE status END AS later, CASE WHEN status IN {ACTIVE} AND (started_at IS NULL
+ OR date_sub('minute', started_at, TIMESTAMP '1995-06-01 00:00:00') > 120) THEN 'RETRY_PENDING' ELSE status END AS at_once FROM {_UNSTARTED}""")
+def stale_without_a_start(t):
+    rows = t.control.withColumn("started_at", F.expr("CASE WHEN CAST(migration_id AS BIGINT) % 3 <> 0 THEN started_at END"))
+    at = F.expr("TIMESTAMP '1995-06-01 00:00:00'")
+    later = C.reconcile_stale(rows, at).select("migration_id", F.col("status").alias("later"))
+    once = C.reconcile_stale(rows, at, unstarted_at_once=True).select("migration_id", F.col("status").alias("at_once"))
+    return later.join(once, "migration_id")
+
+
 @query("I14", _updated("status = 'FAILED_PERMANENT' AND batch_id = 'batch-3'", _RESET))
 def reset_permanent_failures(t):
     return C.reset_permanent_failures(t.control, now(), "batch-3")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import query
 from tableferry import schemas as S
+from tableferry.operators import checks as K
 from tableferry.operators import reconcile as Q
 from tableferry.operators import telemetry as T
 from tableferry.session import new_folder
@@ -44,6 +45,49 @@ def copy_keeps_partitions(t):
     return Q.compare_checksums(t.lineitem, copied, by=keys).select(*keys, "src_rows", "tgt_rows", "matched")
 
 
+_CODED = """SELECT o_orderkey, o_custkey, CASE o_orderkey % 5 WHEN 0 THEN '00' WHEN 1 THEN '01' WHEN 2 THEN '' WHEN 3 THEN 'x' END AS code FROM {orders}"""
+
+
+@query("A10, A12", _CODED.format(orders="orders"))
+def text_partitions_kept(t):
+    """Leading zeros, empty texts and NULLs as partition values."""
+    store = _store(t)
+    store.copy(t.spark.sql(_CODED, orders=t.orders), "tgt.main.coded", partition_by=["code"])
+    return store.read("tgt.main.coded")
+
+
+@query("A12", "SELECT * FROM orders")
+def copy_over_a_left_folder(t):
+    """A first try that died after writing other partitions."""
+    store = _store(t)
+    t.orders.withColumn("o_orderstatus", F.lit("dead")).write.partitionBy("o_orderstatus").parquet(store.folder("tgt.main.orders"))
+    store.copy(t.orders, "tgt.main.orders", partition_by=["o_orderstatus"])
+    return store.read("tgt.main.orders").select(*t.orders.columns)
+
+
+@query("A12, A14", """
+SELECT 0 AS version, COUNT(*) AS row_count FROM orders WHERE o_orderkey % 3 = 0 UNION ALL SELECT 1, COUNT(*) FROM orders WHERE o_orderkey % 3 > 0""")
+def two_sources_one_target(t):
+    store = _store(t)
+    store.copy(t.orders.filter("o_orderkey % 3 = 0"), "tgt.main.both", "src.a")
+    store.copy(t.orders.filter("o_orderkey % 3 > 0"), "tgt.main.both", "src.b")
+    return Q.row_counts({str(v): store.read("tgt.main.both", v) for v in (0, 1)}).select(F.col("table_name").cast("int").alias("version"), "row_count")
+
+
+@query("J11", """
+SELECT 'partition_columns_match' AS check_name, 'm.flags' AS table_name, true AS passed, 'src=[l_linestatus, l_returnflag] tgt=[l_linestatus, l_returnflag]' AS detail
+UNION ALL SELECT 'partition_columns_match', 'm.lost', false, concat('src=[l_linestatus] tgt=[', substr('x', 1, CAST(least(0, (SELECT COUNT(*) FROM lineitem)) AS BIGINT)), ']')""")
+def stored_partitions_match(t):
+    """Partition columns of two stores' own copies."""
+    source, target = _store(t), _store(t)
+    source.copy(t.lineitem, "m.flags", partition_by=["l_returnflag", "l_linestatus"])
+    target.copy(t.lineitem, "m.flags", partition_by=["l_linestatus", "l_returnflag"])
+    source.copy(t.lineitem, "m.lost", partition_by=["l_linestatus"])
+    target.copy(t.lineitem, "m.lost")
+    named = [s.partition_columns().withColumnRenamed("table_fqn", "table_name") for s in (source, target)]
+    return K.partitions_match(*named)
+
+
 @query("A10, J3, D19", """
 SELECT 0 AS version, (SELECT COUNT(*) FROM orders WHERE o_orderkey % 2 = 0) AS row_count UNION ALL SELECT 1, (SELECT COUNT(*) FROM orders)
 UNION ALL SELECT -1, (SELECT COUNT(*) FROM orders)""")

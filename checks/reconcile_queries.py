@@ -406,3 +406,28 @@ def _text_sized(col: str) -> str:
 @query("D22", f"SELECT md5(concat({', '.join(_text_sized(c) for c in _DOCS)})) AS row_hash, COUNT(*) AS n FROM documents GROUP BY 1")
 def document_hash_frequency(t):
     return Q.hash_frequency(t.documents)
+
+
+@query("D20, C8", """
+SELECT (SELECT COUNT(*) FROM orders) AS src_rows, (SELECT COUNT(*) FROM orders) AS tgt_rows, true AS matched, CAST(0 AS BIGINT) AS differences""")
+def retyped_columns_agree(t):
+    """A column of another type with equal values: checksum and row comparison say the same."""
+    wide = t.orders.select("o_orderkey", "o_custkey")
+    other = wide.withColumn("o_custkey", F.col("o_custkey").cast("string"))
+    sums = Q.compare_checksums(wide, other).select("src_rows", "tgt_rows", "matched")
+    return sums.withColumn("differences", F.lit(Q.row_differences(wide, other).count()).cast("bigint"))
+
+
+@query("C8, J9", """
+SELECT COUNT(*) AS rows_sampled, CAST(0 AS BIGINT) AS hash_mismatches, false AS passed, 'missing in tgt: o_totalprice' AS detail FROM orders""")
+def missing_column_is_a_failure(t):
+    return Q.integrity(t.orders, t.orders.drop("o_totalprice"))
+
+
+@query("D21, J15", """
+SELECT 'l_extendedprice' AS column_name, COUNT(*) AS src_row_count, COUNT(*) AS tgt_row_count, true AS matched FROM lineitem""")
+def means_of_another_layout(t):
+    """The mean of doubles, added up in two orders."""
+    prices = t.lineitem.select(F.col("l_extendedprice").cast("double").alias("l_extendedprice"))
+    other = prices.repartition(13).sortWithinPartitions("l_extendedprice")
+    return Q.compare_profiles(Q.profile(prices), Q.profile(other)).select("column_name", "src_row_count", "tgt_row_count", "matched")

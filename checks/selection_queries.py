@@ -82,6 +82,14 @@ def rejected_mapping_rows(t):
     return I.bad(I.mappings(written_csv(t, raw))).groupBy("reason").agg(F.count("*").alias("n"))
 
 
+@query("A3", f"""
+SELECT migration_id, CASE {KEY} % 3 WHEN 0 THEN concat('it''s ', migration_id, ';b') WHEN 1 THEN concat('None;', migration_id) ELSE 'a"b;c\\d' END AS joined FROM control""")
+def escaped_list_cells(t):
+    cell = F.expr(f"""CASE {KEY} % 3 WHEN 0 THEN concat("['it\\\\'s ", migration_id, "', 'b']") WHEN 1 THEN concat('[None, ', migration_id, ']')
+     ELSE r'["a\\"b", "c\\\\d"]' END""")
+    return t.control.select("migration_id", F.array_join(N.list_cell(cell), ";").alias("joined"))
+
+
 @query("A3", f"""
 SELECT migration_id, CASE {KEY} % 4 WHEN 2 THEN 1 WHEN 3 THEN 2 ELSE 0 END AS entries,
  CASE {KEY} % 4 WHEN 2 THEN 'tmp_*' WHEN 3 THEN 'tmp_*;st?g*' ELSE '' END AS joined FROM control""")

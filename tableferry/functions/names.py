@@ -75,16 +75,20 @@ def glob_regexes(patterns: Column) -> Column:
 
 
 def list_cell(cell: Column) -> Column:
-    """Decode a list literal such as ``['a', '*b*']`` to an array; a bad or blank cell is empty."""
+    """Decode a list literal such as ``['a', '*b*']`` to an array; a bad or blank cell is empty.
+
+    Quotes and backslashes may be escaped in a text; ``None``, ``True`` and ``False`` read as their names.
+    """
     text = F.trim(F.coalesce(cell, F.lit("")))
-    item = r"""('[^'\\]*'|"[^"\\]*")"""
-    number = r"([-+]?\d+(?:\.\d+)?)"
-    entry = f"(?:{item}|{number})"
+    item = r"""('(?:[^'\\]|\\['"\\])*'|"(?:[^"\\]|\\['"\\])*")"""
+    other = r"([-+]?\d+(?:\.\d+)?|None|True|False)"
+    entry = f"(?:{item}|{other})"
     is_list = text.rlike(rf"^[\[(]\s*(?:{entry}\s*(?:,\s*{entry}\s*)*,?)?\s*[\])]$")
     # One quoted string in parentheses is a string, which reads as one entry all the same.
     is_scalar = text.rlike(f"^{entry}$")
     entries = F.regexp_extract_all(text, F.lit(f"({entry})"), 1)
-    plain = F.transform(entries, lambda e: F.trim(F.regexp_replace(e, r"""^['"]|['"]$""", "")))
+    bare = lambda e: F.regexp_replace(F.regexp_replace(e, r"""^['"]|['"]$""", ""), r"""\\(['"\\])""", "$1")
+    plain = F.transform(entries, lambda e: F.trim(bare(e)))
     return F.when(is_list | is_scalar, plain).otherwise(F.array().cast("array<string>"))
 
 

@@ -283,13 +283,14 @@ def mark_validated(current: DataFrame, outcomes: DataFrame, now: Column) -> Data
 # --- retry --------------------------------------------------------------------
 
 
-def requeue(current: DataFrame, eligible: DataFrame, now: Column) -> DataFrame:
-    """Back to QUEUED.  The attempt is counted when it starts, not here as well."""
+def requeue(current: DataFrame, eligible: DataFrame, now: Column, count_attempt: bool = False) -> DataFrame:
+    """Back to QUEUED.  The attempt is counted when it starts, unless ``count_attempt`` has it counted here as well."""
+    attempt = F.coalesce("attempt_number", F.lit(0)) + 1 if count_attempt else F.col("attempt_number")
     return update_from(
         current,
         eligible.select("migration_id"),
         F.col("status").isin(S.RETRYABLE),
-        {"status": F.lit("QUEUED"), "queued_at": now, "updated_at": now},
+        {"status": F.lit("QUEUED"), "attempt_number": attempt, "queued_at": now, "updated_at": now},
     )
 
 
@@ -311,16 +312,21 @@ def reset_permanent_failures(current: DataFrame, now: Column, batch_id: str = ""
     )
 
 
-def is_stale(now: Column, minutes: int = 120) -> Column:
-    """In flight for more than so many minutes since the start, or the last update where none is known."""
-    since = F.coalesce("started_at", "updated_at")
+def is_stale(now: Column, minutes: int = 120, unstarted_at_once: bool = False) -> Column:
+    """In flight for more than so many minutes since the start.
+
+    Where no start is known the last update counts, or, with ``unstarted_at_once``, the row is stale as it is.
+    """
+    since = F.col("started_at") if unstarted_at_once else F.coalesce("started_at", "updated_at")
     old = F.coalesce(M.age_minutes(since, now) > minutes, F.lit(True))
     return F.col("status").isin(S.ACTIVE) & old
 
 
-def reconcile_stale(current: DataFrame, now: Column, minutes: int = 120, batch_id: str = "") -> DataFrame:
+def reconcile_stale(
+    current: DataFrame, now: Column, minutes: int = 120, batch_id: str = "", unstarted_at_once: bool = False
+) -> DataFrame:
     """Rows stuck in flight go to RETRY_PENDING."""
-    mine = is_stale(now, minutes)
+    mine = is_stale(now, minutes, unstarted_at_once)
     if batch_id:
         mine = mine & (F.col("batch_id") == batch_id)
     return update_where(
