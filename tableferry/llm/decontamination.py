@@ -39,7 +39,7 @@ class Benchmark:
     def __init__(self, items: list[tuple[int, str]]):
         self.ids = [i for i, _ in items]
         texts = [(t or "").lower().encode() for _, t in items]
-        data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+        data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
         words = split(data, offsets)
         h = words.hashes()
         self.words = [h[a:b] for a, b in zip(words.first[:-1], words.first[1:], strict=True)]

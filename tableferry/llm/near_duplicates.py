@@ -30,12 +30,12 @@ from tableferry.llm.components import components
 from tableferry.llm.shared import by_ids, runs, settle, shuffle_width, texts_of
 from tableferry.llm.words import mix, slices
 
-COORDINATES, POSTED = 1024, 64
+COORDINATES, POSTED = 2048, 64
 # Pairs of similarity s share none of so many coordinates with probability (1 - s) ** PREFIX: 1e-10 for 0.85, 4e-9 for 0.8.
 PREFIX = 12
 # Two bits of each coordinate are compared; pairs more than so many standard deviations below what the
 # similarity asked for gives on average are not confirmed.
-BELOW = 5.5
+BELOW = 5.0
 # A coordinate-value pair in more than this share of the classes is posted last.
 HEAVY_SHARE = 0.001
 HEAVY_LEAST = 50
@@ -253,9 +253,11 @@ def _pairs(table: pa.Table, most: int):
         m = s + int(np.searchsorted(side[s:e], 1))
         if m == s or m == e:
             continue
-        x = bits[s:m, None, :] ^ bits[None, m:e, :]
-        far = np.bitwise_count((x | (x >> np.uint64(1))) & _LOW_BITS).sum(2, dtype=np.int64)
-        p, q = np.nonzero((far <= most) & (comp[s:m, None] != comp[None, m:e]))
+        near = []
+        for at in range(s, m, 16):
+            x = bits[at : min(m, at + 16), None, :] ^ bits[None, m:e, :]
+            near.append(np.bitwise_count((x | (x >> np.uint64(1))) & _LOW_BITS).sum(2, dtype=np.int64) <= most)
+        p, q = np.nonzero(np.concatenate(near) & (comp[s:m, None] != comp[None, m:e]))
         p, q = p + s, q + m
         # Two of the left side meet twice.
         once = ~outside[q] | (ids[p] < ids[q])
