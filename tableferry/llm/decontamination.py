@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tableferry.llm.shared import settle, texts_of
 from tableferry.llm.words import slices, split
 
-COMMON, RAREST = 0.02, 8
+COMMON, RAREST = 0.005, 8
 STEP_WORDS = 32
 RANK, RANK_MOST = 64, 256
 COSINE, CONTAINED = 0.3, 0.35
@@ -65,8 +65,10 @@ class Benchmark:
         rows = np.zeros((len(self.words), len(self.vocabulary)), np.float32)
         for i, words in enumerate(self.words):
             at, n = np.unique(self.numbers(words), return_counts=True)
-            rows[i, at] = self.idf[at] * (1 + np.log(n))
+            rows[i, at] = self.idf[at] * n
         self.rows = rows
+        self.sets = [set(w.tolist()) for w in self.words]
+        self.telling = [set(w[self.idf[self.numbers(w)] > 0].tolist()) for w in self.words]
 
     def based(self, sums: np.ndarray) -> None:
         """Orthogonal basis of the latent space, from the sums of A'AR."""
@@ -111,20 +113,39 @@ def document_frequencies(docs: DataFrame, bench: Benchmark) -> tuple[np.ndarray,
     return out, passages
 
 
-def _rows(number: np.ndarray, half: np.ndarray, base: np.ndarray, idf: np.ndarray):
-    """TF-IDF rows of passages (two half passages, or one where a text has no more) as (passage, word, weight), by passage."""
+def _halves(number: np.ndarray, half: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weighed words and their half passages, in order."""
     keep = idf[number] > 0
-    number, half = number[keep], half[keep]
-    # A half passage belongs to the passage that it begins and to the one before, in the same text.
-    begins = np.zeros(int(base[-1]) + 1, bool)
-    begins[base[:-1]] = True
-    later = ~begins[half]
-    passage = np.concatenate((half, half[later] - 1))
-    number = np.concatenate((number, number[later]))
-    width = len(idf)
-    key, n = np.unique(passage * width + number, return_counts=True)
-    passage, number = key // width, key % width
-    return passage, number, idf[number] * (1 + np.log(n)).astype(np.float32)
+    return number[keep], half[keep]
+
+
+def _half_sums(table: np.ndarray, number: np.ndarray, half: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Half passages that hold weighed words, and the sum of the words' rows of ``table`` in each."""
+    first = np.flatnonzero(np.append(True, half[1:] != half[:-1]))
+    out = np.empty((len(first), table.shape[1]), np.float32)
+    # In parts that stay in the cache.
+    edges = np.append(first, len(half))
+    for a in range(0, len(first), 256):
+        b = min(len(first), a + 256)
+        part = slice(edges[a], edges[b])
+        out[a:b] = np.add.reduceat(table[number[part]] * idf[number[part], None], first[a:b] - edges[a])
+    return half[first], out
+
+
+def _passage_sums(halves: np.ndarray, sums: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Passages, each a half passage and the next one of its text, and their sums."""
+    later = ~begins[halves]
+    passages = np.unique(np.concatenate((halves, halves[later] - 1)))
+    out = np.zeros((len(passages), sums.shape[1]), np.float32)
+    out[np.searchsorted(passages, halves)] = sums
+    out[np.searchsorted(passages, halves[later] - 1)] += sums[later]
+    return passages, out
+
+
+def _begins(base: np.ndarray) -> np.ndarray:
+    out = np.zeros(int(base[-1]) + 1, bool)
+    out[base[:-1]] = True
+    return out
 
 
 def latent_sums(docs: DataFrame, bench: Benchmark, rank: int) -> np.ndarray:
@@ -135,19 +156,24 @@ def latent_sums(docs: DataFrame, bench: Benchmark, rank: int) -> np.ndarray:
 
     def partial(batches):
         b = shared.value
-        random = np.random.default_rng(17).normal(size=(width, rank)).astype(np.float32)
+        random = _random(width, rank)
         total = np.zeros((width, rank), np.float32)
         for batch in batches:
             for _, _, words in slices(batch.column("text"), lower=True):
-                passage, number, weight = _rows(*_passages(words, b), b.idf)
-                if not len(passage):
+                number, half, base = _passages(words, b)
+                number, half = _halves(number, half, b.idf)
+                if not len(number):
                     continue
-                first = np.flatnonzero(np.append(True, passage[1:] != passage[:-1]))
-                y = np.add.reduceat(random[number] * weight[:, None], first)
-                of = np.cumsum(np.append(True, passage[1:] != passage[:-1])) - 1
+                begins = _begins(base)
+                passages, y = _passage_sums(*_half_sums(random, number, half, b.idf), begins)
+                # A word adds to the passage that its half begins and to the one before.
+                add = y[np.searchsorted(passages, half)]
+                later = np.flatnonzero(~begins[half])
+                add[later] += y[np.searchsorted(passages, half[later] - 1)]
                 order = np.argsort(number, kind="stable")
                 edge = np.flatnonzero(np.append(True, number[order][1:] != number[order][:-1]))
-                total[number[order][edge]] += np.add.reduceat(y[of[order]] * weight[order][:, None], edge)
+                word = number[order][edge]
+                total[word] += np.add.reduceat(add[order], edge) * b.idf[word, None]
         starts = range(0, width, block)
         yield pa.RecordBatch.from_arrays([pa.array(list(starts), pa.int64()), pa.array([total[s : s + block].tobytes() for s in starts], pa.binary())], names=["start", "sums"])
 
@@ -159,7 +185,13 @@ def latent_sums(docs: DataFrame, bench: Benchmark, rank: int) -> np.ndarray:
     out = np.zeros((width, rank), np.float32)
     for r in found:
         out[r.start : r.start + block] = np.frombuffer(r.sums, np.float32).reshape(-1, rank)
-    return out
+    # The items are passages, too, and weigh as much as all others together, so that the space has room for them.
+    own = bench.rows.T @ (bench.rows @ _random(width, rank))
+    return out + own * max(1.0, float(np.linalg.norm(out)) / max(float(np.linalg.norm(own)), 1e-9))
+
+
+def _random(width: int, rank: int) -> np.ndarray:
+    return np.random.default_rng(17).normal(size=(width, rank)).astype(np.float32)
 
 
 def common_subsequence(a: list[int], b: list[int]) -> int:
@@ -223,35 +255,39 @@ def _leaks_of(docs: DataFrame, bench: Benchmark) -> DataFrame:
 def _found(words, b: Benchmark):
     """(row, item, similarity, overlap, has answer) of a slice's texts."""
     number, half, base = _passages(words, b)
-    passage, word, weight = _rows(number, half, base, b.idf)
-    if not len(passage):
+    number, half = _halves(number, half, b.idf)
+    if not len(number):
         return
-    first = np.flatnonzero(np.append(True, passage[1:] != passage[:-1]))
-    dots = np.add.reduceat(b.toward[word] * weight[:, None], first)
+    begins = _begins(base)
+    passages, dots = _passage_sums(*_half_sums(b.toward, number, half, b.idf), begins)
     near, item = np.nonzero((dots >= CONTAINED * b.length**2) & (b.length > 0))
     if not len(near):
         return
-    some = np.unique(near)
-    bounds = np.append(first, len(passage))
-    norm = np.zeros(len(first), np.float32)
-    for p in some.tolist():
-        s = slice(bounds[p], bounds[p + 1])
-        norm[p] = np.linalg.norm(weight[s] @ b.basis[word[s]])
+    norm = np.zeros(len(passages), np.float32)
+    for p in np.unique(near).tolist():
+        low, high = np.searchsorted(half, passages[p]), np.searchsorted(half, passages[p], "right")
+        if not begins[passages[p] + 1]:
+            high = np.searchsorted(half, passages[p] + 1, "right")
+        held = number[low:high]
+        norm[p] = np.linalg.norm(b.idf[held] @ b.basis[held])
     cosine = dots[near, item] / (b.length[item] * np.maximum(norm[near], 1e-9))
     ok = cosine >= COSINE
     best: dict[tuple[int, int], tuple] = {}
     h = words.hashes()
-    for p, i, c in zip(passage[first[near[ok]]].tolist(), item[ok].tolist(), cosine[ok].tolist(), strict=True):
+    for p, i, c in zip(passages[near[ok]].tolist(), item[ok].tolist(), cosine[ok].tolist(), strict=True):
         row = int(np.searchsorted(base, p, "right")) - 1
         low, high = words.first[row], words.first[row + 1]
         begin = low + (p - base[row]) * b.step
         wanted = b.words[i]
-        region = h[max(low, begin - b.step) : min(high, begin + 3 * b.step)]
+        region = h[max(low, begin - b.step) : min(high, begin + 3 * b.step)].tolist()
         # Only from the first to the last of the item's telling words, with as many around as it may have there.
-        telling = np.flatnonzero(np.isin(region, wanted[b.idf[b.numbers(wanted)] > 0]))
-        if not len(telling):
+        telling = [k for k, w in enumerate(region) if w in b.telling[i]]
+        if not telling:
+            continue
+        region = region[max(0, telling[0] - 12) : telling[-1] + 13]
+        # Too few of the item's words in any order cannot be enough of them in its own.
+        if sum(w in b.sets[i] for w in region) < LIKELY * len(wanted):
             continue
-        region = region[max(0, telling[0] - 12) : telling[-1] + 13].tolist()
         overlap = common_subsequence(wanted.tolist(), region) / len(wanted)
         tail = wanted[-ANSWER:].tolist()
         answer = common_subsequence(tail, region) >= ANSWER_SHARE * len(tail)
