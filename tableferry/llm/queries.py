@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tableferry.llm import decontamination, html_text, mixing, near_duplicates, quality, substring_dedup, topk, toxicity, url_filters, warc
+from tableferry.llm.shared import by_ids
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -113,7 +114,7 @@ def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Languages as domains, learned from the documents that ``labels`` covers; small languages are lifted."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    labelled = docs.join(table(spark, sf_dir, "labels").select("doc_id").distinct(), "doc_id", "left_semi").select("text", F.col("lang").alias("domain"))
+    labelled = by_ids(docs, table(spark, sf_dir, "labels"), "left_semi").select("text", F.col("lang").alias("domain"))
     return mixing.mixed(docs, labelled)
 
 
