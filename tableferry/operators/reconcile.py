@@ -273,9 +273,9 @@ def integrity(source: DataFrame, target: DataFrame, percent: float = 100.0, buck
     )
     skipped = "empty table — skip hash"
     # --- end of fixed values
-    nothing = F.when(none & F.lit(empty) & (F.col("hash_mismatches") == 0), skipped).when(none, "no row of the table is in the sample")
+    nothing = F.when(none & F.lit(empty), skipped).when(none, "no row of the table is in the sample")
     lacking = F.lit(f"missing in tgt: {', '.join(missing)}") if missing else F.lit(None).cast("string")
-    clean = (F.col("hash_mismatches") == 0) & (~none | F.lit(empty))
+    clean = F.when(none, F.lit(empty)).otherwise(F.col("hash_mismatches") == 0)
     return totals.withColumns({"passed": clean & F.lit(not missing), "detail": F.coalesce(lacking, nothing, text)})
 
 

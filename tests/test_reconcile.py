@@ -39,7 +39,17 @@ def _by_key(df):
 def test_sampled_differences_are_the_full_ones_within_the_sample(t):
     full = _by_key(Q.row_differences(t.src_rows, t.tgt_rows))
     sampled = _by_key(Q.row_differences(t.src_rows, t.tgt_rows, 30.0))
-    assert sampled == {k: n for k, n in full.items() if k[0] % 10_000 < 3000} and sampled
+    assert sampled == {k: n for k, n in full.items() if (k[0] % (1 << 64)) >> 1 < int(0.3 * (1 << 63))} and sampled
+
+
+def test_a_sample_that_holds_nothing_is_no_pass(spark):
+    a = spark.range(200_000)
+    got = Q.integrity(a, a.filter("id % 2 = 0"), 1e-9).first()
+    assert (got["rows_sampled"], got["passed"], got["detail"]) == (0, False, "no row of the table is in the sample")
+    none = Q.integrity(a.limit(0), a.limit(0), 0.001).first()
+    assert none["passed"] and none["detail"] == "empty table — skip hash"
+    found = Q.integrity(a, a.filter("id % 2 = 0"), 0.5).first()
+    assert 500 < found["rows_sampled"] < 1500 and not found["passed"]
 
 
 def test_other_types_with_the_same_text_are_equal(spark):
