@@ -2,9 +2,10 @@
 
 Every document's word shingles give a signature of ``COORDINATES`` minima. Documents with equal
 shingle sets are one class, so a thousand copies weigh as one row. A class is posted under
-coordinate-value pairs, a prefix of ``PREFIX`` of the first ``POSTED`` coordinates in a common order. Pairs held
-by more than a thousandth of the classes come last in the order: passages shared by very many
-documents rarely open a list.
+coordinate-value pairs, a prefix of the first ``POSTED`` coordinates in a common order. Two classes that agree in so
+many of these as ``agreeing_least`` says share one of their first ``POSTED - agreeing_least + 1`` pairs in any
+common order, so only these are posted. Pairs held by more than a thousandth of the classes come last in
+the order: passages shared by very many documents rarely open a list.
 
 Lists are merged in passes. In each of the first passes every list's members meet one of them, another one
 in each pass, and what is confirmed is settled as components: members of one component are skipped from then on, for no
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 from functools import reduce
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +32,9 @@ from tableferry.llm.components import components
 from tableferry.llm.shared import by_ids, runs, settle, shuffle_width, texts_of
 from tableferry.llm.words import mix, slices
 
-COORDINATES, POSTED = 2048, 64
-# Pairs of similarity s share none of so many coordinates with probability (1 - s) ** PREFIX: 1e-10 for 0.85, 4e-9 for 0.8.
-PREFIX = 12
+COORDINATES, POSTED = 2048, 32
+# A pair of the similarity asked for agrees in fewer posted coordinates than are counted on with at most this probability.
+MISSED = 1e-8
 # Two bits of each coordinate are compared; pairs more than so many standard deviations below what the
 # similarity asked for gives on average are not confirmed.
 BELOW = 5.0
@@ -86,6 +88,14 @@ def most_misses(percent: int) -> int:
     return int(COORDINATES * (1 - m) + BELOW * (COORDINATES * m * (1 - m)) ** 0.5)
 
 
+def agreeing_least(percent: int) -> int:
+    """How many of the posted coordinates a pair is counted on to agree in; at least one."""
+    s, below, least = percent / 100, 0.0, 0
+    while least < POSTED and (below := below + comb(POSTED, least) * s**least * (1 - s) ** (POSTED - least)) <= MISSED:
+        least += 1
+    return max(1, least)
+
+
 _SKETCH = "doc_id long, n_shingles long, set_key binary, posted binary, " + ", ".join(f"{c} long" for c in WORDS_OF_BITS)
 
 
@@ -129,7 +139,7 @@ def _slots(signature: np.ndarray) -> np.ndarray:
 
 
 def heavy_slots(classes: DataFrame, n: int) -> np.ndarray:
-    """Coordinate-value pairs of more than ``HEAVY_SHARE`` of the classes, at most 2 * 64 / share of them.
+    """Coordinate-value pairs of more than ``HEAVY_SHARE`` of the classes, at most 2 * ``POSTED`` / share of them.
 
     A pair above the share overall is above it in some task's rows, so tasks name only such ones.
     """
@@ -146,14 +156,15 @@ def heavy_slots(classes: DataFrame, n: int) -> np.ndarray:
     return np.array(sorted(r.slot for r in found.where(F.col("n") > least).select("slot").collect()), np.int64)
 
 
-def with_prefix(classes: DataFrame, heavy: np.ndarray) -> DataFrame:
+def with_prefix(classes: DataFrame, heavy: np.ndarray, percent: int) -> DataFrame:
     """``classes`` with the coordinate-value pairs that each is posted under, as longs in one binary."""
+    posts = POSTED - agreeing_least(percent) + 1
     shared = classes.sparkSession.sparkContext.broadcast(heavy)
 
     def post(batches):
         for batch in batches:
             slots = _slots(_matrix(batch.column("posted")))
-            order = np.argsort(np.isin(slots, shared.value), axis=1, kind="stable")[:, :PREFIX]
+            order = np.argsort(np.isin(slots, shared.value), axis=1, kind="stable")[:, :posts]
             prefix = pa.array([r.tobytes() for r in np.take_along_axis(slots, order, 1)], pa.binary())
             at = batch.schema.get_field_index("posted")
             yield pa.RecordBatch.from_arrays([prefix if k == at else c for k, c in enumerate(batch.columns)], names=["prefix" if k == at else n for k, n in enumerate(batch.schema.names)])
@@ -167,7 +178,7 @@ def postings(classes: DataFrame) -> DataFrame:
         for batch in batches:
             slots = np.frombuffer(b"".join(batch.column("prefix").to_pylist()), np.int64)
             ids = batch.column("id").to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(np.repeat(ids, PREFIX))], names=["slot", "id"])
+            yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(np.repeat(ids, len(slots) // max(1, len(ids))))], names=["slot", "id"])
 
     return classes.select("id", "prefix").mapInArrow(post, "slot long, id long")
 
@@ -246,7 +257,7 @@ def _pairs(table: pa.Table, most: int):
     edges = runs(_group_key(table))
     side, ids, comp, slot = (table.column(c).to_numpy() for c in ("side", "id", "comp", "slot"))
     outside = table.column("outside").to_numpy()
-    prefix = np.frombuffer(b"".join(table.column("prefix").to_pylist()), np.int64).reshape(-1, PREFIX)
+    prefix = np.frombuffer(b"".join(table.column("prefix").to_pylist()), np.int64).reshape(table.num_rows, -1)
     bits = np.column_stack([table.column(c).to_numpy().view(np.uint64) for c in WORDS_OF_BITS])
     a, b = [], []
     for s, e in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
@@ -315,7 +326,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     known = settle(sketches(docs, size), "sketches")
     first = [F.first(c).alias(c) for c in ("posted", *WORDS_OF_BITS)]
     classes = settle(known.where("set_key IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("id"), *first).where("id IS NOT NULL"), "classes")
-    classes = settle(with_prefix(classes, heavy_slots(classes, classes.count())), "classes")
+    classes = settle(with_prefix(classes, heavy_slots(classes, classes.count()), percent), "classes")
     posted = postings(classes)
     shared = posted.groupBy("slot").agg(F.count("*").alias("n")).where("n > 1").select("slot")
     lists = settle(posted.join(shared, "slot").withColumn("comp", F.col("id")), "lists")

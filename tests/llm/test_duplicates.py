@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 
 import numpy as np
 import pytest
@@ -116,6 +117,37 @@ def test_lists_are_cut_into_blocks(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == groups(rows, 3, 85)
 
 
+def test_a_large_family_of_different_near_copies(spark):
+    """All values of the family are heavy; what a member shares with it has to be posted all the same."""
+    base = [f"w{i}" for i in range(300)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 600):
+        words = list(base)
+        for place in random.Random(i).sample(range(2, 298, 8), 6):
+            words[place] = f"x{i}y{place}"
+        rows.append((i, " ".join(words)))
+    want = groups(rows, 5, 80)
+    assert {c for _, c in want.values()} == {0}
+    got = nd.near_duplicates(frame(spark, rows), 5, 80).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+
+
+@pytest.mark.parametrize("percent", [50, 80, 85, 100])
+def test_prefixes_of_agreeing_signatures_meet(percent):
+    """Whichever coordinates differ, and whichever values are posted last."""
+    least, rng = nd.agreeing_least(percent), np.random.default_rng(percent)
+    posts = nd.POSTED - least + 1
+    for _ in range(300):
+        x = rng.integers(0, 1 << 32, nd.POSTED, dtype=np.uint32)[None]
+        y = x.copy()
+        y[0, rng.permutation(nd.POSTED)[least:]] += np.uint32(1)
+        heavy = nd._slots(x)[0][rng.permutation(nd.POSTED)[: rng.integers(0, nd.POSTED + 1)]]
+        if rng.random() < 0.5:
+            heavy = np.intersect1d(nd._slots(x), nd._slots(y))
+        kept = [nd._slots(z)[0][np.argsort(np.isin(nd._slots(z)[0], heavy), kind="stable")[:posts]] for z in (x, y)]
+        assert len(np.intersect1d(*kept))
+
+
 def test_near_duplicates_of_nothing(spark):
     assert nd.near_duplicates(frame(spark, []), 3, 85).count() == 0
     got = nd.near_duplicates(frame(spark, [(1, None), (2, ""), (3, None)]), 3, 85).collect()
