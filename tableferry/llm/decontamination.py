@@ -31,6 +31,8 @@ RANK, RANK_MOST = 64, 256
 COSINE, CONTAINED = 0.3, 0.35
 SURE, LIKELY, ANSWER, ANSWER_SHARE = 0.7, 0.5, 6, 0.67
 BLOCK_WORDS = 15_000
+# Words that may be inserted before or after an item's telling words.
+ROOM = 12
 
 
 class Benchmark:
@@ -68,7 +70,14 @@ class Benchmark:
             rows[i, at] = self.idf[at] * n
         self.rows = rows
         self.sets = [set(w.tolist()) for w in self.words]
-        self.telling = [set(w[self.idf[self.numbers(w)] > 0].tolist()) for w in self.words]
+        # Where a telling word stands first and last in its item.
+        self.telling = []
+        for words in self.words:
+            places: dict[int, tuple[int, int]] = {}
+            for k in np.flatnonzero(self.idf[self.numbers(words)] > 0).tolist():
+                w = int(words[k])
+                places[w] = (places.get(w, (k, k))[0], k)
+            self.telling.append(places)
 
     def based(self, sums: np.ndarray) -> None:
         """Orthogonal basis of the latent space, from the sums of A'AR."""
@@ -280,11 +289,12 @@ def _found(words, b: Benchmark):
         begin = low + (p - base[row]) * b.step
         wanted = b.words[i]
         region = h[max(low, begin - b.step) : min(high, begin + 3 * b.step)].tolist()
-        # Only from the first to the last of the item's telling words, with as many around as it may have there.
-        telling = [k for k, w in enumerate(region) if w in b.telling[i]]
+        # Only where the item can lie by its telling words: each with the item's words before and after it, and room for inserted ones.
+        telling = [(k, *b.telling[i][w]) for k, w in enumerate(region) if w in b.telling[i]]
         if not telling:
             continue
-        region = region[max(0, telling[0] - 12) : telling[-1] + 13]
+        start, end = min(k - last for k, _, last in telling), max(k + len(wanted) - first for k, first, _ in telling)
+        region = region[max(0, start - ROOM) : end + ROOM]
         # Too few of the item's words in any order cannot be enough of them in its own.
         if sum(w in b.sets[i] for w in region) < LIKELY * len(wanted):
             continue

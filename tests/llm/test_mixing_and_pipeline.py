@@ -111,6 +111,22 @@ def test_blocks_of_the_benchmark_give_the_same(spark, monkeypatch):
     assert {(r.doc_id, r.item_id) for r in decontamination.leaks(docs, bench).collect()} == whole == {(i, i) for i, _ in items}
 
 
+def test_items_of_ordinary_words_stand_word_for_word(spark):
+    """The few telling words of an item lie close together, at its begin, middle or end."""
+    rng = random.Random(6)
+    usual = [f"u{i}" for i in range(60)]
+    items = []
+    for i in range(30):
+        words = [rng.choice(usual) for _ in range(rng.choice([59, 100, 150, 200]))]
+        at = (0, len(words) // 2, len(words) - 8)[i % 3]
+        words[at : at + 8] = [f"r{i}y{k}" for k in range(8)]
+        items.append((i, " ".join(words)))
+    other = [" ".join(rng.choice(usual) for _ in range(rng.randint(100, 400))) for _ in range(150)]
+    rows = [(i, f"{other[i]} {t} {other[i + 30]}") for i, t in items] + [(100 + k, t) for k, t in enumerate(other)]
+    got = decontamination.leaks(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id, r.overlap) for r in got} == {(i, i, 1.0) for i, _ in items}
+
+
 def test_leaks_of_nothing(spark):
     bench = spark.createDataFrame(benchmark(1, 2), "item_id long, text string")
     assert decontamination.leaks(frame(spark, []), bench).count() == 0
