@@ -39,29 +39,39 @@ class SortedLists:
         order = np.argsort(ids, kind="stable")
         self.ids, vectors = ids[order], vectors[order].T
         # Whole numbers up to 2**24 are exact in 32 bits.
-        self.kind = np.float32 if np.abs(vectors).max(initial=0) ** 2 * len(vectors) < 1 << 24 else np.float64
-        self.vectors = vectors.astype(self.kind)
+        self.largest = int(np.abs(vectors).max(initial=0))
+        self.vectors = vectors.astype(np.float32 if self.largest < 1 << 24 else np.float64)
         rising = np.argsort(vectors, axis=1, kind="stable")
         self.values = np.take_along_axis(self.vectors, rising, 1)
         self.place = np.empty(rising.shape, np.int32)
         np.put_along_axis(self.place, rising, np.arange(len(ids), dtype=np.int32)[None, :], 1)
-        self.at_stop: dict[int, tuple] = {}
+        self.at_stop: dict[tuple, tuple] = {}
+        self.by_kind: dict[type, np.ndarray] = {}
 
-    def _read(self, depth: int) -> tuple:
+    def _kind(self, queries: np.ndarray) -> type:
+        """32 bits if no sum of products with these queries can pass what is exact in them."""
+        most = max(1, self.largest) * max(1, int(np.abs(queries).max(initial=0))) * len(self.vectors)
+        return np.float32 if most < 1 << 24 else np.float64
+
+    def _read(self, depth: int, kind: type) -> tuple:
         """What a read of ``depth`` entries from either end of each list gives: values read, and what bounds the rest."""
-        if depth not in self.at_stop:
+        if (depth, kind) not in self.at_stop:
             n, out = len(self.ids), []
             for open_, worst, frontier in (
                 (self.place < n - depth, self.values[:, :1], self.values[:, n - depth, None]),
                 (self.place >= depth, self.values[:, -1:], self.values[:, depth - 1, None]),
             ):
-                out.append([np.where(open_, bound, self.vectors).astype(self.kind) for bound in (worst, frontier)])
-            self.at_stop[depth] = tuple(np.concatenate((down, up)) for down, up in zip(out[0], out[1], strict=True))
-        return self.at_stop[depth]
+                out.append([np.where(open_, bound, self.vectors).astype(kind) for bound in (worst, frontier)])
+            self.at_stop[depth, kind] = tuple(np.concatenate((down, up)) for down, up in zip(out[0], out[1], strict=True))
+        return self.at_stop[depth, kind]
 
     def top(self, query_ids: np.ndarray, queries: np.ndarray, k: int):
         """Per query in turn: ids and scores of its best k."""
-        n, q = len(self.ids), queries.astype(self.kind)
+        n, kind = len(self.ids), self._kind(queries)
+        q = queries.astype(kind)
+        if kind not in self.by_kind:
+            self.by_kind[kind] = self.vectors.astype(kind, copy=False)
+        vectors = self.by_kind[kind]
         own = query_ids[:, None] == self.ids[None, :]
         alive = ~own
         # A list is read from its upper end by positive coordinates, from its lower end by negative ones.
@@ -70,13 +80,13 @@ class SortedLists:
             depth = int(n * stop)
             if n - 1 <= k or not depth:
                 break
-            lower, upper = (halves @ bound for bound in self._read(depth))
+            lower, upper = (halves @ bound for bound in self._read(depth, kind))
             lower[own] = -np.inf
             kth = np.partition(lower, n - k, axis=1)[:, n - k]
             alive &= upper >= kth[:, None]
         for i in range(len(q)):
             left = np.flatnonzero(alive[i])
-            final = np.rint(q[i] @ self.vectors[:, left]).astype(np.int64)
+            final = np.rint(q[i] @ vectors[:, left]).astype(np.int64)
             found = np.lexsort((self.ids[left], -final))[:k]
             yield self.ids[left[found]], final[found]
 

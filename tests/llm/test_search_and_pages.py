@@ -38,6 +38,22 @@ def test_top_k(spark, monkeypatch, shard):
     assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got) == best(stored, 20, 20)
 
 
+def test_top_k_of_mixed_magnitudes(spark, monkeypatch):
+    """Queries much larger than the members of other shards."""
+    monkeypatch.setattr(topk, "SHARD_ROWS", 60)
+    rng = np.random.default_rng(8)
+    whole = rng.integers(-60, 61, (240, 64))
+    whole[:4] = rng.integers(-900_000, 900_001, (4, 64))
+    rows = [(i, (v / 64).tolist()) for i, v in enumerate(whole)]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") < 8, 20).collect()
+    want = {}
+    for q in range(8):
+        score = whole @ whole[q]
+        best = sorted((i for i in range(240) if i != q), key=lambda i: (-score[i], i))[:20]
+        want[q] = [(i, int(score[i])) for i in best]
+    assert {q: [(r.vec_id, r.score) for r in sorted(got, key=lambda r: r.rank) if r.query_id == q] for q in range(8)} == want
+
+
 def test_top_k_of_nothing_and_of_one(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.top_k(df, F.col("vec_id") % 20 == 0).count() == 0
