@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableferry.llm import decontamination, html_text, mixing, near_duplicates, quality, substring_dedup, topk, toxicity, url_filters, warc
+from tableferry.llm import decontamination, filter_audit, html_text, mixing, near_duplicates, quality, substring_dedup, topk, toxicity, url_filters, vector_codes, warc
 from tableferry.llm.shared import by_ids
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -156,3 +156,61 @@ def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered()
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@registered(
+    f"""
+WITH t AS (SELECT doc_id, COALESCE(source, '') AS part, COALESCE(text, '') AS text FROM documents),
+w AS (SELECT *, {WORDS.format("text")} AS l FROM t),
+m AS (SELECT *, min(doc_id) OVER (PARTITION BY text) AS least FROM w),
+f AS (SELECT doc_id, part, CAST(len(l) < 50 AS INT) + 2 * CAST(100 * len(list_distinct(l)) < 65 * len(l) AS INT)
+  + 4 * CAST(100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) AS INT)
+  + 8 * CAST(regexp_matches(text, '[#$%&*|]') AS INT) + 16 * CAST(COALESCE(doc_id > least, false) AS INT) AS bits FROM m),
+g AS (SELECT part, bits, count(*) AS n, count(*) FILTER (WHERE quality = 1) AS good, count(*) FILTER (WHERE toxic = 1) AS toxic
+  FROM f LEFT JOIN labels USING (doc_id) GROUP BY ALL),
+p AS (SELECT a || b || c || d || e AS filter_order FROM (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) AS a(a), (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) AS b(b),
+  (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) AS c(c), (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) AS d(d), (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) AS e(e)
+  WHERE len(list_distinct([a, b, c, d, e])) = 5),
+s AS (SELECT filter_order, step, 1 << CAST(ascii(substr(filter_order, step, 1)) - 65 AS INT) AS b,
+  CAST(COALESCE(list_sum(list_transform(range(1, step), lambda j: 1 << CAST(ascii(substr(filter_order, j, 1)) - 65 AS INT))), 0) AS BIGINT) AS a
+  FROM p, range(1, 6) AS r(step)),
+x AS (SELECT part, filter_order, CAST(step AS INT) AS step, b, sum(n) FILTER (WHERE bits & (a | b) = 0) AS kept,
+  sum(n) FILTER (WHERE bits & b <> 0 AND bits & a = 0) AS removed, sum(n) FILTER (WHERE bits & b <> 0 AND bits & a <> 0) AS redundant,
+  sum(n) FILTER (WHERE bits = b) AS unique_fails, sum(good) FILTER (WHERE bits & b <> 0 AND bits & a = 0) AS good_lost,
+  sum(toxic) FILTER (WHERE bits & b <> 0 AND bits & a = 0) AS toxic_lost FROM g, s GROUP BY ALL)
+SELECT part, filter_order, step, CAST(COALESCE(kept, 0) AS BIGINT) AS kept, CAST(COALESCE(removed, 0) AS BIGINT) AS removed, CAST(COALESCE(redundant, 0) AS BIGINT) AS redundant,
+  CAST(COALESCE(unique_fails, 0) AS BIGINT) AS unique_fails, CAST(COALESCE(good_lost, 0) AS BIGINT) AS good_lost, CAST(COALESCE(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+  CAST(COALESCE(sum(removed) OVER (PARTITION BY part, b), 0) AS BIGINT) AS shapley FROM x"""
+)
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return filter_audit.audited(docs, table(spark, sf_dir, "labels"))
+
+
+def _lloyd_sql(parts: int = 8, entries: int = 16, rounds: int = 6, scale: int = 4096) -> str:
+    """The rounds written out one after the other, each assigning every part anew."""
+    whole = f"""k AS MATERIALIZED (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+d AS MATERIALIZED (SELECT vec_id, label, part, v[part * (len(v) // {parts}) + 1 : (part + 1) * (len(v) // {parts})] AS v FROM k, range({parts}) AS r(part)),
+i AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM k),
+b0 AS MATERIALIZED (SELECT part, entry, v AS c FROM i JOIN d USING (vec_id) WHERE entry < {entries})"""
+    steps = [whole]
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (SELECT vec_id, label, part, v, min({{'far': far, 'entry': entry}}) AS best FROM (
+  SELECT vec_id, label, part, v, entry, list_sum(list_transform(range(1, len(v) + 1), lambda j: (v[j] - c[j]) * (v[j] - c[j]))) AS far
+  FROM d JOIN b{r} USING (part)) GROUP BY ALL)""")
+        if r < rounds:
+            steps.append(f"""m{r} AS (SELECT part, best.entry AS entry, j, CAST(sum(v[j]) AS BIGINT) AS s, count(*) AS n FROM a{r}, range(1, len(v) + 1) AS q(j) GROUP BY ALL),
+n{r} AS (SELECT part, entry, list((s - ((s % n) + n) % n) // n ORDER BY j) AS c FROM m{r} GROUP BY ALL),
+b{r + 1} AS MATERIALIZED (SELECT part, entry, COALESCE(n{r}.c, b{r}.c) AS c FROM b{r} LEFT JOIN n{r} USING (part, entry))""")
+    return f"""
+WITH {", ".join(steps)},
+e AS (SELECT vec_id, label, string_agg(lpad(format('{{:x}}', best.entry), 2, '0'), '' ORDER BY part) AS code, CAST(sum(best.far) AS BIGINT) AS error FROM a{rounds} GROUP BY ALL),
+s AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS x FROM b{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, s.x AS codebooks_sha256 FROM e, s"""
+
+
+@registered(_lloyd_sql())
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = vector_codes.encoded(table(spark, sf_dir, "embeddings"), parts=8, entries=16, rounds=6, scale=4096)
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")

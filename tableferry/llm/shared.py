@@ -6,9 +6,22 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableferry.session import settle
+from tableferry.session import new_folder, settle
 
-__all__ = ["by_ids", "runs", "settle", "shuffle_width", "texts_of"]
+__all__ = ["by_ids", "forget", "runs", "settle", "settled_at", "shuffle_width", "texts_of"]
+
+
+def settled_at(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
+    """``df`` written to the shared folder and read again, and where it lies."""
+    path = new_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def forget(spark: SparkSession, path: str) -> None:
+    """Remove a settled folder that no frame still in use reads."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def texts_of(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
