@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableferry.llm import decontamination, filter_audit, html_text, mixing, near_duplicates, quality, substring_dedup, topk, toxicity, url_filters, vector_codes, warc
+from tableferry.llm import decontamination, filter_audit, html_text, mixing, near_duplicates, personal_data, quality, substring_dedup, topk, toxicity, url_filters, vector_codes, warc
 from tableferry.llm.shared import by_ids
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -214,3 +214,9 @@ SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT)
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = vector_codes.encoded(table(spark, sf_dir, "embeddings"), parts=8, entries=16, rounds=6, scale=4096)
     return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+@registered()
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return personal_data.personal_data(docs).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
