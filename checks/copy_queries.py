@@ -108,6 +108,108 @@ def restored_table(t):
     return store.read("tgt.main.orders")
 
 
+# A later state of two tables: some rows changed, some gone, some new. Both sides run the same text.
+_LATER_LINES = """SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, CASE WHEN l_returnflag = 'R' AND l_orderkey % 9 = 0 THEN l_quantity + 1 ELSE l_quantity END AS l_quantity,
+ l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate FROM {lineitem} WHERE NOT (l_returnflag = 'A' AND l_orderkey % 10 = 3)"""
+_LINES = "SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate FROM {lineitem}"
+_LATER_ORDERS = """SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 7 = 0 THEN 'X' WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderstatus END AS o_orderstatus, o_orderdate
+ FROM {orders} WHERE o_orderkey % 13 <> 0 UNION ALL SELECT -o_orderkey, o_custkey, o_orderstatus, o_orderdate FROM {orders} WHERE o_orderkey % 17 = 0"""
+_ORDERS = "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate FROM {orders}"
+
+
+def _versions(t, store, name, first, later, frames, **how):
+    """Two versions of a table, copied one after the other."""
+    return [store.copy_changed(t.spark.sql(text, **frames), name, **how) for text in (first, later)]
+
+
+@query("A12", _LATER_LINES.format(lineitem="lineitem"))
+def recopied_changes(t):
+    """The second copy writes the partitions whose rows changed and names the others again."""
+    store = _store(t)
+    _versions(t, store, "tgt.main.lineitem", _LINES, _LATER_LINES, {"lineitem": t.lineitem}, partition_by=["l_returnflag", "l_linestatus"])
+    return store.read("tgt.main.lineitem")
+
+
+@query("A12, A14", """
+WITH b AS (SELECT l_returnflag, l_linestatus, COUNT(*) AS n, bool_or(l_returnflag = 'A' AND l_orderkey % 10 = 3 OR l_returnflag = 'R' AND l_orderkey % 9 = 0) AS hit FROM lineitem GROUP BY 1, 2)
+SELECT CAST(0 AS BIGINT) AS version, COUNT(*) AS parts, CAST(SUM(n) AS BIGINT) AS row_count, COUNT(*) AS written FROM b
+UNION ALL SELECT 1, COUNT(*), (SELECT COUNT(*) FROM lineitem WHERE NOT (l_returnflag = 'A' AND l_orderkey % 10 = 3)), COUNT(*) FILTER (WHERE hit) FROM b""")
+def parts_written(t):
+    """How many parts each version holds, and how many of them its own copy wrote."""
+    store = _store(t)
+    _versions(t, store, "tgt.main.lineitem", _LINES, _LATER_LINES, {"lineitem": t.lineitem}, partition_by=["l_returnflag", "l_linestatus"])
+    parts = store.ledger().select("version", "path", F.explode("parts").alias("p"))
+    own = F.col("p.folder").startswith(F.col("path"))
+    return parts.groupBy("version").agg(F.count("*").alias("parts"), F.sum("p.row_count").alias("row_count"), F.count(F.when(own, 1)).alias("written"))
+
+
+@query("A12", _LATER_ORDERS.format(orders="orders"))
+def recopied_by_key(t):
+    store = _store(t)
+    _versions(t, store, "tgt.main.orders", _ORDERS, _LATER_ORDERS, {"orders": t.orders}, keys=["o_orderkey"], parts=64)
+    return store.read("tgt.main.orders")
+
+
+@query("2.K", f"""
+WITH a AS ({_ORDERS.format(orders="orders")}), b AS ({_LATER_ORDERS.format(orders="orders")}),
+j AS (SELECT a.o_orderkey AS ka, b.o_orderkey AS kb, a.o_custkey AS ca, b.o_custkey AS cb, a.o_orderstatus AS sa, b.o_orderstatus AS sb, a.o_orderdate AS da, b.o_orderdate AS db
+ FROM a FULL JOIN b ON a.o_orderkey = b.o_orderkey)
+SELECT 'insert' AS _change, kb AS o_orderkey, cb AS o_custkey, sb AS o_orderstatus, db AS o_orderdate FROM j WHERE ka IS NULL
+UNION ALL SELECT 'delete', ka, ca, sa, da FROM j WHERE kb IS NULL
+UNION ALL SELECT 'update_preimage', ka, ca, sa, da FROM j WHERE ka = kb AND sa IS DISTINCT FROM sb
+UNION ALL SELECT 'update_postimage', kb, cb, sb, db FROM j WHERE ka = kb AND sa IS DISTINCT FROM sb""")
+def change_feed(t):
+    """Changes between two versions that were copied by parts: shared folders are not read."""
+    store = _store(t)
+    first, later = _versions(t, store, "tgt.main.orders", _ORDERS, _LATER_ORDERS, {"orders": t.orders}, keys=["o_orderkey"])
+    return store.changes("tgt.main.orders", first, later, ["o_orderkey"])
+
+
+@query("2.K", f"""
+WITH a AS ({_ORDERS.format(orders="orders")}), b AS ({_LATER_ORDERS.format(orders="orders")})
+SELECT CASE WHEN EXISTS (SELECT 1 FROM a WHERE a.o_orderkey = b.o_orderkey) THEN 'update_postimage' ELSE 'insert' END AS _change, COUNT(*) AS n
+ FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a) b GROUP BY 1
+UNION ALL SELECT CASE WHEN EXISTS (SELECT 1 FROM b WHERE a.o_orderkey = b.o_orderkey) THEN 'update_preimage' ELSE 'delete' END, COUNT(*)
+ FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) a GROUP BY 1""")
+def change_feed_of_full_copies(t):
+    """Updates move rows from one partition to another."""
+    store = _store(t)
+    for text in (_ORDERS, _LATER_ORDERS):
+        store.copy(t.spark.sql(text, orders=t.orders), "tgt.main.orders", partition_by=["o_orderstatus"])
+    return store.changes("tgt.main.orders", 0, 1, ["o_orderkey"]).groupBy("_change").agg(F.count("*").alias("n"))
+
+
+@query("A9, A14", """
+SELECT concat('m.p', o_orderpriority[1]) AS table_fqn, CAST(0 AS BIGINT) AS version, COUNT(*) AS row_count, true AS measured FROM orders GROUP BY 1
+UNION ALL SELECT 'm.p1', 1, COUNT(*), true FROM orders WHERE o_orderpriority[1] = '1'""")
+def chunk_committed(t):
+    """The copies of a chunk, one of them of a table that is in it twice, made versions by one ledger commit."""
+    store = _store(t)
+    of = lambda p: t.orders.filter(F.substring("o_orderpriority", 1, 1) == p)
+    done = store.commit([store.stage(of(p), f"m.p{p}", partition_by=["o_orderstatus"]) for p in "123451"])
+    rows = Q.row_counts({f"{r['table_fqn']}/{r['version']}": store.read(r["table_fqn"], r["version"]) for r in done})
+    name = F.split("table_name", "/")
+    counted = rows.select(name[0].alias("table_fqn"), name[1].cast("bigint").alias("version"), "row_count")
+    known = store.ledger().select("table_fqn", "version", ((F.col("num_files") > 0) & (F.col("size_in_bytes") > 0)).alias("measured"))
+    return counted.join(known, ["table_fqn", "version"]).select("table_fqn", "version", "row_count", "measured")
+
+
+@query("A22", f"""
+SELECT 'tgt.main.lineitem' AS table_fqn, COUNT(*) AS versions, (SELECT COUNT(*) FROM ({_LATER_LINES.format(lineitem="lineitem")})) AS row_count FROM (SELECT 1)
+UNION ALL SELECT 'tgt.main.orders', 1, COUNT(*) FROM orders WHERE o_orderkey % 3 = 0""")
+def kept_after_retention(t):
+    """Old versions expired and their folders removed, but for those that the last version still names."""
+    store = _store(t)
+    _versions(t, store, "tgt.main.lineitem", _LINES, _LATER_LINES, {"lineitem": t.lineitem}, partition_by=["l_returnflag", "l_linestatus"])
+    for k in (1, 2, 3):
+        store.copy(t.orders.filter(f"o_orderkey % {k} = 0"), "tgt.main.orders", partition_by=["o_orderstatus"])
+    store.expire(keep_versions=1)
+    store.vacuum(older_than_hours=0)
+    left = store.ledger().groupBy("table_fqn").agg(F.count("*").alias("versions"))
+    rows = Q.row_counts({n: store.read(n) for n in ("tgt.main.lineitem", "tgt.main.orders")})
+    return left.join(rows, F.col("table_fqn") == F.col("table_name")).select("table_fqn", "versions", "row_count")
+
+
 @query("A9", """
 SELECT table_fqn, version, operation, path, source_version, num_files, size_in_bytes FROM (SELECT *, ROW_NUMBER() OVER
  (PARTITION BY table_fqn ORDER BY version DESC) AS rn FROM ledger) WHERE rn = 1""")
@@ -162,6 +264,46 @@ def replaced_batch(t):
     return stored.read("control").select("migration_id", "batch_id", "status")
 
 
+@query("A15, I1, I5", """
+SELECT migration_id, batch_id, CASE WHEN batch_id = 'batch-3' AND CAST(migration_id AS BIGINT) % 3 = 0 THEN 'VALIDATED' WHEN batch_id IN ('batch-2', 'batch-3') AND CAST(migration_id AS BIGINT) % 2 = 0
+  THEN 'COMPLETED' ELSE status END AS status, size_in_bytes FROM control
+UNION ALL SELECT concat('new-', migration_id), 'batch-2', 'QUEUED', NULL FROM control WHERE batch_id = 'batch-2' AND status = 'FAILED'""")
+def published_control(t):
+    """Several appends to two batches, a compaction, and a commit whose writer died before it was published."""
+    stored = _stored(t)
+    stored.replace_all("control", t.control)
+
+    def rows(batch, every, status):
+        mine = stored.batch(batch).filter(F.col("migration_id").try_cast("bigint") % every == 0)
+        return mine.withColumn("status", F.lit(status))
+
+    new = stored.batch("batch-2").filter("status = 'FAILED'").select(F.concat(F.lit("new-"), "migration_id").alias("migration_id"), F.lit("QUEUED").alias("status"))
+    stored.update_batch("batch-2", new)
+    for batch in ("batch-2", "batch-3"):
+        stored.update_batch(batch, rows(batch, 2, "COMPLETED"))
+    stored.compact_batch("batch-3")
+    stored.update_batch("batch-3", rows("batch-3", 3, "VALIDATED"))
+    stored.begin_update("batch-3", rows("batch-3", 1, "LOST"))
+    return stored.read("control").select("migration_id", "batch_id", "status", "size_in_bytes")
+
+
+@query("I19", """
+SELECT 'control' AS kind, migration_id, CASE WHEN batch_id = 'batch-2' THEN 'QUEUED' ELSE status END AS status FROM control WHERE batch_id <> 'batch-1'
+UNION ALL SELECT 'attempt', migration_id, status FROM control WHERE batch_id IN ('batch-2', 'batch-3')""")
+def stored_batch_deleted(t):
+    """One batch dropped, with its attempts, while another is being written."""
+    stored = _stored(t)
+    stored.replace_all("control", t.control)
+    for batch in ("batch-1", "batch-2", "batch-3"):
+        stored.append("attempts", ST.conform(t.control.filter(F.col("batch_id") == batch), S.ATTEMPTS), batch)
+    open_commit = stored.begin_update("batch-2", stored.batch("batch-2").withColumn("status", F.lit("QUEUED")))
+    stored.delete_batch("batch-1")
+    stored.vacuum(older_than_hours=0)
+    stored.finish_update("batch-2", open_commit)
+    left = stored.read("control").select(F.lit("control").alias("kind"), "migration_id", "status")
+    return left.unionAll(stored.read("attempts").select(F.lit("attempt"), "migration_id", "status"))
+
+
 @query("A16", """
 SELECT migration_id, attempt_number, cluster_id, status, substr(error_code, 1, 50) AS error_code, duration_seconds, source_size_bytes,
  CAST(0 AS BIGINT) AS target_size_bytes FROM attempts""")

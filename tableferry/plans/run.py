@@ -28,7 +28,7 @@ from tableferry.operators import telemetry as T
 from tableferry.session import new_folder, settle
 from tableferry.sources import listing as L
 from tableferry.sources import stored_tables as ST
-from tableferry.sources.snapshots import SnapshotStore, copy_metrics
+from tableferry.sources.snapshots import SnapshotStore, folders_of
 from tableferry.sources.stored_tables import StoredTables
 
 FOLDERS_PER_JOB = 2000
@@ -56,7 +56,7 @@ class Run:
     table_format: str = "parquet"
 
     def __post_init__(self):
-        if not re.fullmatch(r"[A-Za-z0-9._-]+", self.batch_id):
+        if not re.fullmatch(S.BATCH_ID, self.batch_id):
             raise ValueError("a batch id is letters, digits, dots, dashes and underscores: it names a folder")
 
 
@@ -148,7 +148,7 @@ def onboard(
     """
     now = F.current_timestamp()
     kept, excluded = E.apply_exclusions(selection, rules)
-    control = tables.read("control").filter(F.col("batch_id") == run.batch_id)
+    control = tables.batch(run.batch_id)
     control = C.reconcile_stale(control, now, run.stale_minutes, run.batch_id)
     # Judged once and written: four upserts and the counters read it.
     judged = settle(judged_selection(kept, control, settings, stats, target_listing, run), "judged")
@@ -187,61 +187,68 @@ Source = Callable[[Row], tuple[DataFrame, int | None, list[str]]]
 
 def copy_chunk(
     tables: StoredTables, store: SnapshotStore, source_of: Source, run: Run, chunk_id: int, cluster_id: str = ""
-) -> DataFrame:
-    """Copy the open tables of one chunk, and book each result.  Gives the attempts.
+) -> str:
+    """Copy the open tables of one chunk, and book each result.  Gives the folder of the attempts.
 
     A chunk holds no more tables than its cap, so its rows fit the driver, which starts one write
-    job per table, a few at a time; Spark spreads each of them.
+    job per table, a few at a time; Spark spreads each of them. All that were written are measured and committed together, and
+    only the chunk's own control rows are appended to the batch.
     """
     spark, now = tables.spark, F.current_timestamp()
-    batch = tables.read("control").filter(F.col("batch_id") == run.batch_id)
-    mine = settle(T.of_chunk(batch, run.batch_id, chunk_id), "chunk")
-    rows = C.mark_assigned(batch, run.batch_id, chunk_id, cluster_id, now)
-    rows = C.mark_in_progress(rows, mine, now, from_worker=True)
-    tables.replace_batch(run.batch_id, rows)
+    rows = tables.batch(run.batch_id).filter(F.col("chunk_id") == chunk_id)
+    mine = settle(T.of_chunk(rows, run.batch_id, chunk_id), "chunk")
+    rows = C.mark_assigned(rows, run.batch_id, chunk_id, cluster_id, now)
+    tables.update_batch(run.batch_id, C.mark_in_progress(rows, mine, now, from_worker=True))
 
     def one(row: Row) -> tuple:
         target = ".".join(row[c] for c in S.TARGET_NAME)
         source = ".".join(row[c] for c in S.SOURCE_NAME)
         began = time.time()
+        staged, error = None, None
         try:
             frame, version, partitions = source_of(row)
-            store.copy(frame, target, source, version, partitions)
-            return (row["migration_id"], target, "SUCCESS", None, int(time.time() - began))
+            staged = store.stage(frame, target, source, version, partitions)
         except Exception as e:  # noqa: BLE001 - any failure of one table is booked, the others go on
-            return (row["migration_id"], target, "FAILED", f"{type(e).__name__}: {e}", int(time.time() - began))
+            error = f"{type(e).__name__}: {e}"
+        return row["migration_id"], staged, error, int(time.time() - began)
 
     with ThreadPoolExecutor(run.threads) as pool:
         results = list(pool.map(one, _rows(mine)))
+    committed = iter(store.commit([staged for _, staged, _, _ in results if staged]))
+    booked = []
+    for migration_id, staged, error, seconds in results:
+        m = next(committed) if staged else None
+        measures = (m["num_files"], m["size_in_bytes"], m["version"], m["source_version"]) if m else (None,) * 4
+        booked.append((migration_id, "SUCCESS" if staged else "FAILED", error, seconds, *measures))
     outcome = spark.createDataFrame(
-        results, "migration_id string, table_fqn string, status string, error_message string, duration_seconds bigint"
+        booked,
+        "migration_id string, status string, error_message string, duration_seconds bigint, "
+        "target_num_files bigint, target_size_bytes bigint, target_version bigint, source_version bigint",
     )
-    outcome = outcome.join(copy_metrics(store.ledger()), "table_fqn", "left")
-    outcome = settle(outcome.withColumn("error_code", F.when(F.col("status") == "FAILED", M.error_code(F.col("error_message")))))
-    return _book(tables, mine, outcome, run, cluster_id)
+    outcome = outcome.withColumn("error_code", F.when(F.col("status") == "FAILED", M.error_code(F.col("error_message"))))
+    return _book(tables, mine, outcome, run, chunk_id, cluster_id)
 
 
 def _rows(df: DataFrame) -> Iterable[Row]:
     return df.toLocalIterator()
 
 
-def _book(tables: StoredTables, mine: DataFrame, outcome: DataFrame, run: Run, cluster_id: str) -> DataFrame:
+def _book(tables: StoredTables, mine: DataFrame, outcome: DataFrame, run: Run, chunk_id: int, cluster_id: str) -> str:
+    """Append a chunk's attempts and the new state of its rows; gives the folder of the attempts."""
     now = F.current_timestamp()
-    batch = tables.read("control").filter(F.col("batch_id") == run.batch_id)
-    done = outcome.filter(F.col("status") == "SUCCESS").drop("status", "error_message", "error_code", "table_fqn")
+    rows = tables.batch(run.batch_id).filter(F.col("chunk_id") == chunk_id)
+    done = outcome.filter(F.col("status") == "SUCCESS").drop("status", "error_message", "error_code")
     lost = outcome.filter(F.col("status") == "FAILED").select("migration_id", "error_code", "error_message", "duration_seconds")
-    rows = C.mark_failed(C.mark_completed(batch, done, now), lost, now)
     attempts = (
         outcome.join(mine.select("migration_id", "attempt_number", "size_in_bytes"), "migration_id")
-        .join(batch.select("migration_id", "started_at"), "migration_id")
+        .join(rows.select("migration_id", "started_at"), "migration_id")
         .withColumn("attempt_number", F.coalesce("attempt_number", F.lit(0)) + 1)
         .withColumn("source_size_bytes", F.col("size_in_bytes"))
         .withColumns({"run_id": F.lit(run.run_id), "cluster_id": F.lit(cluster_id), "completed_at": now, "created_at": now})
     )
-    attempts = settle(ST.attempt_rows(attempts), "attempts")
-    tables.replace_batch(run.batch_id, rows)
-    tables.append("attempts", attempts)
-    return attempts
+    folder = tables.append("attempts", ST.attempt_rows(attempts), run.batch_id)
+    tables.update_batch(run.batch_id, C.mark_failed(C.mark_completed(rows, done, now), lost, now))
+    return folder
 
 
 def copy_batch(tables: StoredTables, store: SnapshotStore, source_of: Source, run: Run) -> DataFrame:
@@ -250,19 +257,14 @@ def copy_batch(tables: StoredTables, store: SnapshotStore, source_of: Source, ru
     Gives the totals; ``failed_tables`` above zero means that the step failed.
     """
     now = F.current_timestamp()
-    batch = tables.read("control").filter(F.col("batch_id") == run.batch_id)
-    batch = settle(C.reconcile_stale(batch, now, run.stale_minutes, run.batch_id))
+    batch = settle(C.reconcile_stale(tables.batch(run.batch_id), now, run.stale_minutes, run.batch_id))
     if not T.queued(batch).filter(P.needs_planning(batch)).isEmpty():
         batch = planned(batch, run, now)
     tables.replace_batch(run.batch_id, batch)
-    attempts = None
-    open_chunks = T.open_chunks(tables.read("control"), run.batch_id).orderBy("chunk_id")
-    for chunk in _rows(settle(open_chunks)):
-        done = copy_chunk(tables, store, source_of, run, chunk["chunk_id"])
-        attempts = done if attempts is None else attempts.unionByName(done)
-    if attempts is None:
-        attempts = tables.spark.createDataFrame([], S.ATTEMPTS)
-    return T.outcome_totals(T.chunk_outcomes(attempts, tables.read("control")))
+    open_chunks = T.open_chunks(tables.batch(run.batch_id), run.batch_id).orderBy("chunk_id")
+    folders = [copy_chunk(tables, store, source_of, run, chunk["chunk_id"]) for chunk in _rows(settle(open_chunks))]
+    # What this call appended, read back at once.
+    return T.outcome_totals(T.chunk_outcomes(tables.appended("attempts", folders), tables.batch(run.batch_id)))
 
 
 def validate_batch(
@@ -277,7 +279,7 @@ def validate_batch(
     ``counts_of`` takes the records and gives their row counts at the copied versions.
     """
     now = F.current_timestamp()
-    batch = tables.read("control").filter(F.col("batch_id") == run.batch_id)
+    batch = tables.batch(run.batch_id)
     records = T.to_validate(batch)
     counts = counts_of(records) if run.row_counts and counts_of else None
     verdicts = settle(K.validate(records, source_stats, target_stats, counts, expected_format=run.table_format).drop("checks"))
@@ -303,8 +305,11 @@ def version_counts(records: DataFrame, source: SnapshotStore, target: SnapshotSt
     )
     folders = sides.select("path").filter(F.col("path").isNotNull()).distinct()
     counted = sides.join(_counted_folders(folders), "path", "left")
-    of = lambda side: F.max(F.when(F.col("side") == side, F.col("row_count"))).alias(side)
-    out = counted.groupBy("migration_id").agg(of("source_row_count"), of("target_row_count"))
+    rows = F.when(F.col("empty"), 0).otherwise(F.col("row_count"))
+    # A side has a count if each of its folders has one.
+    whole = counted.groupBy("migration_id", "side").agg(F.when(F.count(rows) == F.count("*"), F.sum(rows)).alias("n"))
+    of = lambda side: F.max(F.when(F.col("side") == side, F.col("n"))).alias(side)
+    out = whole.groupBy("migration_id").agg(of("source_row_count"), of("target_row_count"))
     unknown = F.col("source_row_count").isNull() | F.col("target_row_count").isNull()
     return out.withColumn("count_error", F.when(unknown, "version not in the ledger"))
 
@@ -320,25 +325,27 @@ def _counted_folders(folders: DataFrame) -> DataFrame:
 
 
 def _folders(pinned: DataFrame, ledger: DataFrame, name: str, version: str, side: str) -> DataFrame:
-    """Folder of each record's version; a record without one means the current version."""
-    rows = ledger.select(F.col("table_fqn").alias(name), F.col("version").alias("v"), "path")
+    """Folders of each record's version, several if it was copied by parts; a record without one means the current version.
+
+    A version without any part holds no rows; one that the ledger does not know has a NULL folder.
+    """
+    rows = ledger.select(F.col("table_fqn").alias(name), F.col("version").alias("v"), folders_of().alias("paths"))
     current = rows.groupBy(name).agg(F.max("v").alias("newest"))
     asked = pinned.join(current, name, "left").withColumn("v", F.coalesce(version, "newest"))
-    return asked.join(rows, [name, "v"], "left").select("migration_id", F.lit(side).alias("side"), "path")
+    found = asked.join(rows, [name, "v"], "left")
+    empty = (F.size("paths") == 0).alias("empty")
+    return found.select("migration_id", F.lit(side).alias("side"), empty, F.explode_outer("paths").alias("path"))
 
 
 def retry_batch(tables: StoredTables, run: Run) -> DataFrame:
     """One retry pass over a batch.  Gives the counters; copy the batch again afterwards."""
     now = F.current_timestamp()
-    batch = tables.read("control").filter(F.col("batch_id") == run.batch_id)
+    batch = tables.batch(run.batch_id)
     passed = settle(C.retry_pass(batch, now, run.batch_id, run.retry_permanent))
     tables.replace_batch(run.batch_id, passed)
     return C.retry_stats(passed)
 
 
 def delete_batch(tables: StoredTables, batch_id: str) -> None:
-    """Remove a batch and the attempts it leaves behind."""
-    control, attempts = C.delete_batch(tables.read("control"), tables.read("attempts"), batch_id)
-    attempts = settle(attempts)
-    tables.replace_all("control", control)
-    tables.replace_all("attempts", attempts)
+    """Remove a batch and the attempts it leaves behind; other batches may be written meanwhile."""
+    tables.delete_batch(batch_id)

@@ -186,6 +186,12 @@ LEDGER = _struct(
     "source_version bigint, num_files bigint, size_in_bytes bigint, committed_at timestamp, "
     "schema_json string, partition_columns array<string>"
 )
+# Parts of a version that was copied by parts: where each lies, and what tells whether it is the same as before.
+PARTS = _struct("part string, folder string, row_count bigint, checksum string, num_files bigint, size_in_bytes bigint")
+LEDGER.add("parts", T.ArrayType(PARTS))
+
+# What a batch id may look like: it names a folder.
+BATCH_ID = r"[A-Za-z0-9._-]+"
 
 # Stored tables and the column each is partitioned by.
 STORED_TABLES = {
