@@ -346,6 +346,22 @@ def first_of_many_rules(t):
     return E.first_rule(X.first_wins(t.selection), many).select("ordinal", "rule_ordinal")
 
 
+# Rules whose table pattern has no literal start: only an end, only a middle, or both behind other wildcards.
+_OPEN_RULES = f"""SELECT {KEY} + 10 AS ordinal, CASE WHEN {KEY} % 5 = 0 THEN 'schema' ELSE 'table' END AS exclude_type, '*' AS catalog,
+ CASE WHEN {KEY} % 5 = 0 THEN concat('*_', CAST({KEY} % 97 AS VARCHAR(32))) ELSE '*' END AS schema_name,
+ CASE WHEN {KEY} % 5 = 1 THEN concat('*', CAST({KEY} AS VARCHAR(32)), '*') WHEN {KEY} % 5 = 2 THEN concat('?*_', CAST({KEY} % 1000 AS VARCHAR(32))) ELSE concat('*_', CAST({KEY} AS VARCHAR(32))) END AS table_name
+ FROM control WHERE {KEY} % 40 < 5"""
+
+
+@query("C6, E3", f"""
+WITH {_FIRST}, m AS ({_OPEN_RULES}), j AS (SELECT f.ordinal, MIN(m.ordinal) AS rule_ordinal FROM f LEFT JOIN m
+ ON f.source_schema GLOB m.schema_name AND (m.exclude_type = 'schema' OR f.source_table GLOB m.table_name) GROUP BY f.ordinal)
+SELECT ordinal, rule_ordinal FROM j""")
+def first_of_open_rules(t):
+    rules = t.spark.sql(_OPEN_RULES.replace("FROM control", "FROM {c}"), c=t.control)
+    return E.first_rule(X.first_wins(t.selection), rules).select("ordinal", "rule_ordinal")
+
+
 @query("C13", f"""
 {_JUDGED} SELECT COUNT(*) AS resolved, {count_if("rule_ordinal IS NULL AND ordinal % 50 <> 0")} AS onboarded, {count_if("rule_ordinal IS NOT NULL")} AS excluded,
  COUNT(*) = {count_if("rule_ordinal IS NULL AND ordinal % 50 <> 0")} + {count_if("rule_ordinal IS NOT NULL")} AS complete FROM j""")

@@ -43,51 +43,99 @@ def checked_rules(rules: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, judged.filter("reason IS NOT NULL")
 
 
-def first_rule(selection: DataFrame, rules: DataFrame) -> DataFrame:
-    """The selection with ``rule_ordinal`` of the first rule that matches, NULL if none does.
+_KEY_CHARS = (64, 32, 16, 8, 4, 2, 1)
+_GRAM_CHARS = (8, 4, 2, 1)
+
+
+def _step(length: Column, steps: tuple[int, ...]) -> Column:
+    """The largest of a few lengths that fits; 0 for an empty text."""
+    return F.coalesce(*[F.when(length >= n, n) for n in steps], F.lit(0))
+
+
+def _indexed(rules: DataFrame) -> DataFrame:
+    """Rules with their regular expression and the literal pieces of their pattern that a name has to hold.
 
-    Rules that ``checked_rules`` sorts out match nothing. Any number of rules goes one way: an equi join on the literal start of each rule's full
-    name. A name is looked up once per length that a literal start has.  Selected names are made
-    distinct first, so that what fills the selection is not multiplied by the rules; with the rules
-    broadcast, behind a check of their number, the names stay where that has put them.
+    The pattern covers as many names as the type does. Its literal start and end are taken, at one of a few lengths; a pattern that
+    has neither gives the head of its longest literal piece, which may lie anywhere.
     """
-    rules, _ = checked_rules(rules)
-    full = F.concat_ws(_SEP, *[F.lower(F.col(c)) for c in S.SOURCE_NAME])
-    named = selection.select(*S.SOURCE_NAME).distinct().withColumn("full_name", full)
-    depth = F.when(F.col("exclude_type") == "catalog", 1).when(F.col("exclude_type") == "schema", 2).otherwise(3)
+    depth = F.coalesce(*[F.when(F.col("exclude_type") == k, n) for k, n in _DEPTHS.items()])
     globs = F.slice(F.array("catalog", "schema_name", "table_name"), F.lit(1), depth)
-    # A rule that ends before the table name is open-ended; the separator closes its last name.
-    pattern = F.concat(F.array_join(globs, _SEP), F.when(depth < 3, _SEP).otherwise(""))
+    # The separator closes the last name of a rule that ends before the table name.
+    close = F.when(depth < 3, _SEP).otherwise("")
     body = F.array_join(F.transform(globs, lambda g: N.glob_body(g, _SEP)), _SEP)
-    tail = F.when(depth < 3, F.lit(_SEP + ".*")).otherwise("")
-    keyed = rules.select(
-        "ordinal",
-        N.literal_prefix(pattern).alias("start"),
-        F.concat(F.lit("(?s)^"), body, tail, F.lit(r"\z")).alias("regex"),
-    ).withColumn("n", F.length("start"))
-    # Lengths of the literal starts: a few small numbers, bounded by the longest name.
-    lengths = [r["n"] for r in keyed.select("n").distinct().collect()]
-    if not lengths:
-        return selection.withColumn("rule_ordinal", F.lit(None).cast("bigint"))
-    starts = named.select(*S.SOURCE_NAME, "full_name", F.explode(F.array(*[F.lit(n) for n in lengths])).alias("n"))
-    starts = starts.withColumn("start", F.expr("substring(full_name, 1, n)"))
-    few = rules.count() <= BROADCAST_RULES
-    pairs = starts.join(F.broadcast(keyed) if few else keyed, ["n", "start"]).filter(F.rlike("full_name", F.col("regex")))
-    first = pairs.groupBy(*S.SOURCE_NAME).agg(F.min("ordinal").alias("rule_ordinal"))
-    return selection.join(first, S.SOURCE_NAME, "left")
+    # Bracket groups stand for one of several characters, so they are no literals.
+    plain = F.regexp_replace(F.lower(F.concat(F.array_join(globs, _SEP), close)), r"\[!?\]?[^\]]*\]", "*")
+    start, end = F.regexp_extract(plain, r"(?s)^([^*?]*)", 1), F.regexp_extract(plain, r"(?s)([^*?]*)$", 1)
+    longest = F.array_max(F.transform(F.split(plain, "[*?]"), lambda x: F.struct(F.length(x).alias("n"), x.alias("text"))))["text"]
+    inner = F.when((F.length(start) == 0) & (F.length(end) == 0), longest).otherwise("")
+    cut = rules.select(
+        "ordinal", "exclude_type", describe_rule().alias("rule_text"), depth.alias("d"), F.concat(F.lit("(?s)^"), body, close, F.lit(r"\z")).alias("regex"), start.alias("start"), end.alias("end"), inner.alias("inner")
+    )
+    sized = cut.withColumns({"n": _step(F.length("start"), _KEY_CHARS), "m": _step(F.length("end"), _KEY_CHARS), "g": _step(F.length("inner"), _GRAM_CHARS)})
+    pieces = [F.expr("left(start, n)"), F.expr("right(end, m)"), F.expr("left(inner, g)")]
+    return sized.withColumn("key", _key("d", "n", "m", "g", *pieces)).drop("start", "end", "inner")
+
+
+def _key(*parts: str | Column) -> Column:
+    return F.concat_ws("\x1e", *[F.col(p).cast("string") if isinstance(p, str) else p for p in parts])
+
+
+def candidate_pairs(selection: DataFrame, rules: DataFrame) -> DataFrame | None:
+    """(names, ordinal, exclude_type, rule_text, regex, cut): names with the rules whose literal pieces they hold. None without rules.
+
+    Any number of rules goes one way: an equi join on those pieces. A name is looked up once per
+    combination of lengths that the rules have, and with each of its own pieces only where a rule has neither a literal start nor an
+    end. Selected names are made distinct first, so that what fills the selection is not multiplied by
+    the rules; with the rules broadcast, behind a check of their number, the names stay where that has put them.
+    """
+    indexed = _indexed(checked_rules(rules)[0])
+    # Combinations of a few lengths, and how many rules there are, in one job.
+    kinds = indexed.groupBy("d", "n", "m", "g").agg(F.count("*").alias("rules")).collect()
+    if not kinds:
+        return None
+    lower = [F.lower(F.col(c)) for c in S.SOURCE_NAME]
+    cuts = {d: F.concat(F.concat_ws(_SEP, *lower[:d]), F.lit(_SEP if d < 3 else "")) for d in (1, 2, 3)}
+
+    def keys(r) -> Column:
+        cut = F.col(f"cut{r.d}")
+        fixed = [F.lit(str(x)) for x in (r.d, r.n, r.m, r.g)] + [F.left(cut, F.lit(r.n)), F.right(cut, F.lit(r.m))]
+        if not r.g:
+            return F.array(F.struct(F.lit(r.d).alias("d"), _key(*fixed, F.lit("")).alias("key")))
+        at = F.sequence(F.lit(1), F.greatest(F.length(cut) - r.g + 1, F.lit(1)))
+        grams = F.array_distinct(F.transform(at, lambda i: F.substring(cut, i, F.lit(r.g))))
+        return F.transform(grams, lambda g: F.struct(F.lit(r.d).alias("d"), _key(*fixed, g).alias("key")))
+
+    named = selection.select(*S.SOURCE_NAME).distinct().select(*S.SOURCE_NAME, *[c.alias(f"cut{d}") for d, c in cuts.items()])
+    asked = named.select(*S.SOURCE_NAME, "cut1", "cut2", "cut3", F.explode(F.flatten(F.array(*[keys(r) for r in kinds]))).alias("k"))
+    cut = F.coalesce(*[F.when(F.col("k.d") == d, F.col(f"cut{d}")) for d in cuts])
+    asked = asked.select(*S.SOURCE_NAME, cut.alias("cut"), F.col("k.key").alias("key"))
+    few = sum(r.rules for r in kinds) <= BROADCAST_RULES
+    small = indexed.select("key", "ordinal", "exclude_type", "rule_text", "regex")
+    return asked.join(F.broadcast(small) if few else small, "key").drop("key")
+
+
+def judged_by_rules(selection: DataFrame, rules: DataFrame) -> DataFrame:
+    """The selection with number, type and text of the first rule that matches, NULL if none does."""
+    columns = {"rule_ordinal": "bigint", "exclusion_type": "string", "exclusion_rule": "string"}
+    pairs = candidate_pairs(selection, rules)
+    if pairs is None:
+        return selection.withColumns({c: F.lit(None).cast(kind) for c, kind in columns.items()})
+    hits = pairs.filter(F.rlike("cut", F.col("regex")))
+    first = hits.groupBy(*S.SOURCE_NAME).agg(F.min(F.struct("ordinal", "exclude_type", "rule_text")).alias("r"))
+    told = [F.col(f"r.{c}").cast(kind).alias(name) for c, (name, kind) in zip(("ordinal", "exclude_type", "rule_text"), columns.items(), strict=True)]
+    return selection.join(first.select(*S.SOURCE_NAME, *told), S.SOURCE_NAME, "left")
+
+
+def first_rule(selection: DataFrame, rules: DataFrame) -> DataFrame:
+    """The selection with ``rule_ordinal`` of the first rule that matches. Rules that ``checked_rules`` sorts out match nothing."""
+    return judged_by_rules(selection, rules).drop("exclusion_type", "exclusion_rule")
 
 
 def apply_exclusions(selection: DataFrame, rules: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split into the kept rows and the excluded ones with type and text of the rule."""
-    judged = first_rule(selection, rules)
-    kept = judged.filter(F.col("rule_ordinal").isNull()).drop("rule_ordinal")
-    texts = checked_rules(rules)[0].select(
-        F.col("ordinal").alias("rule_ordinal"),
-        F.col("exclude_type").alias("exclusion_type"),
-        describe_rule().alias("exclusion_rule"),
-    )
-    excluded = judged.filter(F.col("rule_ordinal").isNotNull()).join(texts, "rule_ordinal")
-    return kept, excluded
+    judged = judged_by_rules(selection, rules)
+    told = ["rule_ordinal", "exclusion_type", "exclusion_rule"]
+    return judged.filter(F.col("rule_ordinal").isNull()).drop(*told), judged.filter(F.col("rule_ordinal").isNotNull())
 
 
 def coverage(selection: DataFrame, onboarded: DataFrame, excluded: DataFrame) -> DataFrame:

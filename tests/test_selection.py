@@ -1,7 +1,6 @@
 from __future__ import annotations
 
 import fnmatch
-
 import os
 
 import pytest
@@ -206,3 +205,20 @@ def test_longest_prefix_wins_and_a_missing_one_is_told(spark):
     rules = spark.createDataFrame([("abfss://a@x", "gs://a"), ("abfss://a@x/deep", "gs://d")], "src_prefix string, tgt_prefix string")
     got = {r[0]: (r[1], r[2]) for r in X.remapped_locations(tables, rules).collect()}
     assert got == {"abfss://a@x/deep/t": ("gs://d/t", None), "abfss://a@x/t": ("gs://a/t", None), "s3://none/t": (None, "NO_PREFIX_RULE")}
+
+
+def test_rules_meet_only_names_that_hold_their_literal_pieces(spark):
+    names = [("cat", f"s{i % 7}", f"{['t', 'Tmp', 'x_old'][i % 3]}_{i}", i) for i in range(900)]
+    selection = spark.createDataFrame(names, "source_catalog string, source_schema string, source_table string, ordinal int")
+    globs = [("table", "*", "*", "*_old_17*"), ("table", "*", "*", "*_8[89]?"), ("table", "*", "*", "[a-t]*_51"), ("schema", "*", "*3", None), ("table", "c*", "?5", "TMP*1")]
+    globs += [("table", "*", "*", f"*_{k}") for k in range(2000, 2600)] + [("table", "*", "*", f"*q{k}*") for k in range(300)]
+    rules = spark.createDataFrame([(i, *g) for i, g in enumerate(globs)], S.RULES)
+    got = {r["ordinal"]: r["rule_ordinal"] for r in E.first_rule(selection, rules).collect()}
+    want = {}
+    for c, sch, t, i in names:
+        hits = [k for k, (kind, gc, gs, gt) in enumerate(globs) if fnmatch.fnmatchcase(c, gc.lower()) and fnmatch.fnmatchcase(sch, gs.lower()) and (kind == "schema" or fnmatch.fnmatchcase(t.lower(), gt.lower()))]
+        want[i] = min(hits, default=None)
+    assert got == want and len(set(got.values())) > 4
+    # 905 rules and 900 names: all pairs would be 814,500.
+    pairs = E.candidate_pairs(selection, rules).count()
+    assert pairs < 3000, pairs
