@@ -13,6 +13,7 @@ from tableferry.operators import packing as P
 from tableferry.operators import selection as X
 from tableferry.operators import telemetry as T
 from tableferry.plans import run as R
+from tableferry.session import settle
 
 TS = "TIMESTAMP '2000-01-01 00:00:00'"
 KEY = "CAST(migration_id AS BIGINT)"
@@ -136,6 +137,38 @@ def dry_run_blueprint(t):
     return stored.select("execution_id", back["outcome"].alias("outcome")).groupBy("execution_id", "outcome").agg(F.count("*").alias("tables"))
 
 
+_PLANNED = f"""{_OUTCOME}, p AS (SELECT o.source_catalog, o.source_schema, o.source_table, target_catalog, target_schema, target_table, outcome,
+ COALESCE(value, '') <> 'DISABLE' AS blocked, CASE value WHEN 'DISABLE' THEN '' WHEN 'ENABLE' THEN 'PREDICTIVE_OPTIMIZATION_ENABLED' ELSE 'PREDICTIVE_OPTIMIZATION_UNKNOWN' END AS gate_code,
+ z.location AS source_path, z.size_in_bytes, CASE WHEN z.size_in_bytes IS NULL THEN 'UNKNOWN' WHEN z.size_in_bytes < 10737418240 THEN 'SMALL' WHEN z.size_in_bytes < 107374182400 THEN 'MEDIUM'
+  WHEN z.size_in_bytes < 1073741824000 THEN 'LARGE' ELSE 'XLARGE' END AS workload_class
+ FROM o LEFT JOIN source_stats z ON z.table_fqn = concat(o.source_catalog, '.', o.source_schema, '.', o.source_table))"""
+
+
+def _plan(t, stats=None):
+    return R.dry_run(X.first_wins(t.selection), t.control, t.settings, t.source_stats if stats is None else stats, t.target_listing, RUN)
+
+
+@query("A20", f"WITH {_PLANNED} SELECT * FROM p")
+def stored_blueprint(t):
+    """All columns of a plan that was stored as JSON and read back with its types, among older rows and those of another execution."""
+    plan = _plan(t)
+    stored = R.blueprint(plan, "exec-1", now()).unionAll(R.blueprint(plan.withColumn("outcome", F.lit("OTHER")), "exec-2", now()))
+    older = R.blueprint(plan.withColumn("size_in_bytes", F.lit(-1).cast("bigint")), "exec-1", now() - F.expr("INTERVAL 1 DAY"))
+    return R.stored_plan(settle(stored.unionAll(older)), "exec-1")
+
+
+@query("A20", f"""
+WITH {_PLANNED}, n AS (SELECT *, CASE WHEN size_in_bytes % 5 = 0 THEN size_in_bytes + 1 ELSE size_in_bytes END AS now_size FROM p)
+SELECT source_catalog, source_schema, source_table, CASE WHEN source_table LIKE '%7' THEN 'GONE' WHEN source_table LIKE '%3' THEN 'NEW' WHEN now_size IS DISTINCT FROM size_in_bytes THEN 'CHANGED' ELSE 'SAME' END AS verdict,
+ CASE WHEN source_table NOT LIKE '%7' AND source_table NOT LIKE '%3' THEN CASE WHEN now_size IS DISTINCT FROM size_in_bytes THEN 'size_in_bytes' ELSE '' END END AS changed,
+ CASE WHEN source_table NOT LIKE '%3' THEN outcome END AS planned_outcome, CASE WHEN source_table NOT LIKE '%7' THEN outcome END AS present_outcome FROM n""")
+def blueprint_drift(t):
+    """A stored plan against a later dry run: tables gone, new ones, and sizes that grew."""
+    stored = R.blueprint(_plan(t).filter("source_table NOT LIKE '%3'"), "exec-1", now())
+    grown = t.source_stats.withColumn("size_in_bytes", F.expr("CASE WHEN size_in_bytes % 5 = 0 THEN size_in_bytes + 1 ELSE size_in_bytes END"))
+    return R.plan_drift(R.stored_plan(stored, "exec-1"), _plan(t, grown).filter("source_table NOT LIKE '%7'"))
+
+
 # --- planning and copying -------------------------------------------------------
 
 

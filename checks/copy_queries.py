@@ -9,9 +9,11 @@ from tableferry import schemas as S
 from tableferry.operators import checks as K
 from tableferry.operators import reconcile as Q
 from tableferry.operators import telemetry as T
+from tableferry.plans import run as R
 from tableferry.session import new_folder
 from tableferry.sources import snapshots as V
 from tableferry.sources import stored_tables as ST
+from tableferry.streaming import rollups as U
 
 
 def _store(t):
@@ -331,6 +333,57 @@ def appended_validations(t):
         "run_id", "migration_id", "row_count_checked", "source_row_count", "target_row_count", "row_count_matched", "status", "message")
 
 
+@query("2.K, D3", """
+SELECT CAST(created_at AS DATE) AS day, status, COUNT(*) AS attempts, CAST(SUM(duration_seconds) AS BIGINT) AS seconds, CAST(SUM(source_size_bytes) AS BIGINT) AS bytes FROM attempts GROUP BY 1, 2""")
+def running_attempts(t):
+    """Three appends, the totals brought up to date after each by a stream that reads only what is new."""
+    stored = _stored(t)
+    totals = U.attempts_by_day(t.spark, new_folder(t.spark, "totals"), stored.path("attempts"), S.ATTEMPTS)
+    for k in range(3):
+        stored.append("attempts", ST.attempt_rows(_with_text(t.attempts).filter(F.col("attempt_number") % 3 == k)), f"batch-{k}")
+        totals.advance()
+    totals.advance()
+    return totals.read()
+
+
+@query("2.K, D26, E1", """
+SELECT CAST(DATE '2000-01-01' + CAST(CAST(validation_id AS BIGINT) % 3 AS INT) AS DATE) AS day, status, COUNT(*) AS validations, COUNT(*) FILTER (WHERE row_count_checked) AS counted,
+ COUNT(*) FILTER (WHERE row_count_matched) AS matched FROM validation_history GROUP BY 1, 2""")
+def running_validations(t):
+    stored = _stored(t)
+    totals = U.validations_by_status(t.spark, new_folder(t.spark, "totals"), stored.path("validation_history"), S.VALIDATION_HISTORY)
+    number = F.col("validation_id").cast("bigint")
+    outcomes = t.validation_history.withColumn("message", F.lit("")).withColumn("batch_id", F.concat(F.lit("b"), number % 2))
+    for k in range(3):
+        at = F.expr(f"TIMESTAMP '2000-01-01 00:00:00' + INTERVAL {k} DAY")
+        stored.append("validation_history", ST.validation_rows(outcomes.filter(number % 3 == k), f"run-{k}", at))
+        totals.advance()
+    return totals.read()
+
+
+@query("J3", """
+SELECT concat('m', o_orderpriority[1]) AS migration_id, COUNT(*) AS source_row_count, COUNT(*) - COUNT(*) FILTER (WHERE o_orderpriority[1] = '2' AND o_orderkey % 2 = 0) AS target_row_count,
+ CAST(NULL AS VARCHAR) AS count_error FROM orders WHERE o_orderpriority[1] < '4' GROUP BY 1
+UNION ALL SELECT 'm9', NULL, COUNT(*), 'LookupError: no raw.main.p9' FROM orders WHERE o_orderpriority[1] = '1'""")
+def live_counted_sources(t):
+    """Sources that no ledger holds are counted as they are now; one of them cannot be opened."""
+    target, none = _store(t), _store(t)
+    of = lambda p: t.orders.filter(F.substring("o_orderpriority", 1, 1) == p)
+    sources = {f"raw.main.p{p}": of(p) for p in "123"}
+
+    def opened(name):
+        if name not in sources:
+            raise LookupError(f"no {name}")
+        return sources[name]
+
+    staged = [target.stage(df.filter("NOT (o_orderpriority LIKE '2%' AND o_orderkey % 2 = 0)"), f"tgt.{n[4:]}") for n, df in sources.items()]
+    target.commit([*staged, target.stage(of("1"), "tgt.main.p9")])
+    names = ", ".join(f"{c} string" for c in ("migration_id", *S.SOURCE_NAME, *S.TARGET_NAME))
+    records = t.spark.createDataFrame([(f"m{p}", "raw", "main", f"p{p}", "tgt", "main", f"p{p}") for p in "1239"], names)
+    records = records.withColumns({"source_version": F.lit(None).cast("bigint"), "target_version": F.lit(0).cast("bigint")})
+    return R.version_counts(records, none, target, opened)
+
+
 @query("A19", "SELECT 'exec-9' AS execution_id, check_name, table_name, passed, detail FROM report")
 def appended_report(t):
     stored = _stored(t)

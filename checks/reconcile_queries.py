@@ -86,6 +86,16 @@ def sampled_row_differences(t):
     return Q.row_differences(t.src_rows, t.tgt_rows, percent=5.0)
 
 
+@query("J9", f"""
+WITH b AS (SELECT l_returnflag, l_linestatus, sha256({ENCODED}) AS row_hash, 1 AS s, 0 AS g FROM src_rows
+ UNION ALL SELECT l_returnflag, l_linestatus, sha256({ENCODED}), 0, 1 FROM tgt_rows),
+c AS (SELECT l_returnflag, l_linestatus, row_hash, CAST(SUM(s) AS BIGINT) AS src_count, CAST(SUM(g) AS BIGINT) AS tgt_count FROM b GROUP BY ALL),
+r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_returnflag, l_linestatus ORDER BY row_hash) AS rk FROM c)
+SELECT l_returnflag, l_linestatus, row_hash, src_count, tgt_count FROM r WHERE rk <= 200 AND src_count <> tgt_count""")
+def stratified_sample_differences(t):
+    return Q.stratified_differences(t.src_rows, t.tgt_rows, ["l_returnflag", "l_linestatus"], per_part=200)
+
+
 @query("D22", f"SELECT md5({ENCODED}) AS row_hash, COUNT(*) AS n FROM src_rows GROUP BY 1")
 def row_hash_frequency(t):
     return Q.hash_frequency(t.src_rows)

@@ -199,6 +199,15 @@ def folder_stats(t):
     return L.folder_stats(t.spark, t.sf_dir, "lake.raw.").drop("last_modified")
 
 
+@query("A8", """
+SELECT concat('lake.raw.', n) AS table_fqn, true AS has_files, true AS has_bytes, 'parquet' AS format FROM (VALUES ('region'), ('nation'), ('customer'), ('supplier'), ('part'), ('orders'), ('lineitem'),
+ ('events'), ('documents'), ('embeddings'), ('pages'), ('benchmark'), ('labels'), ('conversations')) AS v(n)""")
+def folders_with_files(t):
+    """Tables of the given folder, each with files and bytes."""
+    stats = L.folder_stats(t.spark, t.sf_dir, "lake.raw.")
+    return stats.select("table_fqn", (F.col("num_files") > 0).alias("has_files"), (F.col("size_in_bytes") > 0).alias("has_bytes"), "format")
+
+
 @query("A11", """
 SELECT migration_id, EXISTS (SELECT 1 FROM target_listing l WHERE l.catalog = c.target_catalog AND l.schema_name = c.target_schema
  AND l.table_name = c.target_table) AS target_exists FROM control c""")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -179,6 +179,50 @@ def differing_rows(source: DataFrame, target: DataFrame, percent: float = 100.0)
     return rows.groupBy(*_KEY).agg(one).select("row.*")
 
 
+# Rows taken in the first pass of a stratified sample, as a multiple of those wanted.
+_SAMPLE_EXCESS = 4
+
+
+def stratified_differences(source: DataFrame, target: DataFrame, by: Sequence[str], per_part: int = 100) -> DataFrame:
+    """Sampled rows that do not occur equally often on both sides: part, ``row_hash``, src_count, tgt_count.
+
+    The sample of a part is the ``per_part`` different rows, of either side, whose SHA-256 comes first; so every part is looked at,
+    small ones wholly, and another engine can draw the same one. A first pass keeps the rows whose hash is below a bound made from the part's
+    row count; only parts in which that leaves too few different rows are read whole, with equal rows counted in the tasks.
+    """
+    columns, _ = common_columns(source, target)
+    parts = [f"part_{c}" for c in by]
+
+    def side(df: DataFrame, src: int) -> DataFrame:
+        counts = [F.lit(n).cast("bigint").alias(c) for n, c in ((src, "src_count"), (1 - src, "tgt_count"))]
+        return df.select(*[F.col(c).alias(f"part_{c}") for c in by], R.row_sha256(df, columns).alias("row_hash"), *counts)
+
+    both = side(source, 1).unionAll(side(target, 0))
+    sizes = settle(both.groupBy(*parts).agg(F.count("*").alias("n")), "sizes")
+    # Hashes are even over 60 bits, so a share of that range holds about that share of the different rows.
+    whole = (1 << 60) - 1
+    share = F.lit(float(_SAMPLE_EXCESS * per_part)) / F.col("n")
+    bounds = sizes.withColumn("bound", F.when(share < 1, (share * float(1 << 60)).cast("bigint")).otherwise(whole))
+    head = F.conv(F.substring("row_hash", 1, 15), 16, 10).cast("bigint")
+
+    def same(some: DataFrame) -> DataFrame:
+        return some.select(*[F.col(p).alias(f"of_{p}") for p in parts], *[c for c in some.columns if c not in parts])
+
+    of_part = [F.col(p).eqNullSafe(F.col(f"of_{p}")) for p in parts]
+
+    def counted(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*parts, "row_hash").agg(F.sum("src_count").alias("src_count"), F.sum("tgt_count").alias("tgt_count"))
+
+    first = settle(counted(both.join(same(bounds), of_part).filter(head <= F.col("bound"))), "sample")
+    found = same(first.groupBy(*parts).agg(F.count("*").alias("found")))
+    cut = bounds.filter(F.col("bound") < whole).join(found, of_part, "left").filter(F.coalesce("found", F.lit(0)) < per_part)
+    short = same(settle(cut.select(*parts), "short"))
+    sample = first.join(short, of_part, "left_anti").unionByName(counted(both.join(short, of_part, "left_semi")))
+    ranked = sample.withColumn("rank", F.row_number().over(Window.partitionBy(*parts).orderBy("row_hash")))
+    wrong = ranked.filter((F.col("rank") <= per_part) & (F.col("src_count") != F.col("tgt_count")))
+    return wrong.select(*[F.col(p).alias(c) for p, c in zip(parts, by, strict=True)], "row_hash", "src_count", "tgt_count")
+
+
 def differing_parts(
     source: DataFrame, target: DataFrame, by: Sequence[str], columns: Sequence[str] | None = None
 ) -> DataFrame:

@@ -193,6 +193,12 @@ LEDGER.add("parts", T.ArrayType(PARTS))
 # What a batch id may look like: it names a folder.
 BATCH_ID = r"[A-Za-z0-9._-]+"
 
+# What a dry run says of a table.
+PLAN = _struct(
+    "source_catalog string, source_schema string, source_table string, target_catalog string, target_schema string, target_table string, "
+    "outcome string, blocked boolean, gate_code string, source_path string, size_in_bytes bigint, workload_class string"
+)
+
 # Stored tables and the column each is partitioned by.
 STORED_TABLES = {
     "control": (CONTROL, ["batch_id"]),
