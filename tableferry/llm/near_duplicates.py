@@ -9,9 +9,12 @@ the order: passages shared by very many documents rarely open a list.
 
 Lists are merged in passes. In each of the first passes every list's members meet one of them, another one
 in each pass, and what is confirmed is settled as components: members of one component are skipped from then on, for no
-further link could change anything. In the last pass all members of a list that are still in different
-components meet, in blocks, within tasks, a pair only in the first list that holds both. A pair counts collisions over two bits
-of each coordinate and goes on only above a match threshold; then it is confirmed on full shingle sets.
+further link could change anything. A member that all others have met leaves the list, so short lists, which are most, are soon used up. These
+passes go on while they shrink the lists. In the last pass all members of a list that are still
+in different components meet, in blocks, within tasks, a pair only in the first list that holds both; the members of a list's largest
+component, mostly by far the most, are sent once per block of the others. A pair counts collisions over two bits
+of each coordinate and goes on only above a match threshold, pairs with hubs over ``SCREENED`` coordinates before
+over all; then it is confirmed on full shingle sets.
 
 Nulls and texts without words have an empty set and are linked with nothing.
 """
@@ -41,9 +44,13 @@ BELOW = 5.0
 # A coordinate-value pair in more than this share of the classes is posted last.
 HEAVY_SHARE = 0.001
 HEAVY_LEAST = 50
-HUB_PASSES = 2
+# Passes through hubs end when the lists keep more than this share of their rows.
+STILL = 0.8
 BLOCK = 256
 WORDS_OF_BITS = [f"s{j}" for j in range(COORDINATES // 32)]
+# Coordinates that pairs are screened by before all are looked at.
+SCREENED = 512
+SCREEN = WORDS_OF_BITS[: SCREENED // 32]
 _LOW_BITS = np.uint64(0x5555555555555555)
 
 _FACTORS = np.random.default_rng(11).integers(1, 1 << 32, (COORDINATES, 2), dtype=np.uint32)
@@ -82,10 +89,10 @@ def two_bits(signature: np.ndarray) -> np.ndarray:
     return (bits << (2 * np.arange(32, dtype=np.uint64))).sum(2, dtype=np.uint64)
 
 
-def most_misses(percent: int) -> int:
-    """Largest number of coordinates whose two bits may differ for a pair to be confirmed."""
+def most_misses(percent: int, coordinates: int = COORDINATES) -> int:
+    """Largest number of so many coordinates whose two bits may differ for a pair to be confirmed."""
     m = percent / 100 + (1 - percent / 100) / 4
-    return int(COORDINATES * (1 - m) + BELOW * (COORDINATES * m * (1 - m)) ** 0.5)
+    return int(coordinates * (1 - m) + BELOW * (coordinates * m * (1 - m)) ** 0.5)
 
 
 def agreeing_least(percent: int) -> int:
@@ -183,45 +190,56 @@ def postings(classes: DataFrame) -> DataFrame:
     return classes.select("id", "prefix").mapInArrow(post, "slot long, id long")
 
 
-def misses(x: str, y: str) -> Column:
-    """In how many coordinates the two bits of two rows differ."""
+def misses(x: str, y: str, words: list[str]) -> Column:
+    """In how many coordinates of these words the two bits of two rows differ."""
     return reduce(lambda p, q: p + q, [
-        F.expr(f"bit_count(({x}.{c} ^ {y}.{c} | shiftrightunsigned({x}.{c} ^ {y}.{c}, 1)) & {int(_LOW_BITS)}L)") for c in WORDS_OF_BITS
+        F.expr(f"bit_count(({x}.{c} ^ {y}.{c} | shiftrightunsigned({x}.{c} ^ {y}.{c}, 1)) & {int(_LOW_BITS)}L)") for c in words
     ])
 
 
-def agreeing(pairs: DataFrame, classes: DataFrame, most: int) -> DataFrame:
-    """Pairs (a, b) that differ in at most ``most`` coordinates."""
-    x = classes.select(F.col("id").alias("a"), *WORDS_OF_BITS).alias("x")
-    y = classes.select(F.col("id").alias("b"), *WORDS_OF_BITS).alias("y")
-    return pairs.join(x, "a").join(y, "b").where(misses("x", "y") <= most).select("a", "b")
+def agreeing(pairs: DataFrame, bits: DataFrame, words: list[str], percent: int) -> DataFrame:
+    """Pairs (a, b) that differ in no more coordinates of these words than the similarity gives."""
+    x = bits.select(F.col("id").alias("a"), *words).alias("x")
+    y = bits.select(F.col("id").alias("b"), *words).alias("y")
+    return pairs.join(x, "a").join(y, "b").where(misses("x", "y", words) <= most_misses(percent, 32 * len(words))).select("a", "b")
 
 
-def through_hubs(lists: DataFrame, turn: int) -> DataFrame:
-    """Pairs of a list's members with one of them, in different components; another one in every turn."""
-    hubs = lists.groupBy("slot").agg(F.min_by(F.struct("id", "comp"), F.xxhash64(F.lit(turn), "slot", "id")).alias("hub"))
-    met = lists.join(hubs, "slot").where("comp <> hub.comp")
-    return met.select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b")).distinct()
+def with_hubs(lists: DataFrame, turn: int) -> DataFrame:
+    """Lists with one member each as ``hub``, another one in every turn.
 
+    The members of one family are in many lists together; the order of hubs is that of their ids' hashes, so it mostly has one hub in all.
+    """
+    hubs = lists.groupBy("slot").agg(F.min_by(F.struct("id", "comp"), F.xxhash64(F.lit(turn), "id")).alias("hub"))
+    return lists.join(hubs, "slot")
+
+
+def through_hubs(lists: DataFrame) -> DataFrame:
+    """Pairs of lists' members with their hubs, in different components."""
+    return lists.where("comp <> hub.comp").select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b")).distinct()
 
-def unmerged(lists: DataFrame, classes: DataFrame, most: int) -> DataFrame:
+
+def unmerged(lists: DataFrame, classes: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
     """Agreeing pairs of lists' members that are in different components.
 
     ``lists``: (slot, id, comp) of lists with several components. Members outside the list's
-    most frequent component (left) meet all others (right); both are cut into blocks by id, and each pair of
-    blocks is looked through by one task.
+    most frequent component (left) meet all others (right); either side is cut into blocks by id, and each pair of
+    blocks is looked through by one task: a member on the right is sent once per block of the left.
     """
     of_comp = lists.groupBy("slot", "comp").agg(F.count("*").alias("m"))
-    large = of_comp.groupBy("slot").agg(F.max_by("comp", F.struct("m", "comp")).alias("large"), F.sum("m").alias("n"))
+    large = of_comp.groupBy("slot").agg(F.max_by("comp", F.struct("m", "comp")).alias("large"), F.sum("m").alias("n"), F.max("m").alias("m"))
     sized = lists.join(large, "slot")
-    width = F.greatest(F.lit(1), F.ceil(F.col("n") / BLOCK)).cast("int")
-    block = F.pmod(F.xxhash64("id"), width).cast("int")
-    every = F.sequence(F.lit(0), width - 1)
-    rest = sized.join(classes.select("id", "prefix", *WORDS_OF_BITS), "id").withColumn("block", block)
-    rest = rest.withColumn("outside", F.col("comp") != F.col("large"))
-    bits = ["id", "comp", "outside", "prefix", *WORDS_OF_BITS]
-    left = rest.where("outside").select("slot", F.col("block").alias("i"), F.explode(every).alias("j"), F.lit(0).alias("side"), *bits)
-    right = rest.select("slot", F.explode(every).alias("i"), F.col("block").alias("j"), F.lit(1).alias("side"), *bits)
+
+    def blocks(n: str) -> Column:
+        return F.greatest(F.lit(1), F.ceil(F.expr(n) / BLOCK)).cast("int")
+
+    held = classes.select("id", "prefix").join(bits.select("id", *WORDS_OF_BITS), "id")
+    rest = sized.join(held, "id").withColumns({"outside": F.col("comp") != F.col("large"), "lefts": blocks("n - m"), "rights": blocks("n")})
+    own = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = ["id", "comp", "outside", "prefix", *WORDS_OF_BITS]
+    left = rest.where("outside").select("slot", own("lefts").alias("i"), every("rights").alias("j"), F.lit(0).alias("side"), *columns)
+    right = rest.select("slot", every("lefts").alias("i"), own("rights").alias("j"), F.lit(1).alias("side"), *columns)
+    most = most_misses(percent)
 
     def meet(batches):
         rest = None
@@ -236,7 +254,7 @@ def unmerged(lists: DataFrame, classes: DataFrame, most: int) -> DataFrame:
 
     width = shuffle_width(lists.sparkSession)
     dealt = left.unionAll(right).repartition(width, "slot", "i", "j").sortWithinPartitions("slot", "i", "j", "side")
-    return dealt.select("slot", "i", "j", "side", *bits).mapInArrow(meet, "a long, b long")
+    return dealt.select("slot", "i", "j", "side", *columns).mapInArrow(meet, "a long, b long")
 
 
 def _group_key(table: pa.Table) -> np.ndarray:
@@ -322,26 +340,31 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     ``docs`` needs doc_id (unique) and text; other columns are ignored. Rows with equal shingle sets
     are always in one component.
     """
-    most = most_misses(percent)
     known = settle(sketches(docs, size), "sketches")
-    first = [F.first(c).alias(c) for c in ("posted", *WORDS_OF_BITS)]
-    classes = settle(known.where("set_key IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("id"), *first).where("id IS NOT NULL"), "classes")
+    bits = known.where("set_key IS NOT NULL").select(F.col("doc_id").alias("id"), *WORDS_OF_BITS)
+    # A class carries its posted coordinates alone; sketches are fetched by id, from those of all documents.
+    classes = settle(known.where("set_key IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("id"), F.first("posted").alias("posted")).where("id IS NOT NULL"), "classes")
     classes = settle(with_prefix(classes, heavy_slots(classes, classes.count()), percent), "classes")
     posted = postings(classes)
     shared = posted.groupBy("slot").agg(F.count("*").alias("n")).where("n > 1").select("slot")
     lists = settle(posted.join(shared, "slot").withColumn("comp", F.col("id")), "lists")
-    links, named = None, None
-    for turn in range(HUB_PASSES + 1):
-        if turn:
-            lists = _several(lists, named)
-        tried = through_hubs(lists, turn) if turn < HUB_PASSES else None
-        pairs = agreeing(tried, classes, most) if tried is not None else unmerged(lists, classes, most)
-        pairs = settle(pairs, "pairs")
-        if links is not None and pairs.isEmpty():
-            continue
-        found = confirmed(pairs, docs, size, percent)
-        links = settle(found if links is None else links.unionAll(found), "links")
-        named = settle(components(links), "components")
+    links, named, turn, rows, hubs = None, None, 0, lists.count(), True
+    while links is None or rows:
+        if hubs:
+            lists = settle(with_hubs(lists, turn), "hubs")
+            near = settle(agreeing(through_hubs(lists), bits, SCREEN, percent), "screened")
+            pairs = settle(agreeing(near, bits, WORDS_OF_BITS, percent), "pairs")
+        else:
+            pairs = settle(unmerged(lists, classes, bits, percent), "pairs")
+        if links is None or not pairs.isEmpty():
+            found = confirmed(pairs, docs, size, percent)
+            links = settle(found if links is None else links.unionAll(found), "links")
+            named = settle(components(links), "components")
+        if not hubs:
+            break
+        lists = _several(lists.where("id <> hub.id").select("slot", "id", "comp"), named)
+        turn, before, rows = turn + 1, rows, lists.count()
+        hubs = rows <= STILL * before
 
     of_class = classes.join(named, "id", "left").select("set_key", F.coalesce("component_id", "id").alias("component_id"))
     out = known.join(of_class, "set_key", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
