@@ -10,8 +10,9 @@ pieces left, and streams the windows of the pieces through it by backward search
 window gives the smallest document it starts in. Documents are never compared in pairs.
 
 Equal pieces of one batch of documents travel once, with a list of places. Triples in more than
-``HEAVY_SHARE`` of all pieces (passages shared by very many documents) are split: each of their windows
-goes to a shard of its own hash. They number at most 2 / HEAVY_SHARE.
+``HEAVY_SHARE`` of all pieces (common phrases, passages shared by very many documents) are split by the second triple of their windows, the
+least but for the first: neighbouring windows of one pair of triples stay together, so a shared passage costs a document a few pieces and spans, not one
+for each window, and equal windows still meet. Heavy triples number at most 2 / HEAVY_SHARE.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tableferry.llm.fm_index import FMIndex
 from tableferry.llm.shared import runs, settle, shuffle_width, texts_of
-from tableferry.llm.words import Words, slices
+from tableferry.llm.words import Words, mix, slices
 
 TRIPLE = 3
 HEAVY_SHARE = 1 / 5000
@@ -63,6 +64,24 @@ def pieces(words: Words, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return at[first], np.diff(np.append(first, len(at))), least[first], row[first]
 
 
+def by_second_triple(words: Words, length: int, first: np.ndarray, many: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the windows of some pieces: first word, whether another second triple than the window before has it, and that triple."""
+    h = words.hashes()
+    grams = np.zeros(len(h), np.uint64)
+    at, triples = words.ngrams(h, TRIPLE)
+    grams[at] = triples
+    begin = np.repeat(first, many) + (np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many))
+    least, none = np.repeat(key, many), np.uint64(0xFFFFFFFFFFFFFFFF)
+    second = np.full(len(begin), none)
+    for k in range(length - TRIPLE + 1):
+        g = grams[begin + k]
+        np.minimum(second, np.where(g == least, none, g), out=second)
+    new = np.ones(len(begin), bool)
+    new[1:] = second[1:] != second[:-1]
+    new[(np.cumsum(many) - many)] = True
+    return begin, new, second
+
+
 def heavy_triples(docs: DataFrame, length: int) -> tuple[np.ndarray, int]:
     """Triples of more than ``HEAVY_SHARE`` of all pieces, and the number of pieces.
 
@@ -151,12 +170,12 @@ def shipped(docs: DataFrame, length: int, heavy: np.ndarray, shards: int) -> Dat
                 first, many, key, row = pieces(words, length)
                 split = np.isin(key, shared.value)
                 if split.any():
-                    each = np.repeat(np.flatnonzero(split), many[split])
-                    begin = first[each] + (np.arange(len(each)) - np.repeat(np.cumsum(many[split]) - many[split], many[split]))
-                    at, grams = words.ngrams(words.hashes(), length)
-                    first = np.concatenate((first[~split], begin))
-                    many = np.concatenate((many[~split], np.ones(len(begin), np.int64)))
-                    key = np.concatenate((key[~split], grams[np.searchsorted(at, begin)]))
+                    begin, new, second = by_second_triple(words, length, first[split], many[split], key[split])
+                    runs_of = np.append(np.flatnonzero(new), len(begin))
+                    each = np.repeat(np.flatnonzero(split), many[split])[runs_of[:-1]]
+                    first = np.concatenate((first[~split], begin[runs_of[:-1]]))
+                    many = np.concatenate((many[~split], np.diff(runs_of)))
+                    key = np.concatenate((key[~split], mix(key[each] ^ mix(second[runs_of[:-1]]))))
                     row = np.concatenate((row[~split], row[each]))
                 shard = ((key >> np.uint64(32)) % np.uint64(shards)).tolist()
                 tag = (key & np.uint64(0xFFFFFFFF)).tolist()
