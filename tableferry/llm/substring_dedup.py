@@ -36,7 +36,9 @@ HEAVY_SHARE = 1 / 5000
 SHARD_PIECES = 50_000
 # A run of windows of one triple is cut at this many, so that texts of one repeated word make no long pieces.
 PIECE_WINDOWS = 64
+# A task holds so many places, or so many bytes of different pieces with what their entries take, before it sends them off.
 FLUSH_PIECES = 400_000
+FLUSH_BYTES, ENTRY_BYTES = 96 << 20, 300
 _ZSTD = pa.Codec("zstd", 6)
 
 
@@ -118,15 +120,20 @@ class _Parcels:
     """Pieces of a batch by shard: equal ones once, with the places where they stand."""
 
     def __init__(self, shards: int):
-        self.shards, self.n = shards, 0
+        self.shards, self.n, self.bytes = shards, 0, 0
         self.by_shard: dict[int, dict[bytes, list]] = {}
 
     def add(self, shard: int, tag: int, text: bytes, doc: int, start: int) -> None:
         found = self.by_shard.setdefault(shard, {}).setdefault(text, [tag])
+        if len(found) == 1:
+            self.bytes += len(text) + ENTRY_BYTES
         found.append(doc)
         found.append(start)
         self.n += 1
 
+    def full(self) -> bool:
+        return self.n >= FLUSH_PIECES or self.bytes >= FLUSH_BYTES
+
     def flush(self):
         for shard, found in self.by_shard.items():
             tags = np.array([v[0] for v in found.values()], np.uint32)
@@ -137,7 +144,7 @@ class _Parcels:
             body = b"".join((b"".join(found), *map(_planes, numbers)))
             packed = _ZSTD.compress(body, asbytes=True)
             yield shard, struct.pack("<qqqq", len(found), int(sizes.sum()), len(at), len(body)) + packed
-        self.by_shard, self.n = {}, 0
+        self.by_shard, self.n, self.bytes = {}, 0, 0
 
 
 def _planes(numbers: np.ndarray) -> bytes:
@@ -186,7 +193,7 @@ def shipped(docs: DataFrame, length: int, heavy: np.ndarray, shards: int) -> Dat
                     doc = ids[a + r]
                     if doc is not None:
                         parcels.add(s, t, data[x:y], doc, w)
-                if parcels.n >= FLUSH_PIECES:
+                if parcels.full():
                     yield rows(parcels)
         yield rows(parcels)
 

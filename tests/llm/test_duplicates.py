@@ -106,7 +106,7 @@ def test_near_duplicates(spark, size, percent):
 def test_lists_are_cut_into_blocks(spark, monkeypatch):
     """Members of one list that meet only in the last pass."""
     monkeypatch.setattr(nd, "BLOCK", 3)
-    monkeypatch.setattr(nd, "HUB_PASSES", 1)
+    monkeypatch.setattr(nd, "STILL", 0.0)
     base = [f"w{i}" for i in range(60)]
     rows = []
     for i in range(14):
@@ -158,3 +158,16 @@ def test_components_of_paths_and_stars(spark):
     links = [(i, i + 1) for i in range(10, 40)] + [(100, i) for i in range(101, 130)] + [(7, 7)]
     got = {r.id: r.component_id for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {i: 10 for i in range(10, 41)} | {i: 100 for i in range(100, 130)}
+
+
+def test_a_shared_passage_gives_a_document_a_few_spans(spark):
+    """One passage of 100 words in very many documents, all of its triples heavy."""
+    passage = [f"p{i}" for i in range(100)]
+    rows = [(i, " ".join([f"a{i}x{k}" for k in range(5)] + passage + [f"b{i}x{k}" for k in range(5)])) for i in range(2000)]
+    docs = frame(spark, rows, False)
+    heavy, _ = sd.heavy_triples(sd.texts_of(docs), 30)
+    assert len(heavy)
+    spans = sd.repeated_spans(docs, 30).collect()
+    assert len({r.doc_id for r in spans}) == 1999 and len(spans) < 25 * 1999
+    got = {r.doc_id: r.n_removed for r in sd.without_repeats(docs, 30).select("doc_id", "n_removed").collect()}
+    assert got == {i: 100 if i else 0 for i in range(2000)}
