@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from tableferry.llm.components import components
-from tableferry.llm.shared import by_ids, runs, settle, shuffle_width, texts_of
+from tableferry.llm.shared import by_ids, runs, settle, shuffle_width, small_batches, texts_of
 from tableferry.llm.words import mix, slices
 
 COORDINATES, POSTED = 2048, 32
@@ -340,6 +340,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     ``docs`` needs doc_id (unique) and text; other columns are ignored. Rows with equal shingle sets
     are always in one component.
     """
+    small_batches(docs.sparkSession)
     known = settle(sketches(docs, size), "sketches")
     bits = known.where("set_key IS NOT NULL").select(F.col("doc_id").alias("id"), *WORDS_OF_BITS)
     # A class carries its posted coordinates alone; sketches are fetched by id, from those of all documents.

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tableferry.session import new_folder, settle
 
-__all__ = ["by_ids", "forget", "runs", "settle", "settled_at", "shuffle_width", "texts_of"]
+__all__ = ["by_ids", "forget", "runs", "settle", "settled_at", "shuffle_width", "small_batches", "texts_of"]
 
 
 def settled_at(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
@@ -29,6 +29,18 @@ def texts_of(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
 
 
+# Rows that go to a Python worker at once: texts are long, and a batch is held by the JVM and by the worker.
+BATCH_ROWS = 2000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the rows of Arrow batches for the session; a smaller bound that is set already stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key, "10000"))
+    if not 0 < now <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tableferry.llm.fm_index import FMIndex
-from tableferry.llm.shared import runs, settle, shuffle_width, texts_of
+from tableferry.llm.shared import runs, settle, shuffle_width, small_batches, texts_of
 from tableferry.llm.words import Words, mix, slices
 
 TRIPLE = 3
@@ -286,6 +286,7 @@ _SPANS = "doc_id long, first int, last int"
 def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
     """Word spans (both ends included) of every document that stand in one of a smaller doc_id."""
     docs = texts_of(docs)
+    small_batches(docs.sparkSession)
     heavy, total = heavy_triples(docs, length)
     width = shuffle_width(docs.sparkSession)
     shards = max(width, -(-total // SHARD_PIECES))
