@@ -208,6 +208,22 @@ def folders_with_files(t):
     return stats.select("table_fqn", (F.col("num_files") > 0).alias("has_files"), (F.col("size_in_bytes") > 0).alias("has_bytes"), "format")
 
 
+@query("A8, D29", """
+SELECT 'lake.raw.orders' AS table_fqn, COUNT(DISTINCT concat(o_orderstatus, '/', o_orderpriority)) AS num_files, true AS has_bytes FROM orders
+UNION ALL SELECT 'lake.raw.lineitem', COUNT(DISTINCT concat(l_returnflag, '/', l_linestatus, '/', l_linenumber)), true FROM lineitem
+UNION ALL SELECT 'lake.raw.nowhere', 0, false""")
+def located_stats(t):
+    """Tables stored in nested partition folders, a file each; and one that is not there."""
+    places = []
+    for name, keys in (("orders", ["o_orderstatus", "o_orderpriority"]), ("lineitem", ["l_returnflag", "l_linestatus", "l_linenumber"])):
+        path = new_folder(t.spark, "nested")
+        getattr(t, name).repartition(*keys).write.partitionBy(*keys).parquet(path)
+        places.append((f"lake.raw.{name}", path))
+    places.append(("lake.raw.nowhere", new_folder(t.spark, "nowhere")))
+    stats = L.located_stats(t.spark.createDataFrame(places, "table_fqn string, location string"))
+    return stats.select("table_fqn", "num_files", (F.coalesce("size_in_bytes", F.lit(0)) > 0).alias("has_bytes"))
+
+
 @query("A11", """
 SELECT migration_id, EXISTS (SELECT 1 FROM target_listing l WHERE l.catalog = c.target_catalog AND l.schema_name = c.target_schema
  AND l.table_name = c.target_table) AS target_exists FROM control c""")

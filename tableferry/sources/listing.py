@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tableferry import schemas as S
 from tableferry.functions import names as N
+from tableferry.sources import file_walk as W
 
 
 def session_listing(spark: SparkSession, catalog: str | None = None) -> DataFrame:
@@ -25,11 +26,9 @@ def session_listing(spark: SparkSession, catalog: str | None = None) -> DataFram
 
 def folder_listing(spark: SparkSession, root: str, catalog: str, schema_name: str) -> DataFrame:
     """Listing of a folder whose entries are Parquet tables: one file or one folder each."""
-    table = _table_of(root)
     return (
-        data_files(spark, root)
-        .select(table.alias("table_name"))
-        .distinct()
+        W.entry_sums(spark, root)
+        .select(F.col("key").alias("table_name"))
         .select(
             F.lit(catalog).alias("catalog"),
             F.lit(schema_name).alias("schema_name"),
@@ -48,38 +47,33 @@ def data_files(spark: SparkSession, root: str | list[str]) -> DataFrame:
     return files.select("path", "length", "modificationTime")
 
 
-def _table_of(root: str):
-    """First path step under the root."""
-    tail = "/".join(root.rstrip("/").split("/")[-2:])
-    return F.split(F.element_at(F.split("path", F.lit(f"/\\Q{tail}\\E/")), -1), "/")[0]
-
-
 def folder_stats(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
-    """Size, file count and last change of each table folder under ``root``."""
-    return (
-        data_files(spark, root)
-        .groupBy(_table_of(root).alias("entry"))
-        .agg(
-            F.sum("length").alias("size_in_bytes"),
-            F.count("*").alias("num_files"),
-            F.max("modificationTime").alias("last_modified"),
-        )
-        .select(
-            F.concat(F.lit(prefix), F.regexp_replace("entry", r"\.parquet$", "")).alias("table_fqn"),
-            F.concat(F.lit(root.rstrip("/") + "/"), "entry").alias("location"),
-            "size_in_bytes",
-            "num_files",
-            F.lit("parquet").alias("format"),
-            "last_modified",
-        )
+    """Size, file count and last change of each table folder under ``root``, listed by tasks."""
+    return W.entry_sums(spark, root).select(
+        F.concat(F.lit(prefix), F.regexp_replace("key", r"\.parquet$", "")).alias("table_fqn"),
+        F.concat(F.lit(root.rstrip("/") + "/"), "key").alias("location"),
+        "size_in_bytes",
+        "num_files",
+        F.lit("parquet").alias("format"),
+        "last_modified",
     )
 
 
+def located_stats(tables: DataFrame) -> DataFrame:
+    """Size, file count and last change of tables (table_fqn, location), listed by tasks.
+
+    Several locations of one table count together. A table without a location, or with no file there, has 0 files,
+    NULL bytes (never measured) and NULL last change.
+    """
+    sums = W.folder_sums(tables.select(F.col("table_fqn").alias("key"), F.col("location").alias("folder")))
+    named = tables.select("table_fqn").distinct().join(sums.withColumnRenamed("key", "table_fqn"), "table_fqn", "left")
+    return named.select("table_fqn", "size_in_bytes", F.coalesce("num_files", F.lit(0)).cast("bigint").alias("num_files"), "last_modified")
+
+
 def path_stats(spark: SparkSession, path: str) -> DataFrame:
     """Size and file count of the one table stored at ``path``, one row."""
-    return data_files(spark, path).agg(
-        F.count("*").alias("num_files"), F.coalesce(F.sum("length"), F.lit(0)).alias("size_in_bytes")
-    )
+    sums = W.folder_sums(spark.createDataFrame([("", path)], "key string, folder string"))
+    return sums.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("num_files", "size_in_bytes")])
 
 
 def folder_row_counts(spark: SparkSession, folders: Sequence[str]) -> DataFrame:

@@ -11,6 +11,7 @@ from tableferry.operators import exclusion as E
 from tableferry.operators import gate as G
 from tableferry.operators import selection as X
 from tableferry.session import new_folder
+from tableferry.sources import file_walk as W
 from tableferry.sources import listing as L
 from tableferry.sources import selection_inputs as I
 
@@ -200,6 +201,35 @@ def test_folder_stats_are_those_of_the_files(spark):
         assert r["location"] == f"{root}/{f}"
 
 
+def test_files_are_listed_by_level_and_hidden_ones_are_not(spark, monkeypatch):
+    monkeypatch.setattr(W, "FOLDERS_PER_TASK", 3)
+    root = new_folder(spark, "walk")
+    want = {}
+    for table in ("plain", "deep", "odd é =1", "empty"):
+        want[table] = [0, 0]
+        for depth in range({"plain": 1, "deep": 6, "odd é =1": 2, "empty": 0}[table]):
+            for k in range(4):
+                folder = "/".join([root, table, *[f"_k{d}={k}" for d in range(depth)]])
+                os.makedirs(f"{folder}/_temporary", exist_ok=True)
+                for name in ("a.parquet", ".a.crc", "_SUCCESS", "_temporary/b.parquet"):
+                    with open(f"{folder}/{name}", "wb") as f:
+                        f.write(b"x" * (depth + 1))
+                if k == 0 or depth:
+                    want[table][0] += 1
+                    want[table][1] += depth + 1
+    os.makedirs(f"{root}/empty/none")
+    for prefix in ("", "file://"):
+        got = {r["table_fqn"]: [r["num_files"], r["size_in_bytes"]] for r in L.folder_stats(spark, prefix + root).collect()}
+        assert got == {k: v for k, v in want.items() if v[0]}
+    places = [("t", f"{root}/deep"), ("t", f"{root}/plain"), ("file", f"{root}/plain/a.parquet"), ("gone", f"{root}/gone"), ("none", None), ("empty", f"{root}/empty")]
+    got = {r[0]: (r["num_files"], r["size_in_bytes"]) for r in L.located_stats(spark.createDataFrame(places, "table_fqn string, location string")).collect()}
+    both = tuple(a + b for a, b in zip(want["deep"], want["plain"]))
+    assert got == {"t": both, "file": (1, 1), "gone": (0, None), "none": (0, None), "empty": (0, None)}
+    nothing = spark.createDataFrame([], "table_fqn string, location string")
+    assert L.located_stats(nothing).isEmpty()
+    assert L.path_stats(spark, f"{root}/gone").first().asDict() == {"num_files": 0, "size_in_bytes": 0}
+
+
 def test_longest_prefix_wins_and_a_missing_one_is_told(spark):
     tables = spark.createDataFrame([("abfss://a@x/deep/t",), ("abfss://a@x/t",), ("s3://none/t",)], "location string")
     rules = spark.createDataFrame([("abfss://a@x", "gs://a"), ("abfss://a@x/deep", "gs://d")], "src_prefix string, tgt_prefix string")
