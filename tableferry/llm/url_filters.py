@@ -9,6 +9,8 @@ Every capture is joined by equality on the patterns that could match it, then by
 list and pattern do not overlap. A host of very many captures is a large key on the captures' side only,
 which Spark may split. Everything is built-in functions.
 
+Dots at the end of a host, of a capture or a pattern, mean the same host and are taken off.
+
 Captures of null url or time match nothing and are kept; rows that repeat a capture are one. Entries
 with a null in pattern, list, verdict, action or time are left out.
 """
@@ -24,7 +26,8 @@ def intervals(entries: DataFrame) -> DataFrame:
 
     Of events at one time a removal counts last. ``until`` is null for what is still in force.
     """
-    whole = entries.select("list", "verdict", F.lower("pattern").alias("pattern"), "action", "at").dropna().distinct()
+    pattern = F.regexp_replace(F.lower("pattern"), r"^([^/]*?)\.+(?=/|\z)", "$1")
+    whole = entries.select("list", "verdict", pattern.alias("pattern"), "action", "at").dropna().distinct()
     turn = Window.partitionBy("list", "verdict", "pattern").orderBy("at", F.when(F.col("action") == "add", 0).otherwise(1))
     following = whole.withColumn("until", F.lead("at").over(turn))
     return following.where("action = 'add' AND (until IS NULL OR until > at)").select("list", "verdict", "pattern", F.col("at").alias("since"), "until")
@@ -32,7 +35,7 @@ def intervals(entries: DataFrame) -> DataFrame:
 
 def patterns_of(url: Column) -> Column:
     """All patterns that match a URL: its host's suffixes, and its host with every beginning of its path."""
-    host = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
+    host = F.regexp_replace(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), r"\.+\z", "")
     path = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)", 1)
     labels = F.split(host, r"\.")
     parts = F.filter(F.split(path, "/"), lambda x: x != "")

@@ -151,8 +151,25 @@ def test_lookup_finds_only_what_is_there(spark, monkeypatch):
     asked = spark.createDataFrame([(3, "http://b3.org/"), (4, "http://b3.org/"), (9, "http://a.org/"), (9, "http://zz.org/"), (19, "HTTP://B19.org:80/#x")], "page_id long, url string")
     got = warc.lookup(asked, directory, index, archives, True).collect()
     assert sorted((r.page_id, bytes(r.payload)) for r in got) == [(3, b"text 3"), (19, b"text 19")]
-    blocks = warc.Directory(directory)
-    assert len(blocks.rows) >= 7 and blocks.keys == sorted(blocks.keys)
+    root = warc.Directory(directory)
+    lines = [line for name in root.names for line in root.lines(name)[0]]
+    assert len(lines) >= 7 and lines == sorted(lines) and root.keys == sorted(root.keys)
+
+
+def test_repeated_captures_and_odd_urls_are_all_read(spark, monkeypatch):
+    monkeypatch.setattr(warc, "BLOCK_LINES", 3)
+    monkeypatch.setattr(warc, "_SENT_ROWS", 2)
+    monkeypatch.setattr(warc.Directory, "HELD", 1)
+    rows = [(1, "http://a.org/x", "a"), (1, "http://a.org/x", "bbbb"), (2, "http://a.org/y", "c"), (2, "https://a.org/y#z", "dd"), (None, None, "e"), (None, "", "ff")]
+    # Rows that repeat a capture run over many blocks; a url with an empty line is the target of revisits.
+    rows += [(7, "http://many.org/", f"text {i % 5}") for i in range(40)]
+    rows += [(8, "http://x.org/\r\n\r\nWARC-Type: y", "same"), (6, "http://x.org/", "same"), (5, "http://x.org/\n\n", "same"), (5, "http://x.org/%0A%0A", "same")]
+    rows += [(i, f"http://b{i}.org/", f"{i}") for i in range(100, 130)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    got = warc.archive_round_trip(spark, pages, with_payload=True).collect()
+    digests = sorted((i if i is not None else -1, len(h), warc.digest(h.encode())) for i, _, h in rows)
+    assert sorted((r.page_id if r.page_id is not None else -1, r.payload_bytes, r.payload_digest) for r in got) == digests
+    assert sorted((r.page_id, r.refers_to) for r in got if r.record_type == "revisit") == [(5, 8), (5, 8), (6, 8)]
 
 
 def test_url_keys():
@@ -164,12 +181,13 @@ def test_url_filters(spark):
     entries = [
         ("l", "block", "Bad.org", "add", 10), ("l", "block", "bad.org", "remove", 20), ("l", "block", "bad.org", "add", 20), ("l", "block", "bad.org", "remove", 30),
         ("m", "allow", "www.bad.org/ok", "add", 0), ("m", "block", "www.bad.org/ok", "add", 25), ("l", "block", None, "add", 1), ("n", "block", "once.org", "add", 5),
-        ("n", "block", "once.org", "add", 5), ("n", "block", "once.org", "remove", 5),
+        ("n", "block", "once.org", "add", 5), ("n", "block", "once.org", "remove", 5), ("n", "block", "Dotted.org./a", "add", 5), ("n", "block", "", "add", 5),
     ]
     asked = [
         (1, "http://bad.org/x", 9, True), (2, "http://bad.org/x", 10, False), (3, "http://a.b.BAD.org:8080/", 19, False), (4, "http://bad.org", 20, True), (5, "http://notbad.org/", 15, True),
         (6, "http://www.bad.org/ok/page", 15, True), (7, "http://www.bad.org/okay", 15, False), (8, "http://www.bad.org/ok?q", 26, True), (9, None, 15, True), (10, "http://bad.org/", None, True),
-        (11, "junk", 15, True), (12, "http://once.org/", 6, True),
+        (11, "junk", 15, True), (12, "http://once.org/", 6, True), (13, "http://BAD.org./x", 15, False), (14, "http://www.bad.org.:80/ok/1", 15, True),
+        (15, "http://dotted.org/a/b", 15, False), (16, "http://./", 15, True),
     ]
     captures = spark.createDataFrame([a[:3] for a in asked] + [asked[1][:3]], "page_id long, url string, fetched_at long").withColumn("pattern", F.lit("x"))
     history = spark.createDataFrame(entries, "list string, verdict string, pattern string, action string, at long")
