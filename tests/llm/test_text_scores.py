@@ -77,6 +77,7 @@ def test_gradients_are_slopes():
 
 
 DISGUISES = ["idiot", "1d10t", "idiooot", "i d i o t", "scum", "5cum", "s c u m", "m0r0n", "moron"]
+DISGUISES += ["(idiot", '"idiot', "a i d i o t", "i.d.i.o.t", "i-d-i-o-t", "i d i o t.", "id*ot", "s c u m m o r o n", "'m 0 r 0 n!", "i*d*i*o*t", "(1d10t)"]
 
 
 def test_toxicity_and_disguised_words(spark):
@@ -105,6 +106,30 @@ def test_models_of_nothing(spark):
         assert m.scored(frame(spark, []), m.fitted(frame(spark, []), empty, label)).count() == 0
 
 
+def test_best_path_with_borders_is_the_best_of_all():
+    """The lattice with masks and borders against every reading."""
+    import itertools
+
+    rng = np.random.default_rng(5)
+    model = np.log(rng.dirichlet(np.ones(29) / 4, (29, 29)) + 1e-4).astype(np.float32)
+    for word in (b"a1bc", b"x*", b"*1", b"0!a", b"q"):
+        wide = b"*" in word
+        table = (toxicity._WIDE_CHOICES, toxicity._WIDE_COST) if wide else (toxicity._CHOICES, toxicity._COST)
+        choices = [[(o, c) for o, c in zip(table[0][b], table[1][b], strict=True) if o >= 0] for b in word]
+        best = (-np.inf, None)
+        for path in itertools.product(*choices):
+            for cuts in itertools.product((False, True), repeat=len(word) - 1):
+                symbols = [0, 0, path[0][0]]
+                for (o, _), cut in zip(path[1:], cuts, strict=True):
+                    symbols += [0, o] if cut else [o]
+                symbols.append(0)
+                value = sum(c for _, c in path) + sum(model[symbols[i], symbols[i + 1], symbols[i + 2]] for i in range(len(symbols) - 2))
+                best = max(best, (value, symbols))
+        text, value = toxicity.viterbi([word], model, borders=True)
+        assert value[0] * (len(word) + 1) == pytest.approx(best[0], rel=1e-4)
+        assert [len(p) for p in text[0].split(b" ")] == [len(list(g)) for k, g in itertools.groupby(best[1][2:-1], lambda x: x == 0) if not k]
+
+
 def test_best_path_is_the_best_of_all():
     """Viterbi against every reading of short words."""
     import itertools
