@@ -330,6 +330,28 @@ def duplicate_selections(t):
     return X.later_duplicates(t.selection)
 
 
+# Every third row goes to one schema of one catalog, in letters of either case.
+_MERGED = """SELECT ordinal, source_catalog, source_schema, source_table, CASE ordinal % 3 WHEN 0 THEN 'One' ELSE target_catalog END AS target_catalog,
+ CASE ordinal % 3 WHEN 0 THEN 'all' ELSE target_schema END AS target_schema, CASE ordinal % 6 WHEN 0 THEN concat('T_', ordinal % 700)
+ WHEN 3 THEN concat('t_', ordinal % 700) ELSE target_table END AS target_table FROM {selection}"""
+_RIVALS = f"""m AS ({_MERGED.format(selection="selection")}), c AS (SELECT lower(target_catalog) AS target_catalog, lower(target_schema) AS target_schema,
+ lower(target_table) AS target_table, COUNT(DISTINCT (lower(source_catalog), lower(source_schema), lower(source_table))) AS sources, COUNT(*) AS selected,
+ MIN(ordinal) AS first_ordinal, MAX(ordinal) AS last_ordinal FROM m GROUP BY 1, 2, 3)"""
+
+
+@query("E2, I1", f"WITH {_RIVALS} SELECT *, 'DUPLICATE_TARGET' AS reason FROM c WHERE sources > 1")
+def duplicate_targets(t):
+    return X.target_conflicts(t.spark.sql(_MERGED, selection=t.selection))
+
+
+@query("E2, I1", f"""
+WITH {_RIVALS} SELECT m.ordinal, m.source_catalog, m.source_schema, m.source_table, m.target_table, c.sources - 1 AS target_rivals FROM m JOIN c
+ ON lower(m.target_catalog) = c.target_catalog AND lower(m.target_schema) = c.target_schema AND lower(m.target_table) = c.target_table""")
+def rivals_for_a_target(t):
+    rows = X.with_target_rivals(t.spark.sql(_MERGED, selection=t.selection))
+    return rows.drop("target_catalog", "target_schema")
+
+
 # --- exclusions -----------------------------------------------------------------
 
 _JUDGED = f"""WITH {_FIRST}, j AS (SELECT f.*, (SELECT MIN(r.ordinal) FROM rules r WHERE lower(f.source_catalog) GLOB lower(r.catalog)

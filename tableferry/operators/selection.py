@@ -154,6 +154,33 @@ def later_duplicates(selection: DataFrame) -> DataFrame:
     )
 
 
+def target_conflicts(selection: DataFrame) -> DataFrame:
+    """Targets that several source tables are to be written to, whatever the case of their letters.
+
+    One row per such target, in lower case: number of sources, of mapping rows, and the first and last mapping row. Two rows of one
+    source are no conflict; a target with a NULL in its name is none. The sources of a target are counted
+    after they are made distinct, so a target that very many rows name is a short sum in every task.
+    """
+    target = [F.lower(c).alias(c) for c in S.TARGET_NAME]
+    sources = selection.select(*target, *[F.lower(c).alias(c) for c in S.SOURCE_NAME], "ordinal").dropna(subset=S.TARGET_NAME)
+    per_source = sources.groupBy(*S.TARGET_NAME, *S.SOURCE_NAME).agg(
+        F.count("*").alias("n"), F.min("ordinal").alias("first"), F.max("ordinal").alias("last")
+    )
+    return (
+        per_source.groupBy(*S.TARGET_NAME)
+        .agg(F.count("*").alias("sources"), F.sum("n").alias("selected"), F.min("first").alias("first_ordinal"), F.max("last").alias("last_ordinal"))
+        .filter(F.col("sources") > 1)
+        .withColumn("reason", F.lit("DUPLICATE_TARGET"))
+    )
+
+
+def with_target_rivals(selection: DataFrame) -> DataFrame:
+    """The selection with the number of other sources that have a row's target; 0 if it is the only one."""
+    rivals = target_conflicts(selection).select(*[F.col(c).alias(f"_{c}") for c in S.TARGET_NAME], (F.col("sources") - 1).alias("_rivals"))
+    same = [F.lower(c) == F.col(f"_{c}") for c in S.TARGET_NAME]
+    return selection.join(rivals, same, "left").select(*selection.columns, F.coalesce("_rivals", F.lit(0)).cast("bigint").alias("target_rivals"))
+
+
 def remapped_locations(tables: DataFrame, prefixes: DataFrame) -> DataFrame:
     """Target location of each table by the longest source prefix; none means no rule fits.
 

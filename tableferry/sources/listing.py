@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,14 +15,32 @@ from tableferry.sources import file_walk as W
 
 
 def session_listing(spark: SparkSession, catalog: str | None = None) -> DataFrame:
-    """Listing of the session's catalog; one short metadata call per schema."""
+    """Listing of the session's catalog with kind, format and location; one metadata call per schema.
+
+    What the catalog says of a table is text, and is taken apart by Spark. A view has no format and no location.
+    """
     catalog = catalog or spark.catalog.currentCatalog()
-    rows = []
-    for db in spark.sql(f"SHOW SCHEMAS IN `{catalog}`").toLocalIterator():
-        for t in spark.catalog.listTables(f"`{catalog}`.`{db[0]}`"):
-            schema = t.namespace[0] if t.namespace else db[0]
-            rows.append((t.catalog or catalog, schema, t.name, t.tableType, t.isTemporary, None, None))
-    return spark.createDataFrame(rows, S.LISTING)
+    found = []
+    for db in spark.sql(f"SHOW SCHEMAS IN {_quoted(catalog)}").toLocalIterator():
+        found.append(spark.sql(f"SHOW TABLE EXTENDED IN {_quoted(catalog)}.{_quoted(db[0])} LIKE '*'").withColumn("_schema", F.lit(db[0])))
+    if not found:
+        return spark.createDataFrame([], S.LISTING)
+    told = lambda name: F.nullif(F.regexp_extract("information", rf"(?m)^{name}: *(.*?) *$", 1), F.lit(""))
+    # Temporary views are told with every schema, without one of their own.
+    rows = reduce(DataFrame.unionByName, found).withColumn("_kind", F.upper(told("Type")))
+    return rows.select(
+        F.lit(catalog).alias("catalog"),
+        F.when(F.col("isTemporary"), F.coalesce(F.nullif("namespace", F.lit("")), F.lit(""))).otherwise(F.col("_schema")).alias("schema_name"),
+        F.col("tableName").alias("table_name"),
+        F.when(F.col("isTemporary"), "TEMPORARY").otherwise(F.col("_kind")).alias("table_type"),
+        F.col("isTemporary").alias("is_temporary"),
+        F.when(~F.col("isTemporary") & (F.col("_kind") != "VIEW"), F.lower(told("Provider"))).alias("format"),
+        F.when(~F.col("isTemporary") & (F.col("_kind") != "VIEW"), told("Location")).alias("location"),
+    ).distinct()
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def folder_listing(spark: SparkSession, root: str, catalog: str, schema_name: str) -> DataFrame:

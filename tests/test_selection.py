@@ -192,6 +192,33 @@ def test_listing_of_the_session(spark):
     assert L.copyable(L.session_listing(spark)).filter("table_name = 'listed_view'").isEmpty()
 
 
+def test_listing_tells_format_and_location(spark):
+    where = new_folder(spark, "listed")
+    spark.sql("CREATE SCHEMA IF NOT EXISTS `odd_schema`")
+    try:
+        spark.sql(f"CREATE TABLE `odd_schema`.plain (a INT, `Provider: x` STRING COMMENT 'Type: VIEW') USING parquet LOCATION '{where}'")
+        spark.sql("CREATE TABLE `odd_schema`.own USING json AS SELECT 1 AS a")
+        spark.sql("CREATE VIEW `odd_schema`.seen AS SELECT 1 AS a")
+        rows = {r["table_name"]: r for r in L.session_listing(spark).filter("schema_name = 'odd_schema'").collect()}
+        assert set(rows) == {"plain", "own", "seen"}
+        told = {k: (r["table_type"], r["format"], r["is_temporary"]) for k, r in rows.items()}
+        assert told == {"plain": ("EXTERNAL", "parquet", False), "own": ("MANAGED", "json", False), "seen": ("VIEW", None, False)}
+        assert rows["plain"]["location"].endswith(where) and rows["own"]["location"] and rows["seen"]["location"] is None
+        listed = L.session_listing(spark)
+        wanted = listed.filter("schema_name = 'odd_schema'").selectExpr("catalog source_catalog", "schema_name source_schema", "table_name source_table")
+        assert [r["source_table"] for r in L.requested_and_usable(wanted, listed).collect()] == ["plain"]
+    finally:
+        spark.sql("DROP SCHEMA `odd_schema` CASCADE")
+
+
+def test_rivals_for_a_target(spark):
+    rows = [(0, "c", "s", "a", "t", "x", "One"), (1, "c", "s", "b", "t", "x", "ONE"), (2, "c", "S", "A", "t", "x", "one"), (3, "c", "s", "d", "t", "x", "two"), (4, "c", "s", "e", None, "x", "one"), (5, "c", "s", "d", "t", "x", "two")]
+    selection = spark.createDataFrame(rows, f"ordinal bigint, {', '.join(c + ' string' for c in [*S.SOURCE_NAME, *S.TARGET_NAME])}")
+    assert [r[3:7] for r in X.target_conflicts(selection).collect()] == [(2, 3, 0, 2)]
+    assert {r["ordinal"]: r["target_rivals"] for r in X.with_target_rivals(selection).collect()} == {0: 1, 1: 1, 2: 1, 3: 0, 4: 0, 5: 0}
+    assert X.target_conflicts(selection.limit(0)).isEmpty()
+
+
 def test_folder_stats_are_those_of_the_files(spark):
     root = "/root/testdata/sf0.001"
     rows = {r["table_fqn"]: r for r in L.folder_stats(spark, root, "c.s.").collect()}
