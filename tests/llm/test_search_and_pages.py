@@ -122,6 +122,21 @@ def test_alignment_is_the_largest(subtests=None):
         assert sum(2 if p.label == "#" and p.text == q.text else 1 for p, q in pairs) == plain_match(a, b)
 
 
+def test_deep_and_wide_pages_and_names_in_articles(spark):
+    words = [f"word{i} of the text" for i in range(6000)]
+    deep = "".join(f"<div>{w}" for w in words[:5000]) + "".join(f"</div>tail{i}" for i in range(5000))
+    named = [(c, i) for i, c in enumerate(["social-science", "share-price-analysis", "search-results", "related-work", "share-buttons", "related posts", "comment-body", "site-footer"])]
+    article = "<article>" + "".join(f'<div class="{c}"><p>part {i}</p></div>' for c, i in named) + "</article>"
+    deep_main = "<div>menu text" * 400 + "<article><p>kept</p></article>"
+    rows = [(1, None, deep), (2, "http://d.org/1", article), (3, "http://e.org/", deep_main), (4, None, "<article>" * 3000 + "x")]
+    wide = [(10 + k, "http://wide.org/", "<body>" + "<p>same start</p>" * 400 + f"<p>own {k}</p>" + "<p>same end</p>" * 400 + "</body>") for k in range(8)]
+    got = {r.page_id: r.text for r in html_text.main_text(spark.createDataFrame(rows + wide, "page_id long, url string, html string")).collect()}
+    assert got[1].split("\n") == [*words[:5000], *(f"tail{i}" for i in range(5000))]
+    assert got[2] == "part 0\npart 1\npart 2\npart 3"
+    assert (got[3], got[4]) == ("kept", "x")
+    assert all(got[10 + k] == f"own {k}" for k in range(8))
+
+
 def test_archives_round_trip(spark, monkeypatch):
     monkeypatch.setattr(warc, "BLOCK_LINES", 4)
     monkeypatch.setattr(warc, "FILE_BYTES", 400)
