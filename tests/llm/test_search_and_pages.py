@@ -137,6 +137,28 @@ def test_deep_and_wide_pages_and_names_in_articles(spark):
     assert all(got[10 + k] == f"own {k}" for k in range(8))
 
 
+def test_template_counts_all_pages(spark):
+    def body(k, head, tail):
+        return f"<html><body><div>{head}</div><div><p>story {k} one</p><p>story {k} two</p></div><div>{tail}</div></body></html>"
+
+    # A notice that nearly all pages but some carry, and a paragraph that 60 % of them share.
+    rows = [(k, "http://big.org/", body(k, "Big site", "All rights").replace("<div><p>", "<div><p>Stock line</p><p>" if k % 5 < 3 else "<div><p>", 1).replace("</body>", "<ul><li>Call us</ul></body>" if k % 10 else "</body>")) for k in range(200)]
+    # Two layouts of one host, neither on four fifths of its pages.
+    rows += [(1000 + k, "http://two.org/", body(k, "News of two", "Terms of news")) for k in range(30)]
+    table = "<html><body><table><tr><td>Shop of two<tr><td><ul><li>item {0} red<li>item {0} blue</ul><tr><td>Terms of shop</table></body></html>"
+    rows += [(2000 + k, "http://two.org/", table.format(k)) for k in range(30)]
+    # Copies say nothing about what is constant.
+    rows += [(3000 + k, "http://copies.org/", "<p>the one text</p><div>and more</div>") for k in range(50)]
+    docs = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    got = {r.page_id: r.text for r in html_text.main_text(docs).collect()}
+    for k in range(200):
+        assert got[k] == ("Stock line\n" if k % 5 < 3 else "") + f"story {k} one\nstory {k} two"
+    for k in range(30):
+        assert got[1000 + k] == f"story {k} one\nstory {k} two"
+        assert got[2000 + k] == f"item {k} red\nitem {k} blue"
+    assert all(got[3000 + k] == "the one text\nand more" for k in range(50))
+
+
 def test_archives_round_trip(spark, monkeypatch):
     monkeypatch.setattr(warc, "BLOCK_LINES", 4)
     monkeypatch.setattr(warc, "FILE_BYTES", 400)
