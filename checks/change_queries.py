@@ -437,3 +437,20 @@ FROM (SELECT q.batch_id, q.migration_id, q.rn, q.cap, q.size, p.totals, p.counts
 SELECT batch_id, migration_id, CAST(chunk_id AS INT) AS chunk_id FROM p""")
 def chunk_packing(t):
     return P.plan_chunks(T.queued(t.control), _CAP, 5)
+
+
+# Whatever the parts, each table is placed once, no chunk is over its caps and at most one of a batch is half empty.
+@query("E6", f"""
+SELECT batch_id, COUNT(*) AS tables, CAST(SUM(size_in_bytes) AS BIGINT) AS bytes, true AS within_caps, true AS well_filled
+FROM control WHERE status = 'QUEUED' GROUP BY batch_id""")
+def chunk_packing_in_parts(t):
+    queued = T.queued(t.control)
+    placed = queued.select("migration_id", "batch_id", "size_in_bytes").join(P.plan_chunks(queued, _CAP, 5, parts=8), ["batch_id", "migration_id"])
+    chunks = placed.groupBy("batch_id", "chunk_id").agg(
+        F.count("*").alias("n"), F.sum("size_in_bytes").alias("held"), F.count_if(F.col("size_in_bytes") > 0).alias("sized")
+    ).join(P.count_caps(queued, 5), "batch_id")
+    within = (F.col("n") <= F.col("max_tables")) & ((F.col("held") <= _CAP) | (F.col("sized") == 1))
+    half_empty = (2 * F.col("held") <= _CAP) & (2 * F.col("n") <= F.col("max_tables"))
+    return chunks.groupBy("batch_id").agg(
+        F.sum("n").alias("tables"), F.sum("held").alias("bytes"), F.bool_and(within).alias("within_caps"), (F.count_if(half_empty) <= 1).alias("well_filled")
+    )

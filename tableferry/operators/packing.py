@@ -30,12 +30,17 @@ def count_caps(queued: DataFrame, concurrent_chunks: int) -> DataFrame:
     )
 
 
-def plan_chunks(queued: DataFrame, capacity_bytes: int, concurrent_chunks: int | None = None) -> DataFrame:
+def plan_chunks(queued: DataFrame, capacity_bytes: int, concurrent_chunks: int | None = None, parts: int = 1) -> DataFrame:
     """Chunk number of every queued table, from 1 in each batch.
 
     First fit decreasing places tables of one size in a row, so a batch is packed from its distinct
     sizes and how many tables have each: no id, and no more than a row per distinct size of one batch, enters a
     task's Python. The runs it gives are dealt to the ids by their rank within the size.
+
+    With several ``parts`` the sizes of a batch are dealt to so many tasks by a hash, each packs its own by the same rule, and the one
+    chunk of each that may be half empty is packed once more with those of the others. No task then holds
+    more than its share of the sizes, and all chunks but one of a batch are more than half full, by bytes or by number;
+    which tables meet in a chunk differs from the packing in one part.
     """
     rows = queued.select("batch_id", "migration_id", F.coalesce("size_in_bytes", F.lit(0)).alias("size"))
     sizes = rows.groupBy("batch_id", "size").agg(F.count("*").alias("n"))
@@ -47,11 +52,71 @@ def plan_chunks(queued: DataFrame, capacity_bytes: int, concurrent_chunks: int |
         size = pdf["size"].to_numpy()[which]
         return pd.DataFrame({"batch_id": pdf["batch_id"].iloc[0], "size": size, "first": first, "last": last, "chunk_id": chunk})
 
-    runs = sizes.groupBy("batch_id").applyInPandas(pack, "batch_id string, size bigint, first bigint, last bigint, chunk_id int")
+    if parts > 1:
+        runs = _packed_in_parts(sizes, capacity_bytes, concurrent_chunks, parts)
+    else:
+        runs = sizes.groupBy("batch_id").applyInPandas(pack, "batch_id string, size bigint, first bigint, last bigint, chunk_id int")
     places = runs.select("batch_id", "size", F.explode(F.sequence("first", "last")).alias("rank"), "chunk_id")
     return _ranked(rows).join(places, ["batch_id", "size", "rank"]).select("batch_id", "migration_id", "chunk_id")
 
 
+def _packed_in_parts(sizes: DataFrame, capacity_bytes: int, concurrent_chunks: int | None, parts: int) -> DataFrame:
+    """Runs of equal tables and their chunks, packed by several tasks for each batch."""
+    totals = sizes.groupBy("batch_id").agg(F.sum("n").alias("total"))
+    part = F.pmod(F.xxhash64("batch_id", "size"), F.lit(parts)).cast("int")
+
+    def cap_of(pdf: pd.DataFrame) -> int | None:
+        return math.ceil(pdf["total"].iloc[0] / concurrent_chunks) if concurrent_chunks else None
+
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("size", ascending=False)
+        cap = cap_of(pdf)
+        which, first, last, chunk = first_fit_runs(pdf["size"].tolist(), pdf["n"].tolist(), capacity_bytes, cap)
+        size, n = pdf["size"].to_numpy()[which], last - first + 1
+        held, tables = np.zeros((2, chunk.max() + 1), np.int64)
+        np.add.at(held, chunk, size * n)
+        np.add.at(tables, chunk, n)
+        # What did not fit into a chunk that is half empty would be more than half of another: there is one at most.
+        full = (held > capacity_bytes / 2) | (tables > (cap or np.inf) / 2)
+        full[0] = False
+        local = np.where(full, np.cumsum(full), 0)[chunk]
+        given = {c: pdf[c].iloc[0] for c in ("batch_id", "part", "total")}
+        return pd.DataFrame({**given, "size": size, "first": first, "last": last, "local": local})
+
+    def together(pdf: pd.DataFrame) -> pd.DataFrame:
+        cap, full = cap_of(pdf), int(pdf["full"].sum())
+        held: list[list[int]] = []
+        chunk = {}
+        for p, size, n in sorted(zip(pdf["part"], pdf["held"], pdf["tables"], strict=True), key=lambda u: (-u[1], u[0])):
+            if n:
+                at = next((i for i, (b, m) in enumerate(held) if b + size <= capacity_bytes and (cap is None or m + n <= cap)), len(held))
+                if at == len(held):
+                    held.append([0, 0])
+                held[at][0] += size
+                held[at][1] += n
+                chunk[p] = full + at + 1
+        pdf = pdf.sort_values("part")
+        before = pdf["full"].cumsum() - pdf["full"]
+        return pd.DataFrame({"batch_id": pdf["batch_id"], "part": pdf["part"], "before": before, "rest": pdf["part"].map(chunk).fillna(0).astype("int64")})
+
+    dealt = sizes.join(totals, "batch_id").withColumn("part", part)
+    packed = dealt.groupBy("batch_id", "part").applyInPandas(
+        pack, "batch_id string, part int, total bigint, size bigint, first bigint, last bigint, local bigint"
+    )
+    packed = settle(packed, "packed")
+    n = F.col("last") - F.col("first") + 1
+    open_ = F.col("local") == 0
+    # One row per part.
+    rests = packed.groupBy("batch_id", "part", "total").agg(
+        F.max("local").alias("full"),
+        F.sum(F.when(open_, F.col("size") * n).otherwise(0)).alias("held"),
+        F.sum(F.when(open_, n).otherwise(0)).alias("tables"),
+    )
+    numbers = rests.groupBy("batch_id").applyInPandas(together, "batch_id string, part int, before bigint, rest bigint")
+    chunk = F.when(open_, F.col("rest")).otherwise(F.col("before") + F.col("local"))
+    return packed.join(numbers, ["batch_id", "part"]).select("batch_id", "size", "first", "last", chunk.cast("int").alias("chunk_id"))
+
+
 def _ranked(rows: DataFrame) -> DataFrame:
     """Rows with their rank, from 0, by id among those of one batch and size.
 

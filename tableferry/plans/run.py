@@ -53,6 +53,7 @@ class Run:
     stale_minutes: int = 120
     chunk_capacity_gb: float = 50.0
     concurrent_chunks: int = 5
+    packing_parts: int = 1
     threads: int = 4
     table_format: str = "parquet"
 
@@ -129,7 +130,7 @@ def onboarded(control: DataFrame, judged: DataFrame, now: Column) -> DataFrame:
 def planned(control: DataFrame, run: Run, now: Column) -> DataFrame:
     """Control rows with a chunk for every queued one."""
     queued = T.queued(control, run.batch_id)
-    chunks = P.plan_chunks(queued, int(run.chunk_capacity_gb * S.GIB), run.concurrent_chunks)
+    chunks = P.plan_chunks(queued, int(run.chunk_capacity_gb * S.GIB), run.concurrent_chunks, run.packing_parts)
     return C.assign_chunks(control, chunks, now)
 
 

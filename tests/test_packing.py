@@ -85,3 +85,23 @@ def test_count_cap(rows, chunks, cap):
     assert P.max_tables_per_chunk(rows, chunks) == cap
     if cap:
         assert cap == math.ceil(rows / chunks)
+
+
+@pytest.mark.parametrize("concurrent", [None, 4, 40])
+def test_parts_are_packed_apart(spark, concurrent):
+    rng = np.random.default_rng(3)
+    sizes = {"many": rng.integers(0, 120, 700).tolist(), "small": [0] * 9 + [3], "large": [500] * 8, "one": [7]}
+    rows = [(b, f"{b}{i:04d}", s) for b, of in sizes.items() for i, s in enumerate(of)]
+    got = P.plan_chunks(_queued(spark, rows).repartition(5), 100, concurrent, parts=6).collect()
+    assert sorted(r["migration_id"] for r in got) == sorted(r[1] for r in rows)
+    size = {r[1]: r[2] for r in rows}
+    for batch, of in sizes.items():
+        cap = math.ceil(len(of) / concurrent) if concurrent else math.inf
+        chunks = {}
+        for r in got:
+            if r["batch_id"] == batch:
+                chunks.setdefault(r["chunk_id"], []).append(size[r["migration_id"]])
+        assert sorted(chunks) == list(range(1, len(chunks) + 1))
+        for held in chunks.values():
+            assert len(held) <= cap and (sum(held) <= 100 or sum(s > 0 for s in held) == 1)
+        assert sum(2 * sum(c) <= 100 and 2 * len(c) <= cap for c in chunks.values()) <= 1
