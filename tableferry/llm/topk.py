@@ -4,8 +4,9 @@ Vectors become integers, floor(64 * x). The table is cut into shards by a hash o
 each dimension, a list of its members sorted by that coordinate. A query reads all lists in step, each
 from the end that its own coordinate favours. What has been read of a member is its score so far; the
 smallest value of a list bounds what an unread coordinate adds from below, the last value read from above.
-Members whose upper bound is under the k-th lower bound are outsiders for good. The few that still
-qualify at the last stop have their final scores resolved, and the best of all shards are merged.
+Members whose upper bound is under the k-th lower bound are outsiders for good. A query stops reading as soon as
+no more than ``FEW`` times k members still qualify, or at the last depth; these have their final scores resolved, and the
+best of all shards are merged.
 
 A task meets one shard and one group of queries; every query meets every shard once.
 
@@ -28,8 +29,11 @@ SHARD_ROWS = 8192
 QUERY_GROUP = 4096
 # Queries that read the lists in step.
 QUERY_BLOCK = 128
-# How deep the lists are read before the bounds are looked at, as shares of their length.
-STOPS = (0.7, 0.9)
+# How deep the lists are read before the bounds are looked at again, as shares of their length.
+DEPTHS = (0.6, 0.8, 0.9, 0.95)
+# A query stops once at most so many times k members still qualify.
+FEW = 4
+
 
 
 class SortedLists:
@@ -53,7 +57,7 @@ class SortedLists:
         most = max(1, self.largest) * max(1, int(np.abs(queries).max(initial=0))) * len(self.vectors)
         return np.float32 if most < 1 << 24 else np.float64
 
-    def _read(self, depth: int, kind: type) -> tuple:
+    def _bounds(self, depth: int, kind: type) -> tuple:
         """What a read of ``depth`` entries from either end of each list gives: values read, and what bounds the rest."""
         if (depth, kind) not in self.at_stop:
             n, out = len(self.ids), []
@@ -76,14 +80,19 @@ class SortedLists:
         alive = ~own
         # A list is read from its upper end by positive coordinates, from its lower end by negative ones.
         halves = np.concatenate((np.maximum(q, 0), np.minimum(q, 0)), 1)
-        for stop in STOPS:
-            depth = int(n * stop)
-            if n - 1 <= k or not depth:
+        # Queries that still read, and how many entries of each list a query has read.
+        reading = np.arange(len(q))
+        self.read = np.zeros(len(q), int)
+        for share in DEPTHS:
+            depth = int(n * share)
+            if n - 1 <= k or not depth or not len(reading):
                 break
-            lower, upper = (halves @ bound for bound in self._read(depth, kind))
-            lower[own] = -np.inf
+            lower, upper = (halves[reading] @ bound for bound in self._bounds(depth, kind))
+            lower[own[reading]] = -np.inf
             kth = np.partition(lower, n - k, axis=1)[:, n - k]
-            alive &= upper >= kth[:, None]
+            alive[reading] &= upper >= kth[:, None]
+            self.read[reading] = depth
+            reading = reading[alive[reading].sum(1) > FEW * k]
         for i in range(len(q)):
             left = np.flatnonzero(alive[i])
             final = np.rint(q[i] @ vectors[:, left]).astype(np.int64)

@@ -54,6 +54,22 @@ def test_top_k_of_mixed_magnitudes(spark, monkeypatch):
     assert {q: [(r.vec_id, r.score) for r in sorted(got, key=lambda r: r.rank) if r.query_id == q] for q in range(8)} == want
 
 
+def test_top_k_stops_early_where_few_can_qualify():
+    rng = np.random.default_rng(8)
+    flat = np.floor(64 * rng.normal(size=(3000, 16))).astype(np.int64)
+    # Members apart from all others: whoever asks for them is done after the first look.
+    near = np.where(np.arange(16) % 2, 1, -1) * (5000 + rng.integers(0, 50, (25, 16)))
+    vectors, ids = np.concatenate((flat, near)), np.arange(3025)
+    lists = topk.SortedLists(ids, vectors)
+    asked = np.concatenate((np.arange(40), np.arange(3000, 3025)))
+    for q, (found, score) in zip(asked, lists.top(asked, vectors[asked], 20), strict=True):
+        scores = vectors @ vectors[q]
+        want = sorted((i for i in ids if i != q), key=lambda i: (-scores[i], i))[:20]
+        assert found.tolist() == want and score.tolist() == [scores[i] for i in want]
+    n = len(ids)
+    assert (lists.read[40:] == int(n * topk.DEPTHS[0])).all() and (lists.read <= int(n * topk.DEPTHS[-1])).all()
+
+
 def test_top_k_of_nothing_and_of_one(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.top_k(df, F.col("vec_id") % 20 == 0).count() == 0
