@@ -279,3 +279,22 @@ def test_rules_meet_only_names_that_hold_their_literal_pieces(spark):
     # 905 rules and 900 names: all pairs would be 814,500.
     pairs = E.candidate_pairs(selection, rules).count()
     assert pairs < 3000, pairs
+
+
+def test_rules_of_one_pattern_count_once_and_inner_pieces_are_met_whole(spark):
+    names = [("cat", f"sch_{i % 5}", f"t_{1000000 + 37 * i}", i) for i in range(2000)]
+    selection = spark.createDataFrame(names, "source_catalog string, source_schema string, source_table string, ordinal int")
+    globs = [("schema", "*", "*_3", None)] * 300 + [("table", "*", "*", f"*{1000000 + k}*") for k in range(0, 80000, 40)] + [("table", "*", "*", "?*_1000037"), ("table", "*", "*", "*7*")]
+    rules = spark.createDataFrame([(i, *g) for i, g in enumerate(globs)], S.RULES)
+
+    def first(row):
+        hits = (k for k, (kind, _, gs, gt) in enumerate(globs) if fnmatch.fnmatchcase(row[1], gs) and (kind == "schema" or fnmatch.fnmatchcase(row[2], gt)))
+        return next(hits, None)
+
+    want = {row[3]: first(row) for row in names}
+    for most in (E.BROADCAST_RULES, 100, 0):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(E, "BROADCAST_RULES", most)
+            assert {r["ordinal"]: r["rule_ordinal"] for r in E.first_rule(selection, rules).collect()} == want
+    # 400 names end so, 50 hold a number, half hold a seven; 300 rules of one pattern made 120,000 pairs.
+    assert E.candidate_pairs(selection, rules).count() < 6000
