@@ -5,7 +5,9 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+import checks.reconcile_queries  # noqa: F401
 from checks.fixtures import Fixtures
+from checks.registry import QUERIES
 from tableferry.operators import checks as K
 from tableferry.operators import reconcile as Q
 from tableferry.sources import generators as Gen
@@ -151,3 +153,16 @@ def test_generated_tables_are_stable(spark):
         df = Gen.generate(spark, spec, rows)
         assert df.count() == rows and Q.row_differences(df, Gen.generate(spark, spec, rows).repartition(3)).isEmpty()
     assert Gen.bulk_table(spark, "iot", "dim_iot_01", 7).count() == 7
+
+
+def test_the_shuffled_copy_is_not_dealt_to_a_fixed_number_of_tasks(spark, tmp_path):
+    spark.range(1000).selectExpr("id AS l_orderkey", "id % 50 AS l_suppkey").write.parquet(str(tmp_path / "lineitem.parquet"))
+    width = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in ("11", "23"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            out = QUERIES["checksum_ignores_order"].run(Fixtures(spark, str(tmp_path)))
+            assert f", {n})" in "".join(x for x in out._jdf.queryExecution().executedPlan().toString().splitlines() if "hashpartitioning(l_suppkey" in x).replace(f", {n}, ", f", {n})")
+            assert tuple(out.first()) == (1000, 1000, True)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", width)
