@@ -151,7 +151,8 @@ def _plan(t, stats=None):
 @query("A20", f"WITH {_PLANNED} SELECT * FROM p")
 def stored_blueprint(t):
     """All columns of a plan that was stored as JSON and read back with its types, among older rows and those of another execution."""
-    plan = _plan(t)
+    # Read by three blueprints: made once.
+    plan = settle(_plan(t), "plan")
     stored = R.blueprint(plan, "exec-1", now()).unionAll(R.blueprint(plan.withColumn("outcome", F.lit("OTHER")), "exec-2", now()))
     older = R.blueprint(plan.withColumn("size_in_bytes", F.lit(-1).cast("bigint")), "exec-1", now() - F.expr("INTERVAL 1 DAY"))
     return R.stored_plan(settle(stored.unionAll(older)), "exec-1")

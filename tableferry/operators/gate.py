@@ -16,23 +16,29 @@ NO_TARGET_CODE = "TARGET_NOT_PRECREATED"
 NOT_FOUND_TEXT = "Source table not found or not a Delta table"
 # --- end of fixed values -----------------------------------------------------
 
+# So many settings of schemas and catalogs are sent to all tasks.
+BROADCAST_SETTINGS = 100_000
+
 
 def effective_setting(selection: DataFrame, settings: DataFrame) -> DataFrame:
     """Value of a setting for each table, inherited from schema, then catalog; where it came from.
 
-    One row of ``settings`` per (level, name).  The three levels are joined on their own, so that
-    Spark can measure each and broadcast the short ones.
+    One row of ``settings`` per (level, name).  The three levels are joined on their own. Those of schemas and catalogs
+    are counted first and broadcast if they are few: the selection is not dealt by its few schemas.
     """
     levels = {
         "TABLE": (["catalog", "schema_name", "table_name"], S.SOURCE_NAME),
         "SCHEMA": (["catalog", "schema_name"], S.SOURCE_NAME[:2]),
         "CATALOG": (["catalog"], S.SOURCE_NAME[:1]),
     }
+    told = F.col("value") != "INHERIT"
+    wide = settings.filter(F.col("level").isin("SCHEMA", "CATALOG") & told)
+    few = wide.limit(BROADCAST_SETTINGS + 1).count() <= BROADCAST_SETTINGS
     out = selection
     for level, (own, names) in levels.items():
-        side = settings.filter((F.col("level") == level) & (F.col("value") != "INHERIT"))
+        side = settings.filter((F.col("level") == level) & told)
         side = side.groupBy(*[F.col(c).alias(n) for c, n in zip(own, names)]).agg(F.max("value").alias(f"_{level}"))
-        out = out.join(side, names, "left")
+        out = out.join(F.broadcast(side) if few and level != "TABLE" else side, names, "left")
     value = F.coalesce(*[F.col(f"_{level}") for level in levels])
     level = F.coalesce(*[F.when(F.col(f"_{lv}").isNotNull(), lv) for lv in levels])
     inherited_name = (

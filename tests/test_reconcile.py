@@ -9,6 +9,7 @@ import checks.reconcile_queries  # noqa: F401
 from checks.fixtures import Fixtures
 from checks.registry import QUERIES
 from tableferry.operators import checks as K
+from tableferry.operators import gate as G
 from tableferry.operators import reconcile as Q
 from tableferry.sources import generators as Gen
 
@@ -166,3 +167,16 @@ def test_the_shuffled_copy_is_not_dealt_to_a_fixed_number_of_tasks(spark, tmp_pa
             assert tuple(out.first()) == (1000, 1000, True)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", width)
+
+
+def test_settings_of_schemas_do_not_deal_the_selection_by_schema(spark):
+    selection = spark.createDataFrame([("c", "s", f"t{i}") for i in range(20)], "source_catalog string, source_schema string, source_table string")
+    settings = spark.createDataFrame([("SCHEMA", "c", "s", None, "DISABLE"), ("TABLE", "c", "s", "t1", "ENABLE")], "level string, catalog string, schema_name string, table_name string, value string")
+    least = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = G.effective_setting(selection, settings)
+        assert out._jdf.queryExecution().executedPlan().toString().count("BroadcastHashJoin") == 2
+        assert {r["source_table"]: r["value"] for r in out.collect()} == {f"t{i}": "ENABLE" if i == 1 else "DISABLE" for i in range(20)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", least)
