@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tableferry.functions import keybits as B
 from tableferry.functions import measures as M
 from tableferry.functions import rowcode as R
 from tableferry.session import settle
@@ -129,6 +130,8 @@ def hash_frequency(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
 
 
 _KEY = ["hash_hi", "hash_lo"]
+# So many keys that differ are sent to all tasks as they are, more of them as a bit map.
+FEW_KEYS = 100_000
 # Buckets of the row comparison that may be broadcast.
 MOST_BUCKETS = 1 << 20
 
@@ -163,8 +166,8 @@ def row_differences(
 def differing_rows(source: DataFrame, target: DataFrame, percent: float = 100.0) -> DataFrame:
     """The rows themselves, each once, with how often either side has it.
 
-    A second pass over both tables, joined to the keys that differ: on a copy that is right nearly
-    everywhere those are few, Spark broadcasts them, and nothing but the differing rows is moved.
+    A second pass over both tables, joined to the keys that differ: few of them are broadcast, of many a bit map of fixed
+    size, so that nothing but the differing rows, and a small share of others, is moved.
     """
     columns, _ = common_columns(source, target)
     as_text = R.retyped(source, target, columns)
@@ -172,11 +175,16 @@ def differing_rows(source: DataFrame, target: DataFrame, percent: float = 100.0)
     found = settle(row_differences(source, target, percent), "differences")
 
     def side(df: DataFrame) -> DataFrame:
-        return _keyed(df, percent, columns, as_text, *[F.col(f"`{c}`") for c in columns]).join(found, _KEY)
-
-    rows = side(source).unionByName(side(target))
-    one = F.first(F.struct(*columns, "src_count", "tgt_count")).alias("row")
-    return rows.groupBy(*_KEY).agg(one).select("row.*")
+        return _keyed(df, percent, columns, as_text, *[F.col(f"`{c}`") for c in columns])
+
+    rows = [side(source), side(target)]
+    if found.count() <= FEW_KEYS:
+        met = reduce(DataFrame.unionByName, rows).join(F.broadcast(found), _KEY)
+    else:
+        bits = settle(B.marked(found, "hash_hi"), "bits")
+        met = reduce(DataFrame.unionByName, [B.only_marked(r, "hash_hi", bits) for r in rows]).join(found, _KEY)
+    one = F.first(F.struct(*[F.col(f"`{c}`") for c in columns], "src_count", "tgt_count")).alias("row")
+    return met.groupBy(*_KEY).agg(one).select("row.*")
 
 
 # Rows taken in the first pass of a stratified sample, as a multiple of those wanted.

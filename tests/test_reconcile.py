@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import checks.reconcile_queries  # noqa: F401
 from checks.fixtures import Fixtures
 from checks.registry import QUERIES
+from tableferry.functions import keybits as B
 from tableferry.operators import checks as K
 from tableferry.operators import gate as G
 from tableferry.operators import reconcile as Q
@@ -156,6 +157,23 @@ def test_generated_tables_are_stable(spark):
     assert Gen.bulk_table(spark, "iot", "dim_iot_01", 7).count() == 7
 
 
+@pytest.mark.parametrize("few", [0, 100_000])
+def test_many_differing_rows_are_found_by_a_bit_map(spark, monkeypatch, few):
+    monkeypatch.setattr(Q, "FEW_KEYS", few)
+    a = spark.range(20000).selectExpr("id % 15000 AS k", "if(id % 7 = 0, null, 'x') AS v")
+    b = a.withColumn("v", F.when(F.col("k") % 10 != 0, F.col("v"))).where("k % 97 <> 5")
+    got = Q.differing_rows(a, b)
+    both = a.selectExpr("*", "1 AS s", "0 AS g").unionAll(b.selectExpr("*", "0", "1"))
+    want = both.groupBy("k", "v").agg(F.sum("s"), F.sum("g")).where("sum(s) <> sum(g)")
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, map(tuple, want.collect()))) and got.count() > 1000
+
+
+def test_a_bit_map_loses_no_key_and_lets_few_others_pass(spark):
+    rows = spark.range(200000).select("id", F.xxhash64("id").alias("h"))
+    met = B.only_marked(rows, "h", B.marked(rows.where("id % 100 = 3"), "h"))
+    assert met.where("id % 100 = 3").count() == 2000 and met.count() < 2020
+
+
 def test_the_shuffled_copy_is_not_dealt_to_a_fixed_number_of_tasks(spark, tmp_path):
     spark.range(1000).selectExpr("id AS l_orderkey", "id % 50 AS l_suppkey").write.parquet(str(tmp_path / "lineitem.parquet"))
     width = spark.conf.get("spark.sql.shuffle.partitions")
