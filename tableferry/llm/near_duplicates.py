@@ -10,11 +10,13 @@ the order: passages shared by very many documents rarely open a list.
 Lists are merged in passes. In each of the first passes every list's members meet one of them, another one
 in each pass, and what is confirmed is settled as components: members of one component are skipped from then on, for no
 further link could change anything. A member that all others have met leaves the list, so short lists, which are most, are soon used up. These
-passes go on while they shrink the lists. In the last pass all members of a list that are still
-in different components meet, in blocks, within tasks, a pair only in the first list that holds both; the members of a list's largest
-component, mostly by far the most, are sent once per block of the others. A pair counts collisions over two bits
-of each coordinate and goes on only above a match threshold, pairs with hubs over ``SCREENED`` coordinates before
-over all; then it is confirmed on full shingle sets.
+passes go on while they shrink the lists. Then each list is cut into parts of about ``BLOCK`` members, and all members of a part that are still
+in different components meet within a task. Lists of several parts that are not one component by then go on to a last pass: their members outside the list's largest
+component meet all others, in blocks of parts; the members of the largest component, mostly by far the most, are sent once per block of the others.
+A pair counts collisions over two bits of each coordinate, in the first list that holds both, and is looked at further only above a match threshold, pairs with hubs over
+``SCREENED`` coordinates before over all; then it is confirmed on full shingle sets. Pairs with hubs are rows, no more than the lists have. Those of a block are never
+written out, as a family of near copies has as many as the square of its size: the block's members that have a partner get their full sets, meet once more, and
+leave only links that join two components each, fewer than the block has members.
 
 Nulls and texts without words have an empty set and are linked with nothing.
 """
@@ -46,7 +48,7 @@ HEAVY_SHARE = 0.001
 HEAVY_LEAST = 50
 # Passes through hubs end when the lists keep more than this share of their rows.
 STILL = 0.8
-BLOCK = 256
+BLOCK = 1024
 WORDS_OF_BITS = [f"s{j}" for j in range(COORDINATES // 32)]
 # Coordinates that pairs are screened by before all are looked at.
 SCREENED = 512
@@ -218,28 +220,61 @@ def through_hubs(lists: DataFrame) -> DataFrame:
     return lists.where("comp <> hub.comp").select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b")).distinct()
 
 
-def unmerged(lists: DataFrame, classes: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
-    """Agreeing pairs of lists' members that are in different components.
+def full_sets(docs: DataFrame, members: DataFrame, size: int) -> DataFrame:
+    """(id, members): the sorted shingle hashes of the documents of these ids."""
 
-    ``lists``: (slot, id, comp) of lists with several components. Members outside the list's
-    most frequent component (left) meet all others (right); either side is cut into blocks by id, and each pair of
-    blocks is looked through by one task: a member on the right is sent once per block of the left.
+    def sets(batches):
+        for batch in batches:
+            ids, rows, found = batch.column("doc_id"), [], []
+            for row, s in shingle_sets(batch.column("text"), size):
+                rows.append(row)
+                found.append(s.tobytes())
+                if len(rows) >= 200:
+                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(rows)), pa.array(found, pa.binary())], names=["id", "members"])
+                    rows, found = [], []
+            if rows:
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(rows)), pa.array(found, pa.binary())], names=["id", "members"])
+
+    # A document of many pairs is named once.
+    wanted = members.select(F.col("id").alias("doc_id")).distinct()
+    return settle(by_ids(texts_of(docs), wanted, "left_semi").mapInArrow(sets, "id long, members binary"), "sets")
+
+
+def parts_of(lists: DataFrame) -> DataFrame:
+    """Blocks of the first pass through parts: each list's members, a part's to one block."""
+    sized = lists.join(lists.groupBy("slot").agg(F.count("*").alias("n")), "slot")
+    return sized.select("slot", _own("n").alias("i"), F.lit(0).alias("j"), F.lit(0).alias("side"), "id", "comp", F.lit(True).alias("outside"))
+
+
+def blocks_of(lists: DataFrame) -> DataFrame:
+    """Blocks of the last pass, of lists with several parts.
+
+    Members outside the list's most frequent component (left) meet all others (right); either side is cut into
+    parts by id, and each pair of parts is a block: a member on the right is sent once per part of the left.
     """
     of_comp = lists.groupBy("slot", "comp").agg(F.count("*").alias("m"))
     large = of_comp.groupBy("slot").agg(F.max_by("comp", F.struct("m", "comp")).alias("large"), F.sum("m").alias("n"), F.max("m").alias("m"))
-    sized = lists.join(large, "slot")
+    sized = lists.join(large, "slot").withColumns({"outside": F.col("comp") != F.col("large"), "lefts": _parts("n - m"), "rights": _parts("n")})
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = sized.where("outside").select("slot", _own("n - m").alias("i"), every("rights").alias("j"), F.lit(0).alias("side"), "id", "comp", "outside")
+    right = sized.select("slot", every("lefts").alias("i"), _own("n").alias("j"), F.lit(1).alias("side"), "id", "comp", "outside")
+    return left.unionAll(right)
 
-    def blocks(n: str) -> Column:
-        return F.greatest(F.lit(1), F.ceil(F.expr(n) / BLOCK)).cast("int")
 
-    held = classes.select("id", "prefix").join(bits.select("id", *WORDS_OF_BITS), "id")
-    rest = sized.join(held, "id").withColumns({"outside": F.col("comp") != F.col("large"), "lefts": blocks("n - m"), "rights": blocks("n")})
-    own = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    columns = ["id", "comp", "outside", "prefix", *WORDS_OF_BITS]
-    left = rest.where("outside").select("slot", own("lefts").alias("i"), every("rights").alias("j"), F.lit(0).alias("side"), *columns)
-    right = rest.select("slot", every("lefts").alias("i"), own("rights").alias("j"), F.lit(1).alias("side"), *columns)
-    most = most_misses(percent)
+def _parts(n: str) -> Column:
+    return F.greatest(F.lit(1), F.ceil(F.expr(n) / BLOCK)).cast("int")
+
+
+def _own(n: str) -> Column:
+    """A member's part of so many members."""
+    return F.pmod(F.xxhash64("id"), _parts(n)).cast("int")
+
+
+_MEMBER = "slot long, i int, j int, side int, id long, comp long, outside boolean"
+
+
+def _block_by_block(blocks: DataFrame, look, schema: str) -> DataFrame:
+    """What ``look`` makes of tables of whole blocks, the left side of each first."""
 
     def meet(batches):
         rest = None
@@ -248,13 +283,96 @@ def unmerged(lists: DataFrame, classes: DataFrame, bits: DataFrame, percent: int
             table = table if rest is None else pa.concat_tables([rest, table])
             cut = _last_group(table)
             rest = table.slice(cut)
-            yield from _pairs(table.slice(0, cut), most)
-        if rest is not None:
-            yield from _pairs(rest, most)
+            if cut:
+                yield from look(table.slice(0, cut))
+        if rest is not None and rest.num_rows:
+            yield from look(rest)
+
+    width = shuffle_width(blocks.sparkSession)
+    return blocks.repartition(width, "slot", "i", "j").sortWithinPartitions("slot", "i", "j", "side").mapInArrow(meet, schema)
+
+
+def _edges(table: pa.Table):
+    """Start, start of the right side and end of each block that has two members to meet."""
+    edges, side = runs(_group_key(table)), table.column("side").to_numpy()
+    for s, e in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        m = s + int(np.searchsorted(side[s:e], 1))
+        # A part on its own meets itself.
+        if s < m and (m < e or m - s > 1):
+            yield s, m, e
+
+
+def partnered(blocks: DataFrame, classes: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+    """The members of ``blocks`` that agree with one of another component, in the blocks of the first list that holds both."""
+    most = most_misses(percent)
+
+    def look(table):
+        ids, comp, slot = (table.column(c).to_numpy() for c in ("id", "comp", "slot"))
+        prefix = np.frombuffer(b"".join(table.column("prefix").to_pylist()), np.int64).reshape(table.num_rows, -1)
+        bits = np.column_stack([table.column(c).to_numpy().view(np.uint64) for c in WORDS_OF_BITS])
+        found = np.zeros(table.num_rows, bool)
+        for s, m, e in _edges(table):
+            r = m if m < e else s
+            for at in range(s, m, 16):
+                upto = min(m, at + 16)
+                p, q = np.nonzero(comp[at:upto, None] != comp[None, r:e])
+                p, q = p + at, q + r
+                # Two of one side meet once.
+                p, q = (x[ids[p] < ids[q]] for x in (p, q)) if r == s else (p, q)
+                x = bits[p] ^ bits[q]
+                near = np.bitwise_count((x | (x >> np.uint64(1))) & _LOW_BITS).sum(1, dtype=np.int64) <= most
+                p, q = p[near], q[near]
+                # The first list that holds both, in the order of the left one.
+                shared = (prefix[p][:, :, None] == prefix[q][:, None, :]).any(2)
+                here = prefix[p, shared.argmax(1)] == slot[s]
+                found[p[here]] = found[q[here]] = True
+        if found.any():
+            yield from table.select(_NAMES).filter(pa.array(found)).to_batches()
+
+    held = classes.select("id", "prefix").join(bits.select("id", *WORDS_OF_BITS), "id")
+    return _block_by_block(blocks.join(held, "id").select(*_NAMES, "prefix", *WORDS_OF_BITS), look, _MEMBER)
+
+
+def joined_up(members: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links (a, b) of each block's members: confirmed on full sets, each joining two components of the block."""
+
+    def look(table):
+        ids, comp = (table.column(c).to_numpy() for c in ("id", "comp"))
+        sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in table.column("members").combine_chunks()]
+        a, b = [], []
+        for s, m, e in _edges(table):
+            for p, q in _forest(comp[s:e], sets[s:e], m - s, percent):
+                a.append(min(ids[s + p], ids[s + q]))
+                b.append(max(ids[s + p], ids[s + q]))
+        if a:
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    full = full_sets(docs, members, size)
+    return _block_by_block(members.join(full, "id").select(*_NAMES, "members"), look, "a long, b long")
+
 
-    width = shuffle_width(lists.sparkSession)
-    dealt = left.unionAll(right).repartition(width, "slot", "i", "j").sortWithinPartitions("slot", "i", "j", "side")
-    return dealt.select("slot", "i", "j", "side", *columns).mapInArrow(meet, "a long, b long")
+_NAMES = [c.split()[0] for c in _MEMBER.split(", ")]
+
+
+def _forest(comp: np.ndarray, sets: list[np.ndarray], lefts: int, percent: int):
+    """Pairs of the first ``lefts`` members and the others, or of them all if there are no others, that are similar and join components."""
+    right = lefts if lefts < len(sets) else 0
+    size = np.array([len(x) for x in sets])
+    flat = np.concatenate(sets[right:])
+    starts = np.cumsum([0, *size[right:]])[:-1]
+    values, flat = np.unique(flat, return_inverse=True)
+    group = comp.copy()
+    for p in range(lefts):
+        if (group[right:] == group[p]).all():
+            continue
+        at = np.minimum(np.searchsorted(values, sets[p]), len(values) - 1)
+        has = np.zeros(len(values), np.int64)
+        has[at[values[at] == sets[p]]] = 1
+        shared = np.add.reduceat(has[flat], starts)
+        for q in (right + np.flatnonzero(100 * shared >= percent * (size[p] + size[right:] - shared))).tolist():
+            if group[p] != group[q]:
+                group[group == group[q]] = group[p]
+                yield p, q
 
 
 def _group_key(table: pa.Table) -> np.ndarray:
@@ -269,55 +387,10 @@ def _last_group(table: pa.Table) -> int:
     return int(np.searchsorted(key, key[-1])) if len(key) else 0
 
 
-def _pairs(table: pa.Table, most: int):
-    if not table.num_rows:
-        return
-    edges = runs(_group_key(table))
-    side, ids, comp, slot = (table.column(c).to_numpy() for c in ("side", "id", "comp", "slot"))
-    outside = table.column("outside").to_numpy()
-    prefix = np.frombuffer(b"".join(table.column("prefix").to_pylist()), np.int64).reshape(table.num_rows, -1)
-    bits = np.column_stack([table.column(c).to_numpy().view(np.uint64) for c in WORDS_OF_BITS])
-    a, b = [], []
-    for s, e in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-        m = s + int(np.searchsorted(side[s:e], 1))
-        if m == s or m == e:
-            continue
-        near = []
-        for at in range(s, m, 16):
-            x = bits[at : min(m, at + 16), None, :] ^ bits[None, m:e, :]
-            near.append(np.bitwise_count((x | (x >> np.uint64(1))) & _LOW_BITS).sum(2, dtype=np.int64) <= most)
-        p, q = np.nonzero(np.concatenate(near) & (comp[s:m, None] != comp[None, m:e]))
-        p, q = p + s, q + m
-        # Two of the left side meet twice.
-        once = ~outside[q] | (ids[p] < ids[q])
-        p, q = p[once], q[once]
-        # The first list that holds both, in the order of the left one.
-        shared = (prefix[p][:, :, None] == prefix[q][:, None, :]).any(2)
-        here = prefix[p, shared.argmax(1)] == slot[s]
-        p, q = p[here], q[here]
-        a.append(np.minimum(ids[p], ids[q]))
-        b.append(np.maximum(ids[p], ids[q]))
-    if a:
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
-
-
 def confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Pairs whose full shingle sets have 100 * intersection >= percent * union."""
-    ends = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select(F.col("b").alias("doc_id")))
-
-    def sets(batches):
-        for batch in batches:
-            ids, rows, found = batch.column("doc_id"), [], []
-            for row, s in shingle_sets(batch.column("text"), size):
-                rows.append(row)
-                found.append(s.tobytes())
-                if len(rows) >= 200:
-                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(rows)), pa.array(found, pa.binary())], names=["id", "members"])
-                    rows, found = [], []
-            if rows:
-                yield pa.RecordBatch.from_arrays([ids.take(pa.array(rows)), pa.array(found, pa.binary())], names=["id", "members"])
-
-    full = settle(by_ids(texts_of(docs), ends, "left_semi").mapInArrow(sets, "id long, members binary"), "sets")
+    ends = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id")))
+    full = full_sets(docs, ends, size)
 
     def check(batches):
         for batch in batches:
@@ -350,28 +423,38 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     shared = posted.groupBy("slot").agg(F.count("*").alias("n")).where("n > 1").select("slot")
     lists = settle(posted.join(shared, "slot").withColumn("comp", F.col("id")), "lists")
     links, named, turn, rows, hubs = None, None, 0, lists.count(), True
-    while links is None or rows:
-        if hubs:
-            lists = settle(with_hubs(lists, turn), "hubs")
-            near = settle(agreeing(through_hubs(lists), bits, SCREEN, percent), "screened")
-            pairs = settle(agreeing(near, bits, WORDS_OF_BITS, percent), "pairs")
-        else:
-            pairs = settle(unmerged(lists, classes, bits, percent), "pairs")
+    while hubs and (links is None or rows):
+        lists = settle(with_hubs(lists, turn), "hubs")
+        near = settle(agreeing(through_hubs(lists), bits, SCREEN, percent), "screened")
+        pairs = settle(agreeing(near, bits, WORDS_OF_BITS, percent), "pairs")
         if links is None or not pairs.isEmpty():
-            found = confirmed(pairs, docs, size, percent)
-            links = settle(found if links is None else links.unionAll(found), "links")
-            named = settle(components(links), "components")
-        if not hubs:
-            break
+            links, named = _with(links, confirmed(pairs, docs, size, percent))
         lists = _several(lists.where("id <> hub.id").select("slot", "id", "comp"), named)
         turn, before, rows = turn + 1, rows, lists.count()
         hubs = rows <= STILL * before
+    for blocks in (parts_of, blocks_of):
+        if not rows:
+            break
+        members = settle(partnered(blocks(lists), classes, bits, percent), "members")
+        if not members.isEmpty():
+            links, named = _with(links, joined_up(members, docs, size, percent))
+        if blocks is parts_of:
+            # Members of a list of one part have all met.
+            long = lists.groupBy("slot").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK).select("slot")
+            lists = _several(lists.join(long, "slot", "left_semi"), named)
+            rows = lists.count()
 
     of_class = classes.join(named, "id", "left").select("set_key", F.coalesce("component_id", "id").alias("component_id"))
     out = known.join(of_class, "set_key", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def _with(links: DataFrame | None, found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links with those found, and the components of all."""
+    links = settle(found if links is None else links.unionAll(found), "links")
+    return links, settle(components(links), "components")
+
+
 def _several(lists: DataFrame, named: DataFrame) -> DataFrame:
     """Lists by the components known now, without those that are in one."""
     now = lists.drop("comp").join(named.select("id", F.col("component_id").alias("comp")), "id", "left").withColumn("comp", F.coalesce("comp", "id"))

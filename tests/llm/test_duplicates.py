@@ -8,6 +8,7 @@ import random
 import numpy as np
 import pytest
 
+from tableferry.llm import components as comps
 from tableferry.llm import near_duplicates as nd
 from tableferry.llm import substring_dedup as sd
 from tableferry.llm.components import components
@@ -132,6 +133,31 @@ def test_a_large_family_of_different_near_copies(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
 
 
+@pytest.mark.parametrize(("block", "changes"), [(1024, 5), (100, 5), (100, 4)])
+def test_no_step_has_as_many_rows_as_a_family_has_pairs(spark, monkeypatch, block, changes):
+    """Near copies of one text that are mostly just below the similarity asked for, or just above it."""
+    made = []
+
+    def counted(df, purpose="settled", settle=nd.settle):
+        out = settle(df, purpose)
+        made.append((out.count(), purpose))
+        return out
+
+    monkeypatch.setattr(nd, "BLOCK", block)
+    monkeypatch.setattr(nd, "settle", counted)
+    base = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(400):
+        words = list(base)
+        for place in random.Random(i).sample(range(2, 298, 4), changes):
+            words[place] = f"x{i}y{place}"
+        rows.append((i, " ".join(words)))
+    got = nd.near_duplicates(frame(spark, rows), 3, 85).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == groups(rows, 3, 85)
+    # 400 classes have 20 postings each and 79,800 pairs.
+    assert max(made)[0] <= 20 * 400, max(made)
+
+
 @pytest.mark.parametrize("percent", [50, 80, 85, 100])
 def test_prefixes_of_agreeing_signatures_meet(percent):
     """Whichever coordinates differ, and whichever values are posted last."""
@@ -160,6 +186,26 @@ def test_components_of_paths_and_stars(spark):
     assert got == {i: 10 for i in range(10, 41)} | {i: 100 for i in range(100, 130)}
 
 
+@pytest.mark.parametrize("rows", [7, 100, 100_000])
+def test_components_of_several_tasks(spark, monkeypatch, rows):
+    monkeypatch.setattr(comps, "TASK_ROWS", rows)
+    rng = random.Random(rows)
+    links = [(rng.randrange(600), rng.randrange(600)) for _ in range(300)]
+    parent = list(range(600))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        a, b = sorted((root(a), root(b)))
+        parent[b] = a
+    got = [(r.id, r.component_id) for r in components(spark.createDataFrame(links, "a long, b long").repartition(9)).collect()]
+    assert len(got) == len(dict(got))
+    assert dict(got) == {x: root(x) for x in {x for link in links if link[0] != link[1] for x in link}}
+
+
 def test_a_shared_passage_gives_a_document_a_few_spans(spark):
     """One passage of 100 words in very many documents, all of its triples heavy."""
     passage = [f"p{i}" for i in range(100)]
