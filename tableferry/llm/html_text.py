@@ -2,18 +2,20 @@
 
 Pages become small trees of block elements; markup within a block is part of its text. Elements that
 by name, class, id or role are menus, headers, footers, sidebars, notices, adverts, forms, scripts or
-comments are left out at once. For each host a few pages (``SAMPLE_PAGES``, of different content, chosen by a
-hash) are aligned by simple tree matching and give a base tree per layout; they fit the structure only. What is
-constant is counted over all pages of the host: every page is aligned with the first base that it fits, and a block
+comments are left out at once. For each host pages are aligned by simple tree matching and give a base tree per
+layout: taken in the order of a hash of their html, a page that fits no base before it is the base of one more layout.
+This goes over all pages in passes. A pass takes the next ``FIRST_PAGES`` (later ``MORE_PAGES``) different pages of each host
+among those that fit no base yet, makes bases of them and aligns all that is left with these; the last pass leaves none. So
+the bases are those of one walk over all pages, whatever is dealt to a pass. What is constant is counted over all pages, too: a block
 that equals the base's is counted at that slot, any other by its path and text. Blocks that stand in nearly all
-pages (of different content) of a layout are template, slots that vary are content. Pages that fit no base are
-counted together as one more layout. Where a page has an article or main element, only what lies in it is taken.
+pages (of different content) of a layout are template, slots that vary are content. Layouts of at most ``CONSTANT_LEAST`` pages
+are counted together as one more, by path and text. Where a page has an article or main element, only what lies in it is taken.
 
 Every page is extracted whole. Null html is an empty page; a page that nothing is left of has an
 empty text, and pages without a host have no template. Elements nested more than ``DEPTH`` deep are blocks of the
 element at that depth. Inside an article a class or id counts as furniture only if all its words fit. Templates are sent to all tasks only if they measure under ``BROADCAST_BYTES``; else they are
-joined by host, where Spark may split the rows of a large one. A template holds no more constants than 1.25 times the
-blocks of an average page, for each layout.
+joined by host, where Spark may split the rows of a large one. A pass holds only its own bases, and a layout has no more constants than 1.25 times the
+blocks of its average page. The passes of a host grow with its layouts, as does what a page that fits few of them is aligned with.
 """
 
 from __future__ import annotations
@@ -23,20 +25,24 @@ import html as entities
 import json
 import re
 from collections import Counter
+from collections.abc import Iterable
 from dataclasses import dataclass, field
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tableferry.llm.shared import settle
+from tableferry.llm.shared import forget, settle
+from tableferry.session import new_folder
 
-SAMPLE_PAGES = 10
+# Different pages of a host that a pass takes bases from: the first pass, and each one over the pages that fit none yet.
+FIRST_PAGES, MORE_PAGES = 10, 50
 # A block is constant if it is on this share of a layout's pages, and on more than so many.
 CONSTANT_SHARE, CONSTANT_LEAST = 0.8, 2
 # Share of the smaller tree that has to match for a page to have a base's layout.
 SAME_LAYOUT = 0.5
-BROADCAST_BYTES = 32 << 20
+BROADCAST_BYTES = 16 << 20
 # Elements nested deeper than this are taken as blocks of the element at that depth.
 DEPTH = 150
 
@@ -285,43 +291,39 @@ def _nodes(root: Node):
         stack.extend((below, child) for child in reversed(node.children))
 
 
+def _places(root: Node) -> Counter[str]:
+    """Number of nodes by their labels and those above them."""
+    return Counter(f"{path}/{node.label}" for path, node in _nodes(root))
+
+
 class Layout:
-    """Base tree of a layout, its size and the number of each of its slots."""
+    """Base tree of a layout, its places and the number of each of its slots."""
 
     def __init__(self, base: Node):
         self.base = base
-        nodes = [node for _, node in _nodes(base)]
-        self.size = len(nodes)
-        self.slots = {id(node): i for i, node in enumerate(nodes) if node.label == "#"}
+        self.places = _places(base)
+        self.size = self.places.total()
+        self.slots = {id(node): i for i, (_, node) in enumerate(_nodes(base)) if node.label == "#"}
 
-    def fitted(self, root: Node, size: int) -> list[tuple[Node, Node]] | None:
+    def fitted(self, root: Node, places: Counter[str]) -> list[tuple[Node, Node]] | None:
         """The alignment of a page that has this layout, else None."""
+        least = SAME_LAYOUT * min(self.size, places.total())
+        # Matched nodes have one place, so no more than these can match.
+        if sum(min(n, self.places[p]) for p, n in places.items() if p in self.places) < least:
+            return None
         pairs = aligned(self.base, root)
-        return pairs if len(pairs) >= SAME_LAYOUT * min(self.size, size) else None
-
+        return pairs if len(pairs) >= least else None
 
-def induced(pages: list[str]) -> str | None:
-    """Base trees of a host's layouts as JSON; None if there are too few pages of different content.
 
-    A base is the first page of its layout. Texts that no other page given has in the same slot are cut from it.
-    """
-    trees = [_load(json.loads(p)) for p in pages]
-    if len(trees) <= CONSTANT_LEAST:
-        return None
+def induced(pages: Iterable[str]) -> str:
+    """Base trees of the layouts of some pages as JSON: a base is a page that fits no base before it."""
     layouts: list[Layout] = []
-    shared: set[int] = set()
-    for tree in trees:
-        size = sum(1 for _ in _nodes(tree))
-        for layout in layouts:
-            if (pairs := layout.fitted(tree, size)) is not None:
-                shared.update(id(x) for x, y in pairs if x.label == "#" and x.text == y.text)
-                break
-        else:
+    for page in pages:
+        tree = _load(json.loads(page))
+        places = _places(tree)
+        # A page without blocks has no layout; all would fit it.
+        if any(p.endswith("/#") for p in places) and all(layout.fitted(tree, places) is None for layout in layouts):
             layouts.append(Layout(tree))
-    for layout in layouts:
-        for _, node in _nodes(layout.base):
-            if id(node) not in shared:
-                node.text = ""
     return json.dumps([_dump(layout.base) for layout in layouts])
 
 
@@ -329,34 +331,24 @@ def _layouts(template: str) -> list[Layout]:
     return [Layout(_load(base)) for base in json.loads(template)]
 
 
-def keyed_blocks(root: Node, layouts: list[Layout]) -> tuple[int, dict[int, int]]:
-    """Number of a page's layout (-1: none of these) and, by node, the key that each block is counted by."""
-    size = sum(1 for _ in _nodes(root))
-    at: dict[int, int] = {}
-    number = -1
-    for i, layout in enumerate(layouts):
-        if (pairs := layout.fitted(root, size)) is not None:
-            number = i
-            at = {id(y): layout.slots[id(x)] for x, y in pairs if x.label == "#" and x.text and x.text == y.text}
-            break
-    keys = {}
-    for path, node in _nodes(root):
-        if node.label == "#":
-            place = at.get(id(node), path)
-            keys[id(node)] = _number(f"{number} {place}\0{node.text}")
-    return number, keys
+def slots(root: Node, layouts: list[Layout]) -> tuple[int, dict[int, int]] | None:
+    """Number of the first of these layouts that a page fits and, by node, the slots of blocks that equal the base's; None if it fits none."""
+    places = _places(root)
+    for number, layout in enumerate(layouts):
+        if (pairs := layout.fitted(root, places)) is not None:
+            return number, {id(y): layout.slots[id(x)] for x, y in pairs if x.label == "#" and x.text and x.text == y.text}
+    return None
 
 
 def _number(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
 
 
-def content(page: str, layouts: list[Layout], constant: frozenset[int] | set[int]) -> str:
-    """Blocks of a page's content, one to a line."""
-    root = parse(page)
-    keys = keyed_blocks(root, layouts)[1] if constant else {}
-    blocks = [node.text for part in main_roots(root) for _, node in _nodes(part) if node.label == "#" and keys.get(id(node)) not in constant]
-    return "\n".join(blocks)
+def blocks(root: Node) -> tuple[list[tuple[str, Node]], list[int]]:
+    """All blocks of a page with the labels above them, and which of them are in its article."""
+    found = [(path, node) for path, node in _nodes(root) if node.label == "#"]
+    main = {id(node) for part in main_roots(root) for _, node in _nodes(part)}
+    return found, [i for i, (_, node) in enumerate(found) if id(node) in main]
 
 
 def host_of(url: str = "url"):
@@ -364,105 +356,152 @@ def host_of(url: str = "url"):
     return F.regexp_extract(after, r"^(?:[^/?#@]*@)?([^/?#]*)", 1)
 
 
-def bases(pages: DataFrame) -> DataFrame:
-    """(host, template) of the hosts with enough pages: the base trees of their layouts."""
+def bases(pages: DataFrame, most: int) -> DataFrame:
+    """(host, template) of the hosts with enough pages: the base trees of the ``most`` different pages of the smallest hashes."""
 
     def candidates(batches):
-        """At most ``SAMPLE_PAGES`` different pages of each host in a task, of the smallest hashes."""
+        """At most ``most`` different pages of each host in a task, of the smallest hashes."""
         best: dict[str, list] = {}
         for batch in batches:
             for host, text in zip(*(batch.column(c).to_pylist() for c in ("host", "html")), strict=True):
                 held = best.setdefault(host, [])
                 rank = hashlib.blake2b(text.encode(), digest_size=16).hexdigest()
-                if (len(held) < SAMPLE_PAGES or rank < held[-1][0]) and all(rank != r for r, _ in held):
+                if (len(held) < most or rank < held[-1][0]) and all(rank != r for r, _ in held):
                     held.append((rank, text))
                     held.sort()
-                    del held[SAMPLE_PAGES:]
+                    del held[most:]
         rows = [(host, rank, json.dumps(_dump(parse(text)))) for host, held in best.items() for rank, text in held]
         for a in range(0, len(rows), 1000):
             part = list(zip(*rows[a : a + 1000], strict=True))
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in part], names=["host", "rank", "tree"])
 
     # Pages without a host have nothing in common.
-    found = pages.select(host_of().alias("host"), "html").where("host <> '' AND html <> ''").mapInArrow(candidates, "host string, rank string, tree string")
+    found = pages.select("host", "html").where("host <> '' AND html <> ''").mapInArrow(candidates, "host string, rank string, tree string")
     # Copies of one page have one rank.
     order = Window.partitionBy("host").orderBy("rank")
-    sample = found.withColumn("n", F.dense_rank().over(order)).where(F.col("n") <= SAMPLE_PAGES)
+    first = found.withColumn("n", F.dense_rank().over(order)).where(F.col("n") <= most)
 
     def induce(table):
-        rows = sorted(set(zip(table.column("rank").to_pylist(), table.column("tree").to_pylist(), strict=True)))
-        # Copies of one page say nothing about what is constant.
-        made = induced(list(dict.fromkeys(t for _, t in rows)))
+        trees = dict(sorted(zip(table.column("rank").to_pylist(), table.column("tree").to_pylist(), strict=True)))
+        # So few pages are all that there are, and nothing in them is constant.
+        made = induced(trees.values()) if len(trees) > CONSTANT_LEAST else None
         return pa.table({"host": pa.array([table.column("host")[0].as_py()] if made else [], pa.string()), "template": pa.array([made] if made else [], pa.string())})
 
-    return settle(sample.groupBy("host").applyInArrow(induce, "host string, template string"), "bases")
+    return settle(first.groupBy("host").applyInArrow(induce, "host string, template string"), "bases")
 
 
-def _with_template(pages: DataFrame, by_host: DataFrame, weight, how: str) -> DataFrame:
-    """Pages (with their host) and what is known of it; few bytes are broadcast, many are joined."""
-    total = by_host.agg(F.coalesce(F.sum(weight + F.length("host")), F.lit(0))).first()[0]
-    return pages.join(F.broadcast(by_host) if total < BROADCAST_BYTES else by_host, "host", how)
+def _with(rows: DataFrame, known: DataFrame, on: list[str], weight) -> DataFrame:
+    """Rows and what is known of their host or layout; few bytes are broadcast, many are joined."""
+    total = known.agg(F.coalesce(F.sum(weight + F.length("host")), F.lit(0))).first()[0]
+    return rows.join(F.broadcast(known) if total < BROADCAST_BYTES else known, on, "left")
 
 
 class _Cache:
-    """Layouts by template, for the rows of a task."""
+    """Layouts by template, for the rows of a task; they hold no more templates than a broadcast."""
 
     def __init__(self):
         self.known: dict[str, list[Layout]] = {}
+        self.held = 0
 
     def __getitem__(self, template: str) -> list[Layout]:
         if template not in self.known:
-            if len(self.known) > 500:
+            if self.held > BROADCAST_BYTES:
                 self.known.clear()
+                self.held = 0
             self.known[template] = _layouts(template)
+            self.held += len(template)
         return self.known[template]
 
 
-def templates(pages: DataFrame) -> DataFrame:
-    """(host, template, constant): base trees and the keys of the blocks that are constant, of hosts that have some.
+_BLOCKS = {
+    "page_id": pa.int64(), "url": pa.string(), "host": pa.string(), "html": pa.string(), "layout": pa.int32(), "page": pa.int64(),
+    "keys": pa.list_(pa.int64()), "paths": pa.list_(pa.int64()), "main": pa.list_(pa.int32()), "texts": pa.list_(pa.string()),
+}
+_BLOCKS_SCHEMA = "page_id long, url string, host string, html string, layout int, page long, keys array<long>, paths array<long>, main array<int>, texts array<string>"
 
-    Blocks are counted over all pages; copies of a page count once.
+
+def in_layouts(pages: DataFrame) -> DataFrame:
+    """Every page with its layout and blocks, parsed and aligned once for each pass that it takes.
+
+    layout is null without a host or blocks, -1 for the last pages of a host that are too few for one. Of all blocks: the keys they are counted
+    by in the layout (keys) and in no layout (paths); of those in the article: their places among all (main) and texts. page is equal for copies.
+    What a pass leaves is written apart, and removed once the next pass is through.
     """
-    by_host = bases(pages)
+    rest = pages.select("page_id", "url", host_of().alias("host"), "html")
+    done: list[DataFrame] = []
+    last = None
+    while True:
+        before = len(done) << 16
+
+        def assign(batches, before=before):
+            known = _Cache()
+            for batch in batches:
+                rows = []
+                for page_id, url, host, html, template in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "host", "html", "template")), strict=True):
+                    root = parse(html or "")
+                    found, main = blocks(root)
+                    texts = [found[i][1].text for i in main]
+                    if not host or not found:
+                        rows.append((page_id, url, host, None, None, None, [], [], [], texts))
+                        continue
+                    fit = (-1, {}) if template is None else slots(root, known[template])
+                    if fit is None:
+                        rows.append((page_id, url, host, html, None, None, None, None, None, None))
+                        continue
+                    layout = before + fit[0] if template is not None else -1
+                    paths = [_number(f"-1 {path}\0{node.text}") for path, node in found]
+                    keys = paths if layout < 0 else [_number(f"{layout} {fit[1].get(id(node), path)}\0{node.text}") for path, node in found]
+                    rows.append((page_id, url, host, None, layout, _number(" ".join(map(str, paths))), keys, paths, main, texts))
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(_BLOCKS.values())], names=list(_BLOCKS))
+
+        joined = _with(rest, bases(rest, MORE_PAGES if done else FIRST_PAGES), ["host"], F.length("template"))
+        found = joined.select("page_id", "url", "host", "html", "template").mapInArrow(assign, _BLOCKS_SCHEMA).withColumn("open", F.col("html").isNotNull())
+        path = new_folder(pages.sparkSession, "blocks")
+        found.write.option("compression", "zstd").partitionBy("open").parquet(path)
+        if last:
+            forget(pages.sparkSession, f"{last}/open=true")
+        last = path
+        found = pages.sparkSession.read.schema(found.schema).parquet(path)
+        done.append(found.where("NOT open").drop("html", "open"))
+        rest = found.where("open").select("page_id", "url", "host", "html")
+        if rest.isEmpty():
+            return reduce(DataFrame.unionAll, done)
+
+
+def counted_in(rows: DataFrame) -> DataFrame:
+    """Pages with the layout they are counted in and their keys there: layouts of few pages are counted as one."""
+    sizes = rows.where("layout IS NOT NULL").groupBy("host", "layout").agg(F.count_distinct("page").alias("pages"))
+    joined = _with(rows, settle(sizes, "layouts"), ["host", "layout"], F.lit(16))
+    few = F.col("pages") <= CONSTANT_LEAST
+    return joined.withColumns({"layout": F.when(few, -1).otherwise(F.col("layout")), "keys": F.when(few, F.col("paths")).otherwise(F.col("keys"))}).drop("pages", "paths")
+
+
+def templates(rows: DataFrame) -> DataFrame:
+    """(host, layout, constant): the keys of the blocks that are constant, of layouts that have some.
 
-    def count(batches):
-        known = _Cache()
-        for batch in batches:
-            rows = []
-            for host, page, template in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "template")), strict=True):
-                number, keys = keyed_blocks(parse(page), known[template])
-                if keys:
-                    rows.append((host, number, _number(" ".join(map(str, keys.values()))), list(dict.fromkeys(keys.values()))))
-            types = (("host", pa.string()), ("layout", pa.int32()), ("page", pa.int64()), ("keys", pa.list_(pa.int64())))
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, (_, t) in enumerate(types)], names=[n for n, _ in types])
-
-    seen = _with_template(pages.select(host_of().alias("host"), "html").where("host <> '' AND html <> ''"), by_host, F.length("template"), "inner")
-    seen = seen.select("host", "html", "template").mapInArrow(count, "host string, layout int, page long, keys array<long>")
-    seen = settle(seen.groupBy("host", "layout", "page").agg(F.first("keys").alias("keys")), "blocks")
+    Blocks are counted over all pages; copies of a page count once.
+    """
+    seen = rows.where("layout IS NOT NULL").groupBy("host", "layout", "page").agg(F.first("keys").alias("keys"))
+    seen = settle(seen.withColumn("keys", F.array_distinct("keys")), "keys")
     # A block on most pages is counted within each task before it is sent.
     counted = seen.select("host", "layout", F.explode("keys").alias("key")).groupBy("host", "layout", "key").agg(F.count("*").alias("n"))
     totals = seen.groupBy("host", "layout").agg(F.count("*").alias("pages"))
     constant = counted.where(F.col("n") > CONSTANT_LEAST).join(totals, ["host", "layout"]).where(F.col("n") >= CONSTANT_SHARE * F.col("pages"))
-    return settle(by_host.join(constant.groupBy("host").agg(F.collect_list("key").alias("constant")), "host"), "templates")
+    return settle(constant.groupBy("host", "layout").agg(F.collect_list("key").alias("constant")), "templates")
 
 
 def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
-    hosted = pages.select("page_id", "url", "html", host_of().alias("host"))
-    joined = _with_template(hosted, templates(pages), F.length("template") + 8 * F.size("constant"), "left")
+    rows = counted_in(in_layouts(pages))
+    joined = _with(rows, templates(rows), ["host", "layout"], 8 * F.size("constant"))
 
     def extract(batches):
-        known = _Cache()
-        sets: dict[str, frozenset[int]] = {}
         for batch in batches:
             out = []
-            for host, page, template, row in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), batch.column("template").to_pylist(), range(len(batch)), strict=True):
-                if template is not None and host not in sets:
-                    if len(sets) > 500:
-                        sets.clear()
-                    sets[host] = frozenset(batch.column("constant")[row].as_py())
-                out.append(content(page, known[template] if template else [], sets[host] if template else frozenset()) if page else "")
+            for keys, main, texts, constant in zip(*(batch.column(c).to_pylist() for c in ("keys", "main", "texts", "constant")), strict=True):
+                left = frozenset(constant or ())
+                out.append("\n".join(text for i, text in zip(main, texts, strict=True) if keys[i] not in left) if left else "\n".join(texts))
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(out, pa.string())], names=["page_id", "url", "text"])
 
-    done = joined.select("page_id", "url", "host", "html", "template", "constant").mapInArrow(extract, "page_id long, url string, text string")
+    done = joined.select("page_id", "url", "keys", "main", "texts", "constant").mapInArrow(extract, "page_id long, url string, text string")
     return done.withColumn("n_chars", F.length("text").cast("long"))

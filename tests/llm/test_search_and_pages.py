@@ -175,6 +175,97 @@ def test_template_counts_all_pages(spark):
     assert all(got[3000 + k] == "the one text\nand more" for k in range(50))
 
 
+def rank(html: str) -> str:
+    return hashlib.blake2b(html.encode(), digest_size=16).hexdigest()
+
+
+# Layouts of which no two have half of their nodes in common.
+FORMS = [
+    "<p>{0} one<p>{0} two<p>{0} three<p>{0} four", "<ul><li>{0} one<li>{0} two<li>{0} three<li>{0} four</ul>", "<table><tr><td>{0} one<td>{0} two<tr><td>{0} three<td>{0} four</table>",
+    "<section><h2>{0} one</h2><h3>{0} two</h3><h4>{0} three</h4><h5>{0} four</h5></section>", "<dl><dt>{0} one<dd>{0} two<dt>{0} three<dd>{0} four</dl>", "<blockquote><pre>{0} one</pre><pre>{0} two</pre><pre>{0} three</pre><pre>{0} four</pre></blockquote>",
+]
+
+
+def formed(form: int, name: str) -> str:
+    return f"<html><body><div>All of us</div>{FORMS[form].format(name)}{FORMS[form].format('Our rules')}</body></html>"
+
+
+def test_layouts_beyond_the_first_pages(spark):
+    parts = [f"{{}} {n}" for n in ("one", "two", "three", "four")]
+    # Two layouts that are on few pages of the host, none of them among those that bases are taken from first.
+    named = [(0, f"story {k}") for k in range(600)] + [(1, f"list {k}") for k in range(12)] + [(2, f"row {k}") for k in range(12)]
+    # And one page each of three others.
+    named += [(3, "lone a"), (4, "lone b"), (5, "lone c")]
+    assert all(form == 0 for form, _ in sorted(named, key=lambda n: rank(formed(*n)))[:10])
+    rows = [(i, "http://many.org/", formed(*n)) for i, n in enumerate(named)]
+    # A host whose first pages by hash differ in a comment only.
+    odd = sorted((f"<!-- {k} --><p>Gone" for k in range(500)), key=rank)[:10]
+    rows += [(5000 + i, "http://odd.org/", h) for i, h in enumerate(odd)]
+    late = [h for k in range(400) if rank(h := formed(3, f"late {k}")) > rank(odd[-1])][:20]
+    rows += [(6000 + i, "http://odd.org/", h) for i, h in enumerate(late)]
+    docs = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    got = {r.page_id: r.text for r in html_text.main_text(docs).collect()}
+    for i, (form, name) in enumerate(named):
+        # Layouts of one page have in common only what stands at one path in all of them.
+        own = [p.format(name) for p in parts]
+        assert got[i].split("\n") == (own if form < 3 else own + [p.format("Our rules") for p in parts])
+    for i, h in enumerate(late):
+        name = h.split("<h2>")[1].split(" one")[0]
+        assert got[6000 + i].split("\n") == [p.format(name) for p in parts]
+    assert all(got[5000 + i] == "Gone" for i in range(10))
+
+
+def walked(pages: list[str]) -> list[str]:
+    """Texts of a host's pages by one walk over all of them, in memory."""
+    layouts: list[html_text.Layout] = []
+    of = {}
+    for html in sorted(set(pages), key=rank):
+        root = html_text.parse(html)
+        if html_text.blocks(root)[0] and html_text.slots(root, layouts) is None:
+            layouts.append(html_text.Layout(html_text.parse(html)))
+    for html in set(pages):
+        root = html_text.parse(html)
+        found, main = html_text.blocks(root)
+        number, at = html_text.slots(root, layouts) if found else (None, {})
+        keys = [(number, at.get(id(n), path), n.text) for path, n in found]
+        of[html] = (number, keys, [(-1, path, n.text) for path, n in found], main)
+    sizes: dict = {}
+    for number, _, paths, _ in of.values():
+        sizes.setdefault(number, set()).add(tuple(paths))
+    few = {number for number, different in sizes.items() if len(different) <= html_text.CONSTANT_LEAST}
+    counts, total = {}, {}
+    for number, paths, keys in {(n, tuple(p), tuple(p if n in few else k)) for n, k, p, _ in of.values() if p}:
+        layout = -1 if number in few else number
+        total[layout] = total.get(layout, 0) + 1
+        for key in set(keys):
+            counts[layout, key] = counts.get((layout, key), 0) + 1
+    out = []
+    for html in pages:
+        number, keys, paths, main = of[html]
+        layout, keys = (-1, paths) if number in few else (number, keys)
+        left = [keys[i] for i in main if not ((n := counts.get((layout, keys[i]), 0)) > html_text.CONSTANT_LEAST and n >= html_text.CONSTANT_SHARE * total[layout])]
+        out.append("\n".join(text for _, _, text in left))
+    return out
+
+
+@pytest.mark.parametrize("first, more", [(10, 50), (3, 3)])
+def test_passes_give_what_one_walk_over_all_pages_gives(spark, monkeypatch, first, more):
+    monkeypatch.setattr(html_text, "FIRST_PAGES", first)
+    monkeypatch.setattr(html_text, "MORE_PAGES", more)
+    rng = random.Random(7)
+    rows = []
+    for host in range(4):
+        for k in range((2, 40, 70, 120)[host]):
+            form = min(int(rng.expovariate(0.9)), len(FORMS) - 1)
+            html = rng.choice([formed(form, f"t{rng.randint(0, 60)}"), formed(form, f"u{k}").replace("All of us", rng.choice(["All of us", "Sale"])), f"<nav>{k}</nav>", f"bare {k}"] if rng.random() < 0.2 else [formed(form, f"v{k}")])
+            rows.append((len(rows), f"http://walk{host}.org/", html))
+    docs = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = {r.page_id: r.text for r in html_text.main_text(docs).collect()}
+    for host in range(4):
+        here = [r for r in rows if r[1] == f"http://walk{host}.org/"]
+        assert [got[i] for i, _, _ in here] == walked([h for _, _, h in here])
+
+
 def test_archives_round_trip(spark, monkeypatch):
     monkeypatch.setattr(warc, "BLOCK_LINES", 4)
     monkeypatch.setattr(warc, "FILE_BYTES", 400)
