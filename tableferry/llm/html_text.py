@@ -36,8 +36,11 @@ from pyspark.sql import functions as F
 from tableferry.llm.shared import forget, settle
 from tableferry.session import new_folder
 
-# Different pages of a host that a pass takes bases from: the first pass, and each one over the pages that fit none yet.
-FIRST_PAGES, MORE_PAGES = 10, 50
+# Different pages of a host that a pass takes bases from: the first pass, and each one over the pages that fit none yet. Beyond the first number
+# they have no more than so many characters.
+FIRST_PAGES, MORE_PAGES = 10, 1000
+PASS_CHARS = 4 << 20
+SLOTS = 16
 # A block is constant if it is on this share of a layout's pages, and on more than so many.
 CONSTANT_SHARE, CONSTANT_LEAST = 0.8, 2
 # Share of the smaller tree that has to match for a page to have a base's layout.
@@ -315,11 +318,10 @@ class Layout:
         return pairs if len(pairs) >= least else None
 
 
-def induced(pages: Iterable[str]) -> str:
+def induced(pages: Iterable[Node]) -> str:
     """Base trees of the layouts of some pages as JSON: a base is a page that fits no base before it."""
     layouts: list[Layout] = []
-    for page in pages:
-        tree = _load(json.loads(page))
+    for tree in pages:
         places = _places(tree)
         # A page without blocks has no layout; all would fit it.
         if any(p.endswith("/#") for p in places) and all(layout.fitted(tree, places) is None for layout in layouts):
@@ -357,43 +359,34 @@ def host_of(url: str = "url"):
 
 
 def bases(pages: DataFrame, most: int) -> DataFrame:
-    """(host, template) of the hosts with enough pages: the base trees of the ``most`` different pages of the smallest hashes."""
+    """(host, template) of the hosts with enough pages: the base trees of the ``most`` different pages of the smallest hashes.
 
-    def candidates(batches):
-        """At most ``most`` different pages of each host in a task, of the smallest hashes."""
-        best: dict[str, list] = {}
-        for batch in batches:
-            for host, text in zip(*(batch.column(c).to_pylist() for c in ("host", "html")), strict=True):
-                held = best.setdefault(host, [])
-                rank = hashlib.blake2b(text.encode(), digest_size=16).hexdigest()
-                if (len(held) < most or rank < held[-1][0]) and all(rank != r for r, _ in held):
-                    held.append((rank, text))
-                    held.sort()
-                    del held[most:]
-        rows = [(host, rank, json.dumps(_dump(parse(text)))) for host, held in best.items() for rank, text in held]
-        for a in range(0, len(rows), 1000):
-            part = list(zip(*rows[a : a + 1000], strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in part], names=["host", "rank", "tree"])
-
-    # Pages without a host have nothing in common.
-    found = pages.select("host", "html").where("host <> '' AND html <> ''").mapInArrow(candidates, "host string, rank string, tree string")
-    # Copies of one page have one rank.
+    Only hashes are sorted; the pages that these choose are fetched after that.
+    """
+    # Pages without a host have nothing in common. Copies of one page have one rank.
+    ranked = pages.select("host", "html", F.xxhash64("html").alias("rank")).where("host <> '' AND html <> ''")
     order = Window.partitionBy("host").orderBy("rank")
-    first = found.withColumn("n", F.dense_rank().over(order)).where(F.col("n") <= most)
+    sizes = ranked.groupBy("host", "rank").agg(F.max(F.length("html")).alias("size"))
+    # The first of a host are among the first of its slots, which several tasks sort.
+    slot = Window.partitionBy("host", F.pmod("rank", F.lit(SLOTS))).orderBy("rank")
+    sizes = sizes.withColumn("n", F.row_number().over(slot)).where(F.col("n") <= most).drop("n")
+    before = sizes.withColumns({"n": F.row_number().over(order), "chars": F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))})
+    first = before.where((F.col("n") <= most) & ((F.col("n") <= FIRST_PAGES) | (F.col("chars") <= PASS_CHARS)))
+    chosen = _with(ranked, settle(first.select("host", "rank"), "first"), ["host", "rank"], F.lit(8), "left_semi")
 
     def induce(table):
-        trees = dict(sorted(zip(table.column("rank").to_pylist(), table.column("tree").to_pylist(), strict=True)))
+        different = sorted(zip(table.column("rank").to_pylist(), table.column("html").to_pylist(), strict=True))
         # So few pages are all that there are, and nothing in them is constant.
-        made = induced(trees.values()) if len(trees) > CONSTANT_LEAST else None
+        made = induced(parse(html) for _, html in different) if len(different) > CONSTANT_LEAST else None
         return pa.table({"host": pa.array([table.column("host")[0].as_py()] if made else [], pa.string()), "template": pa.array([made] if made else [], pa.string())})
 
-    return settle(first.groupBy("host").applyInArrow(induce, "host string, template string"), "bases")
+    return settle(chosen.groupBy("host", "rank").agg(F.min("html").alias("html")).groupBy("host").applyInArrow(induce, "host string, template string"), "bases")
 
 
-def _with(rows: DataFrame, known: DataFrame, on: list[str], weight) -> DataFrame:
-    """Rows and what is known of their host or layout; few bytes are broadcast, many are joined."""
+def _with(rows: DataFrame, known: DataFrame, on: list[str], weight, how: str = "left") -> DataFrame:
+    """Rows and what is known of their host, layout or hash; few bytes are broadcast, many are joined."""
     total = known.agg(F.coalesce(F.sum(weight + F.length("host")), F.lit(0))).first()[0]
-    return rows.join(F.broadcast(known) if total < BROADCAST_BYTES else known, on, "left")
+    return rows.join(F.broadcast(known) if total < BROADCAST_BYTES else known, on, how)
 
 
 class _Cache:

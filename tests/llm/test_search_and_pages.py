@@ -175,8 +175,9 @@ def test_template_counts_all_pages(spark):
     assert all(got[3000 + k] == "the one text\nand more" for k in range(50))
 
 
-def rank(html: str) -> str:
-    return hashlib.blake2b(html.encode(), digest_size=16).hexdigest()
+def ranked(spark, pages) -> list[str]:
+    """Different pages in the order in which bases are taken from them."""
+    return [r.html for r in spark.createDataFrame([(h,) for h in dict.fromkeys(pages)], "html string").orderBy(F.xxhash64("html")).collect()]
 
 
 # Layouts of which no two have half of their nodes in common.
@@ -192,16 +193,18 @@ def formed(form: int, name: str) -> str:
 
 def test_layouts_beyond_the_first_pages(spark):
     parts = [f"{{}} {n}" for n in ("one", "two", "three", "four")]
-    # Two layouts that are on few pages of the host, none of them among those that bases are taken from first.
-    named = [(0, f"story {k}") for k in range(600)] + [(1, f"list {k}") for k in range(12)] + [(2, f"row {k}") for k in range(12)]
-    # And one page each of three others.
-    named += [(3, "lone a"), (4, "lone b"), (5, "lone c")]
-    assert all(form == 0 for form, _ in sorted(named, key=lambda n: rank(formed(*n)))[:10])
+    # Two layouts that are on few pages of the host, none of them among those that bases are taken from first; one page each of three others.
+    named = [(0, f"story {k}") for k in range(600)]
+    for form, name, n in ((1, "list", 12), (2, "row", 12), (3, "lone a", 1), (4, "lone b", 1), (5, "lone c", 1)):
+        of = {formed(form, f"{name} {k}"): f"{name} {k}" for k in range(200)}
+        named += [(form, of[h]) for h in ranked(spark, of)[-n:]]
+    assert all("<p>story" in h for h in ranked(spark, [formed(*n) for n in named])[:10])
     rows = [(i, "http://many.org/", formed(*n)) for i, n in enumerate(named)]
     # A host whose first pages by hash differ in a comment only.
-    odd = sorted((f"<!-- {k} --><p>Gone" for k in range(500)), key=rank)[:10]
+    odd = ranked(spark, [f"<!-- {k} --><p>Gone" for k in range(500)])[:10]
     rows += [(5000 + i, "http://odd.org/", h) for i, h in enumerate(odd)]
-    late = [h for k in range(400) if rank(h := formed(3, f"late {k}")) > rank(odd[-1])][:20]
+    late = ranked(spark, [formed(3, f"late {k}") for k in range(400)])[-20:]
+    assert ranked(spark, odd + late)[:10] == odd
     rows += [(6000 + i, "http://odd.org/", h) for i, h in enumerate(late)]
     docs = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
     got = {r.page_id: r.text for r in html_text.main_text(docs).collect()}
@@ -215,11 +218,11 @@ def test_layouts_beyond_the_first_pages(spark):
     assert all(got[5000 + i] == "Gone" for i in range(10))
 
 
-def walked(pages: list[str]) -> list[str]:
+def walked(pages: list[str], order: list[str]) -> list[str]:
     """Texts of a host's pages by one walk over all of them, in memory."""
     layouts: list[html_text.Layout] = []
     of = {}
-    for html in sorted(set(pages), key=rank):
+    for html in order:
         root = html_text.parse(html)
         if html_text.blocks(root)[0] and html_text.slots(root, layouts) is None:
             layouts.append(html_text.Layout(html_text.parse(html)))
@@ -248,10 +251,11 @@ def walked(pages: list[str]) -> list[str]:
     return out
 
 
-@pytest.mark.parametrize("first, more", [(10, 50), (3, 3)])
-def test_passes_give_what_one_walk_over_all_pages_gives(spark, monkeypatch, first, more):
+@pytest.mark.parametrize("first, more, chars", [(10, 1000, 4 << 20), (3, 3, 4 << 20), (3, 50, 2000)])
+def test_passes_give_what_one_walk_over_all_pages_gives(spark, monkeypatch, first, more, chars):
     monkeypatch.setattr(html_text, "FIRST_PAGES", first)
     monkeypatch.setattr(html_text, "MORE_PAGES", more)
+    monkeypatch.setattr(html_text, "PASS_CHARS", chars)
     rng = random.Random(7)
     rows = []
     for host in range(4):
@@ -263,7 +267,8 @@ def test_passes_give_what_one_walk_over_all_pages_gives(spark, monkeypatch, firs
     got = {r.page_id: r.text for r in html_text.main_text(docs).collect()}
     for host in range(4):
         here = [r for r in rows if r[1] == f"http://walk{host}.org/"]
-        assert [got[i] for i, _, _ in here] == walked([h for _, _, h in here])
+        html = [h for _, _, h in here]
+        assert [got[i] for i, _, _ in here] == walked(html, ranked(spark, html))
 
 
 def test_archives_round_trip(spark, monkeypatch):
