@@ -8,13 +8,18 @@ from pyspark.sql import functions as F
 
 from tableferry.session import new_folder, settle
 
-__all__ = ["by_ids", "forget", "runs", "settle", "settled_at", "shuffle_width", "small_batches", "texts_of"]
+__all__ = ["LARGE_ROWS", "by_ids", "forget", "runs", "settle", "settled_at", "shuffle_width", "small_batches", "texts_of"]
 
 
-def settled_at(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
-    """``df`` written to the shared folder and read again, and where it lies."""
+# Parquet looks at what it holds after 100 rows at first, so rows of megabytes would make pages and row groups without a
+# bound, and a page is held whole, off the heap too, by whoever writes or reads it. With these it looks after each row.
+LARGE_ROWS = {"parquet.block.size": str(16 << 20), "parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1"}
+
+
+def settled_at(df: DataFrame, purpose: str, options: dict[str, str] | None = None) -> tuple[DataFrame, str]:
+    """``df`` written to the shared folder, with the writer's ``options``, and read again, and where it lies."""
     path = new_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 

@@ -16,12 +16,13 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh32_intdigest
 
-from tableferry.llm.shared import settled_at, shuffle_width
+from tableferry.llm.shared import LARGE_ROWS, settled_at, shuffle_width, small_batches
 
 SHARD_BYTES = 8 << 20
 # Text whose vocabulary entries make up a bucket on average; the number of buckets follows the input.
@@ -96,10 +97,12 @@ def _shards(buckets: int, schema: pa.Schema, fact: Callable[[bytes], tuple], kep
 
 def _numbered(table: pa.Table) -> pa.Table:
     """The words of a bucket get the numbers of their order; every shard's words are told by these."""
-    lists = [b.split(b" ") for b in table.column("words").to_pylist()]
-    number = {w: k for k, w in enumerate(sorted(set().union(*lists)))}
-    edges = np.concatenate(([0], np.cumsum([len(words) for words in lists]))).astype(np.int32)
-    ranks = np.fromiter((number[w] for words in lists for w in words), np.int32, edges[-1])
+    lists = pc.split_pattern(table.column("words").combine_chunks(), b" ")
+    words = lists.flatten().dictionary_encode()
+    number = np.empty(len(words.dictionary), np.int32)
+    number[pc.array_sort_indices(words.dictionary).to_numpy()] = np.arange(len(number), dtype=np.int32)
+    edges = np.concatenate(([0], np.cumsum(pc.list_value_length(lists).to_numpy()))).astype(np.int32)
+    ranks = number[words.indices.to_numpy()]
     return pa.table([table.column("shard"), table.column("bucket"), pa.ListArray.from_arrays(pa.array(edges), pa.array(ranks))], names=["shard", "bucket", "ranks"])
 
 
@@ -131,11 +134,12 @@ def term_matrix(docs: DataFrame, carried: list[str], facts: str, fact: Callable[
     column is rank * buckets + bucket, the same in every shard.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     buckets = max(shuffle_width(spark), -(-int(size) // BUCKET_BYTES))
     stored, whole = _SHARD.format(facts=facts), MATRIX.format(facts=facts)
     cut = docs.select(*carried, text).mapInArrow(_shards(buckets, _arrow(stored, spark), fact, len(carried)), stored)
-    shards, _ = settled_at(cut, "term-shards")
+    shards, _ = settled_at(cut, "term-shards", LARGE_ROWS)
     parts = shards.select("shard", F.explode("vocabulary").alias("v")).select("shard", "v.bucket", "v.words")
     numbers = parts.groupBy("bucket").applyInArrow(_numbered, "shard long, bucket int, ranks array<int>")
     rows = shards.select("shard", "facts", "row_ends", "columns", "counts")

@@ -8,8 +8,10 @@ import random
 import re
 from collections import Counter, defaultdict
 from itertools import permutations
+from pathlib import Path
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -97,6 +99,25 @@ def test_matrix_holds_every_count(spark, monkeypatch):
     assert got == {i: dict(Counter((t or "").split())) for i, t in rows}
 
 
+def test_shards_of_a_task_are_written_in_bounded_pieces(spark, monkeypatch):
+    """24 rows of about 2 MB from one task: what Parquet holds at once does not grow with their number."""
+    monkeypatch.setattr(term_matrix, "SHARD_BYTES", 1)
+    paths, real = [], term_matrix.settled_at
+
+    def settled_at(*a):
+        frame, path = real(*a)
+        paths.append(path)
+        return frame, path
+
+    monkeypatch.setattr(term_matrix, "settled_at", settled_at)
+    docs = spark.range(24).coalesce(1).selectExpr("id AS doc_id", "array_join(transform(sequence(1, 150000), i -> hex(xxhash64(id, i) & 16777215)), ' ') AS text")
+    term_matrix.term_matrix(docs, ["doc_id"], "doc_id:bigint, size:bigint", lambda b: (len(b),))
+    metas = [pq.ParquetFile(f).metadata for f in Path(paths[0]).glob("*.parquet")]
+    groups = [m.row_group(k) for m in metas for k in range(m.num_row_groups)]
+    assert sum(g.num_rows for g in groups) == 24 and sum(g.total_byte_size for g in groups) > 30 << 20
+    assert max(g.total_byte_size for g in groups) < 20 << 20
+
+
 def plain_codes(vectors, parts=8, entries=16, rounds=6, scale=4096):
     clean = [(i, [math.floor(scale * x) for x in v], label) for i, v, label in vectors if v and all(x is not None and math.isfinite(x) for x in v)]
     clean.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
