@@ -150,15 +150,13 @@ def term_matrix(docs: DataFrame, carried: list[str], facts: str, fact: Callable[
 
 
 def row_totals(matrix: DataFrame, facts: str) -> DataFrame:
-    """Per row of the matrix: its facts, the sum of its counts (words) and the number of its entries (different words)."""
+    """Per row of the matrix: its facts, the sum of its counts (words) and the number of its entries (different words).
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                ends = np.concatenate(([0], batch.column(1)[k].values.to_numpy()))
-                upto = np.concatenate(([0], np.cumsum(batch.column(2)[k].values.to_numpy(), dtype=np.int64)))
-                told = batch.column(0)[k].values
-                yield pa.RecordBatch.from_arrays([*told.flatten(), pa.array(np.diff(upto[ends])), pa.array(np.diff(ends).astype(np.int64))], names=[f.name for f in told.type] + ["n_words", "n_different"])
-
-    flat = ", ".join(facts.replace(":", " ").split(", "))
-    return matrix.select("facts", "row_ends", "counts").mapInArrow(run, f"{flat}, n_words long, n_different long")
+    Built-in functions: a second Python worker next to each one that renumbers would double what these hold.
+    """
+    names = [f.split(":")[0] for f in facts.split(", ")]
+    start = "coalesce(get(row_ends, i - 1), 0)"
+    told = ", ".join(f"'{n}', f.{n}" for n in names)
+    rows = f"""transform(facts, (f, i) -> named_struct({told},
+      'n_words', aggregate(slice(counts, {start} + 1, row_ends[i] - {start}), 0L, (a, x) -> a + x), 'n_different', bigint(row_ends[i] - {start})))"""
+    return matrix.select(F.inline(F.expr(rows)))

@@ -99,6 +99,15 @@ def test_matrix_holds_every_count(spark, monkeypatch):
     assert got == {i: dict(Counter((t or "").split())) for i, t in rows}
 
 
+def test_row_totals_need_no_python_worker(spark):
+    facts = "doc_id:bigint, marked:boolean"
+    rows = [(0, [(7, True), (None, None), (7, True)], [2, 2, 3], [5, 9, 5], [1, 4, 2]), (1, [(8, False)], [0], [], []), (2, [], [], [], [])]
+    totals = term_matrix.row_totals(spark.createDataFrame(rows, term_matrix.MATRIX.format(facts=facts)), facts)
+    assert totals.dtypes == [("doc_id", "bigint"), ("marked", "boolean"), ("n_words", "bigint"), ("n_different", "bigint")]
+    assert Counter(map(tuple, totals.collect())) == Counter([(7, True, 5, 2), (None, None, 0, 0), (7, True, 2, 1), (8, False, 0, 0)])
+    assert "InArrow" not in totals._jdf.queryExecution().toString()
+
+
 def test_shards_of_a_task_are_written_in_bounded_pieces(spark, monkeypatch):
     """24 rows of about 2 MB from one task: what Parquet holds at once does not grow with their number."""
     monkeypatch.setattr(term_matrix, "SHARD_BYTES", 1)
